@@ -1,0 +1,5 @@
+"""Intentionally empty.
+
+The feature set is batch only: no operator has a watermark, an event-time window or
+state that outlives a run, so there is nothing to express as a streaming query.
+"""
