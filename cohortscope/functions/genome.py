@@ -1,47 +1,47 @@
-"""Genome coordinates: gene lookup and region filters."""
+"""Genome coordinates: gene lookup, region filters, phenotype categories."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from functools import reduce
-from operator import or_
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
+from cohortscope.functions import literal, literals
 from cohortscope.study import Region
 
 
-def any_of(conditions: Iterable[Column]) -> Column:
-    return reduce(or_, conditions, F.lit(False))
+def any_of(conditions: Iterable[str]) -> str:
+    return " OR ".join(f"({c})" for c in conditions) or "FALSE"
 
 
-def in_regions(chromosome: Column, position: Column, regions: Sequence[Region]) -> Column:
-    """Inside some region, both ends inclusive; reaches a Parquet scan as a filter."""
-    return any_of(
-        (chromosome == r.chromosome) & position.between(r.start, r.end) for r in regions
+def inside(chromosome: str, position: str, region: Region) -> str:
+    return (
+        f"{chromosome} = {literal(region.chromosome)} "
+        f"AND {position} >= {region.start} AND {position} <= {region.end}"
     )
 
 
+def in_regions(chromosome: str, position: str, regions: Sequence[Region]) -> str:
+    """Inside some region, both ends inclusive; reaches a Parquet scan as a filter."""
+    return any_of(inside(chromosome, position, r) for r in regions)
+
+
 def touches_regions(
-    chromosome: Column, first: Column, last: Column, regions: Sequence[Region], buffer: int
-) -> Column:
+    chromosome: str, first: str, last: str, regions: Sequence[Region], buffer: int
+) -> str:
     """The span first..last overlaps some region widened by a buffer."""
     return any_of(
-        (chromosome == r.chromosome)
-        & (first <= r.end + buffer)
-        & (last >= max(1, r.start - buffer))
+        f"{chromosome} = {literal(r.chromosome)} AND {first} <= {r.end + buffer} "
+        f"AND {last} >= {max(1, r.start - buffer)}"
         for r in regions
     )
 
 
-def gene_at(chromosome: Column, position: Column, regions: Sequence[Region]) -> Column:
+def gene_at(chromosome: str, position: str, regions: Sequence[Region]) -> str:
     """Gene whose region holds a position, the last one listed if several do."""
-    gene = F.lit(None).cast("string")
-    for r in regions:
-        here = (chromosome == r.chromosome) & position.between(r.start, r.end)
-        gene = F.when(here, F.lit(r.gene)).otherwise(gene)
-    return gene
+    cases = " ".join(
+        f"WHEN {inside(chromosome, position, r)} THEN {literal(r.gene)}"
+        for r in reversed(regions)
+    )
+    return f"CASE {cases} END" if cases else "CAST(NULL AS STRING)"
 
 
 def disjoint_regions(regions: Sequence[Region]) -> list[Region]:
@@ -57,39 +57,32 @@ def disjoint_regions(regions: Sequence[Region]) -> list[Region]:
     return pieces
 
 
-def is_key_variant(
-    gene: Column, variant: Column, key_variants: Mapping[str, Sequence[str]]
-) -> Column:
-    return any_of((gene == g) & variant.isin(list(ids)) for g, ids in key_variants.items())
-
-
-def label_of(key: Column, labels: Mapping[str, object], default: Column) -> Column:
-    """Literal lookup of a short mapping."""
-    choice = default
-    for name, value in labels.items():
-        choice = F.when(key == name, F.lit(value)).otherwise(choice)
-    return choice
+def is_key_variant(gene: str, variant: str, key_variants: Mapping[str, Sequence[str]]) -> str:
+    return any_of(
+        f"{gene} = {literal(g)} AND {variant} IN ({literals(ids)})"
+        for g, ids in key_variants.items()
+    )
 
 
 def category_of(
-    gene: Column,
-    copies: Column,
+    gene: str,
+    copies: str,
     gene_categories: Mapping[str, Sequence[str]],
     default: Sequence[str],
     unknown: str,
-) -> Column:
+) -> str:
     """Phenotype category for a number of non-functional copies, two or more alike."""
 
-    def pick(levels: Sequence[str]) -> Column:
+    def pick(levels: Sequence[str]) -> str:
+        zero, one, more = (literal(level) for level in levels)
         return (
-            F.when(copies < 0, unknown)
-            .when(copies == 0, levels[0])
-            .when(copies == 1, levels[1])
-            .when(copies >= 2, levels[2])
-            .otherwise(unknown)
+            f"CASE WHEN {copies} = 0 THEN {zero} WHEN {copies} = 1 THEN {one} "
+            f"WHEN {copies} >= 2 THEN {more} ELSE {literal(unknown)} END"
         )
 
-    category = pick(default)
-    for name, levels in gene_categories.items():
-        category = F.when(gene == name, pick(levels)).otherwise(category)
-    return category
+    if not gene_categories:
+        return pick(default)
+    cases = " ".join(
+        f"WHEN {literal(name)} THEN {pick(levels)}" for name, levels in gene_categories.items()
+    )
+    return f"CASE {gene} {cases} ELSE {pick(default)} END"

@@ -1,93 +1,75 @@
-"""Rounding, proportions and their confidence bounds, all as column arithmetic."""
+"""Rounding, proportions and their confidence bounds."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from cohortscope.functions import literal
 
 Z_95 = 1.96
 
 # Splits a double into two halves of 26 bits (2**27 + 1), which makes products exact.
-_HALF_WORD = 134217729.0
+HALF_WORD = "134217729D"
 
 
-def round_scaled(value: Column, digits: int) -> Column:
+def rounded(value: str, digits: int) -> str:
     """Scale, round to the nearest even integer, scale back."""
-    unit = float(10**digits)
-    return F.rint(value * F.lit(unit)) / F.lit(unit)
+    unit = f"{10**digits}D"
+    return f"rint(({value}) * {unit}) / {unit}"
 
 
-def decimal_units(value: Column, digits: int) -> Column:
-    """A non-negative value in units of 10**-digits, as a whole double.
+def decimal_units(value: str, digits: int) -> str:
+    """A non-negative column in units of 10**-digits, as a whole double.
 
     The exact binary value decides, and exact ties go to the even unit: what Python's
-    ``round`` and ``format`` do. ``F.bround`` works on the shortest decimal text, which
-    turns values just beside a tie into ties.
+    ``round`` and ``format`` do. ``bround`` works on the shortest decimal text, which
+    turns values just beside a tie into ties. The distance from the middle between two
+    units is the rounded product plus its exact error, taken from the two halves.
     """
-    unit = F.lit(float(10**digits))
-    double_unit = F.lit(2.0 * 10**digits)
-    below = F.floor(value * unit).cast("double")
-    product = value * double_unit
-    spread = value * F.lit(_HALF_WORD)
-    high = spread - (spread - value)
-    error = (high * double_unit - product) + (value - high) * double_unit
-    past_middle = (product - (below * 2 + 1)) + error
-    return (
-        F.when(past_middle > 0, below + 1)
-        .when(past_middle < 0, below)
-        .otherwise(below + F.pmod(below, F.lit(2.0)))
-    )
+    unit, twice = f"{10**digits}D", f"{2 * 10**digits}D"
+    below = f"CAST(floor({value} * {unit}) AS DOUBLE)"
+    high = f"({value} * {HALF_WORD} - ({value} * {HALF_WORD} - {value}))"
+    error = f"(({high} * {twice} - {value} * {twice}) + ({value} - {high}) * {twice})"
+    past = f"(({value} * {twice} - (2 * {below} + 1)) + {error})"
+    step = f"CASE WHEN {past} > 0 THEN 1D WHEN {past} < 0 THEN 0D ELSE pmod({below}, 2D) END"
+    return f"({below} + {step})"
 
 
-def round_exact(value: Column, digits: int) -> Column:
-    """Round a non-negative value to the nearest decimal, ties to even."""
-    return decimal_units(value, digits) / F.lit(float(10**digits))
+def rounded_exactly(value: str, digits: int) -> str:
+    """Round a non-negative column to the nearest decimal, ties to even."""
+    return f"{decimal_units(value, digits)} / {10**digits}D"
 
 
-def tenths_text(value: Column) -> Column:
-    """A non-negative value with one decimal place, as text."""
-    units = decimal_units(value, 1).cast("bigint")
-    return F.concat_ws(".", F.floor(units / 10).cast("string"), (units % 10).cast("string"))
+def tenths(units: str) -> str:
+    """Text with one decimal place of a column that counts tenths."""
+    return f"concat(CAST({units} div 10 AS STRING), '.', CAST({units} % 10 AS STRING))"
 
 
-def wilson_bounds(
-    successes: Column, trials: Column, z: float = Z_95, strict: bool = True
-) -> Column:
-    """``struct(lower, upper, center)`` of the Wilson score interval.
+def wilson(successes: str, trials: str, z: float = Z_95, strict: bool = True) -> str:
+    """Struct (lower, upper, center) of the Wilson score interval.
 
     Impossible counts fail the query, or give null bounds with ``strict=False``.
     """
-    k, n = successes.cast("double"), trials.cast("double")
-    z2 = z * z
-    spread = n + F.lit(z2)
-    center = (k + F.lit(z2 / 2.0)) / spread
-    half = (F.lit(z) / spread) * F.sqrt(k * (n - k) / n + F.lit(z2 / 4.0))
-    interval = F.struct(
-        F.greatest(F.lit(0.0), center - half).alias("lower"),
-        F.least(F.lit(1.0), center + half).alias("upper"),
-        center.alias("center"),
+    k, n = f"CAST({successes} AS DOUBLE)", f"CAST({trials} AS DOUBLE)"
+    z2, half_z2, quarter_z2 = (literal(z * z / d) for d in (1.0, 2.0, 4.0))
+    center = f"(({k} + {half_z2}) / ({n} + {z2}))"
+    half = f"(({literal(z)} / ({n} + {z2})) * sqrt({k} * ({n} - {k}) / {n} + {quarter_z2}))"
+    interval = (
+        f"named_struct('lower', greatest(0D, {center} - {half}), "
+        f"'upper', least(1D, {center} + {half}), 'center', {center})"
     )
-    valid = (trials > 0) & (successes >= 0) & (successes <= trials)
+    possible = f"{trials} > 0 AND {successes} >= 0 AND {successes} <= {trials}"
     if not strict:
-        return F.when(valid, interval)
-    complaint = F.raise_error(
-        F.when(trials <= 0, F.concat(F.lit("trials must be > 0, got "), trials.cast("string")))
-        .when(
-            successes < 0,
-            F.concat(F.lit("successes must be >= 0, got "), successes.cast("string")),
-        )
-        .otherwise(
-            F.concat(
-                F.lit("successes ("), successes.cast("string"),
-                F.lit(") cannot exceed trials ("), trials.cast("string"), F.lit(")"),
-            )
-        )
+        return f"CASE WHEN {possible} THEN {interval} END"
+    return (
+        f"CASE WHEN {possible} THEN {interval} "
+        f"WHEN {trials} <= 0 THEN raise_error(concat('trials must be > 0, got ', {trials})) "
+        f"WHEN {successes} < 0 "
+        f"THEN raise_error(concat('successes must be >= 0, got ', {successes})) "
+        f"WHEN {successes} > {trials} THEN raise_error(concat('successes (', {successes}, "
+        f"') cannot exceed trials (', {trials}, ')')) END"
     )
-    impossible = (trials <= 0) | (successes < 0) | (successes > trials)
-    return F.when(impossible, complaint).when(valid, interval)
 
 
-def equilibrium_shares(frequency: Column) -> tuple[Column, Column, Column]:
+def equilibrium_shares(frequency: str) -> tuple[str, str, str]:
     """Hardy-Weinberg shares of 0, 1 and 2 copies of an allele."""
-    rest = F.lit(1.0) - frequency
-    return rest * rest, F.lit(2.0) * frequency * rest, frequency * frequency
+    rest = f"(1D - {frequency})"
+    return f"{rest} * {rest}", f"2D * {frequency} * {rest}", f"{frequency} * {frequency}"

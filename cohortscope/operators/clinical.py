@@ -5,54 +5,52 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from cohortscope import domain
-from cohortscope.functions.text import cross_reference_ids, listed_names, summary
+from cohortscope.functions import literals
+from cohortscope.functions.text import blank_if_null, cross_reference_ids, listed_names, summary
 from cohortscope.operators.dedup import keep_first
-from cohortscope.schemas import CLINICAL_VARIANTS, conform_present
+from cohortscope.schemas import CLINICAL_VARIANTS, conform
 from cohortscope.study import Study
 
 KEYS = ("variant_rsid", "gene_symbol", "drug_name")
 
 
-def optional(df: DataFrame, column: str):
-    return F.col(column) if column in df.columns else F.lit(None).cast("string")
-
-
 def build_clinical_variants(
     annotations: DataFrame,
     study: Study,
     order_by: Sequence[str] = ("clinical_annotation_id",),
 ) -> DataFrame:
     """One row per variant, gene and drug of the in-scope annotations."""
-    order = [c for c in order_by if c in annotations.columns]
-    listed = annotations.where(F.col("gene_symbol").isin(study.scope_genes)).select(
+    present = set(annotations.columns)
+    order = [c for c in order_by if c in present]
+
+    def optional(column: str) -> str:
+        return column if column in present else "CAST(NULL AS STRING)"
+
+    listed = annotations.where(f"gene_symbol IN ({literals(study.scope_genes)})").selectExpr(
         *order,
-        F.col("variant_or_haplotype").alias("variant_rsid"),
+        "variant_or_haplotype AS variant_rsid",
         "gene_symbol",
-        F.posexplode(listed_names(F.col("drug_names"))).alias("_entry", "drug_name"),
-        F.coalesce(optional(annotations, "phenotype_categories"), F.lit("")).alias(
-            "phenotype_category"
-        ),
+        f"posexplode({listed_names('drug_names')}) AS (_entry, drug_name)",
+        f"{blank_if_null(optional('phenotype_categories'))} AS phenotype_category",
         "evidence_level",
-        F.coalesce(
-            F.col("evidence_level").isin(*domain.ACTIONABLE_EVIDENCE), F.lit(False)
-        ).alias("is_actionable"),
-        summary(optional(annotations, "annotation_text")).alias("annotation_summary"),
+        f"coalesce(evidence_level IN ({literals(domain.ACTIONABLE_EVIDENCE)}), FALSE) "
+        "AS is_actionable",
+        f"{summary(optional('annotation_text'))} AS annotation_summary",
     )
-    return conform_present(keep_first(listed, KEYS, [*order, "_entry"]), CLINICAL_VARIANTS)
+    return conform(keep_first(listed, KEYS, [*order, "_entry"]), CLINICAL_VARIANTS)
 
 
 def with_cross_references(drugs: DataFrame, column: str = "_cross_references") -> DataFrame:
     """Replaces the cross-reference list by its ATC and RxNorm identifiers."""
     if column not in drugs.columns:
-        missing = F.lit(None).cast("string")
-        return drugs.withColumn("atc_identifiers", missing).withColumn(
-            "rxnorm_identifiers", missing
+        missing = "CAST(NULL AS STRING)"
+        return drugs.selectExpr(
+            "*", f"{missing} AS atc_identifiers", f"{missing} AS rxnorm_identifiers"
         )
-    return (
-        drugs.withColumn("atc_identifiers", cross_reference_ids(F.col(column), "ATC"))
-        .withColumn("rxnorm_identifiers", cross_reference_ids(F.col(column), "RxNorm"))
-        .drop(column)
-    )
+    return drugs.selectExpr(
+        "*",
+        f"{cross_reference_ids(column, 'ATC')} AS atc_identifiers",
+        f"{cross_reference_ids(column, 'RxNorm')} AS rxnorm_identifiers",
+    ).drop(column)

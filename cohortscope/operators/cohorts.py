@@ -5,32 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortscope.functions import literals
 from cohortscope.functions.text import whole_number
 from cohortscope.operators.dimensions import cohort_table, region_table, scope_table
 from cohortscope.schemas import PHARMACOGENES, POPULATIONS, conform
 from cohortscope.study import Study
 
-UNKNOWN_REGION = "Unknown"
-
 
 def build_populations(samples: DataFrame, study: Study) -> DataFrame:
     """Size, name and region of each cohort."""
-    keys = ["population_code", "superpopulation"]
     sizes = (
-        samples.where(F.col("population_code").isin(list(study.target_cohorts)))
-        .dropna(subset=keys)
-        .groupBy(*keys)
+        samples.where(f"population_code IN ({literals(study.target_cohorts)})")
+        .where("superpopulation IS NOT NULL")
+        .groupBy("population_code", "superpopulation")
         .agg(F.count(F.lit(1)).alias("sample_size"))
     )
-    named = sizes.join(
-        F.broadcast(cohort_table(samples.sparkSession, study)), "population_code", "left"
-    )
-    return conform(
-        named.withColumn(
-            "population_name", F.coalesce("population_name", "population_code")
-        ).withColumn("region", F.coalesce("region", F.lit(UNKNOWN_REGION))),
-        POPULATIONS,
+    names = F.broadcast(cohort_table(samples.sparkSession, study))
+    named = sizes.join(names, "population_code", "left").selectExpr(
+        "population_code",
+        "coalesce(population_name, population_code) AS population_name",
+        "superpopulation",
+        "coalesce(region, 'Unknown') AS region",
+        "sample_size",
     )
+    return conform(named, POPULATIONS)
 
 
 def build_pharmacogenes(genes: DataFrame, study: Study) -> DataFrame:
@@ -40,23 +38,29 @@ def build_pharmacogenes(genes: DataFrame, study: Study) -> DataFrame:
     present is pre-aggregated, so repeated source rows of one gene never meet in a task.
     """
     scope = scope_table(genes.sparkSession, study)
-    texts = ("ensembl_id", "ncbi_gene_id", "chromosome")
-    numbers = ("chromosomal_start", "chromosomal_end")
-    source = genes.where(F.col("gene_symbol").isin([symbol for symbol, _, _ in study.scope]))
-    for column in (*texts, *numbers):
-        if column not in source.columns:
-            source = source.withColumn(column, F.lit(None).cast("string"))
-    source = source.select(
-        "gene_symbol", *texts, *[whole_number(F.col(c)).alias(c) for c in numbers]
+    present = set(genes.columns)
+
+    def source(column: str) -> str:
+        return column if column in present else "CAST(NULL AS STRING)"
+
+    listed_source = genes.where(
+        f"gene_symbol IN ({literals(symbol for symbol, _, _ in study.scope)})"
+    ).selectExpr(
+        "gene_symbol",
+        *[f"{source(c)} AS {c}" for c in ("ensembl_id", "ncbi_gene_id", "chromosome")],
+        *[
+            f"{whole_number(source(c))} AS {c}"
+            for c in ("chromosomal_start", "chromosomal_end")
+        ],
     )
-    listed = source.join(F.broadcast(scope), "gene_symbol")
-    fallback = region_table(genes.sparkSession, study.regions).select(
+    listed = listed_source.join(F.broadcast(scope), "gene_symbol")
+    fallback = region_table(genes.sparkSession, study.regions).selectExpr(
         "gene_symbol",
         "chromosome",
-        F.col("region_start").alias("chromosomal_start"),
-        F.col("region_end").alias("chromosomal_end"),
-    )
-    unlisted = scope.join(source.select("gene_symbol").distinct(), "gene_symbol", "left_anti").join(
-        F.broadcast(fallback), "gene_symbol", "left"
+        "region_start AS chromosomal_start",
+        "region_end AS chromosomal_end",
     )
+    unlisted = scope.join(
+        listed_source.select("gene_symbol").distinct(), "gene_symbol", "left_anti"
+    ).join(F.broadcast(fallback), "gene_symbol", "left")
     return conform(listed.unionByName(unlisted, allowMissingColumns=True), PHARMACOGENES)

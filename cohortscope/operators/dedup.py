@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
@@ -14,8 +13,7 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ())
     The ``row_number = 1`` filter is planned with a group limit before the exchange, so
     every task sends at most one row per key and a key with very many copies stays small.
     """
-    rest = [c for c in df.columns if c not in keys and c not in order_by]
-    # A constant order is needed when the keys are all there is.
-    order = [F.col(c) for c in (*order_by, *rest)] or [F.lit(0)]
-    ranked = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_copy", F.row_number().over(ranked)).where("_copy = 1").drop("_copy")
+    order = [*order_by, *[c for c in df.columns if c not in keys and c not in order_by]]
+    over = f"PARTITION BY {', '.join(keys)} ORDER BY {', '.join(order) or keys[0]}"
+    numbered = df.selectExpr("*", f"row_number() OVER ({over}) AS _copy")
+    return numbered.where("_copy = 1").drop("_copy")

@@ -6,17 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortscope import domain
-from cohortscope.functions.genome import label_of
-from cohortscope.functions.numbers import tenths_text
+from cohortscope.functions import literal, lookup
+from cohortscope.functions.numbers import decimal_units, tenths
+from cohortscope.functions.text import blank_if_null
 
 KEYS = ("gene_symbol", "population_code")
 
 
 def dominant_categories(phenotypes: DataFrame) -> DataFrame:
     """The commonest category per gene and cohort, the first by name on a tie."""
-    share = F.coalesce("phenotype_percentage", F.lit(0.0))
-    best = F.min(F.struct((-share).alias("rank"), F.col("phenotype_category").alias("name")))
-    return phenotypes.groupBy(*KEYS).agg(best["name"].alias("dominant_category"))
+    return phenotypes.groupBy(*KEYS).agg(
+        F.expr(
+            "min(struct(-coalesce(phenotype_percentage, 0D) AS rank, phenotype_category AS name))"
+        )["name"].alias("dominant_category")
+    )
 
 
 def mean_frequencies(frequencies: DataFrame) -> DataFrame:
@@ -24,9 +27,9 @@ def mean_frequencies(frequencies: DataFrame) -> DataFrame:
 
     Frequencies have six decimals, so a decimal sum is exact whatever the order.
     """
-    exact = F.coalesce("allele_frequency", F.lit(0.0)).cast("decimal(20,6)")
+    exact = "CAST(coalesce(allele_frequency, 0D) AS DECIMAL(20, 6))"
     return frequencies.groupBy(*KEYS).agg(
-        (F.sum(exact).cast("double") / F.count(F.lit(1))).alias("mean_frequency")
+        F.expr(f"CAST(sum({exact}) AS DOUBLE) / count(*)").alias("mean_frequency")
     )
 
 
@@ -37,47 +40,28 @@ def build_documents(
     prefix: str = domain.DOCUMENT_PREFIX,
 ) -> DataFrame:
     """(path, document) per gene, cohort and drug; the last rank wins a shared path."""
-    known = ranking.where(
-        "gene_symbol <> '' AND population_code <> '' AND drug_name <> ''"
-    ).select(
-        "rank_position",
-        *KEYS,
-        "drug_name",
-        "classification_strength",
-        "clinical_implication",
-    )
+    known = ranking.where("gene_symbol <> '' AND population_code <> '' AND drug_name <> ''")
     described = known.join(dominant_categories(phenotypes), list(KEYS), "left").join(
         mean_frequencies(frequencies), list(KEYS), "left"
     )
-    country = label_of(
-        F.col("population_code"), domain.COHORT_COUNTRIES, F.col("population_code")
-    )
-    percent = described.withColumn(
-        "_percent", F.coalesce("mean_frequency", F.lit(0.0)) * 100
+    country = lookup("population_code", domain.COHORT_COUNTRIES, "population_code")
+    document = (
+        "concat('Gene: ', gene_symbol, '\\n', "
+        f"'Population: ', population_code, ' (', {country}, ')\\n', "
+        "'Drug: ', drug_name, '\\n', "
+        "'Phenotype: ', coalesce(dominant_category, 'Unknown'), '\\n', "
+        f"'Allele frequency: ', {tenths('_tenths')}, '%\\n', "
+        f"'Actionability: CPIC ', {blank_if_null('classification_strength')}, '\\n', "
+        f"'Clinical implication: ', {blank_if_null('clinical_implication')}, '\\n')"
     )
-    lines = [
-        F.concat(F.lit("Gene: "), "gene_symbol"),
-        F.concat(F.lit("Population: "), "population_code", F.lit(" ("), country, F.lit(")")),
-        F.concat(F.lit("Drug: "), "drug_name"),
-        F.concat(F.lit("Phenotype: "), F.coalesce("dominant_category", F.lit("Unknown"))),
-        F.concat(F.lit("Allele frequency: "), tenths_text(F.col("_percent")), F.lit("%")),
-        F.concat(
-            F.lit("Actionability: CPIC "), F.coalesce("classification_strength", F.lit(""))
-        ),
-        F.concat(
-            F.lit("Clinical implication: "), F.coalesce("clinical_implication", F.lit(""))
-        ),
-    ]
-    file_name = F.translate("drug_name", " /", "_-")
-    path = F.concat_ws(
-        "/", F.lit(prefix), "gene_symbol", "population_code", F.concat(file_name, F.lit(".txt"))
+    path = (
+        f"concat({literal(prefix)}, '/', gene_symbol, '/', population_code, '/', "
+        "translate(drug_name, ' /', '_-'), '.txt')"
     )
     return (
-        percent.select(
-            path.alias("path"),
-            F.concat(F.concat_ws("\n", *lines), F.lit("\n")).alias("document"),
-            "rank_position",
-        )
+        described.selectExpr("*", "coalesce(mean_frequency, 0D) * 100D AS _percent")
+        .selectExpr("*", f"CAST({decimal_units('_percent', 1)} AS BIGINT) AS _tenths")
+        .selectExpr(f"{path} AS path", f"{document} AS document", "rank_position")
         .groupBy("path")
         .agg(F.max_by("document", "rank_position").alias("document"))
     )

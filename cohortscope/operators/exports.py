@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortscope import domain
-from cohortscope.functions.numbers import round_scaled
+from cohortscope.functions.numbers import rounded
 from cohortscope.functions.text import filled
 from cohortscope.schemas import FREQUENCIES, IMPACT, PHENOTYPES, POPULATIONS, RANKING, columns_of
 from cohortscope.study import Study
@@ -86,17 +86,17 @@ def typed_rows(
 ) -> DataFrame:
     """All-text result rows with their types back; blanks are null, blank flags false."""
 
-    def typed(name: str):
-        value = filled(F.col(name))
+    def typed(name: str) -> str:
+        value = filled(name)
         if name in integers:
-            return value.cast("bigint")
+            return f"CAST({value} AS BIGINT)"
         if name in decimals:
-            return round_scaled(value.cast("double"), 6)
+            return rounded(f"CAST({value} AS DOUBLE)", 6)
         if name in booleans:
-            return F.coalesce(F.lower(value) == "true", F.lit(False))
+            return f"coalesce(lower({value}) = 'true', FALSE)"
         return value
 
-    return rows.select([typed(c).alias(c) for c in rows.columns])
+    return rows.selectExpr([f"{typed(c)} AS {c}" for c in rows.columns])
 
 
 def run_metadata(

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortscope.functions.numbers import round_exact, round_scaled, wilson_bounds
+from cohortscope.functions import literal
+from cohortscope.functions.numbers import rounded, wilson
 from cohortscope.schemas import FREQUENCIES, conform_present
 from cohortscope.study import Study
 
@@ -23,20 +24,13 @@ GROUP_KEYS = (
 
 def flagged_variants(clinical_variants: DataFrame) -> DataFrame:
     return (
-        clinical_variants.where(F.coalesce("is_actionable", F.lit(False)))
-        .select(F.col("variant_rsid").alias("variant_id"))
+        clinical_variants.where("is_actionable")
+        .selectExpr("variant_rsid AS variant_id")
         .distinct()
-        .withColumn("_flagged", F.lit(True))
+        .selectExpr("variant_id", "TRUE AS _flagged")
     )
 
 
-def allele_total(hemizygous: bool) -> Column:
-    """Alleles observed: two per sample, or as many as each genotype spells out."""
-    if hemizygous:
-        return F.sum(F.size(F.split("genotype", r"[|/]")).cast("bigint"))
-    return F.col("_samples") * 2
-
-
 def build_allele_frequencies(
     variants: DataFrame,
     clinical_variants: DataFrame,
@@ -51,36 +45,41 @@ def build_allele_frequencies(
     has; counting samples then needs no second shuffle. Options that are off by default:
     ``hemizygous`` totals by genotype length, ``min_maf`` keeps commoner variants.
     """
-    keys = [k for k in GROUP_KEYS if k in variants.columns]
-    samples = F.count("sample_id") if single_calls else F.count_distinct("sample_id")
-    aggregates = [
-        F.coalesce(F.sum("allele_dosage"), F.lit(0)).cast("bigint").alias("allele_count"),
-        samples.alias("_samples"),
-    ]
+    present = set(variants.columns)
+    keys = [k for k in GROUP_KEYS if k in present]
+    people = "count(sample_id)" if single_calls else "count(DISTINCT sample_id)"
+    total = f"2 * {people}"
     if hemizygous:
-        aggregates.append(allele_total(True).alias("total_alleles"))
-    counted = variants.dropna(subset=keys).groupBy(*keys).agg(*aggregates)
-    if not hemizygous:
-        counted = counted.withColumn("total_alleles", allele_total(False))
-    rated = (
-        counted.withColumn("_ci", wilson_bounds(F.col("allele_count"), F.col("total_alleles")))
-        .withColumn(
-            "allele_frequency",
-            round_scaled(F.col("allele_count") / F.col("total_alleles"), 6),
+        total = "sum(size(split(genotype, '[|/]')))"
+    counted = (
+        variants.where(" AND ".join(f"{k} IS NOT NULL" for k in keys))
+        .groupBy(*keys)
+        .agg(
+            F.expr("coalesce(sum(allele_dosage), 0L)").alias("allele_count"),
+            F.expr(f"CAST({total} AS BIGINT)").alias("total_alleles"),
         )
-        .withColumn("_lower", F.col("_ci.lower"))
-        .withColumn("_upper", F.col("_ci.upper"))
-        .withColumn("ci_lower_wilson", round_exact(F.col("_lower"), 6))
-        .withColumn("ci_upper_wilson", round_exact(F.col("_upper"), 6))
+    )
+    rated = counted.selectExpr(
+        "*",
+        f"{rounded('allele_count / total_alleles', 6)} AS allele_frequency",
+        f"{wilson('allele_count', 'total_alleles')} AS _ci",
+    ).selectExpr(
+        *keys,
+        "allele_count",
+        "total_alleles",
+        "allele_frequency",
+        f"{rounded('_ci.lower', 6)} AS ci_lower_wilson",
+        f"{rounded('_ci.upper', 6)} AS ci_upper_wilson",
     )
     if min_maf is not None:
-        share = F.col("allele_frequency")
-        rated = rated.where(F.least(share, F.lit(1.0) - share) > min_maf)
+        rated = rated.where(f"least(allele_frequency, 1 - allele_frequency) > {min_maf!r}D")
     compared = with_baseline_frequency(rated, study.baseline)
     flagged = compared.join(flagged_variants(clinical_variants), "variant_id", "left")
     return conform_present(
-        flagged.withColumn("is_actionable", F.coalesce("_flagged", F.lit(False))).withColumn(
-            "snapshot_date", F.lit(study.snapshot_date)
+        flagged.selectExpr(
+            "*",
+            "coalesce(_flagged, FALSE) AS is_actionable",
+            f"DATE'{study.snapshot_date}' AS snapshot_date",
         ),
         FREQUENCIES,
     )
@@ -93,29 +92,28 @@ def with_baseline_frequency(rated: DataFrame, baseline: str) -> DataFrame:
     facts twice. One row comes out per baseline row of the variant id, as from the join:
     two alleles that share a positional id fan out.
     """
-    same_variant = Window.partitionBy("variant_id")
-    reference = F.when(F.col("population_code") == baseline, F.col("allele_frequency"))
+    reference = f"CASE WHEN population_code = {literal(baseline)} THEN allele_frequency END"
     return (
-        rated.withColumn("_references", F.collect_list(reference).over(same_variant))
-        .withColumn("_reference", F.explode_outer("_references"))
-        .withColumn(
-            "delta_vs_ceu", round_scaled(F.col("allele_frequency") - F.col("_reference"), 6)
+        rated.selectExpr(
+            "*", f"collect_list({reference}) OVER (PARTITION BY variant_id) AS _references"
         )
+        .selectExpr("*", "explode_outer(_references) AS _reference")
+        .selectExpr("*", f"{rounded('allele_frequency - _reference', 6)} AS delta_vs_ceu")
         .drop("_references", "_reference")
     )
 
 
 def top_variants_per_gene(frequencies: DataFrame, size: int = 40) -> DataFrame:
     """All rows of the ``size`` variants per gene farthest from the baseline."""
-    spread = frequencies.groupBy("gene_symbol", "variant_id").agg(
-        F.max(F.abs("delta_vs_ceu")).alias("_spread")
-    )
-    order = Window.partitionBy("gene_symbol").orderBy(
-        F.col("_spread").desc_nulls_last(), "variant_id"
-    )
     chosen = (
-        spread.withColumn("_place", F.row_number().over(order))
-        .where(F.col("_place") <= size)
-        .select("gene_symbol", "variant_id")
+        frequencies.groupBy("gene_symbol", "variant_id")
+        .agg(F.expr("max(abs(delta_vs_ceu))").alias("_spread"))
+        .selectExpr(
+            "gene_symbol",
+            "variant_id",
+            "row_number() OVER (PARTITION BY gene_symbol "
+            "ORDER BY _spread DESC NULLS LAST, variant_id) AS _place",
+        )
+        .where(f"_place <= {int(size)}")
     )
     return frequencies.join(chosen, ["gene_symbol", "variant_id"], "left_semi")

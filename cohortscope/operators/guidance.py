@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortscope.functions.text import filled, name_key, recommendation_flags
+from cohortscope.functions import literals
+from cohortscope.functions.text import blank_if_null, filled, name_key, recommendation_flags
 from cohortscope.operators.dedup import keep_first
 from cohortscope.operators.dimensions import curated_table
 from cohortscope.schemas import GUIDANCE, RECOMMENDATIONS, columns_of, conform, conform_present
@@ -16,9 +17,9 @@ from cohortscope.study import Study
 KEYS = ("gene_symbol", "drug_name", "phenotype")
 
 
-def by_gene(values: Column, gene: Column) -> Column:
+def by_gene(values: str, gene: str) -> str:
     """Entry for a gene, then for its upper-cased symbol, else an empty string."""
-    return F.coalesce(filled(values[gene]), values[F.upper(gene)], F.lit(""))
+    return f"coalesce({filled(f'{values}[{gene}]')}, {values}[upper({gene})], '')"
 
 
 def flatten_recommendations(
@@ -29,65 +30,62 @@ def flatten_recommendations(
     Recommendations of unknown guidelines are dropped; an unknown drug keeps its id.
     """
     known = keep_first(
-        guidelines.select(
-            F.coalesce("id", F.lit("")).alias("guidelineid"),
-            F.col("genes").alias("_genes"),
-            F.col("version").alias("_version"),
+        guidelines.selectExpr(
+            f"{blank_if_null('id')} AS guidelineid", "genes AS _genes", "version AS _version"
         ),
         ["guidelineid"],
     )
     named = keep_first(
-        drugs.where((F.col("drugid") != "") & (F.col("name") != "")).select(
-            "drugid", F.col("name").alias("_drug")
-        ),
+        drugs.where("drugid <> '' AND name <> ''").selectExpr("drugid", "name AS _drug"),
         ["drugid"],
     )
-    empty_map = F.create_map().cast("map<string,string>")
-    records = recommendations.withColumn(
-        "guidelineid", F.coalesce("guidelineid", F.lit(""))
-    ).withColumn("drugid", F.coalesce("drugid", F.lit("")))
-    joined = (
-        records.join(known, "guidelineid")
+    rows = (
+        recommendations.selectExpr(
+            "id",
+            f"{blank_if_null('guidelineid')} AS guidelineid",
+            f"{blank_if_null('drugid')} AS drugid",
+            "drugrecommendation",
+            "classification",
+            "phenotypes",
+            "activityscore",
+        )
+        .join(known, "guidelineid")
         .join(named, "drugid", "left")
-        .withColumn("_phenotypes", F.coalesce("phenotypes", empty_map))
-        .withColumn("_scores", F.coalesce("activityscore", empty_map))
-    )
-    genes = F.when(F.size("_genes") > 0, F.col("_genes")).otherwise(F.map_keys("_phenotypes"))
-    gene = F.col("gene_symbol")
-    return conform(
-        joined.withColumn("gene_symbol", F.explode(genes)).select(
-            F.concat_ws(":", "guidelineid", F.coalesce(F.col("id").cast("string"), F.lit(""))).alias(
-                "guideline_id"
-            ),
-            gene,
-            F.coalesce("_drug", "drugid").alias("drug_name"),
-            by_gene(F.col("_phenotypes"), gene).alias("phenotype"),
-            by_gene(F.col("_scores"), gene).alias("activity_score"),
-            F.coalesce("drugrecommendation", F.lit("")).alias("recommendation_text"),
-            F.coalesce("classification", F.lit("")).alias("classification_strength"),
-            F.coalesce(F.col("_version").cast("string"), F.lit("")).alias("cpic_release_version"),
-        ),
-        GUIDANCE,
+        .selectExpr(
+            "*",
+            "explode(CASE WHEN size(_genes) > 0 THEN _genes ELSE map_keys(phenotypes) END) "
+            "AS gene_symbol",
+        )
+        .selectExpr(
+            f"concat(guidelineid, ':', {blank_if_null('CAST(id AS STRING)')}) AS guideline_id",
+            "gene_symbol",
+            "coalesce(_drug, drugid) AS drug_name",
+            f"{by_gene('phenotypes', 'gene_symbol')} AS phenotype",
+            f"{by_gene('activityscore', 'gene_symbol')} AS activity_score",
+            f"{blank_if_null('drugrecommendation')} AS recommendation_text",
+            f"{blank_if_null('classification')} AS classification_strength",
+            f"{blank_if_null('CAST(_version AS STRING)')} AS cpic_release_version",
+        )
     )
+    return conform(rows, GUIDANCE)
 
 
 def classify(guidance: DataFrame) -> DataFrame:
     """Adds the two action flags."""
-    change, alternative = recommendation_flags(
-        F.col("recommendation_text"), F.col("classification_strength")
-    )
-    return guidance.withColumn("requires_dose_change", change).withColumn(
-        "requires_alternative", alternative
+    change, alternative = recommendation_flags("recommendation_text", "classification_strength")
+    return guidance.selectExpr(
+        "*", f"{change} AS requires_dose_change", f"{alternative} AS requires_alternative"
     )
 
 
 def override(rows: DataFrame, curated: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    """All curated rows, and the other rows whose key is not curated (nulls match)."""
-    left, right = rows.alias("r"), curated.alias("c")
-    same = F.lit(True)
-    for key in keys:
-        same = same & F.col(f"r.{key}").eqNullSafe(F.col(f"c.{key}"))
-    return left.join(F.broadcast(right), same, "left_anti").unionByName(curated)
+    """All curated rows, and the other rows whose key is not curated (nulls match).
+
+    The curated rows are a local table of checked length, hence the broadcast.
+    """
+    same = F.expr(" AND ".join(f"r.{k} <=> c.{k}" for k in keys))
+    kept = rows.alias("r").join(F.broadcast(curated).alias("c"), same, "left_anti")
+    return kept.unionByName(curated)
 
 
 def build_recommendations(
@@ -100,15 +98,18 @@ def build_recommendations(
     Curated rows replace source rows of the same key. They are added only when the source
     has in-scope rows at all.
     """
-    scoped = guidance.where(F.col("gene_symbol").isin(study.scope_genes))
-    flagged = classify(scoped).withColumn("drug_name", name_key(F.col("drug_name")))
-    order = [c for c in order_by if c in flagged.columns]
-    columns = [c for c in columns_of(RECOMMENDATIONS) if c in flagged.columns]
-    single = keep_first(
-        flagged.select(*columns, *[c for c in order if c not in columns]), KEYS, order
+    scoped = guidance.where(f"gene_symbol IN ({literals(study.scope_genes)})")
+    columns = [c for c in columns_of(RECOMMENDATIONS) if c != "drug_name"]
+    flagged = classify(scoped)
+    present = set(flagged.columns)
+    order = [c for c in order_by if c in present]
+    kept = [c for c in columns if c in present]
+    named = flagged.selectExpr(
+        f"{name_key('drug_name')} AS drug_name", *kept, *[c for c in order if c not in kept]
     )
+    single = keep_first(named, KEYS, order).select("drug_name", *kept)
     # The existence test is a scalar subquery that stops at the first row.
     curated = curated_table(guidance.sparkSession, study).where(
         scoped.select(F.lit(1)).exists()
     )
-    return conform_present(override(single.select(*columns), curated), RECOMMENDATIONS)
+    return conform_present(override(single, curated), RECOMMENDATIONS)

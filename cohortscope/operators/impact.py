@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortscope.functions.numbers import round_exact, round_scaled
+from cohortscope.functions import literal
+from cohortscope.functions.genome import any_of
+from cohortscope.functions.numbers import rounded, rounded_exactly
 from cohortscope.functions.text import name_key
 from cohortscope.operators.phenotypes import category, cohort_sizes
 from cohortscope.schemas import IMPACT, conform
@@ -16,6 +18,14 @@ from cohortscope.study import Study
 BASELINE_KEYS = ("drug_name", "gene_symbol")
 STRICT_BASELINE_KEYS = (*BASELINE_KEYS, "classification_strength")
 
+GROUP_KEYS = (
+    "drug_name",
+    "gene_symbol",
+    "population_code",
+    "population_total",
+    "classification_strength",
+)
+
 
 def build_drug_impact(
     phenotypes: DataFrame,
@@ -25,20 +35,13 @@ def build_drug_impact(
 ) -> DataFrame:
     """Affected share per drug, gene, cohort and strength, against the baseline cohort."""
     actionable = recommendations.where(
-        F.col("requires_dose_change") | F.col("requires_alternative")
-    ).select(
+        "requires_dose_change OR requires_alternative"
+    ).selectExpr(
         "gene_symbol",
-        name_key(F.col("drug_name")).alias("drug_name"),
-        F.col("phenotype").alias("phenotype_category"),
+        f"{name_key('drug_name')} AS drug_name",
+        "phenotype AS phenotype_category",
         "classification_strength",
     )
-    keys = [
-        "drug_name",
-        "gene_symbol",
-        "population_code",
-        "population_total",
-        "classification_strength",
-    ]
     summed = (
         phenotypes.select(
             "gene_symbol",
@@ -48,17 +51,13 @@ def build_drug_impact(
             "individual_count",
         )
         .join(actionable, ["gene_symbol", "phenotype_category"])
-        .dropna(subset=keys)
-        .groupBy(*keys)
+        .where(" AND ".join(f"{k} IS NOT NULL" for k in GROUP_KEYS))
+        .groupBy(*GROUP_KEYS)
         .agg(F.sum("individual_count").alias("individuals_requiring_change"))
-        .withColumn(
-            "percentage_requiring_change",
-            round_scaled(
-                F.col("individuals_requiring_change") / F.col("population_total") * 100, 2
-            ),
-        )
     )
-    return with_baseline_percentage(summed, study, baseline_keys)
+    share = "individuals_requiring_change / population_total * 100D"
+    rated = summed.selectExpr("*", f"{rounded(share, 2)} AS percentage_requiring_change")
+    return with_baseline_percentage(rated, study, baseline_keys)
 
 
 def with_baseline_percentage(
@@ -70,21 +69,22 @@ def with_baseline_percentage(
     baseline yields one row per baseline row; the window lists them without computing
     the input twice.
     """
-    peers = Window.partitionBy(*keys)
-    reference = F.when(
-        F.col("population_code") == study.baseline, F.col("percentage_requiring_change")
+    reference = (
+        f"CASE WHEN population_code = {literal(study.baseline)} "
+        "THEN percentage_requiring_change END"
     )
+    difference = "percentage_requiring_change - baseline_ceu_percentage"
     compared = (
-        impact.withColumn("_references", F.collect_list(reference).over(peers))
-        .withColumn("_reference", F.explode_outer("_references"))
-        .withColumn("baseline_ceu_percentage", F.coalesce("_reference", F.lit(0.0)))
-        .withColumn(
-            "delta_vs_baseline",
-            round_scaled(
-                F.col("percentage_requiring_change") - F.col("baseline_ceu_percentage"), 2
-            ),
+        impact.selectExpr(
+            "*", f"collect_list({reference}) OVER (PARTITION BY {', '.join(keys)}) AS _references"
+        )
+        .selectExpr("*", "explode_outer(_references) AS _reference")
+        .selectExpr("*", "coalesce(_reference, 0D) AS baseline_ceu_percentage")
+        .selectExpr(
+            "*",
+            f"{rounded(difference, 2)} AS delta_vs_baseline",
+            f"DATE'{study.snapshot_date}' AS snapshot_date",
         )
-        .withColumn("snapshot_date", F.lit(study.snapshot_date))
     )
     return conform(compared, IMPACT)
 
@@ -96,40 +96,41 @@ def build_joint_impact(dosages: DataFrame, populations: DataFrame, study: Study)
     instead of a join of two of them.
     """
     joint = study.joint
+    first, second = joint.genes
     people = dosages.groupBy("sample_id", "population_code").agg(
         *[
-            F.sum(F.when(F.col("gene_symbol") == gene, F.col("total_dosage"))).alias(f"_dosage{i}")
-            for i, gene in enumerate(joint.genes)
+            F.expr(f"sum(CASE WHEN gene_symbol = {literal(gene)} THEN total_dosage END)").alias(name)
+            for gene, name in ((first, "_first"), (second, "_second"))
         ]
     )
-    pairs = people.where("_dosage0 IS NOT NULL AND _dosage1 IS NOT NULL").select(
-        "population_code",
-        *[
-            category(F.col(f"_dosage{i}"), F.lit(gene), study).alias(f"_category{i}")
-            for i, gene in enumerate(joint.genes)
-        ],
+    changed = any_of(
+        f"_category1 = {literal(a)} AND _category2 = {literal(b)}"
+        for (a, b), dose in joint.doses.items()
+        if dose != joint.standard
     )
-    dose = F.lit(joint.standard)
-    for (first, second), level in joint.doses.items():
-        listed = (F.col("_category0") == first) & (F.col("_category1") == second)
-        dose = F.when(listed, F.lit(level)).otherwise(dose)
     summed = (
-        pairs.withColumn("_dose", dose)
+        people.where("_first IS NOT NULL AND _second IS NOT NULL")
+        .selectExpr(
+            "population_code",
+            f"{category('_first', literal(first), study)} AS _category1",
+            f"{category('_second', literal(second), study)} AS _category2",
+        )
         .groupBy("population_code")
         .agg(
-            F.count_if(F.col("_dose") != joint.standard).alias("individuals_requiring_change"),
+            F.expr(f"count_if({changed})").alias("individuals_requiring_change"),
             F.count(F.lit(1)).alias("_observed"),
         )
         .join(cohort_sizes(populations), "population_code", "left")
-        .withColumn("population_total", F.coalesce("recorded_size", "_observed"))
-        .where("population_total <> 0")
-        .withColumn(
-            "_percent",
-            F.col("individuals_requiring_change") / F.col("population_total") * 100,
+        .selectExpr(
+            f"{literal(joint.drug)} AS drug_name",
+            f"{literal(joint.label)} AS gene_symbol",
+            "population_code",
+            "coalesce(recorded_size, _observed) AS population_total",
+            "individuals_requiring_change",
+            f"{literal(joint.strength)} AS classification_strength",
+            "individuals_requiring_change / population_total * 100D AS _percent",
         )
-        .withColumn("percentage_requiring_change", round_exact(F.col("_percent"), 2))
-        .withColumn("drug_name", F.lit(joint.drug))
-        .withColumn("gene_symbol", F.lit(joint.label))
-        .withColumn("classification_strength", F.lit(joint.strength))
+        .where("population_total <> 0")
+        .selectExpr("*", f"{rounded_exactly('_percent', 2)} AS percentage_requiring_change")
     )
     return with_baseline_percentage(summed, study)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from cohortscope.functions.genome import touches_regions
 from cohortscope.operators.dedup import keep_first
@@ -11,7 +10,8 @@ from cohortscope.schemas import GENOTYPES, conform
 from cohortscope.study import Study
 
 FIXED_FIELDS = 9
-MISSING = "."
+
+CALL_ORDER = ("chromosome", "position", "reference_allele", "alternate_allele", "genotype")
 
 
 def parse_records(lines: DataFrame, study: Study | None = None) -> DataFrame:
@@ -20,39 +20,34 @@ def parse_records(lines: DataFrame, study: Study | None = None) -> DataFrame:
     Only the nine leading fields are split here, so records outside the study's regions
     cost no more than that. Sites without exactly one alternate allele are dropped.
     """
-    fields = F.split("value", "\t", FIXED_FIELDS + 1)
-    parsed = lines.where(~F.col("value").startswith("#")).select("file", fields.alias("f"))
-    chromosome = F.when(F.col("f")[0].startswith("chr"), F.col("f")[0]).otherwise(
-        F.concat(F.lit("chr"), F.col("f")[0])
-    )
-    records = parsed.select(
-        "file",
-        chromosome.alias("chromosome"),
-        F.col("f")[1].cast("bigint").alias("position"),
-        F.col("f")[2].alias("id"),
-        F.col("f")[3].alias("reference_allele"),
-        F.col("f")[4].alias("alternate_allele"),
-        F.col("f")[5].alias("quality"),
-        F.col("f")[6].alias("filter_status"),
-        F.regexp_extract(F.col("f")[7], r"(?:^|;)END=(\d+)", 1).alias("end_tag"),
-        F.col("f")[8].alias("format"),
-        F.col("f")[9].alias("calls"),
-    ).where(
-        (F.col("alternate_allele") != MISSING) & ~F.col("alternate_allele").contains(",")
-    )
-    if study is None:
-        return records.drop("end_tag")
-    # An indexed fetch returns every record that overlaps the region, by the length of
-    # its reference allele or by its END tag.
-    last = F.greatest(
-        F.col("position") + F.length("reference_allele") - 1,
-        F.col("end_tag").try_cast("bigint"),
+    records = (
+        lines.where("NOT startswith(value, '#')")
+        .selectExpr("file", f"split(value, '\\t', {FIXED_FIELDS + 1}) AS f")
+        .selectExpr(
+            "file",
+            "CASE WHEN startswith(f[0], 'chr') THEN f[0] ELSE concat('chr', f[0]) END "
+            "AS chromosome",
+            "CAST(f[1] AS BIGINT) AS position",
+            "f[2] AS id",
+            "f[3] AS reference_allele",
+            "f[4] AS alternate_allele",
+            "f[5] AS quality",
+            "f[6] AS filter_status",
+            # An indexed fetch goes by the length of the reference allele or the END tag.
+            "greatest(position + length(reference_allele) - 1, "
+            r"try_cast(regexp_extract(f[7], '(?:^|;)END=(\\d+)', 1) AS BIGINT)) AS last_position",
+            "f[8] AS format",
+            "f[9] AS calls",
+        )
+        .where("alternate_allele <> '.' AND NOT contains(alternate_allele, ',')")
     )
-    return records.where(
-        touches_regions(
-            F.col("chromosome"), F.col("position"), last, study.regions, study.region_buffer
+    if study is not None:
+        records = records.where(
+            touches_regions(
+                "chromosome", "position", "last_position", study.regions, study.region_buffer
+            )
         )
-    ).drop("end_tag")
+    return records.drop("last_position")
 
 
 def melt_genotypes(records: DataFrame, columns: DataFrame) -> DataFrame:
@@ -61,47 +56,35 @@ def melt_genotypes(records: DataFrame, columns: DataFrame) -> DataFrame:
     ``columns`` (file, column_index, sample_id) says which sample a field belongs to;
     index 0 is the first sample field. It comes hinted by the reader, by its size.
     """
-    calls = records.select(
-        "file",
-        "chromosome",
-        "position",
-        F.when(
-            F.coalesce("id", F.lit(MISSING)).isin(MISSING, ""),
-            F.concat_ws(":", "chromosome", F.col("position").cast("string")),
+    calls = (
+        records.where("split_part(format, ':', 1) = 'GT'")
+        .selectExpr(
+            "file",
+            "chromosome",
+            "position",
+            "CASE WHEN coalesce(id, '.') IN ('.', '') THEN concat(chromosome, ':', position) "
+            "ELSE id END AS variant_id",
+            "reference_allele",
+            "alternate_allele",
+            "try_cast(quality AS DOUBLE) AS quality",
+            "CASE WHEN coalesce(filter_status, '.') IN ('.', '') THEN 'PASS' "
+            "ELSE filter_status END AS filter_status",
+            "posexplode(split(calls, '\\t')) AS (column_index, call)",
         )
-        .otherwise(F.col("id"))
-        .alias("variant_id"),
-        "reference_allele",
-        "alternate_allele",
-        F.col("quality").try_cast("double").alias("quality"),
-        F.when(F.coalesce("filter_status", F.lit(MISSING)).isin(MISSING, ""), "PASS")
-        .otherwise(F.col("filter_status"))
-        .alias("filter_status"),
-        F.when(F.split_part("format", F.lit(":"), F.lit(1)) == "GT", F.col("calls")).alias("calls"),
-    ).select("*", F.posexplode(F.split("calls", "\t")).alias("column_index", "call"))
-    genotype = F.split_part("call", F.lit(":"), F.lit(1))
-    complete = calls.withColumn("genotype", genotype).where(
-        (F.col("genotype") != "") & ~F.col("genotype").contains(MISSING)
+        .selectExpr("*", "split_part(call, ':', 1) AS _alleles")
+        .where("_alleles <> '' AND NOT contains(_alleles, '.')")
     )
-    alleles = F.split("genotype", r"[|/]")
-    phased = ~F.col("genotype").contains("/")
-    return conform(
-        complete.join(columns, ["file", "column_index"])
-        .withColumn(
-            "allele_dosage", F.size(F.filter(alleles, lambda allele: allele.cast("int") > 0))
-        )
-        .withColumn(
-            "genotype",
-            F.when(phased, F.col("genotype")).otherwise(
-                F.translate("genotype", "|", "/")
-            ),
-        )
-        .withColumn("info_payload", F.lit(None).cast("string")),
-        GENOTYPES,
+    melted = calls.join(columns, ["file", "column_index"]).selectExpr(
+        "*",
+        "size(filter(split(_alleles, '[|/]'), a -> CAST(a AS INT) > 0)) AS allele_dosage",
+        # One unphased separator makes the whole call unphased.
+        "CASE WHEN contains(_alleles, '/') THEN translate(_alleles, '|', '/') "
+        "ELSE _alleles END AS genotype",
+        "CAST(NULL AS STRING) AS info_payload",
     )
+    return conform(melted, GENOTYPES)
 
 
 def assemble_variants(calls: DataFrame) -> DataFrame:
     """One row per variant and sample; repeated records keep the first by position."""
-    order = ("chromosome", "position", "reference_allele", "alternate_allele", "genotype")
-    return keep_first(calls, ["variant_id", "sample_id"], order).select(*calls.columns)
+    return keep_first(calls, ["variant_id", "sample_id"], CALL_ORDER).select(*calls.columns)

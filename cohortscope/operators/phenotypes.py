@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortscope import domain
-from cohortscope.functions.genome import category_of, is_key_variant, label_of
-from cohortscope.functions.numbers import equilibrium_shares, round_exact, wilson_bounds
+from cohortscope.functions import literal, lookup
+from cohortscope.functions.genome import category_of, is_key_variant
+from cohortscope.functions.numbers import (
+    equilibrium_shares,
+    rounded,
+    rounded_exactly,
+    wilson,
+)
 from cohortscope.operators.dimensions import literature_table
 from cohortscope.schemas import PHENOTYPES, conform
 from cohortscope.study import Study
@@ -22,23 +28,23 @@ def individual_dosage(
     chosen = {
         gene: ids for gene, ids in study.key_variants.items() if genes is None or gene in genes
     }
-    keys = ["sample_id", "population_code", "superpopulation", "gene_symbol"]
     return (
-        variants.where(is_key_variant(F.col("gene_symbol"), F.col("variant_id"), chosen))
-        .dropna(subset=keys)
-        .groupBy(*keys)
-        .agg(F.coalesce(F.sum("allele_dosage"), F.lit(0)).cast("bigint").alias("total_dosage"))
+        variants.where(is_key_variant("gene_symbol", "variant_id", chosen))
+        .where(
+            "sample_id IS NOT NULL AND population_code IS NOT NULL AND superpopulation IS NOT NULL"
+        )
+        .groupBy("sample_id", "population_code", "superpopulation", "gene_symbol")
+        .agg(F.expr("coalesce(sum(allele_dosage), 0L)").alias("total_dosage"))
     )
 
 
-def nonfunctional_copies(study: Study) -> Column:
+def nonfunctional_copies(study: Study) -> str:
     """Total dosage, turned around where the reference allele is the non-functional one."""
     ploidies = {g: 2 * len(study.key_variants[g]) for g in study.inverted_genes}
-    ploidy = label_of(F.col("gene_symbol"), ploidies, F.lit(None).cast("int"))
-    return F.coalesce(ploidy - F.col("total_dosage"), F.col("total_dosage"))
+    return f"coalesce({lookup('gene_symbol', ploidies, 'NULL')} - total_dosage, total_dosage)"
 
 
-def category(copies: Column, gene: Column, study: Study) -> Column:
+def category(copies: str, gene: str, study: Study) -> str:
     return category_of(
         gene, copies, study.gene_categories, study.default_categories, domain.UNKNOWN_CATEGORY
     )
@@ -46,9 +52,9 @@ def category(copies: Column, gene: Column, study: Study) -> Column:
 
 def cohort_sizes(populations: DataFrame) -> DataFrame:
     """One recorded size per cohort (the last by superpopulation if there are several)."""
-    last = "superpopulation" if "superpopulation" in populations.columns else "sample_size"
+    by = "superpopulation" if "superpopulation" in populations.columns else "sample_size"
     return populations.groupBy("population_code").agg(
-        F.max_by("sample_size", last).cast("bigint").alias("recorded_size")
+        F.expr(f"CAST(max_by(sample_size, {by}) AS BIGINT)").alias("recorded_size")
     )
 
 
@@ -58,80 +64,75 @@ def build_phenotypes(dosages: DataFrame, populations: DataFrame, study: Study) -
     Everything after the one aggregate over people works on at most one row per gene,
     cohort and category.
     """
-    copies = nonfunctional_copies(study)
     counted = (
-        dosages.withColumn("phenotype_category", category(copies, F.col("gene_symbol"), study))
+        dosages.selectExpr("*", f"{nonfunctional_copies(study)} AS _copies")
+        .selectExpr("*", f"{category('_copies', 'gene_symbol', study)} AS phenotype_category")
         .groupBy("gene_symbol", "population_code", "phenotype_category")
         .agg(
             F.count(F.lit(1)).alias("individual_count"),
-            F.min("superpopulation").alias("superpopulation"),
+            F.min("superpopulation").alias("_superpopulation"),
         )
     )
-    cohort = Window.partitionBy("gene_symbol", "population_code")
+    cohort = "PARTITION BY gene_symbol, population_code"
     observed = (
-        counted.withColumn("_observed", F.sum("individual_count").over(cohort))
-        .withColumn("superpopulation", F.min("superpopulation").over(cohort))
+        counted.selectExpr(
+            "*",
+            f"sum(individual_count) OVER ({cohort}) AS _observed",
+            f"min(_superpopulation) OVER ({cohort}) AS superpopulation",
+        )
         .join(cohort_sizes(populations), "population_code", "left")
-        .withColumn("population_total", F.coalesce("recorded_size", "_observed"))
-        .where("population_total <> 0")
-        .select(
+        .selectExpr(
             "gene_symbol",
             "population_code",
             "superpopulation",
             "phenotype_category",
             "individual_count",
-            "population_total",
-            (F.col("individual_count") / F.col("population_total")).alias("_share"),
-            F.lit(study.observed_source).alias("data_source"),
+            "coalesce(recorded_size, _observed) AS population_total",
+            "individual_count / population_total AS _share",
+            f"{literal(study.observed_source)} AS data_source",
         )
+        .where("population_total <> 0")
     )
-    completed = replace_from_literature(observed, populations, study)
-    rated = (
-        completed.withColumn(
-            "_ci", wilson_bounds(F.col("individual_count"), F.col("population_total"))
-        )
-        .withColumn("_percent", F.col("_share") * 100)
-        .withColumn("_lower", F.col("_ci.lower"))
-        .withColumn("_upper", F.col("_ci.upper"))
-        .withColumn("phenotype_percentage", round_exact(F.col("_percent"), 2))
-        .withColumn("ci_lower_wilson", round_exact(F.col("_lower"), 6))
-        .withColumn("ci_upper_wilson", round_exact(F.col("_upper"), 6))
-        .withColumn("snapshot_date", F.lit(study.snapshot_date))
+    rated = replace_from_literature(observed, populations, study).selectExpr(
+        "*",
+        f"{wilson('individual_count', 'population_total')} AS _ci",
+        "_share * 100D AS _percent",
+    )
+    return conform(
+        rated.selectExpr(
+            "*",
+            f"{rounded_exactly('_percent', 2)} AS phenotype_percentage",
+            f"{rounded('_ci.lower', 6)} AS ci_lower_wilson",
+            f"{rounded('_ci.upper', 6)} AS ci_upper_wilson",
+            f"DATE'{study.snapshot_date}' AS snapshot_date",
+        ),
+        PHENOTYPES,
     )
-    return conform(rated, PHENOTYPES)
 
 
 def literature_rows(populations: DataFrame, study: Study) -> DataFrame:
     """Expected counts per category from published allele frequencies."""
-    first = "superpopulation" if "superpopulation" in populations.columns else "sample_size"
-    cohort = populations.groupBy("population_code").agg(
-        F.min_by("sample_size", first).cast("bigint").alias("population_total"),
-        (
-            F.min("superpopulation")
-            if "superpopulation" in populations.columns
-            else F.lit(None).cast("string")
-        ).alias("superpopulation"),
+    known = "superpopulation" in populations.columns
+    by = "superpopulation" if known else "sample_size"
+    cohorts = populations.groupBy("population_code").agg(
+        F.expr(f"CAST(min_by(sample_size, {by}) AS BIGINT)").alias("population_total"),
+        F.expr("min(superpopulation)" if known else "CAST(NULL AS STRING)").alias(
+            "superpopulation"
+        ),
     )
-    published = F.broadcast(literature_table(populations.sparkSession, study))
-    labels = study.default_categories
-    shares = equilibrium_shares(F.col("allele_frequency"))
-    categories = F.array(
-        *[
-            F.struct(F.lit(label).alias("phenotype_category"), share.alias("_share"))
-            for label, share in zip(labels, shares)
-        ]
+    categories = ", ".join(
+        f"named_struct('phenotype_category', {literal(label)}, '_share', {share})"
+        for label, share in zip(study.default_categories, equilibrium_shares("allele_frequency"))
     )
     return (
-        cohort.join(published, "population_code")
-        .select("*", F.inline(categories))
-        .select(
+        cohorts.join(F.broadcast(literature_table(populations.sparkSession, study)), "population_code")
+        .selectExpr("*", f"inline(array({categories}))")
+        .selectExpr(
             "gene_symbol",
             "population_code",
             "superpopulation",
             "phenotype_category",
-            F.rint(F.col("_share") * F.col("population_total"))
-            .cast("bigint")
-            .alias("individual_count"),
+            "CAST(rint(_share * population_total) AS BIGINT) AS individual_count",
             "population_total",
             "_share",
             "data_source",
@@ -146,15 +147,16 @@ def replace_from_literature(observed: DataFrame, populations: DataFrame, study:
     """
     if not study.literature:
         return observed
-    both = observed.withColumn("_published", F.lit(False)).unionByName(
-        literature_rows(populations, study).withColumn("_published", F.lit(True))
-    )
-    gene = Window.partitionBy("gene_symbol")
-    cohort = Window.partitionBy("gene_symbol", "population_code")
-    judged = both.withColumn("_seen", F.max(~F.col("_published")).over(gene)).withColumn(
-        "_replaced", F.max(F.col("_published") & F.col("_seen")).over(cohort)
+    published = literature_rows(populations, study).selectExpr("*", "TRUE AS _published")
+    return (
+        observed.selectExpr("*", "FALSE AS _published")
+        .unionByName(published)
+        .selectExpr("*", "bool_or(NOT _published) OVER (PARTITION BY gene_symbol) AS _seen")
+        .selectExpr(
+            "*",
+            "bool_or(_published AND _seen) OVER (PARTITION BY gene_symbol, population_code) "
+            "AS _replaced",
+        )
+        .where("CASE WHEN _published THEN _seen AND individual_count > 0 ELSE NOT _replaced END")
+        .drop("_published", "_seen", "_replaced")
     )
-    kept = F.when(
-        F.col("_published"), F.col("_seen") & (F.col("individual_count") > 0)
-    ).otherwise(~F.col("_replaced"))
-    return judged.where(kept).drop("_published", "_seen", "_replaced")

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortscope.functions import literal
 from cohortscope.operators.dimensions import scope_table
 from cohortscope.schemas import BRONZE_COLUMNS
 from cohortscope.study import Study
@@ -35,12 +36,12 @@ def null_counts(df: DataFrame, table: str) -> DataFrame:
 
 
 def count_nulls(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
-    counted = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    entries = [
-        F.struct(F.lit(c).alias("column_name"), F.col(c).alias("null_count")) for c in columns
-    ]
-    return counted.select(F.inline(F.array(*entries))).select(
-        F.lit(table).alias("table_name"), "column_name", "null_count"
+    counted = df.agg(*[F.expr(f"count_if({c} IS NULL)").alias(c) for c in columns])
+    entries = ", ".join(
+        f"named_struct('column_name', '{c}', 'null_count', {c})" for c in columns
+    )
+    return counted.selectExpr(f"inline(array({entries}))").selectExpr(
+        f"{literal(table)} AS table_name", "column_name", "null_count"
     )
 
 
@@ -65,14 +66,13 @@ def validate(df: DataFrame, table: str) -> None:
 
 def scope_status(genes: DataFrame, study: Study) -> DataFrame:
     """Adds ``scope_status`` (in_scope, excluded, unknown) and the rationale."""
-    scope = scope_table(genes.sparkSession, study)
+    scope = F.broadcast(scope_table(genes.sparkSession, study))
     return (
-        genes.join(F.broadcast(scope), "gene_symbol", "left")
-        .withColumn(
-            "scope_status",
-            F.when(F.col("is_in_scope"), "in_scope")
-            .when(~F.col("is_in_scope"), "excluded")
-            .otherwise("unknown"),
+        genes.join(scope, "gene_symbol", "left")
+        .selectExpr(
+            "*",
+            "CASE is_in_scope WHEN TRUE THEN 'in_scope' WHEN FALSE THEN 'excluded' "
+            "ELSE 'unknown' END AS scope_status",
         )
         .drop("is_in_scope")
     )
@@ -117,6 +117,3 @@ def require_rows(tables: Mapping[str, DataFrame], minimum: Mapping[str, int]) ->
             "; ".join(f"{r.table_name}: {r.row_count} rows < {r.min_row_count}" for r in short)
         )
 
-
-def empty(spark: SparkSession, ddl: str) -> DataFrame:
-    return spark.createDataFrame([], ddl)

@@ -2,31 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from cohortscope import domain
-from cohortscope.functions.genome import label_of
-from cohortscope.functions.numbers import tenths_text
+from cohortscope.functions import literal, lookup
+from cohortscope.functions.numbers import decimal_units, tenths
 from cohortscope.schemas import RANKING, conform
 from cohortscope.study import Study
 
+ORDER = (
+    "_score DESC NULLS LAST, drug_name, gene_symbol, population_code, "
+    "classification_strength, delta_vs_baseline DESC"
+)
 
-def implication(study: Study) -> Column:
-    delta = F.col("delta_vs_baseline")
-    return F.concat(
-        tenths_text(F.abs(delta)),
-        F.lit("pp "),
-        F.when(delta > 0, "higher").otherwise("lower"),
-        F.lit(f" rate of dose/therapy change vs {study.baseline} in "),
-        F.col("population_code"),
-        F.lit(" ("),
-        F.col("drug_name"),
-        F.lit(" / "),
-        F.col("gene_symbol"),
-        F.lit(", CPIC "),
-        F.col("classification_strength"),
-        F.lit(")"),
+
+def implication(study: Study) -> str:
+    """The sentence about one row; ``_tenths`` counts tenths of the absolute distance."""
+    baseline = literal(f" rate of dose/therapy change vs {study.baseline} in ")
+    return (
+        f"concat({tenths('_tenths')}, 'pp ', "
+        "CASE WHEN delta_vs_baseline > 0 THEN 'higher' ELSE 'lower' END, "
+        f"{baseline}, population_code, ' (', drug_name, ' / ', gene_symbol, ', CPIC ', "
+        "classification_strength, ')')"
     )
 
 
@@ -40,36 +37,36 @@ def build_ranking(
     candidates in one order, gets at most ``top_n`` rows per gene however many drugs and
     cohorts there are.
     """
-    weight = label_of(
-        F.col("classification_strength"),
+    weight = lookup(
+        "classification_strength",
         study.strength_weights,
-        F.lit(domain.DEFAULT_STRENGTH_WEIGHT),
+        literal(domain.DEFAULT_STRENGTH_WEIGHT),
     )
-    scored = impact.where(~F.col("population_code").eqNullSafe(study.baseline)).withColumn(
-        "_score", F.abs("delta_vs_baseline") * weight * F.col("percentage_requiring_change")
-    )
-    order = [
-        F.col("_score").desc_nulls_last(),
-        "drug_name",
-        "gene_symbol",
-        "population_code",
-        "classification_strength",
-        F.col("delta_vs_baseline").desc(),
-    ]
-    per_gene = Window.partitionBy("gene_symbol").orderBy(*order)
-    eligible = scored.withColumn("_place", F.row_number().over(per_gene)).where(
-        F.col("_place") <= max(top_n, 1)
+    eligible = (
+        impact.where(f"NOT (population_code <=> {literal(study.baseline)})")
+        .selectExpr(
+            "*", f"abs(delta_vs_baseline) * {weight} * percentage_requiring_change AS _score"
+        )
+        .selectExpr("*", f"row_number() OVER (PARTITION BY gene_symbol ORDER BY {ORDER}) AS _place")
+        .where(f"_place <= {max(int(top_n), 1)}")
     )
     # Best rows of the genes first, then the fillers: the first top_n slots are the
     # result, and best rows stay even when there are more genes than slots.
-    slots = Window.orderBy((F.col("_place") > 1).asc(), *order)
-    chosen = eligible.withColumn("_slot", F.row_number().over(slots)).where(
-        (F.col("_slot") <= top_n) | (F.col("_place") == 1)
-    )
     ranked = (
-        chosen.withColumn("rank_position", F.row_number().over(Window.orderBy(*order)))
-        .withColumn("population_affected_pct", F.col("percentage_requiring_change"))
-        .withColumn("clinical_implication", implication(study))
-        .withColumn("snapshot_date", F.lit(study.snapshot_date))
+        eligible.selectExpr("*", f"row_number() OVER (ORDER BY _place > 1, {ORDER}) AS _slot")
+        .where(f"_slot <= {int(top_n)} OR _place = 1")
+        .selectExpr(
+            "*",
+            f"row_number() OVER (ORDER BY {ORDER}) AS rank_position",
+            "percentage_requiring_change AS population_affected_pct",
+            "abs(delta_vs_baseline) AS _distance",
+        )
+        .drop("snapshot_date")
+        .selectExpr("*", f"CAST({decimal_units('_distance', 1)} AS BIGINT) AS _tenths")
+        .selectExpr(
+            "*",
+            f"{implication(study)} AS clinical_implication",
+            f"DATE'{study.snapshot_date}' AS snapshot_date",
+        )
     )
     return conform(ranked, RANKING)

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortscope.functions import literals
 from cohortscope.functions.genome import disjoint_regions, gene_at, in_regions
 from cohortscope.operators.dedup import keep_first
 from cohortscope.operators.dimensions import region_table
@@ -16,6 +17,17 @@ from cohortscope.study import Region, Study
 # Up to this many regions the lookup is an expression, beyond it a join.
 MAX_REGION_TERMS = 64
 
+CALL_COLUMNS = (
+    "sample_id",
+    "variant_id",
+    "gene_symbol",
+    "chromosome",
+    "position",
+    "reference_allele",
+    "alternate_allele",
+    "genotype",
+    "allele_dosage",
+)
 CALL_ORDER = ("chromosome", "position", "reference_allele", "alternate_allele", "genotype")
 
 
@@ -26,30 +38,31 @@ def assign_genes(df: DataFrame, regions: Sequence[Region]) -> DataFrame:
     disjoint pieces first, so it never multiplies rows.
     """
     if len(regions) <= MAX_REGION_TERMS:
-        return df.withColumn("gene_symbol", gene_at(F.col("chromosome"), F.col("position"), regions))
-    pieces = F.broadcast(region_table(df.sparkSession, disjoint_regions(regions))).alias("r")
-    hit = (F.col("r.chromosome") == F.col("v.chromosome")) & F.col("v.position").between(
-        F.col("r.region_start"), F.col("r.region_end")
-    )
-    return df.alias("v").join(pieces, hit, "left").select("v.*", "r.gene_symbol")
+        return df.selectExpr("*", f"{gene_at('chromosome', 'position', regions)} AS gene_symbol")
+    return _with_regions(df, regions, "left").select("v.*", "r.gene_symbol")
 
 
 def keep_regions(df: DataFrame, regions: Sequence[Region]) -> DataFrame:
     """Rows inside some region: a filter the Parquet scan can use, else a semi join."""
     if len(regions) <= MAX_REGION_TERMS:
-        return df.where(in_regions(F.col("chromosome"), F.col("position"), regions))
-    pieces = F.broadcast(region_table(df.sparkSession, disjoint_regions(regions))).alias("r")
-    hit = (F.col("r.chromosome") == F.col("v.chromosome")) & F.col("v.position").between(
-        F.col("r.region_start"), F.col("r.region_end")
+        return df.where(in_regions("chromosome", "position", regions))
+    return _with_regions(df, regions, "left_semi")
+
+
+def _with_regions(df: DataFrame, regions: Sequence[Region], how: str) -> DataFrame:
+    pieces = F.broadcast(region_table(df.sparkSession, disjoint_regions(regions)))
+    hit = F.expr(
+        "r.chromosome = v.chromosome AND v.position BETWEEN r.region_start AND r.region_end"
     )
-    return df.alias("v").join(pieces, hit, "left_semi")
+    return df.alias("v").join(pieces.alias("r"), hit, how)
 
 
 def target_samples(samples: DataFrame, study: Study) -> DataFrame:
     """Samples of the study's cohorts, one row per sample."""
-    chosen = samples.where(F.col("population_code").isin(list(study.target_cohorts)))
-    attributes = chosen.select("sample_id", "population_code", "superpopulation")
-    return keep_first(attributes, ["sample_id"])
+    chosen = samples.where(f"population_code IN ({literals(study.target_cohorts)})")
+    return keep_first(
+        chosen.select("sample_id", "population_code", "superpopulation"), ["sample_id"]
+    )
 
 
 def build_variants(
@@ -66,17 +79,14 @@ def build_variants(
     Spark broadcasts them when their measured size allows.
     """
     located = assign_genes(keep_regions(calls, study.regions), study.regions)
-    located = located.where(F.col("gene_symbol").isNotNull())
-    order = [c for c in order_by if c in located.columns]
-    wanted = [
-        "sample_id", "variant_id", "gene_symbol", "chromosome", "position",
-        "reference_allele", "alternate_allele", "genotype", "allele_dosage",
-    ]
-    wanted = [c for c in wanted if c in located.columns]
-    located = located.select(*wanted, *[c for c in order if c not in wanted])
-    single = keep_first(located, ["sample_id", "variant_id"], order).select(*wanted)
-    joined = single.join(target_samples(samples, study), "sample_id")
-    return conform_present(joined, VARIANTS)
+    columns = located.columns
+    kept = [c for c in CALL_COLUMNS if c in columns]
+    order = [c for c in order_by if c in columns]
+    located = located.where("gene_symbol IS NOT NULL").select(
+        *kept, *[c for c in order if c not in kept]
+    )
+    single = keep_first(located, ["sample_id", "variant_id"], order).select(*kept)
+    return conform_present(single.join(target_samples(samples, study), "sample_id"), VARIANTS)
 
 
 def require_calls(variants: DataFrame) -> None:

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
+from cohortscope.functions import literals
 from cohortscope.operators.guidance import build_recommendations
 from cohortscope.operators.variants import build_variants, keep_regions
 from cohortscope.study import JointDosing, Region, Study
@@ -77,22 +77,40 @@ FACT_ORDER = (
 )
 
 
+# The columns used here. With a declared schema, opening a table reads no file footer.
+COLUMNS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "supplier": "s_suppkey bigint, s_name string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int",
+    "orders": "o_orderkey bigint, o_custkey bigint",
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+        "l_returnflag string, l_linestatus string"
+    ),
+    "events": "event_id bigint, user_id bigint, event_type string, props string",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def pick(choices, index):
-    return F.element_at(F.array(*[F.lit(c).cast("string") for c in choices]), index + 1)
+def pick(choices, index: str) -> str:
+    return f"element_at(array({literals(choices)}), CAST({index} AS INT) + 1)"
 
 
 def sites(lineitem: DataFrame) -> DataFrame:
     """Order lines with chromosome, position, variant id and dosage."""
-    return (
-        lineitem.withColumn(
-            "chromosome", F.concat(F.lit("chr"), (F.col("l_partkey") % 5 + 1).cast("string"))
-        )
-        .withColumn("position", F.col("l_partkey") % 40 * 25)
-        .withColumn("allele_dosage", (F.col("l_quantity").cast("int") % 3).cast("int"))
+    chromosome = pick([f"chr{i}" for i in range(1, 6)], "l_partkey % 5")
+    return lineitem.selectExpr(
+        "*",
+        f"{chromosome} AS chromosome",
+        "l_partkey % 40 * 25 AS position",
+        "CAST(l_quantity AS INT) % 3 AS allele_dosage",
     )
 
 
@@ -103,33 +121,33 @@ def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     fetch would, so they are never shuffled.
     """
     placed = keep_regions(sites(table(spark, sf_dir, "lineitem")), STUDY.regions)
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return placed.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+    orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS l_orderkey", "o_custkey")
+    return placed.join(orders, "l_orderkey").selectExpr(
         "chromosome",
         "position",
-        F.concat_ws(":", "chromosome", F.col("position").cast("string")).alias("variant_id"),
-        F.lit("A").alias("reference_allele"),
-        F.lit("G").alias("alternate_allele"),
-        F.concat(F.lit("S"), F.col("o_custkey").cast("string")).alias("sample_id"),
-        pick(("0|0", "0|1", "1|1"), F.col("allele_dosage")).alias("genotype"),
+        "concat(chromosome, ':', position) AS variant_id",
+        "'A' AS reference_allele",
+        "'G' AS alternate_allele",
+        "concat('S', o_custkey) AS sample_id",
+        f"{pick(('0|0', '0|1', '1|1'), 'allele_dosage')} AS genotype",
         "allele_dosage",
         *FACT_ORDER,
     )
 
 
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = table(spark, sf_dir, "customer")
-    nation = table(spark, sf_dir, "nation")
+    customer = table(spark, sf_dir, "customer").withColumnRenamed("c_nationkey", "n_nationkey")
+    nation = table(spark, sf_dir, "nation").withColumnRenamed("n_regionkey", "r_regionkey")
     region = table(spark, sf_dir, "region")
     return (
-        customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(
-            F.concat(F.lit("S"), F.col("c_custkey").cast("string")).alias("sample_id"),
-            F.col("n_name").alias("population_code"),
-            F.col("r_name").alias("superpopulation"),
-            F.lit(None).cast("string").alias("sex"),
-            F.lit(None).cast("string").alias("family_id"),
+        customer.join(nation, "n_nationkey")
+        .join(region, "r_regionkey")
+        .selectExpr(
+            "concat('S', c_custkey) AS sample_id",
+            "n_name AS population_code",
+            "r_name AS superpopulation",
+            "CAST(NULL AS STRING) AS sex",
+            "CAST(NULL AS STRING) AS family_id",
         )
     )
 
@@ -138,24 +156,20 @@ def variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_variants(calls(spark, sf_dir), samples(spark, sf_dir), STUDY, FACT_ORDER)
 
 
-def gene_of_part() -> Column:
-    return F.concat(F.lit("G"), (F.col("p_partkey") % 5 + 1).cast("string"))
+GENE_OF_PART = "concat('G', p_partkey % 5 + 1) AS gene_symbol"
 
 
 def guidance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key, size = F.col("p_partkey"), F.col("p_size")
-    noisy = F.when(key % 2 == 1, F.concat(F.lit("  "), F.upper("p_name"), F.lit(" "))).otherwise(
-        F.col("p_name")
-    )
-    return table(spark, sf_dir, "part").select(
-        F.concat(F.lit("GL"), key.cast("string")).alias("guideline_id"),
-        gene_of_part().alias("gene_symbol"),
-        noisy.alias("drug_name"),
-        pick(PHENOTYPES, (size % 4).cast("int")).alias("phenotype"),
-        F.lit("").alias("activity_score"),
-        pick(PHRASES, ((key + size) % 8).cast("int")).alias("recommendation_text"),
-        pick(STRENGTHS, (key % 7).cast("int")).alias("classification_strength"),
-        F.concat(F.lit("v"), (size % 3).cast("string")).alias("cpic_release_version"),
+    return table(spark, sf_dir, "part").selectExpr(
+        "concat('GL', p_partkey) AS guideline_id",
+        GENE_OF_PART,
+        "CASE WHEN p_partkey % 2 = 1 THEN concat('  ', upper(p_name), ' ') ELSE p_name END "
+        "AS drug_name",
+        f"{pick(PHENOTYPES, 'p_size % 4')} AS phenotype",
+        "'' AS activity_score",
+        f"{pick(PHRASES, '(p_partkey + p_size) % 8')} AS recommendation_text",
+        f"{pick(STRENGTHS, 'p_partkey % 7')} AS classification_strength",
+        "concat('v', p_size % 3) AS cpic_release_version",
     )
 
 
@@ -164,84 +178,66 @@ def recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key, size = F.col("p_partkey"), F.col("p_size")
-    return table(spark, sf_dir, "part").select(
-        F.concat(F.lit("CA"), key.cast("string")).alias("clinical_annotation_id"),
-        F.concat(
-            F.lit("chr"), (key % 5 + 1).cast("string"), F.lit(":"), (key % 40 * 25).cast("string")
-        ).alias("variant_or_haplotype"),
-        gene_of_part().alias("gene_symbol"),
-        F.when(
-            size != 1, F.concat("p_name", F.lit("; "), "p_type", F.lit(" , "), "p_brand")
-        ).alias("drug_names"),
-        F.when(size % 2 == 0, F.lit("Dosage")).alias("phenotype_categories"),
-        F.when(key % 40 < 20, pick(EVIDENCE, (size % 6).cast("int")))
-        .otherwise(F.lit("3"))
-        .alias("evidence_level"),
-        F.when(
-            size % 5 != 0, F.repeat(F.concat("p_name", F.lit(" "), "p_type", F.lit(". ")), F.lit(30))
-        ).alias("annotation_text"),
+    return table(spark, sf_dir, "part").selectExpr(
+        "concat('CA', p_partkey) AS clinical_annotation_id",
+        "concat('chr', p_partkey % 5 + 1, ':', p_partkey % 40 * 25) AS variant_or_haplotype",
+        GENE_OF_PART,
+        "CASE WHEN p_size <> 1 THEN concat(p_name, '; ', p_type, ' , ', p_brand) END "
+        "AS drug_names",
+        "CASE WHEN p_size % 2 = 0 THEN 'Dosage' END AS phenotype_categories",
+        f"CASE WHEN p_partkey % 40 < 20 THEN {pick(EVIDENCE, 'p_size % 6')} ELSE '3' END "
+        "AS evidence_level",
+        "CASE WHEN p_size % 5 <> 0 THEN repeat(concat(p_name, ' ', p_type, '. '), 30) END "
+        "AS annotation_text",
     )
 
 
 def gene_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gene coordinates; some ids are in no scope list, some numbers are not numbers."""
-    key, size = F.col("p_partkey"), F.col("p_size")
-    return table(spark, sf_dir, "part").select(
-        F.concat(F.lit("G"), (key % 4 * 2 + 1).cast("string")).alias("gene_symbol"),
-        F.concat(F.lit("E"), key.cast("string")).alias("ensembl_id"),
-        F.when(size % 2 == 0, key.cast("string")).alias("ncbi_gene_id"),
-        F.lit("chr9").alias("chromosome"),
-        F.when(size % 4 == 0, F.lit("n/a")).otherwise(size.cast("string")).alias(
-            "chromosomal_start"
-        ),
-        F.when(size % 5 == 0, F.lit("12.5")).otherwise((size + key).cast("string")).alias(
-            "chromosomal_end"
-        ),
+    return table(spark, sf_dir, "part").selectExpr(
+        "concat('G', p_partkey % 4 * 2 + 1) AS gene_symbol",
+        "concat('E', p_partkey) AS ensembl_id",
+        "CASE WHEN p_size % 2 = 0 THEN CAST(p_partkey AS STRING) END AS ncbi_gene_id",
+        "'chr9' AS chromosome",
+        "CASE WHEN p_size % 4 = 0 THEN 'n/a' ELSE CAST(p_size AS STRING) END "
+        "AS chromosomal_start",
+        "CASE WHEN p_size % 5 = 0 THEN '12.5' ELSE CAST(p_size + p_partkey AS STRING) END "
+        "AS chromosomal_end",
     )
 
 
 def raw_guidelines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("s_suppkey")
-    genes = F.when(key % 4 == 0, F.array().cast("array<string>")).otherwise(
-        F.array(F.lit("G1"), F.lit("g2"))
-    )
-    return table(spark, sf_dir, "supplier").select(
-        F.concat(F.lit("GL"), key.cast("string")).alias("id"),
-        F.col("s_name").alias("name"),
-        genes.alias("genes"),
-        F.lit(None).cast("string").alias("url"),
-        F.when(key % 5 != 0, (key % 5).cast("string")).alias("version"),
+    return table(spark, sf_dir, "supplier").selectExpr(
+        "concat('GL', s_suppkey) AS id",
+        "s_name AS name",
+        "CASE WHEN s_suppkey % 4 = 0 THEN CAST(array() AS ARRAY<STRING>) "
+        "ELSE array('G1', 'g2') END AS genes",
+        "CAST(NULL AS STRING) AS url",
+        "CASE WHEN s_suppkey % 5 <> 0 THEN CAST(s_suppkey % 5 AS STRING) END AS version",
     )
 
 
 def raw_drugs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").select(
-        F.concat(F.lit("D"), F.col("p_partkey").cast("string")).alias("drugid"),
-        F.when(F.col("p_size") == 2, F.lit("")).otherwise(F.col("p_name")).alias("name"),
+    return table(spark, sf_dir, "part").selectExpr(
+        "concat('D', p_partkey) AS drugid", "CASE WHEN p_size = 2 THEN '' ELSE p_name END AS name"
     )
 
 
 def raw_recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.get_json_object("props", "$.k").cast("int")
-    text = F.concat(
-        F.lit('{"G1":"'), pick(("Normal", "Poor", ""), (F.col("k") % 3).cast("int")),
-        F.lit('","G2":"P'), (F.col("k") % 4).cast("string"), F.lit('"}'),
-    )
+    first = pick(("Normal", "Poor", ""), "k % 3")
+    nested = f"""concat('{{"G1":"', {first}, '","G2":"P', k % 4, '"}}')"""
     return (
         table(spark, sf_dir, "events")
-        .withColumn("k", k)
-        .select(
-            F.col("event_id").cast("string").alias("id"),
-            F.concat(F.lit("GL"), F.col("user_id").cast("string")).alias("guidelineid"),
-            F.concat(F.lit("D"), (F.col("event_id") % 3000).cast("string")).alias("drugid"),
-            F.concat_ws(" ", F.lit("text for"), "event_type").alias("drugrecommendation"),
-            F.when(F.col("k") % 2 == 0, F.lit("Strong")).alias("classification"),
-            F.from_json(text, "map<string,string>").alias("phenotypes"),
-            F.when(
-                F.col("k") % 3 == 0, F.create_map(F.lit("G1"), F.col("k").cast("string"))
-            ).alias("activityscore"),
-            F.lit(None).cast("string").alias("comments"),
+        .selectExpr("*", "CAST(get_json_object(props, '$.k') AS INT) AS k")
+        .selectExpr(
+            "CAST(event_id AS STRING) AS id",
+            "concat('GL', user_id) AS guidelineid",
+            "concat('D', event_id % 3000) AS drugid",
+            "concat('text for ', event_type) AS drugrecommendation",
+            "CASE WHEN k % 2 = 0 THEN 'Strong' END AS classification",
+            f"from_json({nested}, 'map<string,string>') AS phenotypes",
+            "CASE WHEN k % 3 = 0 THEN map('G1', CAST(k AS STRING)) END AS activityscore",
+            "CAST(NULL AS STRING) AS comments",
         )
     )
 
@@ -251,50 +247,37 @@ CALL_TEXTS = ("0|0:7", "0|1:7", "1|1:7", "./.:0", "0/1:3", "1:9")
 
 def variant_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Embeddings as variant file lines: one record per vector, one sample per dimension."""
-    key = F.col("vec_id")
-    call = F.transform(
-        "embedding", lambda x: pick(CALL_TEXTS, (F.floor(F.abs(x) * 100) % 6).cast("int"))
-    )
-    return table(spark, sf_dir, "embeddings").select(
-        F.lit("vectors").alias("file"),
-        F.concat_ws(
-            "\t",
-            (F.col("label") % 5 + 1).cast("string"),
-            (key * 3).cast("string"),
-            F.when(key % 7 == 0, F.concat(F.lit("rs"), (key % 50).cast("string"))).otherwise("."),
-            F.lit("AC"),
-            F.when(key % 11 == 1, "G,T").when(key % 13 == 1, ".").otherwise("G"),
-            F.when(key % 3 == 0, ".").otherwise((key % 100).cast("string")),
-            F.when(key % 4 == 0, ".").when(key % 4 == 1, "q10;s50").otherwise("PASS"),
-            F.lit("AF=0.1"),
-            F.lit("GT:DP"),
-            F.array_join(call, "\t"),
-        ).alias("value"),
+    call = pick(CALL_TEXTS, "floor(abs(x) * 100) % 6")
+    return table(spark, sf_dir, "embeddings").selectExpr(
+        "'vectors' AS file",
+        f"""concat_ws('\\t',
+            label % 5 + 1,
+            vec_id * 3,
+            CASE WHEN vec_id % 7 = 0 THEN concat('rs', vec_id % 50) ELSE '.' END,
+            'AC',
+            CASE WHEN vec_id % 11 = 1 THEN 'G,T' WHEN vec_id % 13 = 1 THEN '.' ELSE 'G' END,
+            CASE WHEN vec_id % 3 = 0 THEN '.' ELSE CAST(vec_id % 100 AS STRING) END,
+            CASE vec_id % 4 WHEN 0 THEN '.' WHEN 1 THEN 'q10;s50' ELSE 'PASS' END,
+            'AF=0.1',
+            'GT:DP',
+            array_join(transform(embedding, x -> {call}), '\\t')) AS value""",
     )
 
 
 def line_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "embeddings")
-        .select(F.explode(F.sequence(F.lit(0), F.size("embedding") - 1)).alias("column_index"))
+        .selectExpr("explode(sequence(0, size(embedding) - 1)) AS column_index")
         .distinct()
-        .select(
-            F.lit("vectors").alias("file"),
-            "column_index",
-            F.concat(F.lit("P"), F.col("column_index").cast("string")).alias("sample_id"),
+        .selectExpr(
+            "'vectors' AS file", "column_index", "concat('P', column_index) AS sample_id"
         )
     )
 
 
 def drug_references(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("p_partkey")
-    return table(spark, sf_dir, "part").select(
-        key.alias("p_partkey"),
-        F.when(
-            F.col("p_size") != 3,
-            F.concat(
-                F.lit("ATC:"), "p_brand", F.lit(", RxNorm:"), key.cast("string"),
-                F.lit(":x,Other:1,ATC:"), "p_type", F.lit(",RxNormX:7"),
-            ),
-        ).alias("_cross_references"),
+    return table(spark, sf_dir, "part").selectExpr(
+        "p_partkey",
+        "CASE WHEN p_size <> 3 THEN concat('ATC:', p_brand, ', RxNorm:', p_partkey, "
+        "':x,Other:1,ATC:', p_type, ',RxNormX:7') END AS _cross_references",
     )

@@ -75,7 +75,9 @@ def dosages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def individual_dosages(spark: SparkSession, sf: str) -> DataFrame:
-    return dosages(spark, sf).withColumn("nonfunctional_copies", nonfunctional_copies(STUDY))
+    return dosages(spark, sf).selectExpr(
+        "*", f"{nonfunctional_copies(STUDY)} AS nonfunctional_copies"
+    )
 
 
 def phenotype_distribution(spark: SparkSession, sf: str) -> DataFrame:
@@ -127,7 +129,7 @@ def recommendation_flags(spark: SparkSession, sf: str) -> DataFrame:
 
 def curated_override(spark: SparkSession, sf: str) -> DataFrame:
     rows = classify(dt.guidance(spark, sf)).drop("guideline_id", "activity_score")
-    rows = rows.withColumn("drug_name", name_key(F.col("drug_name")))
+    rows = rows.withColumn("drug_name", F.expr(name_key("drug_name")))
     return override(rows, curated_table(spark, STUDY))
 
 
@@ -215,18 +217,13 @@ def export_metadata(spark: SparkSession, sf: str) -> DataFrame:
 
 def typed_result_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Result rows that arrive as text get their types back."""
-    text = dt.table(spark, sf, "lineitem").select(
-        F.col("l_orderkey").cast("string").alias("order_id"),
-        F.when(F.col("l_linenumber") == 3, "")
-        .otherwise(F.col("l_linenumber").cast("string"))
-        .alias("line"),
-        F.when(F.col("l_returnflag") == "R", "").otherwise(F.col("l_tax").cast("string")).alias(
-            "tax"
-        ),
-        F.when(F.col("l_linestatus") == "F", "").otherwise(
-            (F.col("l_discount") > 0.05).cast("string")
-        ).alias("discounted"),
-        F.when(F.col("l_returnflag") == "A", "").otherwise(F.col("l_returnflag")).alias("flag"),
+    text = dt.table(spark, sf, "lineitem").selectExpr(
+        "CAST(l_orderkey AS STRING) AS order_id",
+        "CASE WHEN l_linenumber = 3 THEN '' ELSE CAST(l_linenumber AS STRING) END AS line",
+        "CASE WHEN l_returnflag = 'R' THEN '' ELSE CAST(l_tax AS STRING) END AS tax",
+        "CASE WHEN l_linestatus = 'F' THEN '' ELSE CAST(l_discount > 0.05D AS STRING) END "
+        "AS discounted",
+        "CASE WHEN l_returnflag = 'A' THEN '' ELSE l_returnflag END AS flag",
     )
     typed = exports.typed_rows(text, ["order_id", "line"], ["tax"], ["discounted"])
     return typed.groupBy("line", "tax", "discounted", "flag").agg(

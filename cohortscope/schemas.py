@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 # table -> column -> nullable
 BRONZE_COLUMNS = {
@@ -164,11 +163,12 @@ def columns_of(ddl: str) -> list[str]:
 
 def conform(df: DataFrame, ddl: str) -> DataFrame:
     """Exactly the declared columns, in order and typed."""
-    return df.select([F.col(name).cast(kind).alias(name) for name, kind in fields_of(ddl)])
+    return df.selectExpr([f"CAST({n} AS {kind}) AS {n}" for n, kind in fields_of(ddl)])
 
 
 def conform_present(df: DataFrame, ddl: str) -> DataFrame:
     """The declared columns that exist, typed."""
-    return df.select(
-        [F.col(name).cast(kind).alias(name) for name, kind in fields_of(ddl) if name in df.columns]
+    present = set(df.columns)
+    return df.selectExpr(
+        [f"CAST({n} AS {kind}) AS {n}" for n, kind in fields_of(ddl) if n in present]
     )

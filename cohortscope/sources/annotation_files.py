@@ -8,7 +8,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortscope.functions.text import filled
 from cohortscope.operators.clinical import with_cross_references
 from cohortscope.schemas import PANEL, RAW_DRUGS, RAW_GUIDELINES, RAW_RECOMMENDATIONS, conform
 
@@ -144,7 +143,7 @@ def read_guidelines(spark: SparkSession, path: str) -> DataFrame:
 
 def read_drug_names(spark: SparkSession, path: str) -> DataFrame:
     named = spark.read.schema(RAW_DRUGS).json(path)
-    return named.where(filled(F.col("drugid")).isNotNull() & filled(F.col("name")).isNotNull())
+    return named.where("drugid <> '' AND name <> ''")
 
 
 def read_recommendations(spark: SparkSession, path: str) -> DataFrame:
