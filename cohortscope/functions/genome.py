@@ -58,10 +58,14 @@ def disjoint_regions(regions: Sequence[Region]) -> list[Region]:
 
 
 def is_key_variant(gene: str, variant: str, key_variants: Mapping[str, Sequence[str]]) -> str:
-    return any_of(
-        f"{gene} = {literal(g)} AND {variant} IN ({literals(ids)})"
-        for g, ids in key_variants.items()
+    """A gene's key variant. The plain list of ids in front passes below a deduplication
+    by variant and into the scan; the list of genes prunes partitions."""
+    ids = literals(v for listed in key_variants.values() for v in listed)
+    pairs = any_of(
+        f"{gene} = {literal(g)} AND {variant} IN ({literals(listed)})"
+        for g, listed in key_variants.items()
     )
+    return f"{variant} IN ({ids}) AND {gene} IN ({literals(key_variants)}) AND ({pairs})"
 
 
 def category_of(
