@@ -25,19 +25,19 @@ def parse_records(lines: DataFrame, study: Study | None = None) -> DataFrame:
         .selectExpr("file", f"split(value, '\\t', {FIXED_FIELDS + 1}) AS f")
         .selectExpr(
             "file",
-            "CASE WHEN startswith(f[0], 'chr') THEN f[0] ELSE concat('chr', f[0]) END "
+            "CASE WHEN startswith(get(f, 0), 'chr') THEN get(f, 0) ELSE concat('chr', get(f, 0)) END "
             "AS chromosome",
-            "CAST(f[1] AS BIGINT) AS position",
-            "f[2] AS id",
-            "f[3] AS reference_allele",
-            "f[4] AS alternate_allele",
-            "f[5] AS quality",
-            "f[6] AS filter_status",
+            "CAST(get(f, 1) AS BIGINT) AS position",
+            "get(f, 2) AS id",
+            "get(f, 3) AS reference_allele",
+            "get(f, 4) AS alternate_allele",
+            "get(f, 5) AS quality",
+            "get(f, 6) AS filter_status",
             # An indexed fetch goes by the length of the reference allele or the END tag.
             "greatest(position + length(reference_allele) - 1, "
-            r"try_cast(regexp_extract(f[7], '(?:^|;)END=(\\d+)', 1) AS BIGINT)) AS last_position",
-            "f[8] AS format",
-            "f[9] AS calls",
+            r"try_cast(regexp_extract(get(f, 7), '(?:^|;)END=(\\d+)', 1) AS BIGINT)) AS last_position",
+            "get(f, 8) AS format",
+            "get(f, 9) AS calls",
         )
         .where("alternate_allele <> '.' AND NOT contains(alternate_allele, ',')")
     )

@@ -1,0 +1,276 @@
+from __future__ import annotations
+
+import json
+import os
+from datetime import date
+
+import pytest
+from conftest import one, rows
+
+from cohortscope.operators.quality import DataQualityError
+from cohortscope.schemas import PANEL
+from cohortscope.sinks.tables import write_bronze, write_table, write_variants
+from cohortscope.sources import annotation_files as files
+from cohortscope.sources import variant_files
+from cohortscope.sources.tables import latest_date, read_date, read_latest, read_table
+from cohortscope.operators.melt import parse_records
+
+
+def write(folder, name, *lines):
+    path = os.path.join(folder, name)
+    with open(path, "w", encoding="utf-8") as out:
+        out.write("".join(line + "\n" for line in lines))
+    return path
+
+
+# --- variant files ---------------------------------------------------------------------
+
+FIXED = "#CHROM POS ID REF ALT QUAL FILTER INFO FORMAT".split()
+
+
+def record(pos, *calls, id_=".", ref="G", alt="A", qual="100", flt="PASS", info=".", fmt="GT",
+           chrom="10"):
+    return "\t".join([chrom, str(pos), id_, ref, alt, qual, flt, info, fmt, *calls])
+
+
+def variant_file(folder, name, samples, *records):
+    return write(folder, name, "##fileformat=VCFv4.1", "\t".join(FIXED + samples), *records)
+
+
+def panel(spark, *samples):
+    return spark.createDataFrame([(s,) for s in samples], "sample_id string")
+
+
+def test_genotypes(spark, study, folder):
+    inside = 96_521_657
+    path = variant_file(
+        folder, "a.vcf", ["S1", "S2", "S3", "S4"],
+        record(inside, "0|1", "1/1", "./.", "1"),
+        record(inside + 1, "0|0:12", "1|.:3", ".:1", "0/1|1:4", fmt="GT:DP", id_="rs7",
+               qual=".", flt="q10;s50"),
+        record(inside + 2, "0|1", "0|1", "0|1", "0|1", alt="A,T"),
+        record(inside + 3, "0|1", "0|1", "0|1", "0|1", alt="."),
+        record(inside + 4, "0|1", "0|1", "0|1", "0|1", flt="."),
+        record(inside + 5, "3:0|1", "0", "0", "0", fmt="DP:GT"),
+        record(5, "0|1", "0|1", "0|1", "0|1"),
+    )
+    found = variant_files.read_genotypes(spark, path, panel(spark, "S1", "S2", "S4"), study)
+    assert rows(
+        found, "position", "variant_id", "sample_id", "genotype", "allele_dosage", "quality",
+        "filter_status",
+    ) == [
+        (inside, f"chr10:{inside}", "S1", "0|1", 1, 100.0, "PASS"),
+        (inside, f"chr10:{inside}", "S2", "1/1", 2, 100.0, "PASS"),
+        (inside, f"chr10:{inside}", "S4", "1", 1, 100.0, "PASS"),
+        (inside + 1, "rs7", "S1", "0|0", 0, None, "q10;s50"),
+        (inside + 1, "rs7", "S4", "0/1/1", 2, None, "q10;s50"),
+        (inside + 4, f"chr10:{inside + 4}", "S1", "0|1", 1, 100.0, "PASS"),
+        (inside + 4, f"chr10:{inside + 4}", "S2", "0|1", 1, 100.0, "PASS"),
+        (inside + 4, f"chr10:{inside + 4}", "S4", "0|1", 1, 100.0, "PASS"),
+    ]
+    assert set(found.select("info_payload").collect()[0]) == {None}
+
+
+def test_each_file_has_its_own_columns(spark, study, folder):
+    variant_file(folder, "a.vcf", ["S1", "S2"], record(96_521_657, "0|1", "1|1"))
+    variant_file(folder, "b.vcf", ["S2", "S9", "S1"],
+                 record(21_331_549, "0|0", "1|1", "0|1", chrom="chr12"))
+    found = variant_files.read_genotypes(spark, folder, panel(spark, "S1", "S2"), study)
+    assert rows(found, "chromosome", "sample_id", "genotype") == [
+        ("chr10", "S1", "0|1"), ("chr10", "S2", "1|1"),
+        ("chr12", "S1", "0|1"), ("chr12", "S2", "0|0"),
+    ]
+
+
+def test_large_headers_take_the_shuffle_join(spark, study, folder, monkeypatch):
+    path = variant_file(folder, "a.vcf", ["S1", "S2"], record(96_521_657, "0|1", "1|1"))
+    small = variant_files.read_genotypes(spark, path, panel(spark, "S1", "S2"), study)
+    monkeypatch.setattr(variant_files, "MAX_BROADCAST_HEADER", 0)
+    large = variant_files.read_genotypes(spark, path, panel(spark, "S1", "S2"), study)
+    assert rows(small) == rows(large)
+    assert "SortMergeJoin" in large._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_panel_and_header_must_match(spark, study, folder, caplog):
+    path = variant_file(folder, "a.vcf", ["S1"], record(96_521_657, "0|1"))
+    with pytest.raises(RuntimeError, match="no target samples"):
+        variant_files.read_genotypes(spark, path, panel(spark, "X"), study)
+    found = variant_files.read_genotypes(spark, path, panel(spark, "S1", "X"), study)
+    assert found.count() == 1 and "lacks 1 target samples" in caplog.text
+    bare = write(folder, "bare.vcf", "##only", "10\t1")
+    with pytest.raises(RuntimeError, match="no #CHROM header"):
+        variant_files.read_headers(spark, bare)
+
+
+def test_repeated_records_keep_the_first_call(spark, study, folder):
+    path = variant_file(
+        folder, "a.vcf", ["S1", "S2"],
+        record(96_521_657, "1|1", "./.", alt="T"), record(96_521_657, "0|0", "0|1", alt="A"),
+    )
+    found = variant_files.read_genotypes(spark, path, panel(spark, "S1", "S2"), study)
+    assert rows(found, "sample_id", "genotype", "alternate_allele") == [
+        ("S1", "0|0", "A"), ("S2", "0|1", "A"),
+    ]
+
+
+def test_region_restriction_by_overlap(spark, study):
+    start, end, buffer = 96_510_000, 96_612_671, 10_000
+    lines = spark.createDataFrame(
+        [
+            ("f", record(start - buffer - 1)),
+            ("f", record(start - buffer)),
+            ("f", record(start - buffer - 3, ref="GATC")),
+            ("f", record(start - buffer - 4, ref="GATC")),
+            ("f", record(1000, info=f"SVTYPE=DEL;END={start}")),
+            ("f", record(1000, info=f"CIEND={start}")),
+            ("f", record(end + buffer)),
+            ("f", record(end + buffer + 1)),
+        ],
+        "file string, value string",
+    )
+    assert rows(parse_records(lines, study), "position") == sorted(
+        [(1000,), (start - buffer,), (start - buffer - 3,), (end + buffer,)], key=str
+    )
+    assert parse_records(lines).count() == 8
+
+
+# --- tabular files ---------------------------------------------------------------------
+
+
+def test_tsv_keeps_empty_text(spark, folder):
+    path = write(folder, "t.tsv", "# note", "a\tb\tc", "1\t\t3 # kept", "# skipped", '"x ""y"""\tz\t')
+    found = files.read_tsv(spark, path)
+    assert found.columns == ["a", "b", "c"]
+    assert rows(found) == [("1", "", "3 # kept"), ('x "y"', "z", "")]
+
+
+HEADERS = ["Clinical Annotation ID", "Variant/Haplotypes", "Gene", "Drug(s)", "Phenotype Category"]
+
+
+def test_column_mapping(spark, folder):
+    for newer in ("Level of Evidence", "Evidence Level"):
+        path = write(folder, f"{newer[:5]}.tsv", "\t".join([*HEADERS, newer, "Extra"]),
+                     "CA1\trs1\tCYP2C19\tx\tMetabolism\t1A\te")
+        found = files.read_annotations(spark, path, files.CLINICAL_ANNOTATIONS)
+        row = found.first()
+        assert (row.gene_symbol, row.evidence_level, row.annotation_text) == ("CYP2C19", "1A", None)
+        assert "Extra" not in found.columns
+    with pytest.raises(RuntimeError, match="required columns not found"):
+        files.map_columns(spark.range(1), files.CLINICAL_ANNOTATIONS)
+
+
+def test_drug_table(spark, folder):
+    path = write(folder, "d.tsv", "PharmGKB Accession Id\tName\tCross-references",
+                 "PA1\taspirin\tATC:B01, RxNorm:7")
+    row = files.read_annotations(spark, path, files.DRUGS).first()
+    assert (row.atc_identifiers, row.rxnorm_identifiers, row.drug_type) == ("B01", "7", None)
+
+
+def test_panel(spark, folder):
+    path = write(folder, "p.panel", "sample\tpop\tsuper_pop\tgender\t", "S1\tMXL\tAMR\tfemale\t")
+    found = files.read_panel(spark, path)
+    assert found.columns == ["sample_id", "population_code", "superpopulation", "sex", "family_id"]
+    assert rows(found) == [("S1", "MXL", "AMR", "female", None)]
+    with pytest.raises(RuntimeError, match="not found"):
+        files.build_panel(found)
+
+
+def test_guidance_json(spark, folder):
+    path = write(
+        folder, "r.json",
+        json.dumps({"id": 7, "guidelineid": "A", "drugid": "D", "phenotypes": {"G": "p"}}),
+    )
+    row = files.read_recommendations(spark, path).first()
+    assert (row.id, row.phenotypes, row.activityscore) == ("7", {"G": "p"}, None)
+    drugs = write(folder, "d.json", '{"drugid": "D", "name": "x"}', '{"drugid": "E"}',
+                  '{"drugid": "", "name": "y"}')
+    assert rows(files.read_drug_names(spark, drugs)) == [("D", "x")]
+
+
+# --- stored tables ---------------------------------------------------------------------
+
+
+def samples(spark, *ids):
+    return spark.createDataFrame([(i, "MXL", "AMR", "f", None) for i in ids], PANEL)
+
+
+def test_bronze_dates(spark, folder):
+    root = f"{folder}/samples_metadata_raw"
+    with pytest.raises(FileNotFoundError, match="not found"):
+        read_latest(spark, root)
+    write_bronze(samples(spark, "S1"), root, date(2025, 1, 2))
+    write_bronze(samples(spark, "S2", "S3"), root, date(2025, 1, 10))
+    write_bronze(samples(spark, "S4"), root, date(2024, 12, 31))
+    assert latest_date(spark, root) == "2025-01-10"
+    assert rows(read_latest(spark, root), "sample_id") == [("S2",), ("S3",)]
+    assert rows(read_date(spark, root, date(2025, 1, 2)), "sample_id") == [("S1",)]
+    assert one(read_date(spark, root, "2025-01-02"), "TRUE").ingest_date == date(2025, 1, 2)
+
+
+def test_rerunning_a_date_replaces_only_that_date(spark, folder):
+    root = f"{folder}/samples_metadata_raw"
+    write_bronze(samples(spark, "S1"), root, date(2025, 1, 1))
+    write_bronze(samples(spark, "S2"), root, date(2025, 1, 2))
+    write_bronze(samples(spark, "S9"), root, date(2025, 1, 2))
+    assert rows(read_table(spark, root), "sample_id") == [("S1",), ("S9",)]
+
+
+def test_bronze_is_validated_before_the_write(spark, folder):
+    root = f"{folder}/samples_metadata_raw"
+    with pytest.raises(DataQualityError):
+        write_bronze(samples(spark, None), root, date(2025, 1, 1))
+    assert not os.path.exists(root)
+
+
+def test_extra_partitions(spark, folder):
+    root = f"{folder}/any_table"
+    df = spark.createDataFrame([("chr1", 5), ("chr2", 6), ("chr1", 4)], "chromosome string, p int")
+    write_bronze(df, root, date(2025, 1, 1), {"chromosome_part": df.chromosome}, ("p",))
+    write_bronze(df.where("chromosome = 'chr2'").selectExpr("chromosome", "7 AS p"), root,
+                 date(2025, 1, 1), {"chromosome_part": "chr2"})
+    assert sorted(os.listdir(f"{root}/ingest_date=2025-01-01")) == [
+        "chromosome_part=chr1", "chromosome_part=chr2",
+    ]
+    assert rows(read_latest(spark, root), "chromosome_part", "p") == [
+        ("chr1", 4), ("chr1", 5), ("chr2", 7),
+    ]
+
+
+def test_missing_files(spark, folder):
+    os.makedirs(f"{folder}/t")
+    with pytest.raises(FileNotFoundError, match="no ingest_date"):
+        read_latest(spark, f"{folder}/t")
+    os.makedirs(f"{folder}/t/ingest_date=2025-01-01")
+    with pytest.raises(FileNotFoundError, match="no Parquet"):
+        read_latest(spark, f"{folder}/t")
+    with pytest.raises(FileNotFoundError, match="no Parquet"):
+        read_table(spark, f"{folder}/t")
+    with pytest.raises(FileNotFoundError, match="not found"):
+        read_table(spark, f"{folder}/nothing")
+
+
+def test_tables_are_replaced(spark, folder):
+    write_table(spark.range(3), f"{folder}/t")
+    write_table(spark.range(2), f"{folder}/t")
+    assert read_table(spark, f"{folder}/t").count() == 2
+
+
+def test_variant_partitions_split_a_hot_group(spark, folder):
+    df = spark.range(60_000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'G1' ELSE 'G2' END AS gene_symbol",
+        "CASE WHEN id < 50000 THEN 'A' ELSE 'B' END AS population_code",
+        "uuid() AS variant_id",
+    )
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        write_variants(df, f"{folder}/v")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    hot = [f for f in os.listdir(f"{folder}/v/gene_symbol=G2/population_code=A") if f.endswith(".parquet")]
+    assert len(hot) > 1
+    found = read_table(spark, f"{folder}/v")
+    assert found.count() == 60_000
+    plan = found.where("gene_symbol = 'G1'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(gene_symbol" in plan
