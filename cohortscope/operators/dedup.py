@@ -17,3 +17,15 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ())
     over = f"PARTITION BY {', '.join(keys)} ORDER BY {', '.join(order) or keys[0]}"
     numbered = df.selectExpr("*", f"row_number() OVER ({over}) AS _copy")
     return numbered.where("_copy = 1").drop("_copy")
+
+
+def lookup_side(df: DataFrame, key: str) -> DataFrame:
+    """One row per text key, made ready to be the small side of a join.
+
+    The rows come out of the deduplication partitioned by the key. Were the join to use
+    that partitioning, only its large side would be shuffled for it, and adaptive
+    execution splits a hot key only where both sides are. Passing the key through an
+    expression asks for an exchange of the (small) side as well.
+    """
+    rest = [c for c in df.columns if c != key]
+    return keep_first(df, [key]).selectExpr(f"concat({key}, '') AS {key}", *rest)

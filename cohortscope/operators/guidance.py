@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortscope.functions import literals
 from cohortscope.functions.text import blank_if_null, filled, name_key, recommendation_flags
-from cohortscope.operators.dedup import keep_first
+from cohortscope.operators.dedup import keep_first, lookup_side
 from cohortscope.operators.dimensions import curated_table
 from cohortscope.schemas import GUIDANCE, RECOMMENDATIONS, columns_of, conform, conform_present
 from cohortscope.study import Study
@@ -29,15 +29,15 @@ def flatten_recommendations(
 
     Recommendations of unknown guidelines are dropped; an unknown drug keeps its id.
     """
-    known = keep_first(
+    known = lookup_side(
         guidelines.selectExpr(
             f"{blank_if_null('id')} AS guidelineid", "genes AS _genes", "version AS _version"
         ),
-        ["guidelineid"],
+        "guidelineid",
     )
-    named = keep_first(
+    named = lookup_side(
         drugs.where("drugid <> '' AND name <> ''").selectExpr("drugid", "name AS _drug"),
-        ["drugid"],
+        "drugid",
     )
     rows = (
         recommendations.selectExpr(

@@ -13,32 +13,43 @@ FIXED_FIELDS = 9
 
 CALL_ORDER = ("chromosome", "position", "reference_allele", "alternate_allele", "genotype")
 
+# Dosage of the common calls; any other call is taken apart.
+COMMON_DOSAGES = {
+    "0|0": 0, "0|1": 1, "1|0": 1, "1|1": 2, "0/0": 0, "0/1": 1, "1/0": 1, "1/1": 2, "0": 0, "1": 1,
+}
+
 
 def parse_records(lines: DataFrame, study: Study | None = None) -> DataFrame:
-    """Variant lines to records, sample fields still one text.
+    """Variant lines (header, value) to records, sample fields still one text.
 
     Only the nine leading fields are split here, so records outside the study's regions
-    cost no more than that. Sites without exactly one alternate allele are dropped.
+    cost no more than that. The fields come out of a one-element ``inline``: filters on
+    them then stay above it, where a plain projection would have its ``split`` copied
+    into every term of the region filter. Sites without exactly one alternate allele
+    are dropped.
     """
+    chromosome = "get(f, 0)"
+    position = "CAST(get(f, 1) AS BIGINT)"
+    fields = {
+        "chromosome": f"CASE WHEN startswith({chromosome}, 'chr') THEN {chromosome} "
+        f"ELSE concat('chr', {chromosome}) END",
+        "position": position,
+        "id": "get(f, 2)",
+        "reference_allele": "get(f, 3)",
+        "alternate_allele": "get(f, 4)",
+        "quality": "get(f, 5)",
+        "filter_status": "get(f, 6)",
+        # An indexed fetch goes by the length of the reference allele or the END tag.
+        "last_position": f"greatest({position} + length(get(f, 3)) - 1, "
+        r"try_cast(regexp_extract(get(f, 7), '(?:^|;)END=(\\d+)', 1) AS BIGINT))",
+        "format": "get(f, 8)",
+        "calls": "get(f, 9)",
+    }
+    struct = ", ".join(f"'{name}', {value}" for name, value in fields.items())
     records = (
         lines.where("NOT startswith(value, '#')")
-        .selectExpr("file", f"split(value, '\\t', {FIXED_FIELDS + 1}) AS f")
-        .selectExpr(
-            "file",
-            "CASE WHEN startswith(get(f, 0), 'chr') THEN get(f, 0) ELSE concat('chr', get(f, 0)) END "
-            "AS chromosome",
-            "CAST(get(f, 1) AS BIGINT) AS position",
-            "get(f, 2) AS id",
-            "get(f, 3) AS reference_allele",
-            "get(f, 4) AS alternate_allele",
-            "get(f, 5) AS quality",
-            "get(f, 6) AS filter_status",
-            # An indexed fetch goes by the length of the reference allele or the END tag.
-            "greatest(position + length(reference_allele) - 1, "
-            r"try_cast(regexp_extract(get(f, 7), '(?:^|;)END=(\\d+)', 1) AS BIGINT)) AS last_position",
-            "get(f, 8) AS format",
-            "get(f, 9) AS calls",
-        )
+        .selectExpr("header", f"split(value, '\\t', {FIXED_FIELDS + 1}) AS f")
+        .selectExpr("header", f"inline(array(named_struct({struct})))")
         .where("alternate_allele <> '.' AND NOT contains(alternate_allele, ',')")
     )
     if study is not None:
@@ -53,13 +64,13 @@ def parse_records(lines: DataFrame, study: Study | None = None) -> DataFrame:
 def melt_genotypes(records: DataFrame, columns: DataFrame) -> DataFrame:
     """One row per record and wanted sample with a complete call.
 
-    ``columns`` (file, column_index, sample_id) says which sample a field belongs to;
+    ``columns`` (header, column_index, sample_id) says which sample a field belongs to;
     index 0 is the first sample field. It comes hinted by the reader, by its size.
     """
     calls = (
-        records.where("split_part(format, ':', 1) = 'GT'")
+        records.where("substring_index(format, ':', 1) = 'GT'")
         .selectExpr(
-            "file",
+            "header",
             "chromosome",
             "position",
             "CASE WHEN coalesce(id, '.') IN ('.', '') THEN concat(chromosome, ':', position) "
@@ -71,12 +82,14 @@ def melt_genotypes(records: DataFrame, columns: DataFrame) -> DataFrame:
             "ELSE filter_status END AS filter_status",
             "posexplode(split(calls, '\\t')) AS (column_index, call)",
         )
-        .selectExpr("*", "split_part(call, ':', 1) AS _alleles")
+        .selectExpr("*", "substring_index(call, ':', 1) AS _alleles")
         .where("_alleles <> '' AND NOT contains(_alleles, '.')")
     )
-    melted = calls.join(columns, ["file", "column_index"]).selectExpr(
+    common = " ".join(f"WHEN '{call}' THEN {dosage}" for call, dosage in COMMON_DOSAGES.items())
+    counted = "size(filter(split(_alleles, '[|/]'), a -> CAST(a AS INT) > 0))"
+    melted = calls.join(columns, ["header", "column_index"]).selectExpr(
         "*",
-        "size(filter(split(_alleles, '[|/]'), a -> CAST(a AS INT) > 0)) AS allele_dosage",
+        f"CASE _alleles {common} ELSE {counted} END AS allele_dosage",
         # One unphased separator makes the whole call unphased.
         "CASE WHEN contains(_alleles, '/') THEN translate(_alleles, '|', '/') "
         "ELSE _alleles END AS genotype",

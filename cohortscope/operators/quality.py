@@ -49,21 +49,43 @@ def violations(df: DataFrame, table: str) -> DataFrame:
     return null_counts(df, table).where("null_count > 0")
 
 
-def validate(df: DataFrame, table: str) -> None:
-    """Raise, naming every missing column or every required column with nulls."""
-    if table not in BRONZE_COLUMNS:
-        return
+def required_columns(df: DataFrame, table: str) -> list[str]:
+    """Columns that must not be null; raises if declared columns are missing."""
     missing = missing_columns(df, table)
     if missing:
         raise DataQualityError(
             f"table {table!r}: missing required columns {missing}; got {sorted(df.columns)}"
         )
+    return [name for name, nullable in BRONZE_COLUMNS.get(table, {}).items() if not nullable]
+
+
+def validate(df: DataFrame, table: str) -> None:
+    """Raise, naming every missing column or every required column with nulls."""
+    if not required_columns(df, table):
+        return
     found = violations(df, table).orderBy("column_name").collect()
     if found:
         listed = ", ".join(f"{r.column_name!r}: {r.null_count} null value(s)" for r in found)
         raise DataQualityError(f"table {table!r}: non-nullable columns contain nulls: {listed}")
 
 
+def guarded(df: DataFrame, table: str) -> DataFrame:
+    """The same rows, failing as soon as a required column is null.
+
+    The check sits in the projection of the first required column, so it sees exactly
+    the rows that are written and costs no extra pass.
+    """
+    required = required_columns(df, table)
+    if not required:
+        return df
+    null = " OR ".join(f"{c} IS NULL" for c in required)
+    complaint = literal(f"table {table!r}: a non-nullable column is null")
+    first = required[0]
+    return df.withColumn(
+        first, F.expr(f"CASE WHEN {null} THEN raise_error({complaint}) ELSE {first} END")
+    )
+
+
 def scope_status(genes: DataFrame, study: Study) -> DataFrame:
     """Adds ``scope_status`` (in_scope, excluded, unknown) and the rationale."""
     scope = F.broadcast(scope_table(genes.sparkSession, study))

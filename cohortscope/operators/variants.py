@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortscope.functions import literals
 from cohortscope.functions.genome import disjoint_regions, gene_at, in_regions
-from cohortscope.operators.dedup import keep_first
+from cohortscope.operators.dedup import keep_first, lookup_side
 from cohortscope.operators.dimensions import region_table
 from cohortscope.schemas import VARIANTS, conform_present
 from cohortscope.study import Region, Study
@@ -60,8 +60,8 @@ def _with_regions(df: DataFrame, regions: Sequence[Region], how: str) -> DataFra
 def target_samples(samples: DataFrame, study: Study) -> DataFrame:
     """Samples of the study's cohorts, one row per sample."""
     chosen = samples.where(f"population_code IN ({literals(study.target_cohorts)})")
-    return keep_first(
-        chosen.select("sample_id", "population_code", "superpopulation"), ["sample_id"]
+    return lookup_side(
+        chosen.select("sample_id", "population_code", "superpopulation"), "sample_id"
     )
 
 
@@ -74,9 +74,9 @@ def build_variants(
     """Calls inside the study's genes with gene and cohort, one per (sample, variant).
 
     Copies are removed before the sample join: the shuffle then carries no cohort
-    columns, and the join is followed by partial aggregates only, which leaves adaptive
-    execution free to split a sample with very many rows. The samples are not hinted;
-    Spark broadcasts them when their measured size allows.
+    columns, and the join is followed by partial aggregates only, which lets adaptive
+    execution split a sample with very many rows. The samples are not hinted; Spark
+    broadcasts them when their measured size allows.
     """
     located = assign_genes(keep_regions(calls, study.regions), study.regions)
     columns = located.columns

@@ -249,7 +249,7 @@ def variant_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Embeddings as variant file lines: one record per vector, one sample per dimension."""
     call = pick(CALL_TEXTS, "floor(abs(x) * 100) % 6")
     return table(spark, sf_dir, "embeddings").selectExpr(
-        "'vectors' AS file",
+        "0 AS header",
         f"""concat_ws('\\t',
             label % 5 + 1,
             vec_id * 3,
@@ -270,7 +270,7 @@ def line_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
         .selectExpr("explode(sequence(0, size(embedding) - 1)) AS column_index")
         .distinct()
         .selectExpr(
-            "'vectors' AS file", "column_index", "concat('P', column_index) AS sample_id"
+            "0 AS header", "column_index", "concat('P', column_index) AS sample_id"
         )
     )
 

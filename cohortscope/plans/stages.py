@@ -27,7 +27,7 @@ from cohortscope.operators.variants import build_variants, require_calls
 from cohortscope.sinks.artifacts import export_artifact, write_documents, write_json
 from cohortscope.sinks.tables import write_bronze, write_table, write_variants
 from cohortscope.sources import annotation_files as files
-from cohortscope.sources.tables import read_latest, read_table
+from cohortscope.sources.tables import read_date, read_latest, read_table
 from cohortscope.sources.variant_files import read_genotypes
 from cohortscope.study import Study
 
@@ -103,21 +103,31 @@ def check_bronze(
     require_rows({name: read_latest(spark, layout.bronze(name)) for name in minimum}, minimum)
 
 
-def build_silver(spark: SparkSession, layout: Layout, study: Study) -> None:
-    samples = read_latest(spark, layout.bronze("samples_metadata_raw"))
+def build_silver(
+    spark: SparkSession, layout: Layout, study: Study, day: date | None = None
+) -> None:
+    """Silver tables from the latest bronze date, or from a given one."""
+
+    def bronze(table: str) -> DataFrame:
+        root = layout.bronze(table)
+        return read_latest(spark, root) if day is None else read_date(spark, root, day)
+
+    samples = bronze("samples_metadata_raw")
     write_table(build_populations(samples, study), layout.silver("populations"))
-    genes = read_latest(spark, layout.bronze("pharmgkb_genes_raw"))
-    write_table(build_pharmacogenes(genes, study), layout.silver("pharmacogenes"))
-    calls = read_latest(spark, layout.bronze("genomes_variants_raw"))
-    write_variants(build_variants(calls, samples, study), layout.silver("variants"))
+    write_table(
+        build_pharmacogenes(bronze("pharmgkb_genes_raw"), study), layout.silver("pharmacogenes")
+    )
+    write_variants(
+        build_variants(bronze("genomes_variants_raw"), samples, study), layout.silver("variants")
+    )
     require_calls(spark.read.schema("sample_id string").parquet(layout.silver("variants")))
-    annotations = read_latest(spark, layout.bronze("pharmgkb_clinical_annotations_raw"))
     write_table(
-        build_clinical_variants(annotations, study), layout.silver("clinical_variants")
+        build_clinical_variants(bronze("pharmgkb_clinical_annotations_raw"), study),
+        layout.silver("clinical_variants"),
     )
-    guidance = read_latest(spark, layout.bronze("cpic_guidelines_raw"))
     write_table(
-        build_recommendations(guidance, study), layout.silver("drug_recommendations")
+        build_recommendations(bronze("cpic_guidelines_raw"), study),
+        layout.silver("drug_recommendations"),
     )
 
 

@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
-CHECKPOINT_DIR = "spark.checkpoint.dir"
-
 
 def local_session(name: str, cores: str = "8", memory: str = "8g") -> SparkSession:
     """A single-JVM session for tests and the bench."""
@@ -24,14 +20,3 @@ def local_session(name: str, cores: str = "8", memory: str = "8g") -> SparkSessi
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
-
-def staging_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a scratch one only where none is set."""
-    configured = spark.conf.get(CHECKPOINT_DIR, None)
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-    scratch = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.conf.set(CHECKPOINT_DIR, scratch)
-    return scratch

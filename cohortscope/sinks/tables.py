@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Sequence
 from datetime import date
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortscope.operators.quality import validate
+from cohortscope.operators.quality import guarded, validate
+from cohortscope.operators.upsert import upsert
 
 CODEC = "snappy"
 
@@ -19,21 +22,32 @@ def write_bronze(
     extra_partition: dict[str, object] | None = None,
     order_by: tuple[str, ...] = (),
 ) -> None:
-    """Validate, then replace exactly the partitions that are written.
+    """Replace exactly the partitions that are written, if the rows are valid.
 
+    Required columns are checked within the write, which commits nothing when one is
+    null; only then does a second pass count the nulls of every column for the message.
     ``extra_partition`` maps further partition columns to a column or a fixed value.
     ``order_by`` sorts within the files (by position, say), which makes their row group
     statistics useful to later region filters.
     """
-    validate(df, root.rstrip("/").rsplit("/", 1)[-1])
-    partitions = {"ingest_date": F.lit(ingest_date.isoformat()), **(extra_partition or {})}
+    table = root.rstrip("/").rsplit("/", 1)[-1]
+    partitions = {"ingest_date": ingest_date.isoformat(), **(extra_partition or {})}
+    rows = guarded(df, table)
     for name, value in partitions.items():
-        df = df.withColumn(name, value if not isinstance(value, str) else F.lit(value))
+        rows = rows.withColumn(name, F.lit(value) if isinstance(value, str) else value)
     if extra_partition:
         # Small partitions are merged and large ones split by adaptive execution.
-        df = df.hint("rebalance", *[c for c in extra_partition])
+        rows = rows.hint("rebalance", *extra_partition)
     if order_by:
-        df = df.sortWithinPartitions(*partitions, *order_by)
+        rows = rows.sortWithinPartitions(*partitions, *order_by)
+    try:
+        _replace_partitions(rows, root, partitions)
+    except PySparkException:
+        validate(df, table)
+        raise
+
+
+def _replace_partitions(df: DataFrame, root: str, partitions: Iterable[str]) -> None:
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -43,6 +57,22 @@ def write_bronze(
     )
 
 
+def upsert_table(
+    updates: DataFrame, root: str, keys: Sequence[str], partition_by: Sequence[str]
+) -> None:
+    """Replace rows of a partitioned table by business key, or add them.
+
+    Only partitions that occur in the updates are read and rewritten; the partition
+    columns belong to the key. The new files replace the old ones at the commit.
+    """
+    if not set(partition_by) <= set(keys):
+        raise ValueError(f"partition columns {partition_by} must be part of the key {keys}")
+    current = updates.sparkSession.read.parquet(root).select(updates.columns)
+    touched = updates.select(*partition_by).distinct()
+    merged = upsert(current.join(touched, list(partition_by), "left_semi"), updates, keys)
+    _replace_partitions(merged.hint("rebalance", *partition_by), root, partition_by)
+
+
 def write_table(df: DataFrame, root: str) -> None:
     df.write.mode("overwrite").option("compression", CODEC).parquet(root)
 

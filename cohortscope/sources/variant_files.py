@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -21,59 +22,82 @@ logger = logging.getLogger(__name__)
 
 HEADER_MARK = "#CHROM"
 
-# Header text up to this size is broadcast with its sample columns; beyond it the sample
-# columns are joined by a shuffle on (file, column), which spreads evenly.
-MAX_BROADCAST_HEADER = 32 * 1024 * 1024
+# Tables made from header text are broadcast up to this size of the text; beyond it they
+# take a shuffle join on (header, column), which spreads evenly over the columns.
+MAX_BROADCAST_TEXT = 32 * 1024 * 1024
+
+
+@dataclass
+class Headers:
+    """Distinct header lines, and which of them each file has."""
+
+    lines: dict[str, int] = field(default_factory=dict)
+    files: dict[str, int] = field(default_factory=dict)
+
+    def add(self, file: str, line: str) -> None:
+        self.files[file] = self.lines.setdefault(line, len(self.lines))
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value")
 
 
-def read_headers(spark: SparkSession, path: str | list[str]) -> list[tuple[str, str]]:
-    """(file, header line) per file.
+def read_headers(spark: SparkSession, path: str | list[str]) -> Headers:
+    """Header line of every file, each different line kept once.
 
     ``first`` stops at the header, a few lines into each file, so this reads file heads
     only; a filter over all files would scan every record.
     """
-    headers = []
+    headers = Headers()
     for file in spark.read.text(path).inputFiles():
         found = read_lines(spark, file).where(F.col("value").startswith(HEADER_MARK)).first()
         if found is None:
             raise RuntimeError(f"{file} has no {HEADER_MARK} header line")
-        headers.append((found.file, found.value))
+        headers.add(found.file, found.value)
     return headers
 
 
-def sample_columns(
-    spark: SparkSession, headers: list[tuple[str, str]], samples: DataFrame
-) -> DataFrame:
-    """(file, column_index, sample_id) of the wanted samples, hinted by checked size."""
-    table = local_table(spark, headers, [("file", pa.string()), ("header", pa.string())])
-    columns = table.select(
-        "file", F.posexplode(F.split("header", "\t")).alias("field", "sample_id")
-    ).select("file", (F.col("field") - FIXED_FIELDS).alias("column_index"), "sample_id")
-    wanted = columns.where("column_index >= 0").join(
-        samples.select("sample_id"), "sample_id", "left_semi"
+def hinted(df: DataFrame, text_size: int) -> DataFrame:
+    return F.broadcast(df) if text_size <= MAX_BROADCAST_TEXT else df.hint("merge")
+
+
+def lines_with_header(spark: SparkSession, path: str | list[str], headers: Headers) -> DataFrame:
+    """(header, value): each line with the number of its file's header."""
+    lines = read_lines(spark, path)
+    if len(headers.lines) == 1:
+        return lines.selectExpr("0 AS header", "value")
+    files = local_table(
+        spark, list(headers.files.items()), [("file", pa.string()), ("header", pa.int32())]
     )
-    small = sum(len(header) for _, header in headers) <= MAX_BROADCAST_HEADER
-    return F.broadcast(wanted) if small else wanted.hint("merge")
-
-
-def check_samples(
-    spark: SparkSession, headers: list[tuple[str, str]], samples: DataFrame
-) -> None:
-    """Warn about panel samples without a column; raise if a file has none of them."""
-    matched = {
-        r.file: r["count"]
-        for r in sample_columns(spark, headers, samples).groupBy("file").count().collect()
-    }
+    return lines.join(hinted(files, sum(map(len, headers.files))), "file").select(
+        "header", "value"
+    )
+
+
+def sample_columns(spark: SparkSession, headers: Headers, samples: DataFrame) -> DataFrame:
+    """(header, column_index, sample_id) of the wanted samples, hinted by checked size."""
+    table = local_table(
+        spark, list(headers.lines.items()), [("line", pa.string()), ("header", pa.int32())]
+    )
+    columns = (
+        table.selectExpr("header", "posexplode(split(line, '\\t')) AS (field, sample_id)")
+        .selectExpr("header", f"field - {FIXED_FIELDS} AS column_index", "sample_id")
+        .where("column_index >= 0")
+    )
+    wanted = columns.join(samples.select("sample_id"), "sample_id", "left_semi")
+    return hinted(wanted, sum(map(len, headers.lines)))
+
+
+def check_samples(spark: SparkSession, headers: Headers, samples: DataFrame) -> None:
+    """Warn about panel samples without a column; raise if a header has none of them."""
+    counts = sample_columns(spark, headers, samples).groupBy("header").count()
+    matched = {r["header"]: r["count"] for r in counts.collect()}
     expected = samples.select("sample_id").distinct().count()
-    for file, _ in headers:
-        if file not in matched:
+    for file, header in headers.files.items():
+        if header not in matched:
             raise RuntimeError(f"no target samples found in {file}: panel and calls do not match")
-        if matched[file] < expected:
-            logger.warning("%s lacks %d target samples", file, expected - matched[file])
+        if matched[header] < expected:
+            logger.warning("%s lacks %d target samples", file, expected - matched[header])
 
 
 def read_genotypes(
@@ -82,7 +106,7 @@ def read_genotypes(
     """Calls of the study's regions and samples, one row per variant and sample."""
     headers = read_headers(spark, path)
     check_samples(spark, headers, samples)
-    records = parse_records(read_lines(spark, path), study)
+    records = parse_records(lines_with_header(spark, path, headers), study)
     return assemble_variants(
         melt_genotypes(records, sample_columns(spark, headers, samples))
     )

@@ -9,7 +9,12 @@ from conftest import one, rows
 
 from cohortscope.operators.quality import DataQualityError
 from cohortscope.schemas import PANEL
-from cohortscope.sinks.tables import write_bronze, write_table, write_variants
+from cohortscope.sinks.tables import (
+    upsert_table,
+    write_bronze,
+    write_table,
+    write_variants,
+)
 from cohortscope.sources import annotation_files as files
 from cohortscope.sources import variant_files
 from cohortscope.sources.tables import latest_date, read_date, read_latest, read_table
@@ -85,7 +90,7 @@ def test_each_file_has_its_own_columns(spark, study, folder):
 def test_large_headers_take_the_shuffle_join(spark, study, folder, monkeypatch):
     path = variant_file(folder, "a.vcf", ["S1", "S2"], record(96_521_657, "0|1", "1|1"))
     small = variant_files.read_genotypes(spark, path, panel(spark, "S1", "S2"), study)
-    monkeypatch.setattr(variant_files, "MAX_BROADCAST_HEADER", 0)
+    monkeypatch.setattr(variant_files, "MAX_BROADCAST_TEXT", 0)
     large = variant_files.read_genotypes(spark, path, panel(spark, "S1", "S2"), study)
     assert rows(small) == rows(large)
     assert "SortMergeJoin" in large._jdf.queryExecution().sparkPlan().toString()
@@ -118,21 +123,32 @@ def test_region_restriction_by_overlap(spark, study):
     start, end, buffer = 96_510_000, 96_612_671, 10_000
     lines = spark.createDataFrame(
         [
-            ("f", record(start - buffer - 1)),
-            ("f", record(start - buffer)),
-            ("f", record(start - buffer - 3, ref="GATC")),
-            ("f", record(start - buffer - 4, ref="GATC")),
-            ("f", record(1000, info=f"SVTYPE=DEL;END={start}")),
-            ("f", record(1000, info=f"CIEND={start}")),
-            ("f", record(end + buffer)),
-            ("f", record(end + buffer + 1)),
+            (0, record(start - buffer - 1)),
+            (0, record(start - buffer)),
+            (0, record(start - buffer - 3, ref="GATC")),
+            (0, record(start - buffer - 4, ref="GATC")),
+            (0, record(1000, info=f"SVTYPE=DEL;END={start}")),
+            (0, record(1000, info=f"CIEND={start}")),
+            (0, record(end + buffer)),
+            (0, record(end + buffer + 1)),
         ],
-        "file string, value string",
+        "header int, value string",
     )
     assert rows(parse_records(lines, study), "position") == sorted(
         [(1000,), (start - buffer,), (start - buffer - 3,), (end + buffer,)], key=str
     )
     assert parse_records(lines).count() == 8
+    plan = parse_records(lines, study)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("split(value") == 1  # not once per region
+
+
+def test_headers_are_kept_once(spark, study, folder):
+    for name, samples in (("a", ["S1", "S2"]), ("b", ["S1", "S2"]), ("c", ["S2", "S1"])):
+        variant_file(folder, f"{name}.vcf", samples, record(96_521_657, "0|1", "1|1"))
+    headers = variant_files.read_headers(spark, folder)
+    assert len(headers.files) == 3 and len(headers.lines) == 2
+    found = variant_files.read_genotypes(spark, folder, panel(spark, "S1", "S2"), study)
+    assert rows(found, "sample_id", "genotype") == [("S1", "0|1"), ("S2", "0|1")]
 
 
 # --- tabular files ---------------------------------------------------------------------
@@ -216,11 +232,30 @@ def test_rerunning_a_date_replaces_only_that_date(spark, folder):
     assert rows(read_table(spark, root), "sample_id") == [("S1",), ("S9",)]
 
 
-def test_bronze_is_validated_before_the_write(spark, folder):
+def test_invalid_rows_are_not_written(spark, folder):
     root = f"{folder}/samples_metadata_raw"
-    with pytest.raises(DataQualityError):
-        write_bronze(samples(spark, None), root, date(2025, 1, 1))
-    assert not os.path.exists(root)
+    write_bronze(samples(spark, "S1"), root, date(2025, 1, 1))
+    with pytest.raises(DataQualityError, match="'sample_id': 1 null"):
+        write_bronze(samples(spark, None, "S2"), root, date(2025, 1, 1))
+    with pytest.raises(DataQualityError, match="missing required columns"):
+        write_bronze(samples(spark, "S2").drop("sex"), root, date(2025, 1, 1))
+    assert rows(read_table(spark, root), "sample_id") == [("S1",)]
+
+
+def test_upsert_rewrites_touched_partitions(spark, folder):
+    root = f"{folder}/gold"
+    ddl = "gene string, k string, x int"
+    old = spark.createDataFrame([("A", "1", 1), ("A", "2", 2), ("B", "1", 3)], ddl)
+    old.write.partitionBy("gene").parquet(root)
+    untouched = os.listdir(f"{root}/gene=B")
+    new = spark.createDataFrame([("A", "2", 20), ("A", "3", 30), ("C", "1", 40)], ddl)
+    upsert_table(new, root, ["gene", "k"], ["gene"])
+    assert rows(read_table(spark, root), "gene", "k", "x") == [
+        ("A", "1", 1), ("A", "2", 20), ("A", "3", 30), ("B", "1", 3), ("C", "1", 40),
+    ]
+    assert os.listdir(f"{root}/gene=B") == untouched
+    with pytest.raises(ValueError, match="part of the key"):
+        upsert_table(new, root, ["k"], ["gene"])
 
 
 def test_extra_partitions(spark, folder):

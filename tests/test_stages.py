@@ -118,7 +118,7 @@ def test_exports_and_documents(spark, study, layout):
 
 def test_a_second_run_gives_the_same_tables(spark, study, layout):
     before = rows(read_table(spark, layout.gold("actionability_ranking")))
-    stages.build_silver(spark, layout, study)
+    stages.build_silver(spark, layout, study, date(2025, 1, 1))
     stages.build_gold(spark, layout, study)
     assert rows(read_table(spark, layout.gold("actionability_ranking"))) == before
 
@@ -129,3 +129,12 @@ def test_empty_guidance_is_an_error(spark, layout, folder):
     drugs = write(folder, "d.json", json.dumps({"drugid": "D", "name": "x"}))
     with pytest.raises(RuntimeError, match="guidance is empty"):
         stages.ingest_guidance(spark, none, guidelines, drugs, stages.Layout(folder), date(2025, 1, 1))
+
+
+def test_command_line(spark, layout, capsys):
+    from cohortscope.__main__ import arguments, run
+
+    run(spark, arguments(["export", "--root", layout.root, "--date", "2025-01-01"]))
+    assert "actionability_ranking: 3 rows" in capsys.readouterr().out
+    run(spark, arguments(["documents", "--root", layout.root]))
+    assert read_table(spark, f"{layout.artifacts()}/documents").count() == 3
