@@ -62,7 +62,9 @@ def build_phenotypes(dosages: DataFrame, populations: DataFrame, study: Study) -
     """Share of each category per gene and cohort, from ``individual_dosage`` rows.
 
     Everything after the one aggregate over people works on at most one row per gene,
-    cohort and category.
+    cohort and category. Published rows stand in for a gene and cohort if the gene was
+    observed at all; windows over those few rows decide that, after a single exchange by
+    gene, so the facts are computed once.
     """
     counted = (
         dosages.selectExpr("*", f"{nonfunctional_copies(study)} AS _copies")
@@ -70,44 +72,66 @@ def build_phenotypes(dosages: DataFrame, populations: DataFrame, study: Study) -
         .groupBy("gene_symbol", "population_code", "phenotype_category")
         .agg(
             F.count(F.lit(1)).alias("individual_count"),
-            F.min("superpopulation").alias("_superpopulation"),
+            F.min("superpopulation").alias("superpopulation"),
         )
     )
-    cohort = "PARTITION BY gene_symbol, population_code"
-    observed = (
-        counted.selectExpr(
+    # A cohort of recorded size zero is skipped, one without a record counts itself.
+    candidates = (
+        counted.join(cohort_sizes(populations), "population_code", "left")
+        .where("recorded_size IS NULL OR recorded_size <> 0")
+        .selectExpr(
+            *CANDIDATE_KEYS,
+            "CAST(NULL AS DOUBLE) AS _share",
+            f"{literal(study.observed_source)} AS data_source",
+            "FALSE AS _published",
+        )
+    )
+    if study.literature:
+        candidates = candidates.unionByName(literature_rows(populations, study))
+    gene = "OVER (PARTITION BY gene_symbol)"
+    cohort = "OVER (PARTITION BY gene_symbol, population_code)"
+    own = "CASE WHEN NOT _published THEN {} END"
+    chosen = (
+        candidates.selectExpr("*", f"bool_or(NOT _published) {gene} AS _seen")
+        .selectExpr(
             "*",
-            f"sum(individual_count) OVER ({cohort}) AS _observed",
-            f"min(_superpopulation) OVER ({cohort}) AS superpopulation",
+            f"bool_or(_published AND _seen) {cohort} AS _replaced",
+            f"sum({own.format('individual_count')}) {cohort} AS _observed",
+            f"min({own.format('superpopulation')}) {cohort} AS _superpopulation",
         )
-        .join(cohort_sizes(populations), "population_code", "left")
+        .where("CASE WHEN _published THEN _seen AND individual_count > 0 ELSE NOT _replaced END")
         .selectExpr(
             "gene_symbol",
             "population_code",
-            "superpopulation",
+            "CASE WHEN _published THEN superpopulation ELSE _superpopulation END "
+            "AS superpopulation",
             "phenotype_category",
             "individual_count",
             "coalesce(recorded_size, _observed) AS population_total",
-            "individual_count / population_total AS _share",
-            f"{literal(study.observed_source)} AS data_source",
+            "coalesce(_share, individual_count / population_total) * 100D AS _percent",
+            "data_source",
         )
-        .where("population_total <> 0")
     )
-    rated = replace_from_literature(observed, populations, study).selectExpr(
+    rated = chosen.selectExpr(
+        "*", f"{wilson('individual_count', 'population_total')} AS _ci"
+    ).selectExpr(
         "*",
-        f"{wilson('individual_count', 'population_total')} AS _ci",
-        "_share * 100D AS _percent",
-    )
-    return conform(
-        rated.selectExpr(
-            "*",
-            f"{rounded_exactly('_percent', 2)} AS phenotype_percentage",
-            f"{rounded('_ci.lower', 6)} AS ci_lower_wilson",
-            f"{rounded('_ci.upper', 6)} AS ci_upper_wilson",
-            f"DATE'{study.snapshot_date}' AS snapshot_date",
-        ),
-        PHENOTYPES,
+        f"{rounded_exactly('_percent', 2)} AS phenotype_percentage",
+        f"{rounded('_ci.lower', 6)} AS ci_lower_wilson",
+        f"{rounded('_ci.upper', 6)} AS ci_upper_wilson",
+        f"DATE'{study.snapshot_date}' AS snapshot_date",
     )
+    return conform(rated, PHENOTYPES)
+
+
+CANDIDATE_KEYS = (
+    "gene_symbol",
+    "population_code",
+    "superpopulation",
+    "phenotype_category",
+    "individual_count",
+    "recorded_size",
+)
 
 
 def literature_rows(populations: DataFrame, study: Study) -> DataFrame:
@@ -115,48 +139,19 @@ def literature_rows(populations: DataFrame, study: Study) -> DataFrame:
     known = "superpopulation" in populations.columns
     by = "superpopulation" if known else "sample_size"
     cohorts = populations.groupBy("population_code").agg(
-        F.expr(f"CAST(min_by(sample_size, {by}) AS BIGINT)").alias("population_total"),
+        F.expr(f"CAST(min_by(sample_size, {by}) AS BIGINT)").alias("recorded_size"),
         F.expr("min(superpopulation)" if known else "CAST(NULL AS STRING)").alias(
             "superpopulation"
         ),
     )
+    published = F.broadcast(literature_table(populations.sparkSession, study))
     categories = ", ".join(
         f"named_struct('phenotype_category', {literal(label)}, '_share', {share})"
         for label, share in zip(study.default_categories, equilibrium_shares("allele_frequency"))
     )
     return (
-        cohorts.join(F.broadcast(literature_table(populations.sparkSession, study)), "population_code")
+        cohorts.join(published, "population_code")
         .selectExpr("*", f"inline(array({categories}))")
-        .selectExpr(
-            "gene_symbol",
-            "population_code",
-            "superpopulation",
-            "phenotype_category",
-            "CAST(rint(_share * population_total) AS BIGINT) AS individual_count",
-            "population_total",
-            "_share",
-            "data_source",
-        )
-    )
-
-
-def replace_from_literature(observed: DataFrame, populations: DataFrame, study: Study) -> DataFrame:
-    """Published rows stand in for a gene and cohort, if the gene was observed at all.
-
-    Windows over the aggregated rows decide, so the facts are computed once.
-    """
-    if not study.literature:
-        return observed
-    published = literature_rows(populations, study).selectExpr("*", "TRUE AS _published")
-    return (
-        observed.selectExpr("*", "FALSE AS _published")
-        .unionByName(published)
-        .selectExpr("*", "bool_or(NOT _published) OVER (PARTITION BY gene_symbol) AS _seen")
-        .selectExpr(
-            "*",
-            "bool_or(_published AND _seen) OVER (PARTITION BY gene_symbol, population_code) "
-            "AS _replaced",
-        )
-        .where("CASE WHEN _published THEN _seen AND individual_count > 0 ELSE NOT _replaced END")
-        .drop("_published", "_seen", "_replaced")
+        .selectExpr("*", "CAST(rint(_share * recorded_size) AS BIGINT) AS individual_count")
+        .selectExpr(*CANDIDATE_KEYS, "_share", "data_source", "TRUE AS _published")
     )

@@ -15,6 +15,8 @@ def local_session(name: str, cores: str = "8", memory: str = "8g") -> SparkSessi
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.enabled", "false")
+        # Classes named without the stage number can be reused when a query runs again.
+        .config("spark.sql.codegen.useIdInClassName", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
