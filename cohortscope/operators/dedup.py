@@ -5,18 +5,23 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
     """One row per key: the first by ``order_by``, then by the remaining columns.
 
-    The ``row_number = 1`` filter is planned with a group limit before the exchange, so
-    every task sends at most one row per key and a key with very many copies stays small.
+    A minimum over the other columns as one struct, rather than a row number: it is
+    aggregated before the exchange, so every task sends at most one row per key and a key
+    with very many copies stays small, and it sorts by the keys alone.
     """
-    order = [*order_by, *[c for c in df.columns if c not in keys and c not in order_by]]
-    over = f"PARTITION BY {', '.join(keys)} ORDER BY {', '.join(order) or keys[0]}"
-    numbered = df.selectExpr("*", f"row_number() OVER ({over}) AS _copy")
-    return numbered.where("_copy = 1").drop("_copy")
+    columns = df.columns
+    order = [c for c in order_by if c not in keys]
+    order += [c for c in columns if c not in keys and c not in order]
+    if not order:
+        return df.distinct()
+    first = df.groupBy(*keys).agg(F.expr(f"min(struct({', '.join(order)}))").alias("_first"))
+    return first.selectExpr([c if c in keys else f"_first.{c} AS {c}" for c in columns])
 
 
 def lookup_side(df: DataFrame, key: str) -> DataFrame:
