@@ -117,10 +117,9 @@ def build_silver(
     write_table(
         build_pharmacogenes(bronze("pharmgkb_genes_raw"), study), layout.silver("pharmacogenes")
     )
-    write_variants(
-        build_variants(bronze("genomes_variants_raw"), samples, study), layout.silver("variants")
-    )
-    require_calls(spark.read.schema("sample_id string").parquet(layout.silver("variants")))
+    calls = bronze("genomes_variants_raw")
+    if write_variants(build_variants(calls, samples, study), layout.silver("variants")) == 0:
+        require_calls(calls, samples, study)
     write_table(
         build_clinical_variants(bronze("pharmgkb_clinical_annotations_raw"), study),
         layout.silver("clinical_variants"),

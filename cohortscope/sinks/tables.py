@@ -6,7 +6,7 @@ from collections.abc import Iterable, Sequence
 from datetime import date
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cohortscope.operators.quality import guarded, validate
@@ -77,18 +77,22 @@ def write_table(df: DataFrame, root: str) -> None:
     df.write.mode("overwrite").option("compression", CODEC).parquet(root)
 
 
-def write_variants(df: DataFrame, root: str) -> None:
+def write_variants(df: DataFrame, root: str) -> int:
     """Facts by gene and cohort: readers of a few genes or one cohort skip the rest.
 
     The rebalance hint keeps files few without sending a partition to one task: adaptive
-    execution splits a gene and cohort that holds much of the data.
+    execution splits a gene and cohort that holds much of the data. Returns the number
+    of rows, counted in the same pass.
     """
     keys = ("gene_symbol", "population_code")
+    rows = Observation()
     (
         df.hint("rebalance", *keys)
         .sortWithinPartitions(*keys, "variant_id")
+        .observe(rows, F.count(F.lit(1)).alias("rows"))
         .write.mode("overwrite")
         .option("compression", CODEC)
         .partitionBy(*keys)
         .parquet(root)
     )
+    return rows.get["rows"]

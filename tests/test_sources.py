@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import gzip
 import json
 import os
 from datetime import date
@@ -87,6 +88,14 @@ def test_each_file_has_its_own_columns(spark, study, folder):
     ]
 
 
+def test_compressed_files(spark, study, folder):
+    plain = variant_file(folder, "plain", ["S1"], record(96_521_657, "1|1"))
+    with open(plain, "rb") as source, gzip.open(f"{folder}/a.vcf.gz", "wb") as target:
+        target.write(source.read())
+    found = variant_files.read_genotypes(spark, f"{folder}/a.vcf.gz", panel(spark, "S1"), study)
+    assert rows(found, "sample_id", "allele_dosage") == [("S1", 2)]
+
+
 def test_large_headers_take_the_shuffle_join(spark, study, folder, monkeypatch):
     path = variant_file(folder, "a.vcf", ["S1", "S2"], record(96_521_657, "0|1", "1|1"))
     small = variant_files.read_genotypes(spark, path, panel(spark, "S1", "S2"), study)
@@ -300,7 +309,7 @@ def test_variant_partitions_split_a_hot_group(spark, folder):
     old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
     try:
-        write_variants(df, f"{folder}/v")
+        assert write_variants(df, f"{folder}/v") == 60_000
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
     hot = [f for f in os.listdir(f"{folder}/v/gene_symbol=G2/population_code=A") if f.endswith(".parquet")]
