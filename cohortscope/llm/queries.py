@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cohortscope.llm.decontam import find_contaminated
 from cohortscope.llm.exact_dedup import exact_dedup
 from cohortscope.llm.mixing import mix_sources
+from cohortscope.llm.quality import score_quality
+from cohortscope.llm.toxicity import score_toxicity
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -18,11 +21,26 @@ def op4_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mix_sources(table(spark, sf, "documents"))
 
 
+def op6_toxicity_field(spark: SparkSession, sf: str) -> DataFrame:
+    return score_toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+def op7_benchmark_templates(spark: SparkSession, sf: str) -> DataFrame:
+    return find_contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+def op8_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return score_quality(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup(table(spark, sf, "documents"), keep="largest")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_source_mixing": op4_source_mixing,
+    "op6_toxicity_field": op6_toxicity_field,
+    "op7_benchmark_templates": op7_benchmark_templates,
+    "op8_quality_rules": op8_quality_rules,
     "op9_exact_dedup": op9_exact_dedup,
 }
