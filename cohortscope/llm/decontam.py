@@ -118,7 +118,8 @@ def find_contaminated(
 
 def _consistent(texts: DataFrame, items: DataFrame, aligned: DataFrame, agree: float) -> DataFrame:
     """The best alignment of each document and item whose slots follow one mapping."""
-    chosen = texts.join(aligned.select("doc_id").distinct(), "doc_id", "left_semi")
+    named = aligned.select("doc_id").distinct().hint("shuffle_hash")
+    chosen = texts.join(named, "doc_id", "left_semi")
     pairs = (
         templates(chosen, "doc_id").withColumnsRenamed({"words": "own", "template": "own_template"})
         .join(aligned, "doc_id")

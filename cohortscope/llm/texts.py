@@ -44,7 +44,7 @@ def keep_rows(docs: DataFrame, kept: DataFrame, keys: dict[str, Column]) -> Data
     wanted = kept.select(*[F.col(name).alias(f"__kept_{i}") for i, name in enumerate(keys)])
     wanted = wanted.distinct()
     same = [F.col(f"__key_{i}").eqNullSafe(F.col(f"__kept_{i}")) for i in range(len(keys))]
-    rows = marked.join(wanted, same, "left_semi")
+    rows = marked.join(wanted.hint("shuffle_hash"), same, "left_semi")
     repeated = marked.groupBy(*own.values()).count().where("count > 1").limit(1)
     if not repeated.isEmpty():
         rows = rows.dropDuplicates(list(own.values()))
