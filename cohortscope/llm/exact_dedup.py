@@ -31,8 +31,9 @@ def exact_dedup(docs: DataFrame, keep: str = "smallest") -> DataFrame:
     shared = scratch.store(
         rows.groupBy("hash").agg(F.sum("times").alias("n")).where("n > 1").select("hash"), "shared"
     )
+    # A hash join at every size: whole texts are moved but never sorted.
     members = scratch.store(
-        texts.join(shared, "hash", "left_semi").withColumn(
+        texts.join(shared.hint("shuffle_hash"), "hash", "left_semi").withColumn(
             "text_sha256", F.sha2(F.col("text"), 256)
         ),
         "members",
