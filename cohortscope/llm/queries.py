@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cohortscope.llm.decontam import find_contaminated
 from cohortscope.llm.exact_dedup import exact_dedup
+from cohortscope.llm.jaccard import similar_documents
 from cohortscope.llm.mixing import mix_sources
 from cohortscope.llm.quality import score_quality
 from cohortscope.llm.toxicity import score_toxicity
@@ -21,6 +22,10 @@ def op4_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mix_sources(table(spark, sf, "documents"))
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
+    return similar_documents(table(spark, sf, "documents")).drop("digest")
+
+
 def op6_toxicity_field(spark: SparkSession, sf: str) -> DataFrame:
     return score_toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
@@ -39,6 +44,7 @@ def op9_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_source_mixing": op4_source_mixing,
+    "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_toxicity_field": op6_toxicity_field,
     "op7_benchmark_templates": op7_benchmark_templates,
     "op8_quality_rules": op8_quality_rules,
