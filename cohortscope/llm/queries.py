@@ -11,13 +11,27 @@ from cohortscope.llm.exact_dedup import exact_dedup
 from cohortscope.llm.jaccard import similar_documents
 from cohortscope.llm.mixing import mix_sources
 from cohortscope.llm.quality import score_quality
+from cohortscope.llm.tokens import count_tokens
 from cohortscope.llm.toxicity import score_toxicity
+from cohortscope.llm.urls import judge_urls
+
+TOKENIZER = "piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    return count_tokens(table(spark, sf, "documents"), public_tokenizers.path(TOKENIZER))
+
+
+def op2_url_filters(spark: SparkSession, sf: str) -> DataFrame:
+    return judge_urls(table(spark, sf, "pages"))
+
+
 def op4_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mix_sources(table(spark, sf, "documents"))
 
@@ -43,6 +57,8 @@ def op9_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": op1_token_counts,
+    "op2_url_filters": op2_url_filters,
     "op4_source_mixing": op4_source_mixing,
     "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_toxicity_field": op6_toxicity_field,
