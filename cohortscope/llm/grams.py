@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are worked on at once; a longer text is a block of its own.
-BLOCK = 1 << 21
+BLOCK = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _POWERS: dict[int, np.ndarray] = {}
@@ -45,6 +45,11 @@ def spans(values: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarr
     return mix(hashed + (stops - starts).astype(np.uint64) * np.uint64(0x2545F4914F6CDD1D))
 
 
+def byte_values(data: np.ndarray) -> np.ndarray:
+    """A 64-bit number for each byte."""
+    return _BYTE[data]
+
+
 def text_blocks(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets of the rows' texts in the bytes) of a string column."""
     array = batch.column(column)

@@ -11,6 +11,8 @@ from cohortscope.llm.exact_dedup import exact_dedup
 from cohortscope.llm.jaccard import similar_documents
 from cohortscope.llm.mixing import mix_sources
 from cohortscope.llm.quality import score_quality
+from cohortscope.llm.substring import remove_repeated_phrases
+from cohortscope.llm.suffixes import remove_repeated_strings
 from cohortscope.llm.tokens import count_tokens
 from cohortscope.llm.toxicity import score_toxicity
 from cohortscope.llm.urls import judge_urls
@@ -32,6 +34,10 @@ def op2_url_filters(spark: SparkSession, sf: str) -> DataFrame:
     return judge_urls(table(spark, sf, "pages"))
 
 
+def op3_repeated_phrases(spark: SparkSession, sf: str) -> DataFrame:
+    return remove_repeated_phrases(table(spark, sf, "documents"))
+
+
 def op4_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mix_sources(table(spark, sf, "documents"))
 
@@ -56,13 +62,19 @@ def op9_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup(table(spark, sf, "documents"), keep="largest")
 
 
+def op10_repeated_strings(spark: SparkSession, sf: str) -> DataFrame:
+    return remove_repeated_strings(table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_url_filters": op2_url_filters,
+    "op3_repeated_phrases": op3_repeated_phrases,
     "op4_source_mixing": op4_source_mixing,
     "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_toxicity_field": op6_toxicity_field,
     "op7_benchmark_templates": op7_benchmark_templates,
     "op8_quality_rules": op8_quality_rules,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_repeated_strings": op10_repeated_strings,
 }
