@@ -85,7 +85,8 @@ def find_contaminated(
     docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, share: float = SHARE,
     agree: float = AGREE,
 ) -> DataFrame:
-    """One row per contaminated document and item: doc_id, item_id, n_windows, n_found, n_slots, n_agree.
+    """One row per contaminated document and item: doc_id, item_id, n_windows, n_found, n_slots,
+    n_agree, digest.
 
     A document is contaminated by an item when at least ``share`` of the item's distinct template
     windows occur in it in one alignment, and at least ``agree`` of the slots of that alignment
@@ -93,36 +94,49 @@ def find_contaminated(
     windows counts, then the smallest.
 
     Null or empty text matches nothing, in either table; items with fewer than four literal words
-    cannot be matched. Null ids: a null doc_id or item_id is left out, as it names nothing. Rows
-    that share an id are one document. Empty tables: no rows. Other columns are ignored.
+    cannot be matched, and a null item_id names nothing and is left out. Items that share an id are
+    one item. Null and repeated document ids: a row for each row of docs, as texts are judged by
+    their digest. Empty tables: no rows. Other columns are ignored.
     """
     scratch = Scratch(docs.sparkSession, "decontamination")
     named = benchmark.select("item_id", "text").where("item_id IS NOT NULL").distinct()
     items = scratch.store(templates(named, "item_id"), "items")
     wanted = scratch.store(item_windows(items, window), "item-windows")
     lengths = [r["length"] for r in wanted.select("length").distinct().collect()]
-    texts = docs.select("doc_id", "text").where("doc_id IS NOT NULL")
+    text = whole_text()
+    texts = docs.select("doc_id", F.md5(text.cast("binary")).alias("digest"), text.alias("text"))
     target = wanted.select("item_id", "hash", "n_windows", F.col("place").alias("item_place"))
     if wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         target = F.broadcast(target)
-    found = _windows(templates(texts, "doc_id"), ["doc_id"], lengths or [window]).join(target, "hash")
+    found = _windows(templates(texts, "digest"), ["digest"], lengths or [window]).join(target, "hash")
     aligned = scratch.store(
         found.withColumn("shift", F.col("place") - F.col("item_place"))
-        .groupBy("doc_id", "item_id", "n_windows", "shift")
+        .groupBy("digest", "item_id", "n_windows", "shift")
         .agg(F.countDistinct("hash").alias("n_found"))
         .where(F.col("n_found") >= share * F.col("n_windows")),
         "alignments",
     )
-    return _consistent(texts, items, aligned, agree)
+    judged = scratch.store(_consistent(texts, items, aligned, agree), "judged")
+    return texts.select("doc_id", "digest").join(judged, "digest").select(
+        "doc_id", "item_id", "n_windows", "n_found", "n_slots", "n_agree", "digest"
+    )
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """Rows of docs without a benchmark item, with all their columns."""
+    found = find_contaminated(docs, benchmark, **options).select("digest").distinct()
+    marked = docs.withColumn("__digest", F.md5(whole_text().cast("binary")))
+    rows = marked.join(found.hint("shuffle_hash"), F.col("__digest") == F.col("digest"), "left_anti")
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def _consistent(texts: DataFrame, items: DataFrame, aligned: DataFrame, agree: float) -> DataFrame:
-    """The best alignment of each document and item whose slots follow one mapping."""
-    named = aligned.select("doc_id").distinct().hint("shuffle_hash")
-    chosen = texts.join(named, "doc_id", "left_semi")
+    """The best alignment of each text and item whose slots follow one mapping."""
+    named = aligned.select("digest").distinct().hint("shuffle_hash")
+    chosen = texts.join(named, "digest", "left_semi")
     pairs = (
-        templates(chosen, "doc_id").withColumnsRenamed({"words": "own", "template": "own_template"})
-        .join(aligned, "doc_id")
+        templates(chosen, "digest").withColumnsRenamed({"words": "own", "template": "own_template"})
+        .join(aligned, "digest")
         .join(items, "item_id")
     )
     slots = pairs.select(
@@ -137,7 +151,8 @@ def _consistent(texts: DataFrame, items: DataFrame, aligned: DataFrame, agree: f
         ).alias("slots"),
     )
     keys = aligned.columns
-    exploded = slots.select(*keys, F.explode_outer("slots").alias("slot"))
+    once = slots.dropDuplicates(["digest", "item_id", "shift"])  # copies have one template
+    exploded = once.select(*keys, F.explode_outer("slots").alias("slot"))
     mapped = exploded.groupBy(*keys, "slot").agg(F.count("slot").alias("n"))
     # Of the words that one word maps to, the most frequent one is the mapping, either way.
     top = mapped.selectExpr(
@@ -154,7 +169,7 @@ def _consistent(texts: DataFrame, items: DataFrame, aligned: DataFrame, agree: f
     ).alias("best")
     return (
         judged.where(F.col("n_agree") >= agree * F.col("n_slots"))
-        .groupBy("doc_id", "item_id", "n_windows")
+        .groupBy("digest", "item_id", "n_windows")
         .agg(best)
-        .select("doc_id", "item_id", "n_windows", "best.*")
+        .select("digest", "item_id", "n_windows", "best.*")
     )

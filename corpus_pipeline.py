@@ -4,23 +4,44 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cohortscope.llm.decontam import drop_contaminated
 from cohortscope.llm.exact_dedup import drop_exact_copies
+from cohortscope.llm.jaccard import keep_one_of_similar
 from cohortscope.llm.mixing import mix_sources
+from cohortscope.llm.quality import keep_good
 from cohortscope.llm.scratch import Scratch
 
 
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rule ensemble accepts; it learns from the labels of docs."""
+    return keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts stays, the one with the largest id."""
     return drop_exact_copies(docs, keep="largest")
 
 
+def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of similar texts stays, the one with the smallest id."""
+    return keep_one_of_similar(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark item."""
+    return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """How many words of each document the mix takes."""
     return mix_sources(docs)
 
 
 STAGES = [
+    ("quality classifier", quality_classifier),
     ("exact dedup", exact_dedup),
+    ("n-gram Jaccard join", ngram_jaccard),
+    ("benchmark decontamination", decontamination),
     ("mixing sources to target weights", mixing),
 ]
 
