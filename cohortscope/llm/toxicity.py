@@ -10,8 +10,8 @@ from __future__ import annotations
 
 import pickle
 import re
-import zlib
 from collections.abc import Iterator
+from math import exp
 
 import numpy as np
 import pandas as pd
@@ -26,30 +26,35 @@ from cohortscope.llm.texts import crc_fold, whole_text
 #: Bounds on what the field is fitted on: labelled documents, marker words, and training segments
 #: with and without markers. All are taken by hash or by strength, the same ones on every run.
 FIT_DOCS, FIT_MARKERS, FIT_SEGMENTS, SEGMENT = 20_000, 20_000, 3_000, 100
-BUCKETS, STEPS, RATE, DECAY = 1 << 16, 80, 0.3, 1e-5
+STEPS, RATE, DECAY = 80, 0.3, 1e-5
+#: Smaller weights are left out of the fitted field.
+LEAST = 0.02
 #: Distinct words whose scores a worker remembers before it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
+#: Characters of text that a worker splits into words at once; a longer text is split whole.
+CHUNK = 3_000_000
 EDGES = ".,;:!?\"'()[]{}*#$%&|<>"
 RESULT = "doc_id long, hits double, top double, spans array<struct<start:int,stop:int,marginal:double>>"
 
 
-def features(word: str) -> list[int]:
-    """Hash buckets of a normalised word's features."""
-    named = ["w=" + word, "#"]
-    named += [f"<{word[:n]}" for n in range(2, 7) if len(word) >= n]
-    named += [f"{word[-n:]}>" for n in range(2, 5) if len(word) >= n]
-    return [zlib.crc32(x.encode("utf-8", "replace")) % BUCKETS for x in named]
+def features(word: str) -> list[str]:
+    """A normalised word, its beginnings and its ends; the empty feature is in every word."""
+    return [
+        "", "=" + word, "<" + word[:2], "<" + word[:3], "<" + word[:4], "<" + word[:5], "<" + word[:6],
+        word[-2:] + ">", word[-3:] + ">", word[-4:] + ">",
+    ]
 
 
 class Field:
-    """Weights of the field: per feature bucket for the toxic tag, and between tags."""
+    """Weights of the field: of features for the toxic tag, and between tags."""
 
-    def __init__(self, weights: np.ndarray | None = None, pairs: np.ndarray | None = None):
-        self.weights = np.zeros(BUCKETS) if weights is None else weights
+    def __init__(self, weights: dict[str, float] | None = None, pairs: np.ndarray | None = None):
+        self.weights = weights or {}
         self.pairs = np.zeros((2, 2)) if pairs is None else pairs
 
     def odds(self, word: str) -> float:
-        return float(np.exp(np.clip(self.weights[features(word)].sum(), -60, 60)))
+        weight = self.weights.get
+        return exp(min(max(sum([weight(f, 0.0) for f in set(features(word))]), -60.0), 60.0))
 
     def marginals(self, odds: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """The toxic tag's marginal for every word; sequence k is offsets[k] to offsets[k + 1].
@@ -87,26 +92,29 @@ class Field:
         flat = np.array([place[w] for s in sequences for w in s], dtype=np.int64)
         gold = np.array([t for s in tags for t in s], dtype=np.float64)
         offsets = np.concatenate([[0], np.cumsum([len(s) for s in sequences])]).astype(np.int64)
-        listed = [features(w) for w in words]
+        number: dict[str, int] = {}
+        listed = [[number.setdefault(f, len(number)) for f in set(features(w))] for w in words]
         owner = np.repeat(np.arange(len(words)), [len(x) for x in listed])
-        bucket = np.array([b for x in listed for b in x], dtype=np.int64)
+        feature = np.array([f for x in listed for f in x], dtype=np.int64)
+        weights = np.zeros(len(number))
         inner = np.ones(len(flat), dtype=bool)
         inner[offsets[:-1][np.diff(offsets) > 0]] = False  # words that have one before them
         now = np.flatnonzero(inner)
         seen = np.zeros((2, 2))
         np.add.at(seen, (gold[now - 1].astype(int), gold[now].astype(int)), 1)
-        mean_w, mean_p = np.zeros(BUCKETS), np.zeros((2, 2))
+        mean_w, mean_p = np.zeros(len(number)), np.zeros((2, 2))
         for _ in range(STEPS):
-            scores = np.bincount(owner, self.weights[bucket], len(words))
+            scores = np.bincount(owner, weights[feature], len(words))
             odds = np.exp(np.clip(scores, -60, 60))[flat]
             marginal, expected = self._expect(odds, offsets, now)
             word_slope = np.bincount(flat, gold - marginal, len(words))
-            slope = np.bincount(bucket, word_slope[owner], BUCKETS) - DECAY * len(flat) * self.weights
+            slope = np.bincount(feature, word_slope[owner], len(number)) - DECAY * len(flat) * weights
             pair_slope = seen - expected - DECAY * len(flat) * self.pairs
             mean_w += slope**2
             mean_p += pair_slope**2
-            self.weights += RATE * slope / (np.sqrt(mean_w) + 1e-6)
+            weights += RATE * slope / (np.sqrt(mean_w) + 1e-6)
             self.pairs += RATE * pair_slope / (np.sqrt(mean_p) + 1e-6)
+        self.weights = {f: float(weights[i]) for f, i in number.items() if abs(weights[i]) >= LEAST}
         return self
 
     def _expect(self, odds, offsets, now) -> tuple[np.ndarray, np.ndarray]:
@@ -194,26 +202,32 @@ def tag_documents(texts: DataFrame, field: Field) -> DataFrame:
     def tag(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         odds_of = _Odds(field)
         for batch in batches:
-            split = [t.split() for t in batch["text"]]
-            offsets = np.concatenate([[0], np.cumsum([len(s) for s in split])]).astype(np.int64)
-            odds = np.fromiter((odds_of[w] for s in split for w in s), np.float64, offsets[-1])
-            p = field.marginals(odds, offsets)
-            hits, top = np.zeros(len(split)), np.zeros(len(split))
-            found = np.flatnonzero(p >= 0.1)
-            np.add.at(hits, np.searchsorted(offsets, found, side="right") - 1, p[found])
-            filled = np.diff(offsets) > 0
-            if len(p):
-                top[filled] = np.maximum.reduceat(p, offsets[:-1][filled])
-            spans = [
-                _spans(text, p[a:b]) if y >= 0.5 else []
-                for text, a, b, y in zip(batch["text"], offsets[:-1], offsets[1:], top)
-            ]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "hits": hits, "top": top, "spans": spans})
+            size = batch["text"].str.len().cumsum() // CHUNK
+            for _, part in batch.groupby(size, sort=False):
+                yield _tagged(part, field, odds_of)
 
     rows = texts.select("doc_id", whole_text().alias("text"))
     return rows.mapInPandas(tag, RESULT)
 
 
+def _tagged(batch: pd.DataFrame, field: Field, odds_of: _Odds) -> pd.DataFrame:
+    split = [t.split() for t in batch["text"]]
+    offsets = np.concatenate([[0], np.cumsum([len(s) for s in split])]).astype(np.int64)
+    odds = np.fromiter((odds_of[w] for s in split for w in s), np.float64, offsets[-1])
+    p = field.marginals(odds, offsets)
+    hits, top = np.zeros(len(split)), np.zeros(len(split))
+    found = np.flatnonzero(p >= 0.1)
+    np.add.at(hits, np.searchsorted(offsets, found, side="right") - 1, p[found])
+    filled = np.diff(offsets) > 0
+    if len(p):
+        top[filled] = np.maximum.reduceat(p, offsets[:-1][filled])
+    spans = [
+        _spans(text, p[a:b]) if y >= 0.5 else []
+        for text, a, b, y in zip(batch["text"], offsets[:-1], offsets[1:], top)
+    ]
+    return pd.DataFrame({"doc_id": batch["doc_id"], "hits": hits, "top": top, "spans": spans})
+
+
 def _spans(text: str, marginals: np.ndarray) -> list[dict]:
     words = [m.span() for m in re.finditer(r"\S+", text)]
     if len(words) != len(marginals):  # split() knows a few more kinds of white space
