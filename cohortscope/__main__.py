@@ -7,6 +7,7 @@ from datetime import date
 
 from pyspark.sql import SparkSession
 
+from cohortscope.operators.quality import MINIMUM_ROWS
 from cohortscope.plans import stages
 from cohortscope.study import Study
 
@@ -22,7 +23,9 @@ def arguments(words: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="cohortscope", description=__doc__)
     parser.add_argument(
         "stage",
-        choices=["genotypes", "annotations", "guidance", "silver", "gold", "export", "documents"],
+        choices=[
+            "genotypes", "annotations", "guidance", "check", "silver", "gold", "export", "documents",
+        ],
     )
     parser.add_argument("--root", required=True, help="folder of all tables")
     parser.add_argument("--date", type=date.fromisoformat, help="ingest or snapshot date")
@@ -31,6 +34,10 @@ def arguments(words: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--recommendations")
     parser.add_argument("--guidelines")
     parser.add_argument("--drugs")
+    parser.add_argument(
+        "--minimum", action="append", default=[], metavar="TABLE=ROWS",
+        help="rows a bronze table needs, instead of the fixed number",
+    )
     for table in ANNOTATION_TABLES:
         parser.add_argument(f"--{table}")
     return parser.parse_args(words)
@@ -40,6 +47,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     layout = stages.Layout(args.root.rstrip("/"))
     day = args.date or date.today()
     study = Study(snapshot_date=day)
+    given = (m.partition("=") for m in args.minimum)
+    minimum = {**MINIMUM_ROWS, **{table: int(rows) for table, _, rows in given}}
     if args.stage == "genotypes":
         stages.ingest_genotypes(spark, args.calls, args.panel, layout, day, study)
     elif args.stage == "annotations":
@@ -49,7 +58,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         stages.ingest_guidance(
             spark, args.recommendations, args.guidelines, args.drugs, layout, day
         )
+    elif args.stage == "check":
+        stages.check_bronze(spark, layout, minimum)
     elif args.stage == "silver":
+        stages.check_bronze(spark, layout, minimum)
         stages.build_silver(spark, layout, study, args.date)
     elif args.stage == "gold":
         stages.build_gold(spark, layout, study)

@@ -104,8 +104,7 @@ GENE_SCOPE = (
         "EXCLUDED: copy number variation (CNV) and complex star-allele structure "
         "require a dedicated caller (Aldy or PyPGx) applied to WGS BAMs. "
         "Standard VCF genotypes are insufficient for reliable diplotype calling. "
-        "Will be addressed in a future phase with an appropriate caller integrated "
-        "into the Glue job.",
+        "Will be addressed in a future phase with an appropriate caller.",
     ),
 )
 

@@ -12,16 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cohortscope.study import Study
 
-# A setting table above this many rows is configuration gone wrong, not a dimension.
-MAX_ROWS = 100_000
-
-
 def local_table(
     spark: SparkSession, rows: Sequence[tuple], columns: Sequence[tuple[str, pa.DataType]]
 ) -> DataFrame:
     """A table of literal rows, planned as a local relation (no job, no Python worker)."""
-    if len(rows) > MAX_ROWS:
-        raise ValueError(f"{len(rows)} rows are too many for a setting table")
     arrays = [
         pa.array([row[i] for row in rows], type=kind) for i, (_, kind) in enumerate(columns)
     ]

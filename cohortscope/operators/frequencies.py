@@ -71,9 +71,9 @@ def build_allele_frequencies(
         f"{rounded('_ci.lower', 6)} AS ci_lower_wilson",
         f"{rounded('_ci.upper', 6)} AS ci_upper_wilson",
     )
-    if min_maf is not None:
-        rated = rated.where(f"least(allele_frequency, 1 - allele_frequency) > {min_maf!r}D")
     compared = with_baseline_frequency(rated, study.baseline)
+    if min_maf is not None:  # after the comparison: a rare baseline still is the baseline
+        compared = compared.where(f"least(allele_frequency, 1 - allele_frequency) > {min_maf!r}D")
     flagged = compared.join(flagged_variants(clinical_variants), "variant_id", "left")
     return conform_present(
         flagged.selectExpr(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from cohortscope.functions.genome import touches_regions
 from cohortscope.operators.dedup import keep_first
@@ -61,33 +62,59 @@ def parse_records(lines: DataFrame, study: Study | None = None) -> DataFrame:
     return records.drop("last_position")
 
 
-def melt_genotypes(records: DataFrame, columns: DataFrame) -> DataFrame:
-    """One row per record and wanted sample with a complete call.
+def header_samples(columns: DataFrame) -> DataFrame:
+    """(header, names, repeats): one row per header from (header, column_index, sample_id).
 
-    ``columns`` (header, column_index, sample_id) says which sample a field belongs to;
-    index 0 is the first sample field. It comes hinted by the reader, by its size.
+    ``names`` has the sample of each column, null where it is not wanted; ``repeats`` says
+    whether a sample has several columns.
     """
+    listed = "sort_array(collect_list(struct(column_index, sample_id)))"
+    gathered = columns.groupBy("header").agg(
+        F.expr(listed).alias("_listed"), F.max("column_index").alias("_last")
+    )
+    by_index = "map_from_entries(_listed)"
+    return gathered.selectExpr(
+        "header",
+        f"transform(sequence(0, CAST(_last AS INT)), i -> try_element_at({by_index}, i)) AS names",
+        "size(array_distinct(_listed.sample_id)) < size(_listed) AS repeats",
+    )
+
+
+def identified(records: DataFrame) -> DataFrame:
+    """Records that hold genotypes, with the id of their variant."""
+    return records.where("substring_index(format, ':', 1) = 'GT'").withColumn(
+        "variant_id",
+        F.expr(
+            "CASE WHEN coalesce(id, '.') IN ('.', '') THEN concat(chromosome, ':', position) "
+            "ELSE id END"
+        ),
+    )
+
+
+def melt_genotypes(records: DataFrame) -> DataFrame:
+    """One row per identified record (with its header's names) and wanted complete call.
+
+    Calls of other samples are dropped inside the array, before rows are made of it.
+    """
+    named = "transform(split(calls, '\\t'), (c, i) -> struct(get(names, i) AS sample_id, c AS call))"
     calls = (
-        records.where("substring_index(format, ':', 1) = 'GT'")
-        .selectExpr(
-            "header",
+        records.selectExpr(
             "chromosome",
             "position",
-            "CASE WHEN coalesce(id, '.') IN ('.', '') THEN concat(chromosome, ':', position) "
-            "ELSE id END AS variant_id",
+            "variant_id",
             "reference_allele",
             "alternate_allele",
             "try_cast(quality AS DOUBLE) AS quality",
             "CASE WHEN coalesce(filter_status, '.') IN ('.', '') THEN 'PASS' "
             "ELSE filter_status END AS filter_status",
-            "posexplode(split(calls, '\\t')) AS (column_index, call)",
+            f"inline(filter({named}, x -> x.sample_id IS NOT NULL))",
         )
         .selectExpr("*", "substring_index(call, ':', 1) AS _alleles")
         .where("_alleles <> '' AND NOT contains(_alleles, '.')")
     )
     common = " ".join(f"WHEN '{call}' THEN {dosage}" for call, dosage in COMMON_DOSAGES.items())
     counted = "size(filter(split(_alleles, '[|/]'), a -> CAST(a AS INT) > 0))"
-    melted = calls.join(columns, ["header", "column_index"]).selectExpr(
+    melted = calls.selectExpr(
         "*",
         f"CASE _alleles {common} ELSE {counted} END AS allele_dosage",
         # One unphased separator makes the whole call unphased.
@@ -98,6 +125,24 @@ def melt_genotypes(records: DataFrame, columns: DataFrame) -> DataFrame:
     return conform(melted, GENOTYPES)
 
 
-def assemble_variants(calls: DataFrame) -> DataFrame:
-    """One row per variant and sample; repeated records keep the first by position."""
-    return keep_first(calls, ["variant_id", "sample_id"], CALL_ORDER).select(*calls.columns)
+def assemble_variants(records: DataFrame, columns: DataFrame) -> DataFrame:
+    """One row per variant and sample; repeated records keep the first call by position.
+
+    Whether calls can repeat is decided on the records, a row per site: only variants with
+    several records, and headers that list a sample twice, need the deduplication. Their
+    calls take it; the calls of all others are never shuffled. The header table is as large
+    as the header text, which the reader holds, and is broadcast.
+    """
+    sites = identified(records)
+    repeated = sites.groupBy("variant_id").count().where("count > 1").selectExpr(
+        "variant_id", "TRUE AS _repeated"
+    )
+    marked = (
+        sites.join(F.broadcast(header_samples(columns)), "header")
+        .join(repeated, "variant_id", "left")
+        .withColumn("_repeated", F.expr("repeats OR coalesce(_repeated, FALSE)"))
+    )
+    single = melt_genotypes(marked.where("NOT _repeated"))
+    several = melt_genotypes(marked.where("_repeated"))
+    first = keep_first(several, ["variant_id", "sample_id"], CALL_ORDER)
+    return single.unionByName(first.select(*single.columns))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from cohortscope import domain
 from cohortscope.functions import literal, lookup
@@ -10,10 +11,17 @@ from cohortscope.functions.numbers import decimal_units, tenths
 from cohortscope.schemas import RANKING, conform
 from cohortscope.study import Study
 
-ORDER = (
-    "_score DESC NULLS LAST, drug_name, gene_symbol, population_code, "
-    "classification_strength, delta_vs_baseline DESC"
-)
+SORT = {
+    "_score": "DESC NULLS LAST", "drug_name": "ASC", "gene_symbol": "ASC",
+    "population_code": "ASC", "classification_strength": "ASC", "delta_vs_baseline": "DESC",
+}
+ORDER = ", ".join(f"{column} {way}" for column, way in SORT.items())
+
+
+def sort_columns() -> list[Column]:
+    """The ranking's order as columns."""
+    ways = {"DESC NULLS LAST": F.desc_nulls_last, "ASC": F.asc, "DESC": F.desc}
+    return [ways[way](column) for column, way in SORT.items()]
 
 
 def implication(study: Study) -> str:
@@ -32,28 +40,28 @@ def build_ranking(
 ) -> DataFrame:
     """The top rows by score, with every gene's best row among them.
 
-    A row outside its gene's ``top_n`` is outside the overall top as well. That filter
-    becomes a group limit ahead of the exchange, so the numbering, which has to see all
-    candidates in one order, gets at most ``top_n`` rows per gene however many drugs and
-    cohorts there are.
+    The best row per gene is a group limit ahead of the exchange. The others compete in one
+    ordered limit, of which every task keeps ``top_n`` rows, so the numbering, which has to
+    see its rows in one order, gets one row per gene and ``top_n`` more.
     """
     weight = lookup(
         "classification_strength",
         study.strength_weights,
         literal(domain.DEFAULT_STRENGTH_WEIGHT),
     )
-    eligible = (
+    scored = (
         impact.where(f"NOT (population_code <=> {literal(study.baseline)})")
         .selectExpr(
             "*", f"abs(delta_vs_baseline) * {weight} * percentage_requiring_change AS _score"
         )
         .selectExpr("*", f"row_number() OVER (PARTITION BY gene_symbol ORDER BY {ORDER}) AS _place")
-        .where(f"_place <= {max(int(top_n), 1)}")
     )
+    fillers = scored.where("_place > 1").orderBy(*sort_columns()).limit(int(top_n))
     # Best rows of the genes first, then the fillers: the first top_n slots are the
     # result, and best rows stay even when there are more genes than slots.
     ranked = (
-        eligible.selectExpr("*", f"row_number() OVER (ORDER BY _place > 1, {ORDER}) AS _slot")
+        scored.where("_place = 1").unionByName(fillers)
+        .selectExpr("*", f"row_number() OVER (ORDER BY _place > 1, {ORDER}) AS _slot")
         .where(f"_slot <= {int(top_n)} OR _place = 1")
         .selectExpr(
             "*",

@@ -8,15 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortscope.functions import literals
-from cohortscope.functions.genome import disjoint_regions, gene_at, in_regions
+from cohortscope.functions.genome import disjoint_regions, in_regions
 from cohortscope.operators.dedup import keep_first, lookup_side
 from cohortscope.operators.dimensions import region_table
 from cohortscope.schemas import VARIANTS, conform_present
 from cohortscope.study import Region, Study
 
-# Up to this many regions the lookup is an expression, beyond it a join.
-MAX_REGION_TERMS = 64
-
 CALL_COLUMNS = (
     "sample_id",
     "variant_id",
@@ -32,21 +29,26 @@ CALL_ORDER = ("chromosome", "position", "reference_allele", "alternate_allele",
 
 
 def assign_genes(df: DataFrame, regions: Sequence[Region]) -> DataFrame:
-    """Adds ``gene_symbol`` by position, null outside all regions; no shuffle either way.
+    """Adds ``gene_symbol`` by position, null outside all regions; no shuffle.
 
-    Overlaps resolve to the region listed last. The join form cuts the regions into
-    disjoint pieces first, so it never multiplies rows.
+    Overlaps resolve to the region listed last. The regions, a setting, are cut into
+    disjoint pieces first, so the broadcast join on the chromosome never multiplies rows.
     """
-    if len(regions) <= MAX_REGION_TERMS:
-        return df.selectExpr("*", f"{gene_at('chromosome', 'position', regions)} AS gene_symbol")
     return _with_regions(df, regions, "left").select("v.*", "r.gene_symbol")
 
 
 def keep_regions(df: DataFrame, regions: Sequence[Region]) -> DataFrame:
-    """Rows inside some region: a filter the Parquet scan can use, else a semi join."""
-    if len(regions) <= MAX_REGION_TERMS:
-        return df.where(in_regions("chromosome", "position", regions))
-    return _with_regions(df, regions, "left_semi")
+    """Rows inside some region; the scan gets the span of each chromosome's regions."""
+    return _with_regions(df.where(in_regions("chromosome", "position", spans(regions))), regions, "left_semi")
+
+
+def spans(regions: Sequence[Region]) -> list[Region]:
+    """One region per chromosome, from its first start to its last end."""
+    return [
+        Region("", c, min(r.start for r in own), max(r.end for r in own))
+        for c in dict.fromkeys(r.chromosome for r in regions)
+        for own in [[r for r in regions if r.chromosome == c]]
+    ]
 
 
 def _with_regions(df: DataFrame, regions: Sequence[Region], how: str) -> DataFrame:
@@ -70,23 +72,33 @@ def build_variants(
     samples: DataFrame,
     study: Study,
     order_by: Sequence[str] = CALL_ORDER,
+    single_calls: bool = False,
 ) -> DataFrame:
     """Calls inside the study's genes with gene and cohort, one per (sample, variant).
 
-    Copies are removed before the sample join: the shuffle then carries no cohort
-    columns, and the join is followed by partial aggregates only, which lets adaptive
-    execution split a sample with very many rows. The samples are not hinted; Spark
-    broadcasts them when their measured size allows.
+    ``single_calls`` promises that no (sample, variant) repeats, as the bronze table does;
+    nothing is deduplicated then. Otherwise calls of samples outside the study go first, so
+    they are not shuffled, and copies are removed before the attribute join: the shuffle
+    carries no cohort columns, and the join is followed by partial aggregates only, which
+    lets adaptive execution split a sample with very many rows. The samples are not hinted;
+    Spark broadcasts them when their measured size allows.
     """
-    located = assign_genes(keep_regions(calls, study.regions), study.regions)
+    located = assign_genes(calls.where(in_regions("chromosome", "position", spans(study.regions))), study.regions)
     columns = located.columns
     kept = [c for c in CALL_COLUMNS if c in columns]
     order = [c for c in order_by if c in columns]
     located = located.where("gene_symbol IS NOT NULL").select(
         *kept, *[c for c in order if c not in kept]
     )
-    single = keep_first(located, ["sample_id", "variant_id"], order).select(*kept)
-    return conform_present(single.join(target_samples(samples, study), "sample_id"), VARIANTS)
+    targets = target_samples(samples, study)
+    if single_calls:
+        single = located.select(*kept)
+    else:
+        wanted = located.join(targets.select("sample_id"), "sample_id", "left_semi")
+        # Passed through an expression, so that a hot sample's calls are dealt anew.
+        wanted = wanted.withColumn("sample_id", F.expr("concat(sample_id, '')"))
+        single = keep_first(wanted, ["sample_id", "variant_id"], order).select(*kept)
+    return conform_present(single.join(targets, "sample_id"), VARIANTS)
 
 
 def require_calls(calls: DataFrame, samples: DataFrame, study: Study) -> None:

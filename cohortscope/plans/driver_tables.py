@@ -15,9 +15,10 @@ STUDY = Study(
     snapshot_date=date(2025, 1, 1),
     baseline="NATION_0",
     cohorts={"NATION_0": ("Cohort Zero", "North"), "NATION_7": ("Cohort Seven", "South")},
-    target_cohorts=tuple(f"NATION_{i}" for i in range(25)),
+    target_cohorts=tuple(f"NATION_{i}" for i in range(22)),
     regions=(
         Region("G1", "chr1", 0, 299),
+        Region("G4", "chr2", 50, 199),  # overlaps the next one, which wins
         Region("G2", "chr2", 100, 699),
         Region("G3", "chr3", 0, 799),
         Region("G4", "chr4", 200, 999),
@@ -129,7 +130,9 @@ def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
         "'A' AS reference_allele",
         "'G' AS alternate_allele",
         "concat('S', o_custkey) AS sample_id",
-        f"{pick(('0|0', '0|1', '1|1'), 'allele_dosage')} AS genotype",
+        # Some calls have one allele.
+        "CASE WHEN l_suppkey % 10 = 0 AND allele_dosage < 2 THEN CAST(allele_dosage AS STRING) "
+        f"ELSE {pick(('0|0', '0|1', '1|1'), 'allele_dosage')} END AS genotype",
         "allele_dosage",
         *FACT_ORDER,
     )
@@ -249,7 +252,7 @@ def variant_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Embeddings as variant file lines: one record per vector, one sample per dimension."""
     call = pick(CALL_TEXTS, "floor(abs(x) * 100) % 6")
     return table(spark, sf_dir, "embeddings").selectExpr(
-        "0 AS header",
+        "CAST(vec_id % 2 AS INT) AS header",
         f"""concat_ws('\\t',
             label % 5 + 1,
             vec_id * 3,
@@ -270,7 +273,9 @@ def line_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
         .selectExpr("explode(sequence(0, size(embedding) - 1)) AS column_index")
         .distinct()
         .selectExpr(
-            "0 AS header", "column_index", "concat('P', column_index) AS sample_id"
+            "explode(array(0, 1)) AS header",
+            "column_index",
+            "concat('P', column_index) AS sample_id",
         )
     )
 

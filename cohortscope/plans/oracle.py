@@ -54,6 +54,7 @@ COHORT_ROWS = ", ".join(
     f"({text(code)}, {text(name)}, {text(region)})"
     for code, (name, region) in STUDY.cohorts.items()
 )
+TARGETS = ", ".join(text(c) for c in STUDY.target_cohorts)
 LOWER_K, UPPER_K = wilson("allele_count", "total_alleles")
 LOWER_P, UPPER_P = wilson("individual_count", "population_total")
 STRENGTH = "trim(lower(coalesce(classification_strength, '')))"
@@ -89,7 +90,9 @@ PARTS = {
             SELECT 'S' || o_custkey AS sample_id, chromosome || ':' || position AS variant_id,
                    gene_symbol, chromosome, position, 'A' AS reference_allele,
                    'G' AS alternate_allele, allele_dosage,
-                   (['0|0', '0|1', '1|1'])[allele_dosage + 1] AS genotype,
+                   CASE WHEN l_suppkey % 10 = 0 AND allele_dosage < 2
+                        THEN CAST(allele_dosage AS VARCHAR)
+                        ELSE (['0|0', '0|1', '1|1'])[allele_dosage + 1] END AS genotype,
                    row_number() OVER (
                        PARTITION BY o_custkey, chromosome, position
                        ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity,
@@ -97,13 +100,14 @@ PARTS = {
             FROM located JOIN orders ON l_orderkey = o_orderkey
             WHERE gene_symbol IS NOT NULL)
         JOIN samples USING (sample_id)
-        WHERE copy = 1)""",
+        WHERE copy = 1 AND population_code IN (""" + TARGETS + "))",
     "populations": """populations AS (
         SELECT population_code, coalesce(name, population_code) AS population_name,
                superpopulation, coalesce(area, 'Unknown') AS region, sample_size
         FROM (SELECT population_code, superpopulation, count(*) AS sample_size
-              FROM samples GROUP BY 1, 2)
-        LEFT JOIN cohort_names ON code = population_code)""",
+              FROM samples WHERE population_code IN (""" + TARGETS + """) GROUP BY 1, 2)
+        LEFT JOIN cohort_names ON code = population_code),
+    sized AS (SELECT * FROM populations WHERE population_code <> 'NATION_5')""",
     "guidance": f"""guidance AS (
         SELECT 'GL' || p_partkey AS guideline_id, 'G' || (p_partkey % 5 + 1) AS gene_symbol,
                CASE WHEN p_partkey % 2 = 1 THEN '  ' || upper(p_name) || ' ' ELSE p_name END
@@ -176,12 +180,6 @@ PARTS = {
         SELECT *, round_even(allele_count / total_alleles, 6) AS allele_frequency,
                {LOWER_K} AS ci_lower_wilson, {UPPER_K} AS ci_upper_wilson
         FROM counts)""",
-    "common_rated": f"""rated AS (
-        SELECT *, round_even(allele_count / total_alleles, 6) AS allele_frequency,
-               {LOWER_K} AS ci_lower_wilson, {UPPER_K} AS ci_upper_wilson
-        FROM counts
-        WHERE least(round_even(allele_count / total_alleles, 6),
-                    1 - round_even(allele_count / total_alleles, 6)) > 0.45)""",
     "frequencies": """frequencies AS (
         SELECT r.*, round_even(r.allele_frequency - b.allele_frequency, 6) AS delta_vs_ceu,
                r.variant_id IN (SELECT variant_rsid FROM clinical WHERE is_actionable)
@@ -204,17 +202,20 @@ PARTS = {
         FROM (SELECT *, CASE WHEN gene_symbol = 'G4' THEN 2 * n_key - total_dosage
                              ELSE total_dosage END AS copies FROM dosages))""",
     "phenotypes": f"""observed AS (
-        SELECT gene_symbol, population_code, p.superpopulation, phenotype_category,
-               count(*) AS individual_count, sample_size AS population_total,
-               count(*) / sample_size AS share, 'observed' AS data_source
-        FROM people p JOIN populations USING (population_code)
-        GROUP BY gene_symbol, population_code, p.superpopulation, phenotype_category,
-                 sample_size),
+        SELECT *, individual_count / population_total AS share, 'observed' AS data_source
+        FROM (
+            SELECT gene_symbol, population_code, p.superpopulation, phenotype_category,
+                   count(*) AS individual_count,
+                   coalesce(sample_size, CAST(sum(count(*)) OVER (
+                       PARTITION BY gene_symbol, population_code) AS BIGINT)) AS population_total
+            FROM people p LEFT JOIN sized USING (population_code)
+            GROUP BY gene_symbol, population_code, p.superpopulation, phenotype_category,
+                     sample_size)),
     published AS (
         SELECT 'G3' AS gene_symbol, population_code, superpopulation, category, share,
                CAST(round_even(share * sample_size, 0) AS BIGINT) AS individual_count,
                sample_size AS population_total
-        FROM populations,
+        FROM sized,
              (VALUES ('Normal', (1 - 0.031::DOUBLE) * (1 - 0.031::DOUBLE)),
                      ('Intermediate', 2 * 0.031::DOUBLE * (1 - 0.031::DOUBLE)),
                      ('Poor', 0.031::DOUBLE * 0.031::DOUBLE)) AS t(category, share)
@@ -275,9 +276,9 @@ PARTS = {
             WHERE x.gene_symbol = 'G1' AND y.gene_symbol = 'G2')
         GROUP BY population_code),
     joint_rated AS (
-        SELECT population_code, sample_size AS population_total, affected,
-               round_even(affected / sample_size * 100, 2) AS pct
-        FROM joint_rows JOIN populations USING (population_code)),
+        SELECT population_code, coalesce(sample_size, seen) AS population_total, affected,
+               round_even(affected / coalesce(sample_size, seen) * 100, 2) AS pct
+        FROM joint_rows LEFT JOIN sized USING (population_code)),
     joint AS (
         SELECT 'joint drug' AS drug_name, 'G1+G2' AS gene_symbol, population_code,
                population_total, 'Strong' AS classification_strength,
@@ -481,7 +482,7 @@ ORACLE_SQL: dict[str, str] = {
             FROM embeddings WHERE vec_id % 11 <> 1 AND vec_id % 13 <> 1),
         fetched AS (
             SELECT * FROM records r WHERE EXISTS (
-                SELECT 1 FROM (VALUES ('chr1', 0, 299), ('chr2', 100, 699), ('chr3', 0, 799),
+                SELECT 1 FROM (VALUES ('chr1', 0, 299), ('chr2', 50, 699), ('chr3', 0, 799),
                                       ('chr4', 200, 999)) AS g(chrom, lo, hi)
                 WHERE chrom = chromosome AND position <= hi + 50
                   AND position + 1 >= greatest(1, lo - 50))),
@@ -593,8 +594,9 @@ ORACLE_SQL: dict[str, str] = {
                CAST(sum(l_orderkey) AS BIGINT) AS order_sum
         FROM typed GROUP BY line, tax, discounted, flag""",
     "maf_filter": sql(
-        [*FACTS, *CLINICAL, "counts", "common_rated", "frequencies"],
-        f"SELECT {FREQUENCY_COLUMNS} FROM frequencies",
+        FREQUENCIES,
+        f"""SELECT {FREQUENCY_COLUMNS} FROM frequencies
+            WHERE least(allele_frequency, 1 - allele_frequency) > 0.45""",
     ),
     "top_variants_per_gene": sql(
         FREQUENCIES,

@@ -31,7 +31,7 @@ from cohortscope.operators.impact import (
     build_drug_impact,
     build_joint_impact,
 )
-from cohortscope.operators.melt import assemble_variants, melt_genotypes, parse_records
+from cohortscope.operators.melt import assemble_variants, parse_records
 from cohortscope.operators.phenotypes import (
     build_phenotypes,
     individual_dosage,
@@ -46,6 +46,7 @@ from cohortscope.plans import driver_tables as dt
 Query = Callable[[SparkSession, str], DataFrame]
 
 STUDY = dt.STUDY
+UNSIZED_COHORT = "NATION_5"
 EXPORTED_VARIANTS = ("chr1:0", "chr1:125", "chr2:150", "chr3:300", "chr4:200")
 
 
@@ -53,6 +54,11 @@ def populations(spark: SparkSession, sf: str) -> DataFrame:
     return build_populations(dt.samples(spark, sf), STUDY)
 
 
+def recorded_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    """Cohort sizes, of which one is missing: its people are counted instead."""
+    return populations(spark, sf).where(f"population_code <> '{UNSIZED_COHORT}'")
+
+
 def clinical_variants(spark: SparkSession, sf: str) -> DataFrame:
     return build_clinical_variants(dt.annotations(spark, sf), STUDY)
 
@@ -81,7 +87,7 @@ def individual_dosages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def phenotype_distribution(spark: SparkSession, sf: str) -> DataFrame:
-    return build_phenotypes(dosages(spark, sf), populations(spark, sf), STUDY)
+    return build_phenotypes(dosages(spark, sf), recorded_sizes(spark, sf), STUDY)
 
 
 def literature_correction(spark: SparkSession, sf: str) -> DataFrame:
@@ -105,12 +111,12 @@ def drug_impact_strict(spark: SparkSession, sf: str) -> DataFrame:
 
 def joint_impact(spark: SparkSession, sf: str) -> DataFrame:
     people = individual_dosage(dt.variants(spark, sf), STUDY, STUDY.joint.genes)
-    return build_joint_impact(people, populations(spark, sf), STUDY)
+    return build_joint_impact(people, recorded_sizes(spark, sf), STUDY)
 
 
 def all_impact(spark: SparkSession, sf: str) -> DataFrame:
     """Single-gene and joint impact from the same dosage rows (one shared exchange)."""
-    people, cohorts = dosages(spark, sf), populations(spark, sf)
+    people, cohorts = dosages(spark, sf), recorded_sizes(spark, sf)
     single = build_drug_impact(
         build_phenotypes(people, cohorts, STUDY), dt.recommendations(spark, sf), STUDY
     )
@@ -141,7 +147,7 @@ def guideline_flatten(spark: SparkSession, sf: str) -> DataFrame:
 
 def genotype_melt(spark: SparkSession, sf: str) -> DataFrame:
     records = parse_records(dt.variant_lines(spark, sf), STUDY)
-    return assemble_variants(melt_genotypes(records, dt.line_columns(spark, sf)))
+    return assemble_variants(records, dt.line_columns(spark, sf))
 
 
 def cross_reference_ids(spark: SparkSession, sf: str) -> DataFrame:
@@ -180,7 +186,7 @@ def dominant_and_mean(spark: SparkSession, sf: str) -> DataFrame:
 
 def knowledge_documents(spark: SparkSession, sf: str) -> DataFrame:
     """The phenotype table feeds both the ranking and the documents."""
-    people, cohorts = dosages(spark, sf), populations(spark, sf)
+    people, cohorts = dosages(spark, sf), recorded_sizes(spark, sf)
     phenotypes = build_phenotypes(people, cohorts, STUDY)
     impact = build_drug_impact(phenotypes, dt.recommendations(spark, sf), STUDY).unionByName(
         build_joint_impact(people, cohorts, STUDY)

@@ -25,7 +25,7 @@ from cohortscope.operators.quality import MINIMUM_ROWS, require_rows
 from cohortscope.operators.ranking import build_ranking
 from cohortscope.operators.variants import build_variants, require_calls
 from cohortscope.sinks.artifacts import export_artifact, write_documents, write_json
-from cohortscope.sinks.tables import write_bronze, write_table, write_variants
+from cohortscope.sinks.tables import upsert_table, write_bronze, write_table, write_variants
 from cohortscope.sources import annotation_files as files
 from cohortscope.sources.tables import read_date, read_latest, read_table
 from cohortscope.sources.variant_files import read_genotypes
@@ -118,8 +118,10 @@ def build_silver(
         build_pharmacogenes(bronze("pharmgkb_genes_raw"), study), layout.silver("pharmacogenes")
     )
     calls = bronze("genomes_variants_raw")
-    if write_variants(build_variants(calls, samples, study), layout.silver("variants")) == 0:
-        require_calls(calls, samples, study)
+    require_calls(calls, samples, study)
+    write_variants(
+        build_variants(calls, samples, study, single_calls=True), layout.silver("variants")
+    )
     write_table(
         build_clinical_variants(bronze("pharmgkb_clinical_annotations_raw"), study),
         layout.silver("clinical_variants"),
@@ -130,12 +132,28 @@ def build_silver(
     )
 
 
+#: Business keys of the gold tables; the first column is their partition.
+GOLD_KEYS = {
+    "allele_frequencies_by_population": [
+        "gene_symbol", "variant_id", "chromosome", "position", "reference_allele",
+        "alternate_allele", "population_code", "superpopulation",
+    ],
+    "phenotype_distribution_by_population": [
+        "gene_symbol", "population_code", "superpopulation", "phenotype_category",
+    ],
+    "drug_impact_summary": [
+        "drug_name", "gene_symbol", "population_code", "classification_strength",
+    ],
+}
+
+
 def build_gold(spark: SparkSession, layout: Layout, study: Study) -> None:
+    """Rows of this run replace stored rows of the same business key; other rows stay."""
     def silver(table: str) -> DataFrame:
         return read_table(spark, layout.silver(table))
 
     def store(df: DataFrame, table: str) -> DataFrame:
-        write_table(df, layout.gold(table))
+        upsert_table(df, layout.gold(table), GOLD_KEYS[table], GOLD_KEYS[table][:1])
         return read_table(spark, layout.gold(table))
 
     variants, populations = silver("variants"), silver("populations")
@@ -156,7 +174,8 @@ def build_gold(spark: SparkSession, layout: Layout, study: Study) -> None:
         build_drug_impact(phenotypes, silver("drug_recommendations"), study).unionByName(joint),
         "drug_impact_summary",
     )
-    store(build_ranking(impact, study), "actionability_ranking")
+    # The ranking is one order over all stored impact rows, so it is replaced as a whole.
+    write_table(build_ranking(impact, study), layout.gold("actionability_ranking"))
 
 
 def export_artifacts(spark: SparkSession, layout: Layout, study: Study) -> dict[str, int]:

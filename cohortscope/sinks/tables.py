@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
 from datetime import date
+from functools import reduce
+from operator import and_
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation
@@ -11,6 +14,7 @@ from pyspark.sql import functions as F
 
 from cohortscope.operators.quality import guarded, validate
 from cohortscope.operators.upsert import upsert
+from cohortscope.sources.tables import partition_columns, stored_files
 
 CODEC = "snappy"
 
@@ -60,17 +64,49 @@ def _replace_partitions(df: DataFrame, root: str, partitions: Iterable[str]) ->
 def upsert_table(
     updates: DataFrame, root: str, keys: Sequence[str], partition_by: Sequence[str]
 ) -> None:
-    """Replace rows of a partitioned table by business key, or add them.
+    """Replace rows of a partitioned table by business key, or add them; makes a new table.
 
-    Only partitions that occur in the updates are read and rewritten; the partition
-    columns belong to the key. The new files replace the old ones at the commit.
+    The updates are landed once, beside the table. The partitions that occur in them, few by
+    design, become a literal filter, so no other partition is read. The merged rows are landed as
+    well before they replace the partitions: nothing is read from what is overwritten. A table
+    whose files are not partitioned by exactly these columns is refused. Landed rows stay in
+    ``<root>.landed/<run>`` until the store's owner removes them.
     """
     if not set(partition_by) <= set(keys):
         raise ValueError(f"partition columns {partition_by} must be part of the key {keys}")
-    current = updates.sparkSession.read.parquet(root).select(updates.columns)
-    touched = updates.select(*partition_by).distinct()
-    merged = upsert(current.join(touched, list(partition_by), "left_semi"), updates, keys)
-    _replace_partitions(merged.hint("rebalance", *partition_by), root, partition_by)
+    spark = updates.sparkSession
+    landed = _landed(updates, root)
+    try:
+        files = stored_files(spark, root)
+    except FileNotFoundError:
+        files = []
+    if files:
+        stored = partition_columns(files)
+        if stored != {tuple(partition_by)}:
+            raise ValueError(f"{root} is partitioned by {sorted(stored)}, not by {partition_by}")
+        touched = landed.select(*partition_by).distinct().collect()
+        current = spark.read.schema(updates.schema).parquet(root)
+        merged = upsert(in_partitions(current, touched, partition_by), landed, keys)
+        landed = _landed(merged, root)
+    _replace_partitions(landed.hint("rebalance", *partition_by), root, partition_by)
+
+
+def _landed(df: DataFrame, root: str) -> DataFrame:
+    path = f"{root.rstrip('/')}.landed/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def in_partitions(df: DataFrame, rows: Sequence, partition_by: Sequence[str]) -> DataFrame:
+    """Rows of the partitions that the rows name, by a filter of literals."""
+
+    def is_value(name: str, value: object):
+        return F.col(name).isNull() if value is None else F.col(name) == value
+
+    wanted = F.lit(False)
+    for row in rows:
+        wanted |= reduce(and_, [is_value(n, v) for n, v in zip(partition_by, row)])
+    return df.where(wanted)
 
 
 def write_table(df: DataFrame, root: str) -> None:

@@ -12,6 +12,9 @@ from cohortscope.operators.clinical import with_cross_references
 from cohortscope.schemas import PANEL, RAW_DRUGS, RAW_GUIDELINES, RAW_RECOMMENDATIONS, conform
 
 
+UNREADABLE = "_unreadable"
+
+
 @dataclass(frozen=True)
 class TableMapping:
     """Header names of a source table: target column -> headers, the newest first."""
@@ -92,21 +95,32 @@ PANEL_COLUMNS = TableMapping(
 )
 
 
-def read_tsv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+def read_tsv(spark: SparkSession, path: str) -> DataFrame:
     """All columns as text, empty fields as empty strings, lines starting with # skipped.
 
-    ``multiline`` allows line breaks inside quotes, at the price of one task per file.
+    Quoted fields may hold line breaks, so a file is read by one task; these are published
+    tables of some thousand rows. A row with more fields than the header fails the read and is
+    named; one with fewer is filled up.
     """
-    raw = spark.read.csv(
-        path,
-        sep="\t",
-        header=True,
-        comment="#",
-        escape='"',
-        multiLine=multiline,
-        enforceSchema=False,
+    options = {
+        "sep": "\t", "header": True, "comment": "#", "escape": '"', "multiLine": True,
+        "enforceSchema": False,
+    }
+    names = spark.read.options(**options).csv(path).columns
+    fields = ", ".join(f"`{n}` string" for n in names)
+    raw = (
+        spark.read.options(**options, columnNameOfCorruptRecord=UNREADABLE)
+        .schema(f"{fields}, `{UNREADABLE}` string")
+        .csv(path)
+        .na.fill("", names)
+    )
+    tabs = f"length({UNREADABLE}) - length(replace({UNREADABLE}, '\t', ''))"
+    complaint = f"concat('more fields than the header has: ', {UNREADABLE})"
+    first = names[0].replace("`", "``")
+    checked = F.expr(
+        f"CASE WHEN {tabs} >= {len(names)} THEN raise_error({complaint}) ELSE `{first}` END"
     )
-    return raw.na.fill("")
+    return raw.select(checked.alias(names[0]), *[F.col(f"`{n}`") for n in names[1:]])
 
 
 def map_columns(raw: DataFrame, mapping: TableMapping) -> DataFrame:

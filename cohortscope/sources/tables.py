@@ -2,47 +2,51 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 DATE_DIRECTORY = "ingest_date="
 
 
-def _children(spark: SparkSession, root: str) -> list[str] | None:
-    """Names directly under a folder of any Hadoop file system, or None if absent."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(path):
-        return None
-    return [status.getPath().getName() for status in files.listStatus(path)]
+def stored_files(spark: SparkSession, root: str) -> list[str]:
+    """Parquet files under a folder: they are listed, none is opened."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+    try:
+        return files.load(root).inputFiles()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            raise FileNotFoundError(f"table not found: {root}; run the earlier stage first") from None
+        raise
 
 
-def _data_files(spark: SparkSession, root: str) -> bool:
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
-    while files.hasNext():
-        if files.next().getPath().getName().endswith(".parquet"):
-            return True
-    return False
+def partition_columns(files: Sequence[str]) -> set[tuple[str, ...]]:
+    """The partition columns above each file, as its folders name them."""
+    found = set()
+    for file in files:
+        folders = file.split("/")[:-1]
+        named = [f.partition("=")[0] if "=" in f else None for f in folders]
+        last = max((i for i, n in enumerate(named) if n is None), default=-1)
+        found.add(tuple(named[last + 1 :]))
+    return found
 
 
 def latest_date(spark: SparkSession, root: str) -> str:
-    """Greatest ingest date, from one folder listing: no data file is opened."""
-    names = _children(spark, root)
-    if names is None:
-        raise FileNotFoundError(f"bronze table not found: {root}; run the ingestion first")
-    dates = [n.removeprefix(DATE_DIRECTORY) for n in names if n.startswith(DATE_DIRECTORY)]
+    """Greatest ingest date among the stored files."""
+    pattern = re.compile(rf"/{DATE_DIRECTORY}([^/]+)/")
+    dates = [found[1] for f in stored_files(spark, root) if (found := pattern.search(f))]
     if not dates:
-        raise FileNotFoundError(f"no {DATE_DIRECTORY} partitions found in {root}")
+        raise FileNotFoundError(
+            f"no {DATE_DIRECTORY} partitions in {root}: no Parquet files found in any"
+        )
     return max(dates)
 
 
 def read_latest(spark: SparkSession, root: str) -> DataFrame:
-    latest = latest_date(spark, root)
-    if not _data_files(spark, f"{root}/{DATE_DIRECTORY}{latest}"):
-        raise FileNotFoundError(f"no Parquet files found in {root}/{DATE_DIRECTORY}{latest}")
-    return read_date(spark, root, latest)
+    return read_date(spark, root, latest_date(spark, root))
 
 
 def read_date(spark: SparkSession, root: str, day: date | str) -> DataFrame:
@@ -51,8 +55,6 @@ def read_date(spark: SparkSession, root: str, day: date | str) -> DataFrame:
 
 
 def read_table(spark: SparkSession, root: str) -> DataFrame:
-    if _children(spark, root) is None:
-        raise FileNotFoundError(f"table not found: {root}; run the earlier stage first")
-    if not _data_files(spark, root):
+    if not stored_files(spark, root):
         raise FileNotFoundError(f"no Parquet files found in {root}")
     return spark.read.parquet(root)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import re
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -13,7 +14,6 @@ from cohortscope.operators.dimensions import local_table
 from cohortscope.operators.melt import (
     FIXED_FIELDS,
     assemble_variants,
-    melt_genotypes,
     parse_records,
 )
 from cohortscope.study import Study
@@ -22,11 +22,6 @@ logger = logging.getLogger(__name__)
 
 HEADER_MARK = "#CHROM"
 
-# Tables made from header text are broadcast up to this size of the text; beyond it they
-# take a shuffle join on (header, column), which spreads evenly over the columns.
-MAX_BROADCAST_TEXT = 32 * 1024 * 1024
-
-
 @dataclass
 class Headers:
     """Distinct header lines, and which of them each file has."""
@@ -34,9 +29,6 @@ class Headers:
     lines: dict[str, int] = field(default_factory=dict)
     files: dict[str, int] = field(default_factory=dict)
 
-    def add(self, file: str, line: str) -> None:
-        self.files[file] = self.lines.setdefault(line, len(self.lines))
-
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value")
@@ -45,37 +37,50 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def read_headers(spark: SparkSession, path: str | list[str]) -> Headers:
     """Header line of every file, each different line kept once.
 
-    ``first`` stops at the header, a few lines into each file, so this reads file heads
-    only; a filter over all files would scan every record.
+    One job over all files, however many there are: a filter on the lines and a group per
+    different header. The driver gets the header text and the list of files, which the
+    reader's own file index holds as well.
     """
+    lines = read_lines(spark, path)
+    found = (
+        lines.where(F.col("value").startswith(HEADER_MARK))
+        .groupBy("value")
+        .agg(F.sort_array(F.collect_set("file")).alias("files"))
+        .orderBy("value")
+        .collect()
+    )
     headers = Headers()
-    for file in spark.read.text(path).inputFiles():
-        found = read_lines(spark, file).where(F.col("value").startswith(HEADER_MARK)).first()
-        if found is None:
+    for row in found:
+        number = headers.lines.setdefault(row["value"], len(headers.lines))
+        headers.files.update((file, number) for file in row["files"])
+    known = {_bare(file) for file in headers.files}
+    for file in lines.inputFiles():
+        if _bare(file) not in known:
             raise RuntimeError(f"{file} has no {HEADER_MARK} header line")
-        headers.add(found.file, found.value)
     return headers
 
 
-def hinted(df: DataFrame, text_size: int) -> DataFrame:
-    return F.broadcast(df) if text_size <= MAX_BROADCAST_TEXT else df.hint("merge")
+def _bare(uri: str) -> str:
+    """A file's URI with one slash after its scheme, as both listings name it."""
+    return re.sub(r"^(\w+):/+", r"\1:/", uri)
 
 
 def lines_with_header(spark: SparkSession, path: str | list[str], headers: Headers) -> DataFrame:
-    """(header, value): each line with the number of its file's header."""
+    """(header, value): each line with the number of its file's header.
+
+    The table of files is broadcast: it is no larger than the reader's file index.
+    """
     lines = read_lines(spark, path)
     if len(headers.lines) == 1:
         return lines.selectExpr("0 AS header", "value")
     files = local_table(
         spark, list(headers.files.items()), [("file", pa.string()), ("header", pa.int32())]
     )
-    return lines.join(hinted(files, sum(map(len, headers.files))), "file").select(
-        "header", "value"
-    )
+    return lines.join(F.broadcast(files), "file").select("header", "value")
 
 
 def sample_columns(spark: SparkSession, headers: Headers, samples: DataFrame) -> DataFrame:
-    """(header, column_index, sample_id) of the wanted samples, hinted by checked size."""
+    """(header, column_index, sample_id) of the wanted samples."""
     table = local_table(
         spark, list(headers.lines.items()), [("line", pa.string()), ("header", pa.int32())]
     )
@@ -84,8 +89,7 @@ def sample_columns(spark: SparkSession, headers: Headers, samples: DataFrame) ->
         .selectExpr("header", f"field - {FIXED_FIELDS} AS column_index", "sample_id")
         .where("column_index >= 0")
     )
-    wanted = columns.join(samples.select("sample_id"), "sample_id", "left_semi")
-    return hinted(wanted, sum(map(len, headers.lines)))
+    return columns.join(samples.select("sample_id"), "sample_id", "left_semi")
 
 
 def check_samples(spark: SparkSession, headers: Headers, samples: DataFrame) -> None:
@@ -107,6 +111,4 @@ def read_genotypes(
     headers = read_headers(spark, path)
     check_samples(spark, headers, samples)
     records = parse_records(lines_with_header(spark, path, headers), study)
-    return assemble_variants(
-        melt_genotypes(records, sample_columns(spark, headers, samples))
-    )
+    return assemble_variants(records, sample_columns(spark, headers, samples))

@@ -11,6 +11,7 @@ from conftest import one, rows
 from cohortscope.operators.quality import DataQualityError
 from cohortscope.schemas import PANEL
 from cohortscope.sinks.tables import (
+    in_partitions,
     upsert_table,
     write_bronze,
     write_table,
@@ -96,14 +97,38 @@ def test_compressed_files(spark, study, folder):
     assert rows(found, "sample_id", "allele_dosage") == [("S1", 2)]
 
 
-def test_large_headers_take_the_shuffle_join(spark, study, folder, monkeypatch):
-    path = variant_file(folder, "a.vcf", ["S1", "S2"], record(96_521_657, "0|1", "1|1"))
-    small = variant_files.read_genotypes(spark, path, panel(spark, "S1", "S2"), study)
-    monkeypatch.setattr(variant_files, "MAX_BROADCAST_TEXT", 0)
-    large = variant_files.read_genotypes(spark, path, panel(spark, "S1", "S2"), study)
-    assert rows(small) == rows(large)
-    assert "SortMergeJoin" in large._jdf.queryExecution().sparkPlan().toString()
-    assert "BroadcastHashJoin" in small._jdf.queryExecution().sparkPlan().toString()
+def test_many_headers_and_columns(spark):
+    headers = variant_files.Headers({"\t".join([*FIXED, f"S{i}"]): i for i in range(150_000)})
+    columns = variant_files.sample_columns(spark, headers, panel(spark, "S7", "S149999"))
+    assert rows(columns, "header", "column_index", "sample_id") == [
+        (149999, 0, "S149999"), (7, 0, "S7"),
+    ]
+
+
+def test_jobs_do_not_grow_with_files(spark, study, folder):
+    def jobs(files):
+        path = os.path.join(folder, f"set {files}%")
+        os.makedirs(path)
+        for i in range(files):
+            variant_file(path, f"{i} a%.vcf", ["S1"], record(96_521_657 + i, "0|1"))
+        group = f"files-{files}"
+        spark.sparkContext.setJobGroup(group, group)
+        variant_files.read_headers(spark, path)
+        started = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+        spark.sparkContext.setJobGroup("other", "other")
+        found = variant_files.read_genotypes(spark, path, panel(spark, "S1"), study)
+        assert found.count() == files
+        return started
+
+    assert jobs(2) == jobs(12)
+
+
+def test_only_repeated_sites_are_deduplicated(spark, study, folder):
+    path = variant_file(folder, "a.vcf", ["S1", "S2", "S1"], record(96_521_657, "1|1", "0|1", "0|0"))
+    found = variant_files.read_genotypes(spark, path, panel(spark, "S1", "S2"), study)
+    assert rows(found, "sample_id", "genotype") == [("S1", "0|0"), ("S2", "0|1")]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [variant_id") == 3  # twice the sites, once the repeated calls
 
 
 def test_panel_and_header_must_match(spark, study, folder, caplog):
@@ -170,6 +195,14 @@ def test_tsv_keeps_empty_text(spark, folder):
     assert rows(found) == [("1", "", "3 # kept"), ('x "y"', "z", "")]
 
 
+def test_tsv_keeps_line_breaks_and_refuses_surplus_fields(spark, folder):
+    path = write(folder, "t.tsv", "id\tgene\ttext", '1\tG\t"two', 'lines"', "2\tH")
+    assert rows(files.read_tsv(spark, path)) == [("1", "G", "two\nlines"), ("2", "H", "")]
+    path = write(folder, "u.tsv", "id\tgene", "1\tG", "2\tH\tmore")
+    with pytest.raises(Exception, match="more fields than the header has: 2\tH\tmore"):
+        files.read_tsv(spark, path).collect()
+
+
 HEADERS = ["Clinical Annotation ID", "Variant/Haplotypes", "Gene", "Drug(s)", "Phenotype Category"]
 
 
@@ -251,6 +284,30 @@ def test_invalid_rows_are_not_written(spark, folder):
     assert rows(read_table(spark, root), "sample_id") == [("S1",)]
 
 
+def test_upsert_refuses_another_layout(spark, folder):
+    new = spark.createDataFrame([("A", "2", 20)], "gene string, k string, x int")
+    new.write.parquet(f"{folder}/flat")
+    with pytest.raises(ValueError, match="partitioned by"):
+        upsert_table(new, f"{folder}/flat", ["gene", "k"], ["gene"])
+    assert read_table(spark, f"{folder}/flat").count() == 1
+    upsert_table(new, f"{folder}/fresh", ["gene", "k"], ["gene"])
+    assert os.path.isdir(f"{folder}/fresh/gene=A")
+
+
+def test_upsert_reads_only_touched_partitions(spark, folder):
+    ddl = "gene string, k string, x int"
+    table = spark.createDataFrame([("A", "1", 1), ("B", "1", 3), (None, "1", 4)], ddl)
+    table.write.partitionBy("gene").parquet(f"{folder}/gold")
+    current = spark.read.schema(ddl).parquet(f"{folder}/gold")
+    touched = in_partitions(current, [("A",), (None,)], ["gene"])
+    assert rows(touched, "k", "x") == [("1", 1), ("1", 4)]
+    plan = touched._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [((gene" in plan
+    null_key = spark.createDataFrame([(None, "1", 40)], ddl)
+    upsert_table(null_key, f"{folder}/gold", ["gene", "k"], ["gene"])
+    assert sorted(r.x for r in read_table(spark, f"{folder}/gold").collect()) == [1, 3, 40]
+
+
 def test_upsert_rewrites_touched_partitions(spark, folder):
     root = f"{folder}/gold"
     ddl = "gene string, k string, x int"

@@ -123,6 +123,39 @@ def test_a_second_run_gives_the_same_tables(spark, study, layout):
     assert rows(read_table(spark, layout.gold("actionability_ranking"))) == before
 
 
+def test_another_study_keeps_the_other_rows(spark, study, layout):
+    from dataclasses import replace
+
+    table = layout.gold("allele_frequencies_by_population")
+    before = rows(read_table(spark, table))
+    only = replace(study, regions=tuple(r for r in study.regions if r.gene == "CYP2C19"))
+    stages.build_silver(spark, layout, only, date(2025, 1, 1))
+    stages.build_gold(spark, layout, only)
+    assert rows(read_table(spark, table)) == before
+    stages.build_silver(spark, layout, study, date(2025, 1, 1))
+
+
+def test_a_panel_that_does_not_match_leaves_silver(spark, study, layout, folder):
+    from dataclasses import replace
+
+    before = read_table(spark, layout.silver("variants")).count()
+    with pytest.raises(RuntimeError, match="no variant matches"):
+        stages.build_silver(spark, layout, replace(study, target_cohorts=("ZZZ",)))
+    assert read_table(spark, layout.silver("variants")).count() == before > 0
+    stages.build_silver(spark, layout, study, date(2025, 1, 1))
+
+
+def test_row_gate_on_the_command_line(spark, layout):
+    from cohortscope.__main__ import arguments, run
+
+    with pytest.raises(DataQualityError, match="15 rows < 1000"):
+        run(spark, arguments(["silver", "--root", layout.root]))
+    enough = [f"--minimum={t}=1" for t in (
+        "genomes_variants_raw", "pharmgkb_clinical_annotations_raw", "cpic_guidelines_raw",
+    )]
+    run(spark, arguments(["check", "--root", layout.root, *enough]))
+
+
 def test_empty_guidance_is_an_error(spark, layout, folder):
     none = write(folder, "r.json", json.dumps({"id": 1, "guidelineid": "unknown"}))
     guidelines = write(folder, "g.json", json.dumps({"id": "A", "genes": ["X"]}))
