@@ -124,9 +124,10 @@ def find_contaminated(
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """Rows of docs without a benchmark item, with all their columns."""
-    found = find_contaminated(docs, benchmark, **options).select("digest").distinct()
+    found = find_contaminated(docs, benchmark, **options)
+    found = found.select(F.col("digest").alias("__found")).distinct()
     marked = docs.withColumn("__digest", F.md5(whole_text().cast("binary")))
-    rows = marked.join(found.hint("shuffle_hash"), F.col("__digest") == F.col("digest"), "left_anti")
+    rows = marked.join(found.hint("shuffle_hash"), F.col("__digest") == F.col("__found"), "left_anti")
     return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
@@ -154,15 +155,13 @@ def _consistent(texts: DataFrame, items: DataFrame, aligned: DataFrame, agree: f
     once = slots.dropDuplicates(["digest", "item_id", "shift"])  # copies have one template
     exploded = once.select(*keys, F.explode_outer("slots").alias("slot"))
     mapped = exploded.groupBy(*keys, "slot").agg(F.count("slot").alias("n"))
-    # Of the words that one word maps to, the most frequent one is the mapping, either way.
-    top = mapped.selectExpr(
-        "*",
-        f"max(n) OVER (PARTITION BY {', '.join(keys)}, slot.kind, slot.asked) AS n_asked",
-        f"max(n) OVER (PARTITION BY {', '.join(keys)}, slot.kind, slot.given) AS n_given",
-    )
+    # Of the words that one word maps to, the most frequent one is the mapping, either way; of
+    # several, the one in the order of the words.
+    place = f"row_number() OVER (PARTITION BY {', '.join(keys)}, slot.kind, slot.{{}} ORDER BY n DESC, slot)"
+    top = mapped.selectExpr("*", f"{place.format('asked')} AS to_given", f"{place.format('given')} AS to_asked")
     judged = top.groupBy(*keys).agg(
         F.sum("n").alias("n_slots"),
-        F.expr("sum(CASE WHEN n = n_asked AND n = n_given THEN n ELSE 0 END)").alias("n_agree"),
+        F.expr("sum(CASE WHEN to_given = 1 AND to_asked = 1 THEN n ELSE 0 END)").alias("n_agree"),
     )
     best = F.max_by(
         F.struct("n_found", "n_slots", "n_agree"), F.struct("n_found", -F.col("shift"))
