@@ -573,6 +573,57 @@ ORACLE_SQL: dict[str, str] = {
         """SELECT * EXCLUDE (data_source) FROM phenotypes
            ORDER BY gene_symbol, population_code, phenotype_category""",
     ),
+    "export_impact": sql(
+        IMPACT, f"SELECT {IMPACT_COLUMNS} FROM impact ORDER BY drug_name, gene_symbol, population_code"
+    ),
+    "export_ranking": sql(RANKED, "SELECT * FROM ranking ORDER BY rank_position"),
+    "document_frequencies": sql(
+        FREQUENCIES,
+        """SELECT gene_symbol, population_code, variant_id, allele_frequency, snapshot_date
+           FROM frequencies ORDER BY gene_symbol, population_code, variant_id""",
+    ),
+    "document_phenotypes": sql(
+        PHENOTYPE,
+        """SELECT gene_symbol, population_code, phenotype_category, phenotype_percentage,
+                  snapshot_date
+           FROM phenotypes ORDER BY gene_symbol, population_code, phenotype_category""",
+    ),
+    "artifact_frequencies": sql(FREQUENCIES, f"SELECT {FREQUENCY_COLUMNS} FROM frequencies"),
+    "artifact_phenotypes": sql(PHENOTYPE, "SELECT * FROM phenotypes"),
+    "artifact_impact": sql(
+        [*IMPACT, "joint", "all_impact"], f"SELECT {IMPACT_COLUMNS} FROM all_impact"
+    ),
+    "artifact_ranking": sql(RANKED, "SELECT * FROM ranking"),
+    "panel": sql(
+        ["samples"],
+        """SELECT sample_id, population_code, superpopulation,
+                  CASE WHEN superpopulation < 'M' THEN 'male' ELSE 'female' END AS sex,
+                  CAST(NULL AS VARCHAR) AS family_id FROM samples""",
+    ),
+    "header_mapping": f"""
+        SELECT 'CA' || p_partkey AS clinical_annotation_id,
+               CAST(NULL AS VARCHAR) AS variant_or_haplotype,
+               'G' || (p_partkey % 5 + 1) AS gene_symbol,
+               CASE WHEN p_size <> 1 THEN p_name || '; ' || p_type || ' , ' || p_brand END
+                   AS drug_names,
+               CAST(NULL AS VARCHAR) AS phenotype_categories,
+               CASE WHEN p_partkey % 5 = 0 THEN 'old ' || level ELSE level END AS evidence_level,
+               CAST(NULL AS VARCHAR) AS clinical_annotation_types,
+               CAST(NULL AS VARCHAR) AS pediatric, CAST(NULL AS VARCHAR) AS annotation_text,
+               CAST(NULL AS VARCHAR) AS url
+        FROM (SELECT *, CASE WHEN p_partkey % 40 < 20 THEN {pick(EVIDENCE, 'p_size % 6')}
+                             ELSE '3' END AS level FROM part)""",
+    "guidance_records": """
+        SELECT CAST(event_id AS VARCHAR) AS id, 'GL' || user_id AS guidelineid,
+               'D' || (event_id % 3000) AS drugid, CAST(NULL AS VARCHAR) AS drugrecommendation,
+               CASE WHEN k % 2 = 0 THEN 'Strong' END AS classification,
+               (['Normal', 'Poor', ''])[k % 3 + 1] AS first_phenotype,
+               CAST(2 AS INTEGER) AS phenotype_count,
+               CASE WHEN k % 3 = 0 THEN CAST(k AS VARCHAR) END AS first_score
+        FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)""",
+    "frequencies_from_repeated_calls": sql(
+        FREQUENCIES, f"SELECT {FREQUENCY_COLUMNS} FROM frequencies"
+    ),
     "export_populations": sql(COHORTS, "SELECT * FROM populations ORDER BY population_code"),
     "export_metadata": sql(
         [*FREQUENCIES, *COHORTS],

@@ -42,6 +42,8 @@ from cohortscope.operators.ranking import build_ranking
 from cohortscope.operators.upsert import upsert
 from cohortscope.operators.variants import assign_genes
 from cohortscope.plans import driver_tables as dt
+from cohortscope.schemas import RAW_RECOMMENDATIONS
+from cohortscope.sources.annotation_files import CLINICAL_ANNOTATIONS, build_panel, map_columns
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -204,6 +206,82 @@ def export_phenotypes(spark: SparkSession, sf: str) -> DataFrame:
     return exports.phenotype_export(phenotype_distribution(spark, sf))
 
 
+def export_impact(spark: SparkSession, sf: str) -> DataFrame:
+    return exports.impact_export(drug_impact(spark, sf))
+
+
+def export_ranking(spark: SparkSession, sf: str) -> DataFrame:
+    return exports.ranking_export(actionability_ranking(spark, sf))
+
+
+def document_frequencies(spark: SparkSession, sf: str) -> DataFrame:
+    return exports.document_frequencies(allele_frequencies(spark, sf))
+
+
+def document_phenotypes(spark: SparkSession, sf: str) -> DataFrame:
+    return exports.document_phenotypes(phenotype_distribution(spark, sf))
+
+
+def artifact_frequencies(spark: SparkSession, sf: str) -> DataFrame:
+    return exports.artifact(allele_frequencies(spark, sf), "allele_frequencies")
+
+
+def artifact_phenotypes(spark: SparkSession, sf: str) -> DataFrame:
+    return exports.artifact(phenotype_distribution(spark, sf), "phenotype_distribution")
+
+
+def artifact_impact(spark: SparkSession, sf: str) -> DataFrame:
+    return exports.artifact(all_impact(spark, sf), "drug_impact_summary")
+
+
+def artifact_ranking(spark: SparkSession, sf: str) -> DataFrame:
+    return exports.artifact(actionability_ranking(spark, sf), "actionability_ranking")
+
+
+def panel(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw panel headers, the newer one for sex and none for the family."""
+    return build_panel(
+        dt.samples(spark, sf).selectExpr(
+            "sample_id AS sample", "population_code AS pop", "superpopulation AS super_pop",
+            "CASE WHEN superpopulation < 'M' THEN 'male' ELSE 'female' END AS gender",
+        )
+    )
+
+
+def header_mapping(spark: SparkSession, sf: str) -> DataFrame:
+    """Source headers, old and new, to columns; an old header fills the gaps of the new one."""
+    raw = dt.annotations(spark, sf).selectExpr(
+        "clinical_annotation_id AS `Clinical Annotation ID`",
+        "gene_symbol AS `Gene`",
+        "drug_names AS `Drug(s)`",
+        "CASE WHEN gene_symbol <> 'G1' THEN evidence_level END AS `Level of Evidence`",
+        "concat('old ', evidence_level) AS `Evidence Level`",
+        "1 AS `Not wanted`",
+    )
+    return map_columns(raw, CLINICAL_ANNOTATIONS)
+
+
+def guidance_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Nested guidance records, read from JSON with the declared schema."""
+    written = dt.raw_recommendations(spark, sf).selectExpr(
+        "to_json(struct(CAST(id AS BIGINT) AS id, guidelineid, drugid, classification, phenotypes, "
+        "activityscore, 'more' AS unknown)) AS record"
+    )
+    read = written.selectExpr(f"from_json(record, '{RAW_RECOMMENDATIONS}') AS r")
+    return read.selectExpr(
+        "r.id", "r.guidelineid", "r.drugid", "r.drugrecommendation", "r.classification",
+        "r.phenotypes['G1'] AS first_phenotype", "size(r.phenotypes) AS phenotype_count",
+        "r.activityscore['G1'] AS first_score",
+    )
+
+
+def frequencies_from_repeated_calls(spark: SparkSession, sf: str) -> DataFrame:
+    """Calls without alternate alleles come twice; samples count once."""
+    found = dt.variants(spark, sf)
+    twice = found.unionByName(found.where("allele_dosage = 0"))
+    return build_allele_frequencies(twice, clinical_variants(spark, sf), STUDY)
+
+
 def export_populations(spark: SparkSession, sf: str) -> DataFrame:
     return exports.population_export(populations(spark, sf))
 
@@ -290,6 +368,18 @@ QUERIES: dict[str, Query] = {
     "export_frequencies": export_frequencies,
     "export_phenotypes": export_phenotypes,
     "export_populations": export_populations,
+    "export_impact": export_impact,
+    "export_ranking": export_ranking,
+    "document_frequencies": document_frequencies,
+    "document_phenotypes": document_phenotypes,
+    "artifact_frequencies": artifact_frequencies,
+    "artifact_phenotypes": artifact_phenotypes,
+    "artifact_impact": artifact_impact,
+    "artifact_ranking": artifact_ranking,
+    "panel": panel,
+    "header_mapping": header_mapping,
+    "guidance_records": guidance_records,
+    "frequencies_from_repeated_calls": frequencies_from_repeated_calls,
     "export_metadata": export_metadata,
     "typed_result_rows": typed_result_rows,
     "maf_filter": maf_filter,
