@@ -23,8 +23,10 @@ from pyspark.sql import functions as F
 from cohortscope.llm.grams import Words, byte_values, mix, sliding_min, spans, text_blocks
 from cohortscope.llm.texts import whole_text
 
-#: Occurrences from which an anchor's windows are compared by hash instead of in one task.
-FREQUENT = 1_000
+#: Occurrences of an anchor that one task compares at most; the windows of other anchors are
+#: compared by hash. An occurrence brings less than two windows' bytes, so a group has at most about
+#: three megabytes, for which the largest comparison needs some hundred megabytes of memory.
+FREQUENT = 8_000
 NO_ID = (1 << 63) - 1
 
 
@@ -190,19 +192,44 @@ def _frequent(shape: Shape) -> Callable:
     return work
 
 
+def copies(texts: DataFrame) -> DataFrame:
+    """key, members (part, first): rows whose text other rows have as well.
+
+    ``first`` marks the row with the smallest id, null last. One copy of a text stands for all
+    when windows are compared.
+    """
+    narrow = texts.select(
+        "key", "part", F.md5(F.col("text").cast("binary")).alias("digest"),
+        F.coalesce("doc_id", F.lit(NO_ID)).alias("id"),
+    )
+    shared = narrow.groupBy("digest").agg(F.min("id").alias("least"), F.count("*").alias("n"))
+    members = narrow.join(shared.where("n > 1"), "digest")
+    return members.groupBy("key").agg(
+        F.collect_set(F.struct("part", F.expr("id = least").alias("first"))).alias("members")
+    )
+
+
 RANGES = "key long, part long, low long, high long"
 
 
-def recurring_ranges(
-    texts: DataFrame, shape: Shape, *, apart: str, again: str, compare: Callable, frequent: int = FREQUENT
-) -> DataFrame:
-    """key, ranges (part, low, high): the units of each text that its recurring windows cover.
+def with_recurring_ranges(
+    docs: DataFrame, shape: Shape, *, apart: str, again: str, whole: str, compare: Callable,
+    frequent: int = FREQUENT,
+) -> DataFrame:
+    """Rows of docs as key, part, doc_id, text, ranges (part, low, high) and whole.
+
+    The ranges are the units that recurring windows of the text cover. Of equal texts one takes
+    part; ``whole`` is true for the copies m of which the condition of that name holds: all
+    their windows recur. The texts are shuffled once, by key, and joined with narrow tables.
 
     ``apart`` says of an anchor's rows (id, places) whether it can recur, ``again`` of a frequent
     window whether it does (columns least_id, times, and its own id). ``compare`` turns batches of
     whole anchor groups, sorted by anchor, into rows of RANGES.
     """
-    seen = texts.select("key", "doc_id", "part", "text").mapInArrow(
+    texts = keyed(docs)
+    equal = copies(texts)
+    once = "NOT coalesce(exists(members, m -> m.part = part AND NOT m.first), FALSE)"
+    seen = texts.join(equal.hint("shuffle_hash"), "key", "left").where(once).mapInArrow(
         _occurrences(shape), "key long, id long, anchor long, places long"
     )
     recurring = (
@@ -233,8 +260,14 @@ def recurring_ranges(
     often = single.join(counts, ["one", "two"]).where(again).selectExpr(
         "key", "part", "at AS low", f"at + {shape.window} AS high"
     )
-    both = compared.unionByName(often)
-    return both.groupBy("key").agg(F.collect_list(F.struct("part", "low", "high")).alias("ranges"))
+    ranges = compared.unionByName(often).groupBy("key").agg(
+        F.collect_list(F.struct("part", "low", "high")).alias("ranges")
+    )
+    known = ranges.join(equal, "key", "full")
+    return texts.join(known.hint("shuffle_hash"), "key", "left").selectExpr(
+        "key", "part", "doc_id", "text", "ranges",
+        f"coalesce(exists(members, m -> m.part = part AND {whole}), FALSE) AS whole",
+    )
 
 
 def mask_ranges(mask: np.ndarray, at: int, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -246,8 +279,8 @@ def mask_ranges(mask: np.ndarray, at: int, window: int) -> tuple[np.ndarray, np.
     return at + place[np.append(0, cut + 1)], at + place[np.append(cut, len(place) - 1)] + window
 
 
-def covered(batch: pa.RecordBatch, row: int, end: int, first: np.ndarray) -> np.ndarray:
-    """Whether each unit of rows row..end lies in a range of its text; first: units before each row."""
+def covered(batch: pa.RecordBatch, row: int, end: int, first: np.ndarray, window: int) -> np.ndarray:
+    """Whether each unit of rows row..end is covered by a recurring window; first: units before each row."""
     change = np.zeros(int(first[-1]) + 1, dtype=np.int64)
     ranges = batch.column("ranges").slice(row, end - row)
     parts = batch.column("part").to_numpy(zero_copy_only=False)[row:end]
@@ -259,6 +292,10 @@ def covered(batch: pa.RecordBatch, row: int, end: int, first: np.ndarray) -> np.
         own = part == parts[owner]
         np.add.at(change, first[owner[own]] + low[own], 1)
         np.add.at(change, first[owner[own]] + high[own], -1)
+    whole = batch.column("whole").to_numpy(zero_copy_only=False)[row:end].astype(bool)
+    whole &= np.diff(first) >= window
+    np.add.at(change, first[:-1][whole], 1)
+    np.add.at(change, first[1:][whole], -1)
     return np.cumsum(change[:-1]) > 0
 
 

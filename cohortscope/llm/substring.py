@@ -19,11 +19,11 @@ from pyspark.sql import DataFrame
 from cohortscope.llm.grams import Words
 from cohortscope.llm.jaccard import whole_groups
 from cohortscope.llm.regions import (
-    Shape, covered, keyed, mask_ranges, recurring_ranges, text_blocks,
+    Shape, covered, mask_ranges, text_blocks, with_recurring_ranges,
 )
 
 #: Words of a phrase, and words whose smallest hash deals phrases out.
-PHRASE, GRAM = 13, 5
+PHRASE, GRAM = 13, 4
 
 
 class Passages:
@@ -96,7 +96,7 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row, end, data, offsets in text_blocks(batch, "text"):
             words = Words(data, offsets)
-            removed = covered(batch, row, end, words.first)
+            removed = covered(batch, row, end, words.first, PHRASE)
             counts = np.bincount(words.doc[removed], minlength=end - row)
             kept = np.flatnonzero(~removed)
             # A kept word's bytes, and one blank after it unless it is its text's last.
@@ -134,12 +134,11 @@ def remove_repeated_phrases(docs: DataFrame) -> DataFrame:
     rows. Other columns are ignored. A text is worked on whole, in memory of about forty
     times its bytes.
     """
-    texts = keyed(docs)
-    ranges = recurring_ranges(
-        texts, Shape(PHRASE, GRAM, words=True),
-        apart="least_id < most_id", again="least_id < id", compare=compare_passages,
+    found = with_recurring_ranges(
+        docs, Shape(PHRASE, GRAM, words=True),
+        apart="least_id < most_id", again="least_id < id", whole="NOT m.first", compare=compare_passages,
     )
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return texts.join(ranges.hint("shuffle_hash"), "key", "left").mapInArrow(
+    return found.mapInArrow(
         _kept, f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string"
     )

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 
 from cohortscope.llm.jaccard import whole_groups
 from cohortscope.llm.regions import (
-    Shape, covered, keyed, mask_ranges, recurring_ranges, text_blocks,
+    Shape, covered, mask_ranges, text_blocks, with_recurring_ranges,
 )
 
 #: Bytes of a string, and bytes whose smallest hash deals strings out.
@@ -167,7 +167,7 @@ def _marks(distinct: list[bytes], times: np.ndarray, anchor: np.ndarray, of_row:
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row, end, data, offsets in text_blocks(batch, "text"):
-            removed = covered(batch, row, end, offsets)
+            removed = covered(batch, row, end, offsets, LENGTH)
             edge = np.zeros(len(data), dtype=bool)
             edge[offsets[:-1][np.diff(offsets) > 0]] = True
             begins = removed.copy()
@@ -200,12 +200,11 @@ def remove_repeated_strings(docs: DataFrame) -> DataFrame:
     other's strings, as any two texts do. Empty table: no rows. Other columns are ignored. A text
     is worked on whole, in memory of about a hundred times its bytes.
     """
-    texts = keyed(docs)
-    ranges = recurring_ranges(
-        texts, Shape(LENGTH, GRAM, words=False),
-        apart="times > 1", again="times > 1", compare=compare_pieces,
+    found = with_recurring_ranges(
+        docs, Shape(LENGTH, GRAM, words=False),
+        apart="times > 1", again="times > 1", whole="TRUE", compare=compare_pieces,
     )
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return texts.join(ranges.hint("shuffle_hash"), "key", "left").mapInArrow(
+    return found.mapInArrow(
         _kept, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     )
