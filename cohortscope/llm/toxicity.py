@@ -11,7 +11,7 @@ from __future__ import annotations
 import pickle
 import re
 from collections.abc import Iterator
-from math import exp
+from math import exp, log
 
 import numpy as np
 import pandas as pd
@@ -150,7 +150,7 @@ class _Odds(dict):
         return odds
 
 
-def marker_words(sample: DataFrame) -> DataFrame:
+def marker_words(sample: DataFrame, scratch: Scratch) -> DataFrame:
     """word, strength: words whose distinct contexts are significantly those of toxic documents.
 
     A context is the word with its two neighbours and counts once however many copies of a
@@ -169,12 +169,17 @@ def marker_words(sample: DataFrame) -> DataFrame:
     words = contexts.groupBy("context.word").agg(
         F.sum("toxic").cast("double").alias("t"), F.count("*").cast("double").alias("n")
     )
-    total = words.agg(F.sum("t").alias("all_t"), F.sum("n").alias("all_n"), F.count("*").alias("v"))
-    base = words.where("t > 1").crossJoin(F.broadcast(total))  # one row of totals
-    base = base.selectExpr("word", "t", "n", "all_t / all_n AS p", "v")
-    ratio = "2 * (t * ln(t / n / p) + CASE WHEN n > t THEN (n - t) * ln((1 - t / n) / (1 - p)) ELSE 0 END)"
-    return base.selectExpr("word", "v", "t / n AS rate", "p", f"{ratio} AS strength").where(
-        "rate > greatest(0.5, 2 * p) AND strength > 2 * ln(v) + 6"
+    words = scratch.store(words, "words")
+    total = words.agg(F.sum("t").alias("t"), F.sum("n").alias("n"), F.count("*").alias("v")).first()
+    if not total["t"] or total["t"] == total["n"]:
+        return words.selectExpr("word", "0D AS strength").limit(0)
+    p, limit = total["t"] / total["n"], 2 * log(total["v"]) + 6
+    ratio = (
+        f"2 * (t * ln(t / n / {p!r}D) + "
+        f"CASE WHEN n > t THEN (n - t) * ln((1 - t / n) / {(1 - p)!r}D) ELSE 0D END)"
+    )
+    return words.where("t > 1").selectExpr("word", "t / n AS rate", f"{ratio} AS strength").where(
+        f"rate > {max(0.5, 2 * p)!r}D AND strength > {limit!r}D"
     )
 
 
@@ -270,7 +275,7 @@ def score_toxicity(
         ),
         "sample",
     )
-    found = marker_words(sample).orderBy(F.desc("strength"), "word").limit(FIT_MARKERS).collect()
+    found = marker_words(sample, scratch).orderBy(F.desc("strength"), "word").limit(FIT_MARKERS).collect()
     markers = frozenset(r["word"] for r in found)
     segments = sample.selectExpr(
         "doc_id",
