@@ -49,6 +49,31 @@ def test_facts_are_scanned_once(spark):
         assert plan.count("ReadSchema: struct<l_orderkey") == 1, name
 
 
+def test_documents_scan_facts_twice(spark):
+    """Frequencies and dosages start from the same facts with other filters. In stages both read
+    stored tables; in one query the two scans are accepted."""
+    for name in ("knowledge_documents", "dominant_and_mean"):
+        plan = physical(QUERIES[name](spark, SF_DIR))
+        assert plan.count("ReadSchema: struct<l_orderkey") >= 2, name
+
+
+def test_fillers_of_the_ranking_are_an_ordered_limit(spark):
+    assert "TakeOrderedAndProject(limit=50" in physical(QUERIES["actionability_ranking"](spark, SF_DIR))
+
+
+def test_options_change_rows(spark):
+    """The test tables are such that each option and filter has something to do."""
+    plain = QUERIES["allele_frequencies"](spark, SF_DIR)
+    columns = ["variant_id", "population_code", "total_alleles"]
+    assert rows(QUERIES["hemizygous_totals"](spark, SF_DIR), *columns) != rows(plain, *columns)
+    rare = QUERIES["maf_filter"](spark, SF_DIR)
+    assert 0 < rare.count() < plain.count()
+    assert rare.where("delta_vs_ceu IS NULL").count() <= plain.where("delta_vs_ceu IS NULL").count()
+    cohorts = QUERIES["populations"](spark, SF_DIR)
+    everyone = dt.samples(spark, SF_DIR).select("population_code").distinct()
+    assert cohorts.count() < everyone.count()
+
+
 def test_copies_are_merged_before_the_exchange(spark):
     plan = re.sub(r"#\d+L?", "", physical(QUERIES["silver_variants"](spark, SF_DIR)))
     merged = r"Aggregate\(key=\[sample_id, variant_id\], functions=\[{}"
