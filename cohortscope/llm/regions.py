@@ -167,7 +167,11 @@ def _segments(shape: Shape) -> Callable:
 
 
 def _frequent(shape: Shape) -> Callable:
-    """Single windows whose anchor is frequent, by two hashes."""
+    """Different windows with a frequent anchor, by two hashes.
+
+    A row is a window of a text with the units that its places cover and their number; places
+    that overlap make one row, so a text that repeats a phrase has few.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -176,17 +180,31 @@ def _frequent(shape: Shape) -> Callable:
                 anchors = batch.column("frequent").slice(row, end - row).flatten().to_numpy()
                 found = Windows(data, offsets, shape)
                 at = np.flatnonzero(found.starts_with(anchors.view(np.uint64)))
+                one = spans(found.values, at, at + shape.window)
+                two = spans(mix(found.values + np.uint64(1)), at, at + shape.window)
+                sorting = np.lexsort((at, two, one, found.doc[at]))
+                at, one, two = at[sorting], one[sorting], two[sorting]
                 doc = found.doc[at]
+                fresh = np.ones(len(at), dtype=bool)
+                fresh[1:] = (
+                    (doc[1:] != doc[:-1]) | (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+                    | (np.diff(at) > shape.window)
+                )
+                first = np.flatnonzero(fresh)
+                last = np.append(first[1:], len(at))[: len(first)] - 1
+                doc, begin = doc[first], found.first[doc[first]]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        _signed(spans(found.values, at, at + shape.window)),
-                        _signed(spans(mix(found.values + np.uint64(1)), at, at + shape.window)),
+                        _signed(one[first]),
+                        _signed(two[first]),
                         pa.array(key[row + doc]),
                         pa.array(part[row + doc]),
                         pa.array(order[row + doc]),
-                        pa.array((at - found.first[doc]).astype(np.int64)),
+                        pa.array((at[first] - begin).astype(np.int64)),
+                        pa.array((at[last] - begin + shape.window).astype(np.int64)),
+                        pa.array((last - first + 1).astype(np.int64)),
                     ],
-                    ["one", "two", "key", "part", "id", "at"],
+                    ["one", "two", "key", "part", "id", "low", "high", "places"],
                 )
 
     return work
@@ -252,14 +270,13 @@ def with_recurring_ranges(
     )
     compared = pieces.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(compare, RANGES)
     single = chosen.where("size(frequent) > 0").drop("anchors").mapInArrow(
-        _frequent(shape), "one long, two long, key long, part long, id long, at long"
+        _frequent(shape),
+        "one long, two long, key long, part long, id long, low long, high long, places long",
     )
     counts = single.groupBy("one", "two").agg(
-        F.min("id").alias("least_id"), F.count("*").alias("times")
-    )
-    often = single.join(counts, ["one", "two"]).where(again).selectExpr(
-        "key", "part", "at AS low", f"at + {shape.window} AS high"
+        F.min("id").alias("least_id"), F.sum("places").alias("times")
     )
+    often = single.join(counts, ["one", "two"]).where(again).select("key", "part", "low", "high")
     ranges = compared.unionByName(often).groupBy("key").agg(
         F.collect_list(F.struct("part", "low", "high")).alias("ranges")
     )
