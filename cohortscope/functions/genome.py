@@ -35,15 +35,6 @@ def touches_regions(
     )
 
 
-def gene_at(chromosome: str, position: str, regions: Sequence[Region]) -> str:
-    """Gene whose region holds a position, the last one listed if several do."""
-    cases = " ".join(
-        f"WHEN {inside(chromosome, position, r)} THEN {literal(r.gene)}"
-        for r in reversed(regions)
-    )
-    return f"CASE {cases} END" if cases else "CAST(NULL AS STRING)"
-
-
 def disjoint_regions(regions: Sequence[Region]) -> list[Region]:
     """Cut overlapping regions so that each position keeps only its last listed gene."""
     pieces = []
