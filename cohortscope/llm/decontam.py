@@ -4,11 +4,15 @@ Numbers, names and units of a text become typed placeholders. A window of the te
 to the windows of benchmark items; then the words behind the placeholders of a document and an
 item must map to each other consistently. So a question whose names and numbers were exchanged is
 still found. All of it is Spark expressions.
+
+A text has several templates, the ways to match it; see ``templates``. One way suffices.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortscope.llm.scratch import Scratch
@@ -17,6 +21,8 @@ from cohortscope.llm.texts import whole_text
 #: Words of a window, literal words that it must hold, share of an item's windows that must
 #: occur, and share of the slots that must agree with one mapping.
 WINDOW, LITERALS, SHARE, AGREE = 8, 4, 0.5, 0.8
+#: The ways to match, the first that matches is reported.
+WAYS = ("typed", "lower", "exact")
 #: Rows up to which the windows of the benchmark are broadcast; beyond, both sides are shuffled.
 BROADCAST_ROWS = 500_000
 UNITS = (
@@ -29,33 +35,40 @@ _DIGIT = "(ascii({0}) BETWEEN 48 AND 57)"
 
 
 def templates(texts: DataFrame, *ids: str) -> DataFrame:
-    """The id columns, ``words`` (letters and digits only) and ``template``, of equal length.
+    """The id columns, ``words`` (letters and digits only) and a template for each way.
 
-    A token that starts with a digit is a number, one that starts with a capital is a name, and
-    a unit's name after a number is a unit; any other token stands for itself in lower case.
+    typed: A token that starts with a digit is a number, one that starts with a capital is a name,
+    and a unit's name after a number is a unit; any other token stands for itself in lower case.
+    lower: Only numbers and units have types, so capitals make no difference.
+    exact: The words in lower case.
     """
     units = ", ".join(f"'{u}'" for u in UNITS)
     bare = F.regexp_replace(whole_text(), r"([0-9])[.,:](?=[0-9])", "$1")
     words = F.filter(F.split(bare, r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    template = f"""transform(words, (w, i) ->
+    typed = f"""transform(words, (w, i) ->
         CASE WHEN {_DIGIT.format('w')} THEN '#number'
-             WHEN lower(substring(w, 1, 1)) != substring(w, 1, 1) THEN '#name'
+             WHEN substring(exact[i], 1, 1) != substring(w, 1, 1) THEN '#name'
              WHEN i > 0 AND w IN ({units}) AND {_DIGIT.format('words[i - 1]')} THEN '#unit'
-             ELSE lower(w) END)"""
+             ELSE exact[i] END)"""
+    lower = f"""transform(exact, (w, i) ->
+        CASE WHEN {_DIGIT.format('w')} THEN '#number'
+             WHEN i > 0 AND w IN ({units}) AND {_DIGIT.format('exact[i - 1]')} THEN '#unit'
+             ELSE w END)"""
     return (
         texts.select(*ids, words.alias("words"))
         .where(F.size("words") >= LITERALS)
-        .withColumn("template", F.expr(template))
+        .withColumn("exact", F.expr("transform(words, w -> lower(w))"))
+        .withColumns({"typed": F.expr(typed), "lower": F.expr(lower)})
     )
 
 
-def _windows(of: DataFrame, ids: list[str], lengths: list[int]) -> DataFrame:
-    """Ids, place and hash of every window of the given lengths."""
+def _windows(of: DataFrame, ids: list[str], lengths: list[tuple[str, int]]) -> DataFrame:
+    """Ids, place and hash of every window of the given ways and lengths."""
     hashes = ", ".join(
-        f"CASE WHEN size(template) >= {n} THEN transform(sequence(0, size(template) - {n}), "
-        f"i -> named_struct('place', i, 'hash', xxhash64({n}, slice(template, i + 1, {n})))) "
+        f"CASE WHEN size({way}) >= {n} THEN transform(sequence(0, size({way}) - {n}), "
+        f"i -> named_struct('place', i, 'hash', xxhash64('{way}', {n}, slice({way}, i + 1, {n})))) "
         "ELSE array() END"
-        for n in lengths
+        for way, n in lengths
     )
     return of.select(*ids, F.explode(F.expr(f"concat({hashes})")).alias("window")).select(
         *ids, "window.place", "window.hash"
@@ -63,22 +76,28 @@ def _windows(of: DataFrame, ids: list[str], lengths: list[int]) -> DataFrame:
 
 
 def item_windows(items: DataFrame, window: int) -> DataFrame:
-    """item_id, place, hash of the windows that hold enough literal words, and n_windows.
+    """item_id, way, place, length, hash of the windows that hold enough literal words, and n_windows.
 
-    An item shorter than the window is one window.
+    An item shorter than the window is one window. An item that has no such window however its
+    words are written, as it consists of numbers, has all windows of its words.
     """
-    lengths = f"least(size(template), {window})"
-    sliced = items.selectExpr(
-        "item_id",
-        f"posexplode(transform(sequence(0, size(template) - {lengths}), "
-        f"i -> slice(template, i + 1, {lengths}))) AS (place, part)",
-    )
-    literal = "size(filter(part, x -> NOT startswith(x, '#')))"
-    rows = sliced.where(f"{literal} >= {LITERALS}").selectExpr(
-        "item_id", "place", "size(part) AS length", "xxhash64(size(part), part) AS hash"
-    )
-    counts = rows.groupBy("item_id").agg(F.countDistinct("hash").alias("n_windows"))
-    return rows.join(counts, "item_id")
+    rows = {}
+    for way in WAYS:
+        lengths = f"least(size({way}), {window})"
+        sliced = items.selectExpr(
+            "item_id",
+            f"posexplode(transform(sequence(0, size({way}) - {lengths}), "
+            f"i -> slice({way}, i + 1, {lengths}))) AS (place, part)",
+        )
+        literal = "size(filter(part, x -> NOT startswith(x, '#')))"
+        rows[way] = sliced.where(f"{literal} >= {LITERALS}").selectExpr(
+            "item_id", f"'{way}' AS way", "place", "size(part) AS length",
+            f"xxhash64('{way}', size(part), part) AS hash",
+        )
+    rows["exact"] = rows["exact"].join(rows["lower"].select("item_id").distinct(), "item_id", "left_anti")
+    every = reduce(DataFrame.unionByName, rows.values())
+    counts = every.groupBy("item_id", "way").agg(F.countDistinct("hash").alias("n_windows"))
+    return every.join(counts, ["item_id", "way"])
 
 
 def find_contaminated(
@@ -91,10 +110,11 @@ def find_contaminated(
     A document is contaminated by an item when at least ``share`` of the item's distinct template
     windows occur in it in one alignment, and at least ``agree`` of the slots of that alignment
     follow one mapping of the item's words to the document's, each way. The alignment with most
-    windows counts, then the smallest.
+    windows counts, then the smallest. Windows and slots are those of the first way that matches:
+    names, numbers and units exchanged; else numbers and units exchanged and capitals ignored.
 
-    Null or empty text matches nothing, in either table; items with fewer than four literal words
-    cannot be matched, and a null item_id names nothing and is left out. Items that share an id are
+    Null or empty text matches nothing, in either table; items with fewer than four words cannot
+    be matched, those of numbers only word by word, and a null item_id names nothing and is left out. Items that share an id are
     one item. Null and repeated document ids: a row for each row of docs, as texts are judged by
     their digest. Empty tables: no rows. Other columns are ignored.
     """
@@ -102,16 +122,16 @@ def find_contaminated(
     named = benchmark.select("item_id", "text").where("item_id IS NOT NULL").distinct()
     items = scratch.store(templates(named, "item_id"), "items")
     wanted = scratch.store(item_windows(items, window), "item-windows")
-    lengths = [r["length"] for r in wanted.select("length").distinct().collect()]
+    lengths = [tuple(r) for r in wanted.select("way", "length").distinct().collect()]
     text = whole_text()
     texts = docs.select("doc_id", F.md5(text.cast("binary")).alias("digest"), text.alias("text"))
-    target = wanted.select("item_id", "hash", "n_windows", F.col("place").alias("item_place"))
+    target = wanted.select("item_id", "way", "hash", "n_windows", F.col("place").alias("item_place"))
     if wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         target = F.broadcast(target)
-    found = _windows(templates(texts, "digest"), ["digest"], lengths or [window]).join(target, "hash")
+    found = _windows(templates(texts, "digest"), ["digest"], lengths or [("typed", window)]).join(target, "hash")
     aligned = scratch.store(
         found.withColumn("shift", F.col("place") - F.col("item_place"))
-        .groupBy("digest", "item_id", "n_windows", "shift")
+        .groupBy("digest", "item_id", "way", "n_windows", "shift")
         .agg(F.countDistinct("hash").alias("n_found"))
         .where(F.col("n_found") >= share * F.col("n_windows")),
         "alignments",
@@ -135,24 +155,23 @@ def _consistent(texts: DataFrame, items: DataFrame, aligned: DataFrame, agree: f
     """The best alignment of each text and item whose slots follow one mapping."""
     named = aligned.select("digest").distinct().hint("shuffle_hash")
     chosen = texts.join(named, "digest", "left_semi")
+    values = templates(chosen, "digest").select("digest", *_by_way("own"))
+    asked = items.select("item_id", *_by_way("asked"))
     pairs = (
-        templates(chosen, "digest").withColumnsRenamed({"words": "own", "template": "own_template"})
-        .join(aligned, "digest")
-        .join(items, "item_id")
+        aligned.join(values, "digest").join(asked, "item_id")
+        .selectExpr(*aligned.columns, "own[way] AS own", "asked[way] AS asked")
     )
-    slots = pairs.select(
+    slots = pairs.selectExpr(
         *aligned.columns,
-        F.expr(
-            """filter(transform(sequence(0, size(words) - 1), i -> named_struct(
-                 'kind', template[i], 'asked', lower(words[i]),
-                 'given', CASE WHEN i + shift >= 0 AND i + shift < size(own)
-                               AND own_template[i + shift] = template[i]
-                               THEN lower(own[i + shift]) END)),
-               x -> startswith(x.kind, '#') AND x.given IS NOT NULL)"""
-        ).alias("slots"),
+        """filter(transform(asked.kinds, (kind, i) -> named_struct(
+             'kind', kind, 'asked', asked.words[i],
+             'given', CASE WHEN i + shift >= 0 AND i + shift < size(own.kinds)
+                           AND own.kinds[i + shift] = kind
+                           THEN own.words[i + shift] END)),
+           x -> startswith(x.kind, '#') AND x.given IS NOT NULL) AS slots""",
     )
     keys = aligned.columns
-    once = slots.dropDuplicates(["digest", "item_id", "shift"])  # copies have one template
+    once = slots.dropDuplicates(["digest", "item_id", "way", "shift"])  # copies have one template
     exploded = once.select(*keys, F.explode_outer("slots").alias("slot"))
     mapped = exploded.groupBy(*keys, "slot").agg(F.count("slot").alias("n"))
     # Of the words that one word maps to, the most frequent one is the mapping, either way; of
@@ -163,12 +182,20 @@ def _consistent(texts: DataFrame, items: DataFrame, aligned: DataFrame, agree: f
         F.sum("n").alias("n_slots"),
         F.expr("sum(CASE WHEN to_given = 1 AND to_asked = 1 THEN n ELSE 0 END)").alias("n_agree"),
     )
+    rank = ", ".join(f"'{way}'" for way in WAYS)
     best = F.max_by(
-        F.struct("n_found", "n_slots", "n_agree"), F.struct("n_found", -F.col("shift"))
+        F.struct("n_windows", "n_found", "n_slots", "n_agree"),
+        F.struct(-F.expr(f"array_position(array({rank}), way)"), "n_found", -F.col("shift")),
     ).alias("best")
     return (
         judged.where(F.col("n_agree") >= agree * F.col("n_slots"))
-        .groupBy("digest", "item_id", "n_windows")
+        .groupBy("digest", "item_id")
         .agg(best)
-        .select("digest", "item_id", "n_windows", "best.*")
+        .select("digest", "item_id", "best.*")
     )
+
+
+def _by_way(name: str) -> list[Column]:
+    """A map from the way to the kinds of its tokens and their words in lower case."""
+    entries = ", ".join(f"'{way}', named_struct('kinds', {way}, 'words', exact)" for way in WAYS)
+    return [F.expr(f"map({entries})").alias(name)]

@@ -67,6 +67,21 @@ def test_short_items_and_decimals(spark):
     assert found(spark, ["please add 12 liters of warm water slowly", "add liters of water"], item) == [(0, 0)]
 
 
+def test_capitals_make_no_difference(spark):
+    lost = "IN WHICH YEAR DID THE GREAT RIVER FLOOD THE 12 KG STONE BRIDGE OF THE OLD TOWN"
+    texts = [
+        prose(1, 30) + " " + ITEM.upper() + " " + prose(2, 30),
+        prose(3, 30) + " " + ITEM.upper().replace("12", "40"),
+        prose(4, 30) + " " + lost + " " + prose(5, 30),
+        prose(6, 30) + " " + lost.title(),
+        prose(7, 30) + " " + lost.lower().replace("12", "99"),
+        "rows 10 20 30 40 50 60 70 80 90 end",
+        "rows 11 21 31 41 51 61 71 81 91 end",
+    ]
+    numbers = "10 20 30 40 50 60 70 80 90"
+    assert found(spark, texts, ITEM, lost, numbers) == [(0, 0), (1, 0), (2, 1), (3, 1), (4, 1), (5, 2)]
+
+
 def test_awkward_documents(spark, awkward, nothing):
     passage = prose(4, 40)
     items = benchmark(spark, passage, None)
