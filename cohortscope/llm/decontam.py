@@ -22,7 +22,9 @@ from cohortscope.llm.texts import whole_text
 #: occur, and share of the slots that must agree with one mapping.
 WINDOW, LITERALS, SHARE, AGREE = 8, 4, 0.5, 0.8
 #: The ways to match, the first that matches is reported.
-WAYS = ("typed", "lower", "exact")
+WAYS = ("typed", "joined", "lower", "exact")
+#: How far the windows of one alignment may lie apart, in the joined and lower ways.
+NEAR = 4
 #: Rows up to which the windows of the benchmark are broadcast; beyond, both sides are shuffled.
 BROADCAST_ROWS = 500_000
 UNITS = (
@@ -39,8 +41,11 @@ def templates(texts: DataFrame, *ids: str) -> DataFrame:
 
     typed: A token that starts with a digit is a number, one that starts with a capital is a name,
     and a unit's name after a number is a unit; any other token stands for itself in lower case.
-    lower: Only numbers and units have types, so capitals make no difference.
+    joined: Neighbouring names are one name, and a number and its unit are one number.
+    lower: Only numbers have types, their units included, so capitals make no difference.
     exact: The words in lower case.
+
+    ``joined_at`` and ``lower_at`` have the place of the first word of each token of these ways.
     """
     units = ", ".join(f"'{u}'" for u in UNITS)
     bare = F.regexp_replace(whole_text(), r"([0-9])[.,:](?=[0-9])", "$1")
@@ -50,15 +55,18 @@ def templates(texts: DataFrame, *ids: str) -> DataFrame:
              WHEN substring(exact[i], 1, 1) != substring(w, 1, 1) THEN '#name'
              WHEN i > 0 AND w IN ({units}) AND {_DIGIT.format('words[i - 1]')} THEN '#unit'
              ELSE exact[i] END)"""
-    lower = f"""transform(exact, (w, i) ->
-        CASE WHEN {_DIGIT.format('w')} THEN '#number'
-             WHEN i > 0 AND w IN ({units}) AND {_DIGIT.format('exact[i - 1]')} THEN '#unit'
-             ELSE w END)"""
+    joined_at = """filter(sequence(0, size(typed) - 1), i -> typed[i] != '#unit'
+        AND NOT (i > 0 AND typed[i] = '#name' AND typed[greatest(i - 1, 0)] = '#name'))"""
+    lower_at = f"""filter(sequence(0, size(exact) - 1), i ->
+        NOT (i > 0 AND exact[i] IN ({units}) AND {_DIGIT.format('exact[greatest(i - 1, 0)]')}))"""
+    lower = f"transform(lower_at, i -> CASE WHEN {_DIGIT.format('exact[i]')} THEN '#number' ELSE exact[i] END)"
     return (
         texts.select(*ids, words.alias("words"))
         .where(F.size("words") >= LITERALS)
         .withColumn("exact", F.expr("transform(words, w -> lower(w))"))
-        .withColumns({"typed": F.expr(typed), "lower": F.expr(lower)})
+        .withColumns({"typed": F.expr(typed), "lower_at": F.expr(lower_at)})
+        .withColumns({"joined_at": F.expr(joined_at), "lower": F.expr(lower)})
+        .withColumn("joined", F.expr("transform(joined_at, i -> typed[i])"))
     )
 
 
@@ -111,7 +119,9 @@ def find_contaminated(
     windows occur in it in one alignment, and at least ``agree`` of the slots of that alignment
     follow one mapping of the item's words to the document's, each way. The alignment with most
     windows counts, then the smallest. Windows and slots are those of the first way that matches:
-    names, numbers and units exchanged; else numbers and units exchanged and capitals ignored.
+    names, numbers and units exchanged, for one with as many words or else for any; else numbers
+    and units exchanged and capitals ignored. But in the first way, the windows of one alignment
+    may be ``NEAR`` words apart, so a few more or fewer words between them make no difference.
 
     Null or empty text matches nothing, in either table; items with fewer than four words cannot
     be matched, those of numbers only word by word, and a null item_id names nothing and is left out. Items that share an id are
@@ -129,14 +139,26 @@ def find_contaminated(
     if wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         target = F.broadcast(target)
     found = _windows(templates(texts, "digest"), ["digest"], lengths or [("typed", window)]).join(target, "hash")
+    near = found.withColumn("real", F.col("place") - F.col("item_place")).withColumn(
+        "shift",
+        F.expr(
+            "explode(CASE WHEN way IN ('joined', 'lower') "
+            f"THEN sequence(real - {NEAR}, real + {NEAR}) ELSE array(real) END)"
+        ),
+    )
+    covering = "CASE WHEN way IN ('joined', 'lower') THEN struct(abs(real - shift), real, item_place) END"
     aligned = scratch.store(
-        found.withColumn("shift", F.col("place") - F.col("item_place"))
-        .groupBy("digest", "item_id", "way", "n_windows", "shift")
-        .agg(F.countDistinct("hash").alias("n_found"))
-        .where(F.col("n_found") >= share * F.col("n_windows")),
+        near.groupBy("digest", "item_id", "way", "n_windows", "shift")
+        .agg(
+            F.countDistinct("hash").alias("n_found"),
+            F.max(F.expr("real = shift")).alias("met"),
+            F.array_sort(F.collect_set(F.expr(covering))).alias("covering"),
+        )
+        .where(F.col("met") & (F.col("n_found") >= share * F.col("n_windows")))
+        .drop("met"),
         "alignments",
     )
-    judged = scratch.store(_consistent(texts, items, aligned, agree), "judged")
+    judged = scratch.store(_consistent(texts, items, aligned, agree, window), "judged")
     return texts.select("doc_id", "digest").join(judged, "digest").select(
         "doc_id", "item_id", "n_windows", "n_found", "n_slots", "n_agree", "digest"
     )
@@ -151,7 +173,9 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataF
     return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
-def _consistent(texts: DataFrame, items: DataFrame, aligned: DataFrame, agree: float) -> DataFrame:
+def _consistent(
+    texts: DataFrame, items: DataFrame, aligned: DataFrame, agree: float, window: int
+) -> DataFrame:
     """The best alignment of each text and item whose slots follow one mapping."""
     named = aligned.select("digest").distinct().hint("shuffle_hash")
     chosen = texts.join(named, "digest", "left_semi")
@@ -161,16 +185,25 @@ def _consistent(texts: DataFrame, items: DataFrame, aligned: DataFrame, agree: f
         aligned.join(values, "digest").join(asked, "item_id")
         .selectExpr(*aligned.columns, "own[way] AS own", "asked[way] AS asked")
     )
+    # A slot's partner lies as far as the found window around it, or in the other ways the alignment.
+    keys = [c for c in aligned.columns if c != "covering"]
     slots = pairs.selectExpr(
-        *aligned.columns,
-        """filter(transform(asked.kinds, (kind, i) -> named_struct(
-             'kind', kind, 'asked', asked.words[i],
-             'given', CASE WHEN i + shift >= 0 AND i + shift < size(own.kinds)
-                           AND own.kinds[i + shift] = kind
-                           THEN own.words[i + shift] END)),
-           x -> startswith(x.kind, '#') AND x.given IS NOT NULL) AS slots""",
+        *keys,
+        f"""flatten(transform(filter(transform(transform(asked.kinds, (kind, i) -> named_struct('kind', kind,
+             'asked', asked.words[i], 'at', i + CASE WHEN way IN ('joined', 'lower') THEN get(
+               filter(covering, c -> c.item_place <= i AND i < c.item_place + {window}), 0).real
+               ELSE shift END)),
+             x -> named_struct('kind', x.kind, 'asked', x.asked,
+             'given', CASE WHEN x.at >= 0 AND x.at < size(own.kinds) AND own.kinds[x.at] = x.kind
+                           THEN own.words[x.at] END)),
+           x -> startswith(x.kind, '#') AND x.given IS NOT NULL),
+           x -> filter(array(
+             named_struct('kind', x.kind, 'asked', substring_index(x.asked, ' ', 1),
+                          'given', substring_index(x.given, ' ', 1)),
+             named_struct('kind', '#unit', 'asked', substring(x.asked, nullif(instr(x.asked, ' '), 0)),
+                          'given', substring(x.given, nullif(instr(x.given, ' '), 0)))),
+             y -> y.asked IS NOT NULL AND y.given IS NOT NULL))) AS slots""",
     )
-    keys = aligned.columns
     once = slots.dropDuplicates(["digest", "item_id", "way", "shift"])  # copies have one template
     exploded = once.select(*keys, F.explode_outer("slots").alias("slot"))
     mapped = exploded.groupBy(*keys, "slot").agg(F.count("slot").alias("n"))
@@ -196,6 +229,14 @@ def _consistent(texts: DataFrame, items: DataFrame, aligned: DataFrame, agree: f
 
 
 def _by_way(name: str) -> list[Column]:
-    """A map from the way to the kinds of its tokens and their words in lower case."""
-    entries = ", ".join(f"'{way}', named_struct('kinds', {way}, 'words', exact)" for way in WAYS)
+    """A map from the way to the kinds of its tokens and their words in lower case.
+
+    A number's unit, attached or not, follows after a blank where it is no token of its own.
+    """
+    words = {way: "exact" for way in WAYS}
+    for way in ("joined", "lower"):
+        until = f"coalesce(get({way}_at, j + 1), size(exact))"
+        words[way] = f"""transform({way}_at, (i, j) -> regexp_replace(
+            array_join(slice(exact, i + 1, {until} - i), ''), '^([0-9]+)({'|'.join(UNITS)})$', '$1 $2'))"""
+    entries = ", ".join(f"'{way}', named_struct('kinds', {way}, 'words', {words[way]})" for way in WAYS)
     return [F.expr(f"map({entries})").alias(name)]

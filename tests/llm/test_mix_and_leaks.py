@@ -82,6 +82,18 @@ def test_capitals_make_no_difference(spark):
     assert found(spark, texts, ITEM, lost, numbers) == [(0, 0), (1, 0), (2, 1), (3, 1), (4, 1), (5, 2)]
 
 
+def test_exchanged_words_of_another_number(spark):
+    short = "the old farmer Tom gave 5 kg of ripe pears to the shop"
+    between = prose(7, 14).lower() + " with Tom " + prose(8, 14).lower()
+    texts = [
+        prose(1, 30) + " " + short.replace("Tom", "Mary Ann"),
+        prose(2, 30) + " " + short.replace("5 kg", "7kg") + " " + prose(3, 30),
+        prose(4, 30) + " " + short.upper().replace("5 KG", "7KG"),
+        prose(5, 30) + " " + between.replace("Tom", "Vasco da Gama") + " " + prose(6, 30),
+    ]
+    assert found(spark, texts, short, between) == [(0, 0), (1, 0), (2, 0), (3, 1)]
+
+
 def test_awkward_documents(spark, awkward, nothing):
     passage = prose(4, 40)
     items = benchmark(spark, passage, None)
