@@ -113,11 +113,12 @@ def find_contaminated(
     agree: float = AGREE,
 ) -> DataFrame:
     """One row per contaminated document and item: doc_id, item_id, n_windows, n_found, n_slots,
-    n_agree, digest.
+    n_mapped, n_agree, digest.
 
     A document is contaminated by an item when at least ``share`` of the item's distinct template
     windows occur in it in one alignment, and at least ``agree`` of the slots of that alignment
-    follow one mapping of the item's words to the document's, each way. The alignment with most
+    follow one mapping of the item's words to the document's (``n_mapped``); two words of the item
+    may become the same word. ``n_agree`` are the slots that follow one mapping each way. The alignment with most
     windows counts, then the smallest. Windows and slots are those of the first way that matches:
     names, numbers and units exchanged, for one with as many words or else for any; else numbers
     and units exchanged and capitals ignored. But in the first way, the windows of one alignment
@@ -160,7 +161,7 @@ def find_contaminated(
     )
     judged = scratch.store(_consistent(texts, items, aligned, agree, window), "judged")
     return texts.select("doc_id", "digest").join(judged, "digest").select(
-        "doc_id", "item_id", "n_windows", "n_found", "n_slots", "n_agree", "digest"
+        "doc_id", "item_id", "n_windows", "n_found", "n_slots", "n_mapped", "n_agree", "digest"
     )
 
 
@@ -213,15 +214,16 @@ def _consistent(
     top = mapped.selectExpr("*", f"{place.format('asked')} AS to_given", f"{place.format('given')} AS to_asked")
     judged = top.groupBy(*keys).agg(
         F.sum("n").alias("n_slots"),
+        F.expr("sum(CASE WHEN to_given = 1 THEN n ELSE 0 END)").alias("n_mapped"),
         F.expr("sum(CASE WHEN to_given = 1 AND to_asked = 1 THEN n ELSE 0 END)").alias("n_agree"),
     )
     rank = ", ".join(f"'{way}'" for way in WAYS)
     best = F.max_by(
-        F.struct("n_windows", "n_found", "n_slots", "n_agree"),
+        F.struct("n_windows", "n_found", "n_slots", "n_mapped", "n_agree"),
         F.struct(-F.expr(f"array_position(array({rank}), way)"), "n_found", -F.col("shift")),
     ).alias("best")
     return (
-        judged.where(F.col("n_agree") >= agree * F.col("n_slots"))
+        judged.where(F.col("n_mapped") >= agree * F.col("n_slots"))
         .groupBy("digest", "item_id")
         .agg(best)
         .select("digest", "item_id", "best.*")

@@ -53,7 +53,7 @@ def op6_toxicity_field(spark: SparkSession, sf: str) -> DataFrame:
 def op7_benchmark_templates(spark: SparkSession, sf: str) -> DataFrame:
     return find_contaminated(
         table(spark, sf, "documents"), table(spark, sf, "benchmark")
-    ).drop("digest")
+    ).drop("digest", "n_mapped")
 
 
 def op8_quality_rules(spark: SparkSession, sf: str) -> DataFrame:

@@ -94,6 +94,15 @@ def test_exchanged_words_of_another_number(spark):
     assert found(spark, texts, short, between) == [(0, 0), (1, 0), (2, 0), (3, 1)]
 
 
+def test_two_words_exchanged_for_one(spark):
+    item = "in the garden Tom has 3 apples and after the walk Ann has 4 apples in a large basket"
+    same = item.replace("3", "5").replace("4", "5")
+    clash = item.replace("Ann has 4", "Tom has 3")
+    texts = [same, same.replace("has", "had"), item]
+    assert found(spark, texts, item) == [(0, 0), (2, 0)]
+    assert found(spark, [item.replace("Ann", "Eve").replace("4", "8")], clash) == []
+
+
 def test_awkward_documents(spark, awkward, nothing):
     passage = prose(4, 40)
     items = benchmark(spark, passage, None)
