@@ -64,6 +64,8 @@ class Windows:
 
     def occurrences(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Text, anchor and number of places of each anchor of each text."""
+        if not len(self.anchor):  # no window fits
+            return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64)
         reach = self.shape.window - self.shape.gram
         pad = np.zeros(reach, np.uint64)
         covering = ~sliding_min(~np.concatenate([pad, self.anchor, pad]), reach + 1)

@@ -138,3 +138,10 @@ def test_empty_tables(nothing):
     assert remove_repeated_phrases(nothing).count() == 0
     assert remove_repeated_strings(nothing).count() == 0
     assert similar_documents(nothing).count() == 0 and keep_one_of_similar(nothing).count() == 0
+
+
+@pytest.mark.parametrize("text", ["", "one two three", "one two three four five six seven"])
+def test_only_texts_shorter_than_a_window(spark, text):
+    docs = spark.createDataFrame([(1, text), (2, text)], "doc_id long, text string").coalesce(1)
+    for remove in (remove_repeated_phrases, remove_repeated_strings):
+        assert [r.n_removed for r in remove(docs).collect()] == [0, 0]
