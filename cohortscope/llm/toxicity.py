@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import pickle
 import re
+import warnings
 from collections.abc import Iterator
 from math import exp, log
 
@@ -155,6 +156,8 @@ def marker_words(sample: DataFrame, scratch: Scratch) -> DataFrame:
 
     A context is the word with its two neighbours and counts once however many copies of a
     document hold it. The test is a likelihood ratio whose limit grows with the number of words.
+    The odds of a marker's contexts are above 1 and above three times those of all contexts, which
+    can be reached whatever the share of toxic documents.
     """
     around = """transform(w, (x, i) -> named_struct('word', x,
         'before', CASE WHEN i > 0 THEN w[i - 1] END,
@@ -178,8 +181,8 @@ def marker_words(sample: DataFrame, scratch: Scratch) -> DataFrame:
         f"2 * (t * ln(t / n / {p!r}D) + "
         f"CASE WHEN n > t THEN (n - t) * ln((1 - t / n) / {(1 - p)!r}D) ELSE 0D END)"
     )
-    return words.where("t > 1").selectExpr("word", "t / n AS rate", f"{ratio} AS strength").where(
-        f"rate > {max(0.5, 2 * p)!r}D AND strength > {limit!r}D"
+    return words.where("t > 1").selectExpr("word", "t", "n", f"{ratio} AS strength").where(
+        f"t > {max(1.0, 3 * p / (1 - p))!r}D * (n - t) AND strength > {limit!r}D"
     )
 
 
@@ -277,6 +280,8 @@ def score_toxicity(
     )
     found = marker_words(sample, scratch).orderBy(F.desc("strength"), "word").limit(FIT_MARKERS).collect()
     markers = frozenset(r["word"] for r in found)
+    if not markers:
+        warnings.warn("no word marks toxic documents; scores do not depend on the words", stacklevel=2)
     segments = sample.selectExpr(
         "doc_id",
         "toxic",

@@ -9,7 +9,8 @@ import pytest
 
 from cohortscope.llm.quality import keep_good, score_quality, tree_rules
 from cohortscope.llm.tokens import count_tokens
-from cohortscope.llm.toxicity import Field, score_toxicity
+from cohortscope.llm.scratch import Scratch
+from cohortscope.llm.toxicity import Field, marker_words, score_toxicity
 from cohortscope.llm.urls import judge_urls
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -162,3 +163,21 @@ def test_trees_agree_with_the_rules(spark):
     found = judge_urls(table(spark, "pages")).where("rule IS NOT NULL").collect()
     right = [(r.score >= 0.5) == (r.verdict == "block") for r in found]
     assert np.mean(right) > 0.85
+
+
+@pytest.mark.parametrize("tenths", [1, 4, 5, 8])
+def test_markers_for_any_share_of_toxic_documents(spark, tenths):
+    rows = spark.range(2_000).selectExpr(
+        f"CAST(id % 10 < {tenths} AS INT) AS toxic",
+        f"array(concat('a', id), IF(id % 10 < {tenths}, 'vile', 'kind'), concat('b', id), 'plain') AS words",
+        "'.,' AS edges",
+    )
+    found = marker_words(rows, Scratch(spark, "test")).collect()
+    assert [r.word for r in found] == ["vile"]
+
+
+def test_no_marker_is_said(spark):
+    docs = spark.createDataFrame([(i, "same words") for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, i // 8 % 2) for i in range(40)], LABELS)
+    with pytest.warns(UserWarning, match="no word marks"):
+        score_toxicity(docs, labels).collect()
