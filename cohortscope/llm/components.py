@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +22,7 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         edges.where("a != b").selectExpr("greatest(a, b) AS a", "least(a, b) AS b").distinct(), "links"
     )
     before = None
-    for turn in range(200):
+    for turn in count():
         both = links.unionByName(links.selectExpr("b AS a", "a AS b"))
         large = _star(both, "b > a", scratch, f"large-{turn}")
         links = _star(large, "b < a", scratch, f"small-{turn}")

@@ -145,3 +145,13 @@ def test_only_texts_shorter_than_a_window(spark, text):
     docs = spark.createDataFrame([(1, text), (2, text)], "doc_id long, text string").coalesce(1)
     for remove in (remove_repeated_phrases, remove_repeated_strings):
         assert [r.n_removed for r in remove(docs).collect()] == [0, 0]
+
+
+def test_components_end_only_when_nothing_changes(spark, monkeypatch):
+    import sys
+
+    module = sys.modules["cohortscope.llm.components"]
+    monkeypatch.setattr(module, "range", lambda n: [0], raising=False)  # no bound on the rounds
+    edges = spark.createDataFrame([(i, i + 1) for i in range(30)], "a long, b long").coalesce(1)
+    labels = components(edges, Scratch(spark, "test")).collect()
+    assert sorted((r.node, r.label) for r in labels) == [(i, 0) for i in range(31)]
