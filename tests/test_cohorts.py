@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from conftest import one, rows
+from checks import one, rows
 
 from cohortscope.operators.cohorts import build_pharmacogenes, build_populations
 

@@ -3,7 +3,7 @@ from __future__ import annotations
 import json
 import os
 
-from conftest import rows
+from checks import rows
 
 from cohortscope.operators import exports
 from cohortscope.operators.documents import (

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import one, rows
+from checks import one, rows
 from pyspark.errors import PySparkException
 
 from cohortscope.operators.frequencies import build_allele_frequencies, top_variants_per_gene

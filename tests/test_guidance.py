@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from conftest import one, rows
+from checks import one, rows
 
 from cohortscope.operators.clinical import build_clinical_variants, with_cross_references
 from cohortscope.operators.guidance import (

@@ -3,7 +3,7 @@ from __future__ import annotations
 from dataclasses import replace
 
 import pytest
-from conftest import one, rows
+from checks import one, rows
 
 from cohortscope.operators.phenotypes import build_phenotypes, category, individual_dosage
 

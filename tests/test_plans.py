@@ -7,7 +7,7 @@ from contextlib import contextmanager
 from dataclasses import replace
 
 import pytest
-from conftest import rows
+from checks import rows
 
 from cohortscope.operators.frequencies import build_allele_frequencies
 from cohortscope.operators.phenotypes import individual_dosage

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import rows
+from checks import rows
 
 from cohortscope.operators import quality as q
 

@@ -3,7 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
-from conftest import rows
+from checks import rows
 
 from cohortscope.operators.ranking import build_ranking
 from cohortscope.schemas import RANKING, columns_of

@@ -6,7 +6,7 @@ import os
 from datetime import date
 
 import pytest
-from conftest import one, rows
+from checks import one, rows
 
 from cohortscope.operators.quality import DataQualityError
 from cohortscope.schemas import PANEL

@@ -6,7 +6,7 @@ import json
 from datetime import date
 
 import pytest
-from conftest import one, rows
+from checks import one, rows
 from test_sources import record, variant_file, write
 
 from cohortscope.operators.quality import DataQualityError

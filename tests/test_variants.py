@@ -4,7 +4,7 @@ import random
 from dataclasses import replace
 
 import pytest
-from conftest import rows
+from checks import rows
 
 from cohortscope import domain
 from cohortscope.functions.genome import disjoint_regions
