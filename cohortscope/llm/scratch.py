@@ -6,7 +6,6 @@ share, so a lost executor costs tasks and no data. One call uses one new subfold
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,16 +14,11 @@ SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The shared folder of the session; a local one only where master and driver are one JVM."""
+    """The folder that the session names; an error where it names none."""
     folder = spark.conf.get(SETTING, None)
-    if folder:
-        return folder.rstrip("/")
-    master = spark.conf.get("spark.master", "")
-    if not master.startswith("local") or master.startswith("local-cluster"):
+    if not folder:
         raise ValueError(f"set {SETTING} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.conf.set(SETTING, folder)
-    return folder
+    return folder.rstrip("/")
 
 
 class Scratch:
