@@ -100,6 +100,23 @@ WITH RECURSIVE w AS (
 SELECT doc_id, min(other) AS class_id, coalesce(any_value(n_links), 0) AS n_links,
        coalesce(any_value(n_text_links), 0) AS n_text_links, doc_id = min(other) AS kept
 FROM reached LEFT JOIN counts USING (doc_id) GROUP BY doc_id
+""",
+    "op11_repeated_lines": r"""
+WITH texts AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents
+), lines AS (
+  SELECT doc_id, line, place, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                                        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS place FROM texts)
+), often AS (
+  SELECT key, max(doc_id) AS owner FROM lines WHERE length(key) >= 40
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+)
+SELECT l.doc_id, count(*) AS n_lines,
+       count(*) FILTER (WHERE l.doc_id <> o.owner) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place)
+                       FILTER (WHERE coalesce(l.doc_id = o.owner, true)), '')) AS kept_sha256
+FROM lines l LEFT JOIN often o USING (key) GROUP BY l.doc_id
 """,
     "op7_benchmark_templates": r"""
 WITH tokens AS (

@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cohortscope.llm.decontam import find_contaminated
 from cohortscope.llm.exact_dedup import exact_dedup
 from cohortscope.llm.jaccard import similar_documents
+from cohortscope.llm.lines import drop_repeated_lines
 from cohortscope.llm.mixing import mix_sources
 from cohortscope.llm.quality import score_quality
 from cohortscope.llm.substring import remove_repeated_phrases
@@ -68,6 +70,11 @@ def op10_repeated_strings(spark: SparkSession, sf: str) -> DataFrame:
     return remove_repeated_strings(table(spark, sf, "documents"))
 
 
+def op11_repeated_lines(spark: SparkSession, sf: str) -> DataFrame:
+    kept = drop_repeated_lines(table(spark, sf, "documents"))
+    return kept.withColumn("kept_sha256", F.sha2("text", 256)).drop("text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_url_filters": op2_url_filters,
@@ -79,4 +86,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_repeated_strings": op10_repeated_strings,
+    "op11_repeated_lines": op11_repeated_lines,
 }
