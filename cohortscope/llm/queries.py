@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortscope.llm.alignment import align_tokens
 from cohortscope.llm.decontam import find_contaminated
 from cohortscope.llm.exact_dedup import exact_dedup
 from cohortscope.llm.jaccard import similar_documents
@@ -19,7 +20,7 @@ from cohortscope.llm.tokens import count_tokens
 from cohortscope.llm.toxicity import score_toxicity
 from cohortscope.llm.urls import judge_urls
 
-TOKENIZER = "piece_bpe_32k.model"
+TOKENIZER, BYTE_TOKENIZER = "piece_bpe_32k.model", "byte_bpe_50k.json"
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -75,6 +76,12 @@ def op11_repeated_lines(spark: SparkSession, sf: str) -> DataFrame:
     return kept.withColumn("kept_sha256", F.sha2("text", 256)).drop("text")
 
 
+def op12_token_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    from public_tokenizers import path
+
+    return align_tokens(table(spark, sf, "documents"), path(BYTE_TOKENIZER), path(TOKENIZER), digest=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_url_filters": op2_url_filters,
@@ -87,4 +94,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_repeated_strings": op10_repeated_strings,
     "op11_repeated_lines": op11_repeated_lines,
+    "op12_token_alignment": op12_token_alignment,
 }
