@@ -14,6 +14,7 @@ from cohortscope.llm.jaccard import similar_documents
 from cohortscope.llm.lines import drop_repeated_lines
 from cohortscope.llm.mixing import mix_sources
 from cohortscope.llm.quality import score_quality
+from cohortscope.llm.spelling import count_words, spelling_variants
 from cohortscope.llm.substring import remove_repeated_phrases
 from cohortscope.llm.suffixes import remove_repeated_strings
 from cohortscope.llm.tokens import count_tokens
@@ -82,6 +83,10 @@ def op12_token_alignment(spark: SparkSession, sf: str) -> DataFrame:
     return align_tokens(table(spark, sf, "documents"), path(BYTE_TOKENIZER), path(TOKENIZER), digest=True)
 
 
+def op13_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling_variants(count_words(table(spark, sf, "documents"), typos=97))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_url_filters": op2_url_filters,
@@ -95,4 +100,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_repeated_strings": op10_repeated_strings,
     "op11_repeated_lines": op11_repeated_lines,
     "op12_token_alignment": op12_token_alignment,
+    "op13_spelling_variants": op13_spelling_variants,
 }
