@@ -60,17 +60,13 @@ class Vocabulary:
             ]
             self.prefix = " "
         self.size = np.array([len(b) for b in self.bytes], dtype=np.int64)
-        names = [str(i) for i in range(len(self.bytes))]
-        #: Ids as text with the mark that follows: another id, or the end of a group's ids.
-        self.more = np.array([n + "," for n in names], dtype=object)
-        self.names = names
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """The tokens of a blank and the text; none where their bytes are not those."""
         out = []
         for text, ids in zip(texts, self.encode([self.prefix + t for t in texts])):
-            same = text and b"".join([self.bytes[i] for i in ids]) == b" " + text.encode()
-            out.append(np.array(ids if same else [], dtype=np.int64))
+            same = text and b"".join(map(self.bytes.__getitem__, ids)) == b" " + text.encode()
+            out.append(np.fromiter(ids, np.int64, len(ids)) if same else np.empty(0, np.int64))
         return out
 
 
@@ -86,6 +82,15 @@ def vocabulary(kind: str, model: bytes) -> Vocabulary:
     return Vocabulary(kind, model)
 
 
+@lru_cache(maxsize=2)
+def _digits(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The decimal digits of the numbers below n, the last ones first, and how many each has."""
+    numbers = np.arange(n)
+    tens = 10 ** np.arange(len(str(n)))
+    digits = numbers // tens[:, None] % 10 + ord("0")
+    return digits.astype(np.uint8), np.maximum((numbers >= tens[:, None]).sum(axis=0), 1)
+
+
 def merge(
     ends_a: np.ndarray, ends_b: np.ndarray, first_a: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -124,18 +129,29 @@ def merge(
 
 def group_texts(
     va: Vocabulary, vb: Vocabulary, ids_a: np.ndarray, ids_b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray
-) -> tuple[np.ndarray, np.ndarray]:
-    """The pieces ``a1,`` ``a2|`` ``b1;`` of all groups in order, and the place after each group's."""
+) -> tuple[bytes, np.ndarray]:
+    """``a1,a2|b1;`` of all groups in order, and the byte after each group's."""
     size_a = np.diff(np.concatenate([[-1], cut_a]))
     size_b = np.diff(np.concatenate([[-1], cut_b]))
-    out = np.empty(len(ids_a) + len(ids_b), dtype=object)
-    after_a = cut_b - size_b + 1  # tokens of b before the group
-    place_a = np.arange(len(ids_a)) + np.repeat(after_a, size_a)
+    # Tokens in the order of the text: those of a group's first tokenizer, then of its second.
+    place_a = np.arange(len(ids_a)) + np.repeat(cut_b - size_b + 1, size_a)
     place_b = np.arange(len(ids_b)) + np.repeat(cut_a + 1, size_b)
-    out[place_a], out[place_b] = va.more[ids_a], vb.more[ids_b]
-    out[cut_a + after_a] = [va.names[i] + "|" for i in ids_a[cut_a].tolist()]
-    out[cut_b + cut_a + 1] = [vb.names[i] + ";" for i in ids_b[cut_b].tolist()]
-    return out, cut_a + cut_b + 2
+    ids = np.empty(len(ids_a) + len(ids_b), dtype=np.int64)
+    ids[place_a], ids[place_b] = ids_a, ids_b
+    marks = np.full(len(ids), ord(","), dtype=np.uint8)
+    marks[place_a[cut_a]], marks[place_b[cut_b]] = ord("|"), ord(";")
+    digits, length = _digits(max(len(va.bytes), len(vb.bytes)))
+    size = length[ids]
+    mark_at = np.cumsum(size + 1) - 1
+    ends = mark_at[place_b[cut_b]] + 1
+    out = np.empty(mark_at[-1] + 1 if len(ids) else 0, dtype=np.uint8)
+    out[mark_at] = marks
+    for k in range(digits.shape[0]):  # the digits from the last one on
+        if k:
+            long = np.flatnonzero(size > k)
+            ids, mark_at, size = ids[long], mark_at[long], size[long]
+        out[mark_at - 1 - k] = digits[k, ids]
+    return out.tobytes(), ends
 
 
 class Aligned:
@@ -162,7 +178,7 @@ class Aligned:
         self.groups = []
         start = 0
         for end in ends.tolist():
-            self.groups.append("".join(pieces[start:end].tolist())[:-1])
+            self.groups.append(pieces[start : max(start, end - 1)])
             start = end
         #: Distinct linked ids of each document, as one number, and how many links of it hold them.
         width = len(va.bytes) * len(vb.bytes)
@@ -191,7 +207,7 @@ def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[int, list[str]]]:
         yield first, texts
 
 
-def _align(models, column: str, digest: Callable[[str], str]):
+def _align(models, column: str, digest: Callable[[bytes], str]):
     """Rows of documents, and after some MB of them a row with the linked ids of all of them.
 
     A document's row has its linked ids as places in the ``ids`` of its chunk's row.
@@ -285,7 +301,7 @@ def align_tokens(docs: DataFrame, first: str, second: str, *, digest: bool = Fal
     column = "groups_sha256" if digest else "groups"
     doc = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}"
     texts = docs.select("doc_id", whole_text().alias("text"))
-    encode = _align(models, column, _sha256 if digest else str)
+    encode = _align(models, column, _sha256 if digest else bytes.decode)
     schema = f"{doc}, {DOCUMENT.format(groups=column + ' string')}"
     rows = scratch.store(texts.mapInArrow(encode, schema), "documents")
     # Ids of a chunk are counted there, so a pair that every document holds is one row per chunk.
@@ -305,5 +321,5 @@ def align_tokens(docs: DataFrame, first: str, second: str, *, digest: bool = Fal
     )
 
 
-def _sha256(groups: str) -> str:
-    return hashlib.sha256(groups.encode()).hexdigest() if groups else ""
+def _sha256(groups: bytes) -> str:
+    return hashlib.sha256(groups).hexdigest() if groups else ""
