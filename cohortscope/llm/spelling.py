@@ -105,25 +105,33 @@ def _paths(words: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.store(kept.join(words.select("id", "word"), "id"), "paths")
 
 
+#: Whether a state that read so much more of its word can go on from the edge's child, or is at its end.
+_GOES_ON = """if(position + {0} = length(spelt), size(ends) > 0,
+    instr(after, substring(spelt, position + {0} + 1, 1)) > 0)"""
+
+
 def _advance(states: DataFrame, edges: DataFrame) -> DataFrame:
-    """The states after one edge: along it exactly, or with the one edit on the way."""
+    """The states after one edge: along it exactly, or with the one edit on the way.
+
+    States that no edge leads on from are left out at once. ``ends`` is null but at a word's end.
+    """
     exact = (
         states.where("edits = 1").withColumn("first", F.expr("substring(spelt, position + 1, 1)"))
         .join(edges, ["node", "first"])
-        .where("substring(spelt, position + 1, length(label)) = label")
-        .selectExpr("word", "spelt", "turned", "position + length(label) AS position", "child AS node", "ends")
+        .withColumn("taken", F.expr("length(label)"))
+        .where(f"substring(spelt, position + 1, taken) = label AND {_GOES_ON.format('taken')}")
     )
     # A part of the word that is one longer lost a letter, one shorter got one, as long changed one.
-    edited = (
-        states.where("edits = 0").join(edges, "node")
-        .selectExpr(
-            "*", "explode(filter(sequence(length(label) - 1, length(label) + 1), m -> "
-            "position + m <= length(spelt) AND "
-            "levenshtein(label, substring(spelt, position + 1, m), 1) = 1)) AS taken",
-        )
-        .selectExpr("word", "spelt", "turned", "position + taken AS position", "child AS node", "ends")
+    edited = states.where("edits = 0").drop("edits").join(edges, "node").selectExpr(
+        "*", "explode(filter(sequence(length(label) - 1, length(label) + 1), m -> "
+        f"position + m <= length(spelt) AND {_GOES_ON.format('m')} AND "
+        "levenshtein(label, substring(spelt, position + 1, m), 1) = 1)) AS taken",
     )
-    return exact.unionByName(edited).withColumn("edits", F.lit(1))
+    columns = [
+        "spelt", "turned", "position + taken AS position", "child AS node", "1 AS edits",
+        "if(position + taken = length(spelt), ends, null) AS ends",
+    ]
+    return exact.selectExpr(*columns).unionByName(edited.selectExpr(*columns))
 
 
 def neighbours(words: DataFrame, scratch: Scratch) -> DataFrame:
@@ -139,16 +147,23 @@ def neighbours(words: DataFrame, scratch: Scratch) -> DataFrame:
         .selectExpr("node", "substring(label, 1, 1) AS first", "label", "child", "ends"),
         "edges",
     )
+    # The letters that follow a node are at most those of the alphabet.
+    after = edges.groupBy("node").agg(F.array_join(F.collect_set("first"), "").alias("after"))
+    edges = scratch.store(
+        edges.join(after.withColumnRenamed("node", "child"), "child", "left").fillna("", "after"), "edges"
+    )
     states = paths.where("depth >= half").selectExpr(
-        "word", f"{_SPELT} AS spelt", "turned", "depth AS position", "node", "0 AS edits"
+        f"{_SPELT} AS spelt", "turned", "depth AS position", "node", "0 AS edits"
     )
     met = []
     while True:
         moved = scratch.store(_advance(states, edges), "moved")
-        at_end = moved.where("position = length(spelt)").selectExpr("word", "explode(ends) AS near")
+        at_end = moved.where("ends IS NOT NULL").selectExpr(
+            "if(turned, reverse(spelt), spelt) AS word", "explode(ends) AS near"
+        )
         met.append(at_end.where("levenshtein(word, near, 1) = 1"))
-        states = moved.where("position < length(spelt)").drop("ends").distinct()
-        if moved.where("position < length(spelt)").isEmpty():
+        states = moved.where("ends IS NULL").drop("ends")
+        if states.isEmpty():
             break
     found = met[0]
     for more in met[1:]:
