@@ -16,6 +16,7 @@ from cohortscope.operators.melt import (
     assemble_variants,
     parse_records,
 )
+from cohortscope.sources.block_gzip import PACKED, head_lines, listed, packed_lines
 from cohortscope.study import Study
 
 logger = logging.getLogger(__name__)
@@ -31,19 +32,23 @@ class Headers:
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+    """(file, value) of plain files, which Spark splits, and of compressed ones, split by blocks."""
+    plain = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+    if listed(spark, path).where(f"file RLIKE '{PACKED}'").isEmpty():
+        return plain
+    plain = plain.where(f"NOT file RLIKE '{PACKED}'")  # such files are not opened
+    return plain.unionByName(packed_lines(spark, path))
 
 
 def read_headers(spark: SparkSession, path: str | list[str]) -> Headers:
     """Header line of every file, each different line kept once.
 
-    One job over all files, however many there are: a filter on the lines and a group per
+    One job over the first lines of all files, however many there are, and a group per
     different header. The driver gets the header text and the list of files, which the
     reader's own file index holds as well.
     """
-    lines = read_lines(spark, path)
     found = (
-        lines.where(F.col("value").startswith(HEADER_MARK))
+        head_lines(spark, path).where(F.col("value").startswith(HEADER_MARK))
         .groupBy("value")
         .agg(F.sort_array(F.collect_set("file")).alias("files"))
         .orderBy("value")
@@ -54,7 +59,7 @@ def read_headers(spark: SparkSession, path: str | list[str]) -> Headers:
         number = headers.lines.setdefault(row["value"], len(headers.lines))
         headers.files.update((file, number) for file in row["files"])
     known = {_bare(file) for file in headers.files}
-    for file in lines.inputFiles():
+    for file in spark.read.text(path).inputFiles():
         if _bare(file) not in known:
             raise RuntimeError(f"{file} has no {HEADER_MARK} header line")
     return headers
@@ -74,9 +79,12 @@ def lines_with_header(spark: SparkSession, path: str | list[str], headers: Heade
     if len(headers.lines) == 1:
         return lines.selectExpr("0 AS header", "value")
     files = local_table(
-        spark, list(headers.files.items()), [("file", pa.string()), ("header", pa.int32())]
+        spark,
+        [(_bare(file), number) for file, number in headers.files.items()],
+        [("file", pa.string()), ("header", pa.int32())],
     )
-    return lines.join(F.broadcast(files), "file").select("header", "value")
+    bare = F.regexp_replace("file", r"^(\w+):/+", "$1:/")
+    return lines.withColumn("file", bare).join(F.broadcast(files), "file").select("header", "value")
 
 
 def sample_columns(spark: SparkSession, headers: Headers, samples: DataFrame) -> DataFrame:
