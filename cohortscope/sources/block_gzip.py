@@ -15,6 +15,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import takewhile
 
 import pyarrow as pa
 from pyarrow import fs
@@ -162,7 +163,7 @@ def _lines(heads: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
                         pieces = range_pieces(file, row["begin"], row["end"], row["length"], row["file"])
                     for piece in pieces:
                         lines = [x.removesuffix(b"\r") for x in piece.removesuffix(b"\n").split(b"\n")]
-                        found = [x for x in lines if x.startswith(b"#")] if heads else lines
+                        found = list(takewhile(lambda x: x.startswith(b"#"), lines)) if heads else lines
                         values = pa.array(found, pa.binary()).cast(pa.string())
                         yield pa.RecordBatch.from_arrays(
                             [pa.array([row["file"]] * len(found), pa.string()), values], ["file", "value"]
