@@ -16,6 +16,7 @@ import re
 import zlib
 from collections.abc import Callable, Iterator
 from itertools import takewhile
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyarrow import fs
@@ -29,11 +30,10 @@ PACKED = "[.]b?gz$"
 
 
 def opened(uri: str) -> pa.NativeFile:
-    """A file by the name that Spark gives it."""
-    scheme, _, path = re.sub(r"^(\w+):/+", r"\1:", uri).partition(":")
-    if scheme == "file":
-        return fs.LocalFileSystem().open_input_file("/" + path)
-    system, inner = fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
+    """A file by the name that Spark gives it, a URI."""
+    if uri.startswith("file:"):
+        return fs.LocalFileSystem().open_input_file(unquote(re.sub("^file:/+", "/", uri)))
+    system, inner = fs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", uri))
     return system.open_input_file(inner)
 
 
@@ -177,7 +177,9 @@ def _lines(heads: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
 def listed(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(file, length) of all files; their content is not read."""
     files = spark.read.format("binaryFile").load(path)
-    return files.selectExpr("path AS file", "length").where("length > 0")
+    # As the text reader names them.
+    name = "regexp_replace(_metadata.file_path, '^file:/+', 'file:///') AS file"
+    return files.selectExpr(name, "length").where("length > 0")
 
 
 def packed_lines(spark: SparkSession, path: str | list[str], *, size: int = RANGE) -> DataFrame:

@@ -55,7 +55,7 @@ def test_lines_by_many_tasks(spark, folder):
     found = packed_lines(spark, path, size=2_000)
     assert found.rdd.getNumPartitions() == -(-os.path.getsize(path) // 2_000) > 5
     assert values(found) == sorted([*TEXT.splitlines(), "no line feed at the end"])
-    assert {r.file for r in found.select("file").distinct().collect()} == {f"file:{path}"}
+    assert {r.file for r in found.select("file").distinct().collect()} == {f"file://{path}"}
 
 
 def test_a_block_start_inside_of_data(folder):
