@@ -27,6 +27,8 @@ RANGE, PIECE = 32 << 20, 1 << 20
 #: Fixed by the format: start of a member with extra fields, and its largest length.
 MEMBER, LONGEST = b"\x1f\x8b\x08\x04", 1 << 16
 PACKED = "[.]b?gz$"
+#: A file's name, which readers write with one slash or three.
+FILE = "regexp_replace(_metadata.file_path, '^file:/+', 'file:///')"
 
 
 def opened(uri: str) -> pa.NativeFile:
@@ -177,9 +179,7 @@ def _lines(heads: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
 def listed(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(file, length) of all files; their content is not read."""
     files = spark.read.format("binaryFile").load(path)
-    # As the text reader names them.
-    name = "regexp_replace(_metadata.file_path, '^file:/+', 'file:///') AS file"
-    return files.selectExpr(name, "length").where("length > 0")
+    return files.selectExpr(f"{FILE} AS file", "length").where("length > 0")
 
 
 def packed_lines(spark: SparkSession, path: str | list[str], *, size: int = RANGE) -> DataFrame:

@@ -16,7 +16,7 @@ from cohortscope.operators.melt import (
     assemble_variants,
     parse_records,
 )
-from cohortscope.sources.block_gzip import PACKED, head_lines, listed, packed_lines
+from cohortscope.sources.block_gzip import FILE, PACKED, head_lines, listed, packed_lines
 from cohortscope.study import Study
 
 logger = logging.getLogger(__name__)
@@ -33,10 +33,12 @@ class Headers:
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(file, value) of plain files, which Spark splits, and of compressed ones, split by blocks."""
-    plain = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+    plain = spark.read.text(path).selectExpr(f"{FILE} AS file", "value")
     if listed(spark, path).where(f"file RLIKE '{PACKED}'").isEmpty():
         return plain
-    plain = plain.where(f"NOT file RLIKE '{PACKED}'")  # such files are not opened
+    # The condition on the file keeps the others from being opened.
+    plain = spark.read.text(path).where(f"NOT _metadata.file_path RLIKE '{PACKED}'")
+    plain = plain.selectExpr(f"{FILE} AS file", "value")
     return plain.unionByName(packed_lines(spark, path))
 
 
