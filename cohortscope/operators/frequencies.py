@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,6 +61,17 @@ def build_allele_frequencies(
             F.expr(f"CAST({total} AS BIGINT)").alias("total_alleles"),
         )
     )
+    return rate_frequencies(counted, keys, clinical_variants, study, min_maf)
+
+
+def rate_frequencies(
+    counted: DataFrame,
+    keys: Sequence[str],
+    clinical_variants: DataFrame,
+    study: Study,
+    min_maf: float | None = None,
+) -> DataFrame:
+    """Frequencies, bounds and distances from allele_count and total_alleles per key."""
     rated = counted.selectExpr(
         "*",
         f"{rounded('allele_count / total_alleles', 6)} AS allele_frequency",

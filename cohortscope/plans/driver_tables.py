@@ -115,6 +115,27 @@ def sites(lineitem: DataFrame) -> DataFrame:
     )
 
 
+def spread_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines at positions all over five chromosomes."""
+    chromosome = pick([f"chr{i}" for i in range(1, 6)], "l_partkey % 5")
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        f"{chromosome} AS chromosome", "(l_partkey * 131 + l_suppkey * 7919) % 3000000 AS position"
+    )
+
+
+def part_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A region for each part, from some bases to a million long."""
+    chromosome = pick([f"chr{i}" for i in range(1, 6)], "p_partkey % 5")
+    length = "CAST(power(10, p_partkey % 7) AS BIGINT) * (1 + p_size % 9) div 9"
+    return table(spark, sf_dir, "part").selectExpr(
+        "concat('P', p_partkey) AS gene_symbol",
+        f"{chromosome} AS chromosome",
+        "(p_partkey * 104729) % 3000000 AS region_start",
+        f"(p_partkey * 104729) % 3000000 + {length} AS region_end",
+        "p_partkey * 7 % 1009 * 1000000 + p_partkey AS listed",
+    )
+
+
 def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Genotype facts: each order line is a call of its customer.
 

@@ -624,6 +624,22 @@ ORACLE_SQL: dict[str, str] = {
     "frequencies_from_repeated_calls": sql(
         FREQUENCIES, f"SELECT {FREQUENCY_COLUMNS} FROM frequencies"
     ),
+    "frequencies_from_dates": sql(FREQUENCIES, f"SELECT {FREQUENCY_COLUMNS} FROM frequencies"),
+    "gene_assignment_by_bins": """
+        WITH regions AS (
+            SELECT 'P' || p_partkey AS gene, 'chr' || (p_partkey % 5 + 1) AS chrom,
+                   (p_partkey * 104729) % 3000000 AS lo,
+                   CAST(power(10, p_partkey % 7) AS BIGINT) * (1 + p_size % 9) // 9 AS length,
+                   p_partkey * 7 % 1009 * 1000000 + p_partkey AS ord
+            FROM part),
+        sites AS (
+            SELECT 'chr' || (l_partkey % 5 + 1) AS chromosome,
+                   (l_partkey * 131 + l_suppkey * 7919) % 3000000 AS position, count(*) AS line_count
+            FROM lineitem GROUP BY ALL)
+        SELECT chromosome, position, line_count,
+               (SELECT arg_max(gene, ord) FROM regions
+                WHERE chrom = chromosome AND position BETWEEN lo AND lo + length) AS gene_symbol
+        FROM sites""",
     "export_populations": sql(COHORTS, "SELECT * FROM populations ORDER BY population_code"),
     "export_metadata": sql(
         [*FREQUENCIES, *COHORTS],

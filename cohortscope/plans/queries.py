@@ -20,6 +20,12 @@ from cohortscope.operators.frequencies import (
     build_allele_frequencies,
     top_variants_per_gene,
 )
+from cohortscope.operators.frequency_state import (
+    frequencies_of_state,
+    frequency_state,
+    merge_states,
+    number_samples,
+)
 from cohortscope.operators.guidance import (
     classify,
     flatten_recommendations,
@@ -31,6 +37,7 @@ from cohortscope.operators.impact import (
     build_drug_impact,
     build_joint_impact,
 )
+from cohortscope.operators.intervals import assign_genes_by_bins
 from cohortscope.operators.melt import assemble_variants, parse_records
 from cohortscope.operators.phenotypes import (
     build_phenotypes,
@@ -282,6 +289,24 @@ def frequencies_from_repeated_calls(spark: SparkSession, sf: str) -> DataFrame:
     return build_allele_frequencies(twice, clinical_variants(spark, sf), STUDY)
 
 
+def frequencies_from_dates(spark: SparkSession, sf: str) -> DataFrame:
+    """The repeated calls come on other ingest dates; each date is counted by itself."""
+    found = dt.variants(spark, sf).withColumn("day", F.expr("position div 25 % 3"))
+    calls = found.unionByName(found.where("allele_dosage = 0").withColumn("day", F.expr("(day + 1) % 3")))
+    numbers = number_samples(dt.samples(spark, sf))
+    states = [frequency_state(calls.where(F.col("day") == day), numbers) for day in range(3)]
+    merged = merge_states(states[0].unionByName(states[1]).unionByName(states[2]))
+    return frequencies_of_state(merged, clinical_variants(spark, sf), STUDY)
+
+
+def gene_assignment_by_bins(spark: SparkSession, sf: str) -> DataFrame:
+    """Positions of order lines against one region for each part, many of which overlap."""
+    located = assign_genes_by_bins(dt.spread_sites(spark, sf), dt.part_regions(spark, sf))
+    return located.groupBy("chromosome", "position", "gene_symbol").agg(
+        F.count(F.lit(1)).alias("line_count")
+    )
+
+
 def export_populations(spark: SparkSession, sf: str) -> DataFrame:
     return exports.population_export(populations(spark, sf))
 
@@ -380,6 +405,8 @@ QUERIES: dict[str, Query] = {
     "header_mapping": header_mapping,
     "guidance_records": guidance_records,
     "frequencies_from_repeated_calls": frequencies_from_repeated_calls,
+    "frequencies_from_dates": frequencies_from_dates,
+    "gene_assignment_by_bins": gene_assignment_by_bins,
     "export_metadata": export_metadata,
     "typed_result_rows": typed_result_rows,
     "maf_filter": maf_filter,
