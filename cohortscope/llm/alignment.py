@@ -42,6 +42,7 @@ class Vocabulary:
             ]
             self.encode = lambda texts: processor.encode(texts, num_threads=1)
             self.prefix = ""  # it puts a blank before the text itself
+            self.spells = False  # it may normalise, and writes blanks as a letter that texts may hold
         else:
             os.environ["TOKENIZERS_PARALLELISM"] = "false"
             from tokenizers import Tokenizer
@@ -59,14 +60,24 @@ class Vocabulary:
                 e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)
             ]
             self.prefix = " "
+            # A byte-level vocabulary with every byte spells any text that nothing rewrites first.
+            self.spells = (
+                tokenizer.normalizer is None
+                and type(tokenizer.pre_tokenizer).__name__ == "ByteLevel"
+                and {b for b in self.bytes if len(b) == 1} == {bytes([b]) for b in range(256)}
+            )
         self.size = np.array([len(b) for b in self.bytes], dtype=np.int64)
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """The tokens of a blank and the text; none where their bytes are not those."""
         out = []
         for text, ids in zip(texts, self.encode([self.prefix + t for t in texts])):
-            same = text and b"".join(map(self.bytes.__getitem__, ids)) == b" " + text.encode()
-            out.append(np.fromiter(ids, np.int64, len(ids)) if same else np.empty(0, np.int64))
+            found = np.fromiter(ids, np.int64, len(ids))
+            whole = b" " + text.encode()
+            same = len(whole) > 1 and self.size[found].sum() == len(whole)
+            if same and not self.spells:
+                same = b"".join(map(self.bytes.__getitem__, ids)) == whole
+            out.append(found if same else found[:0])
         return out
 
 
@@ -83,12 +94,12 @@ def vocabulary(kind: str, model: bytes) -> Vocabulary:
 
 
 @lru_cache(maxsize=2)
-def _digits(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The decimal digits of the numbers below n, the last ones first, and how many each has."""
-    numbers = np.arange(n)
-    tens = 10 ** np.arange(len(str(n)))
-    digits = numbers // tens[:, None] % 10 + ord("0")
-    return digits.astype(np.uint8), np.maximum((numbers >= tens[:, None]).sum(axis=0), 1)
+def _digits(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The numbers below n as rows of ASCII digits and a comma, their lengths, and which bytes they use."""
+    texts = [f"{i}," for i in range(n)]
+    length = np.array([len(t) for t in texts])
+    table = np.array(texts, dtype=f"S{length.max()}").view(np.uint8).reshape(n, -1)
+    return table, length, np.arange(table.shape[1]) < length[:, None]
 
 
 def merge(
@@ -138,20 +149,13 @@ def group_texts(
     place_b = np.arange(len(ids_b)) + np.repeat(cut_a + 1, size_b)
     ids = np.empty(len(ids_a) + len(ids_b), dtype=np.int64)
     ids[place_a], ids[place_b] = ids_a, ids_b
-    marks = np.full(len(ids), ord(","), dtype=np.uint8)
-    marks[place_a[cut_a]], marks[place_b[cut_b]] = ord("|"), ord(";")
-    digits, length = _digits(max(len(va.bytes), len(vb.bytes)))
+    table, length, used = _digits(max(len(va.bytes), len(vb.bytes)))
     size = length[ids]
-    mark_at = np.cumsum(size + 1) - 1
-    ends = mark_at[place_b[cut_b]] + 1
-    out = np.empty(mark_at[-1] + 1 if len(ids) else 0, dtype=np.uint8)
-    out[mark_at] = marks
-    for k in range(digits.shape[0]):  # the digits from the last one on
-        if k:
-            long = np.flatnonzero(size > k)
-            ids, mark_at, size = ids[long], mark_at[long], size[long]
-        out[mark_at - 1 - k] = digits[k, ids]
-    return out.tobytes(), ends
+    ends = np.cumsum(size)
+    out = table[ids]
+    for places, mark in ((place_a[cut_a], b"|"), (place_b[cut_b], b";")):
+        out[places, size[places] - 1] = ord(mark)
+    return out[used[ids]].tobytes(), ends[place_b[cut_b]]
 
 
 class Aligned:
