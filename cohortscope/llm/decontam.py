@@ -25,7 +25,7 @@ WINDOW, LITERALS, SHARE, AGREE = 8, 4, 0.5, 0.8
 WAYS = ("typed", "joined", "lower", "exact")
 #: How far the windows of one alignment may lie apart, in the joined and lower ways.
 NEAR = 4
-#: Rows up to which the windows of the benchmark are broadcast; beyond, both sides are shuffled.
+#: Rows up to which windows of the benchmark and digests are broadcast; beyond, both sides are shuffled.
 BROADCAST_ROWS = 500_000
 UNITS = (
     "mm cm m km inch inches foot feet ft yard yards mile miles mg g kg lb lbs pound pounds ounce "
@@ -36,6 +36,12 @@ UNITS = (
 _DIGIT = "(ascii({0}) BETWEEN 48 AND 57)"
 
 
+def _words() -> Column:
+    """Runs of letters and digits; marks between two digits are left out first."""
+    bare = F.regexp_replace(whole_text(), r"([0-9])[.,:](?=[0-9])", "$1")
+    return F.filter(F.split(bare, r"[^\p{L}\p{N}]+"), lambda w: w != "")
+
+
 def templates(texts: DataFrame, *ids: str) -> DataFrame:
     """The id columns, ``words`` (letters and digits only) and a template for each way.
 
@@ -48,8 +54,6 @@ def templates(texts: DataFrame, *ids: str) -> DataFrame:
     ``joined_at`` and ``lower_at`` have the place of the first word of each token of these ways.
     """
     units = ", ".join(f"'{u}'" for u in UNITS)
-    bare = F.regexp_replace(whole_text(), r"([0-9])[.,:](?=[0-9])", "$1")
-    words = F.filter(F.split(bare, r"[^\p{L}\p{N}]+"), lambda w: w != "")
     typed = f"""transform(words, (w, i) ->
         CASE WHEN {_DIGIT.format('w')} THEN '#number'
              WHEN substring(exact[i], 1, 1) != substring(w, 1, 1) THEN '#name'
@@ -61,7 +65,7 @@ def templates(texts: DataFrame, *ids: str) -> DataFrame:
         NOT (i > 0 AND exact[i] IN ({units}) AND {_DIGIT.format('exact[greatest(i - 1, 0)]')}))"""
     lower = f"transform(lower_at, i -> CASE WHEN {_DIGIT.format('exact[i]')} THEN '#number' ELSE exact[i] END)"
     return (
-        texts.select(*ids, words.alias("words"))
+        texts.select(*ids, _words().alias("words"))
         .where(F.size("words") >= LITERALS)
         .withColumn("exact", F.expr("transform(words, w -> lower(w))"))
         .withColumns({"typed": F.expr(typed), "lower_at": F.expr(lower_at)})
@@ -70,21 +74,78 @@ def templates(texts: DataFrame, *ids: str) -> DataFrame:
     )
 
 
-def _windows(of: DataFrame, ids: list[str], lengths: list[tuple[str, int]]) -> DataFrame:
-    """Ids, place and hash of every window of the given ways and lengths."""
-    hashes = ", ".join(
-        f"CASE WHEN size({way}) >= {n} THEN transform(sequence(0, size({way}) - {n}), "
-        f"i -> named_struct('place', i, 'hash', xxhash64('{way}', {n}, slice({way}, i + 1, {n})))) "
-        "ELSE array() END"
-        for way, n in lengths
+def _code(way: str, length: int) -> str:
+    """What tells the windows of one way and length from all others: a number that starts their hash."""
+    return f"{1000 * WAYS.index(way) + length}"
+
+
+def _hashes(texts: DataFrame, *ids: str) -> DataFrame:
+    """The id columns and for each way the hashes of the tokens of its template.
+
+    The tokens are those of ``templates``, but their text is hashed once, and the ways are made of the
+    hashes. Words are compared by their first byte where that decides.
+    """
+    units = ", ".join(f"'{u}'" for u in UNITS)
+    number, name, unit = (f"xxhash64('{x}')" for x in ("#number", "#name", "#unit"))
+    digit = "({0} >= '0' AND {0} < ':')"
+    typed = f"""transform(words, (w, i) ->
+        CASE WHEN {digit.format('w')} THEN {number}
+             WHEN w >= 'a' AND w < '{{' THEN
+               CASE WHEN i > 0 AND {digit.format('get(words, i - 1)')} AND w IN ({units}) THEN {unit}
+                    ELSE get(exact, i) END
+             WHEN substring(w, 1, 1) != lower(substring(w, 1, 1)) THEN {name}
+             ELSE get(exact, i) END)"""
+    counted = f"transform(words, (w, i) -> CASE WHEN {digit.format('w')} THEN {number} ELSE get(exact, i) END)"
+    joined = f"""filter(typed, (x, i) ->
+        x != {unit} AND NOT (i > 0 AND x = {name} AND get(typed, i - 1) = {name}))"""
+    lower = f"""filter(counted, (x, i) ->
+        NOT (i > 0 AND get(counted, i - 1) = {number} AND lower(get(words, i)) IN ({units})))"""
+    return (
+        texts.select(*ids, _words().alias("words"))
+        .selectExpr(*ids, "words", "transform(words, w -> xxhash64(lower(w))) AS exact")
+        .selectExpr(*ids, "words", "exact", f"{typed} AS typed", f"{counted} AS counted")
+        .selectExpr(*ids, "exact", "typed", f"{joined} AS joined", f"{lower} AS lower")
     )
-    return of.select(*ids, F.explode(F.expr(f"concat({hashes})")).alias("window")).select(
-        *ids, "window.place", "window.hash"
+
+
+def _windows(of: DataFrame, ids: list[str], lengths: list[tuple[str, int]]) -> DataFrame:
+    """Ids, place and hash of every window of the given ways and lengths.
+
+    The ways' tokens are one array, of which each token is a row; a row's windows are hashed from it
+    and the tokens after it, up to the end of its way. Only arrays of numbers are sliced into rows.
+    """
+    ways = [way for way in WAYS if way in {way for way, _ in lengths}]
+    ends = [" + ".join(f"size({way})" for way in ways[: k + 1]) for k in range(len(ways))]
+    named = ", ".join(f"'{way}', {end}" for way, end in zip(ways, ends))
+    tokens = of.selectExpr(*ids, f"concat({', '.join(ways)}) AS tokens", f"named_struct({named}) AS ends")
+    # The outer form: the inner one has Spark put a filter on the array's size below the projections,
+    # where it makes the arrays again, and those within functions once for each token.
+    rows = tokens.selectExpr(*ids, "tokens", "ends", "posexplode_outer(tokens) AS (at, token)")
+    after = {"first": "0", "last": f"ends.{ways[-1]}", "code": f"{WAYS.index(ways[-1])}"}
+    for k in reversed(range(len(ways) - 1)):
+        inside = f"CASE WHEN at < ends.{ways[k]} THEN "
+        after["code"] = f"{inside}{WAYS.index(ways[k])} ELSE {after['code']} END"
+        after["last"] = f"{inside}ends.{ways[k]} ELSE {after['last']} END"
+    for way in ways[:-1]:
+        after["first"] = f"CASE WHEN at >= ends.{way} THEN ends.{way} ELSE {after['first']} END"
+    placed = rows.selectExpr(
+        *ids, "tokens", "at", "token", f"{after['code']} AS code", f"{after['last']} AS last", f"at - ({after['first']}) AS place"
     )
+    hashes = []
+    for n in sorted({n for _, n in lengths}):
+        having = ", ".join(str(WAYS.index(way)) for way, m in lengths if m == n)
+        following = "".join(f", get(tokens, at + {k})" for k in range(1, n))
+        hashes.append(
+            f"CASE WHEN at + {n} <= last AND code IN ({having}) "
+            f"THEN xxhash64(1000 * code + {n}, token{following}) END"
+        )
+    if len(hashes) == 1:
+        return placed.selectExpr(*ids, "place", f"{hashes[0]} AS hash")
+    return placed.selectExpr(*ids, "place", f"explode(array({', '.join(hashes)})) AS hash")
 
 
-def item_windows(items: DataFrame, window: int) -> DataFrame:
-    """item_id, way, place, length, hash of the windows that hold enough literal words, and n_windows.
+def item_windows(items: DataFrame, window: int, literals: int = LITERALS) -> DataFrame:
+    """item, way, place, length, hash of the windows that hold enough literal words, and n_windows.
 
     An item shorter than the window is one window. An item that has no such window however its
     words are written, as it consists of numbers, has all windows of its words.
@@ -93,63 +154,69 @@ def item_windows(items: DataFrame, window: int) -> DataFrame:
     for way in WAYS:
         lengths = f"least(size({way}), {window})"
         sliced = items.selectExpr(
-            "item_id",
+            "item",
             f"posexplode(transform(sequence(0, size({way}) - {lengths}), "
             f"i -> slice({way}, i + 1, {lengths}))) AS (place, part)",
         )
         literal = "size(filter(part, x -> NOT startswith(x, '#')))"
-        rows[way] = sliced.where(f"{literal} >= {LITERALS}").selectExpr(
-            "item_id", f"'{way}' AS way", "place", "size(part) AS length",
-            f"xxhash64('{way}', size(part), part) AS hash",
+        hashed = " ".join(
+            f"WHEN {n} THEN xxhash64({_code(way, n)}, "
+            + ", ".join(f"xxhash64(get(part, {k}))" for k in range(n)) + ")"
+            for n in range(max(literals, 1), window + 1)
+        )
+        rows[way] = sliced.where(f"{literal} >= {literals}").selectExpr(
+            "item", f"'{way}' AS way", "place", "size(part) AS length",
+            f"CASE size(part) {hashed} END AS hash",
         )
-    rows["exact"] = rows["exact"].join(rows["lower"].select("item_id").distinct(), "item_id", "left_anti")
+    rows["exact"] = rows["exact"].join(rows["lower"].select("item").distinct(), "item", "left_anti")
     every = reduce(DataFrame.unionByName, rows.values())
-    counts = every.groupBy("item_id", "way").agg(F.countDistinct("hash").alias("n_windows"))
-    return every.join(counts, ["item_id", "way"])
+    counts = every.groupBy("item", "way").agg(F.countDistinct("hash").alias("n_windows"))
+    return every.join(counts, ["item", "way"])
 
 
 def find_contaminated(
     docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, share: float = SHARE,
-    agree: float = AGREE,
+    agree: float = AGREE, literals: int = LITERALS, near: int = NEAR,
 ) -> DataFrame:
     """One row per contaminated document and item: doc_id, item_id, n_windows, n_found, n_slots,
     n_mapped, n_agree, digest.
 
     A document is contaminated by an item when at least ``share`` of the item's distinct template
-    windows occur in it in one alignment, and at least ``agree`` of the slots of that alignment
+    windows of ``window`` tokens (``literals`` of them literal words) occur in it in one alignment,
+    and at least ``agree`` of the slots of that alignment
     follow one mapping of the item's words to the document's (``n_mapped``); two words of the item
     may become the same word. ``n_agree`` are the slots that follow one mapping each way. The alignment with most
     windows counts, then the smallest. Windows and slots are those of the first way that matches:
     names, numbers and units exchanged, for one with as many words or else for any; else numbers
     and units exchanged and capitals ignored. But in the first way, the windows of one alignment
-    may be ``NEAR`` words apart, so a few more or fewer words between them make no difference.
+    may be ``near`` words apart, so a few more or fewer words between them make no difference.
 
-    Null or empty text matches nothing, in either table; items with fewer than four words cannot
-    be matched, those of numbers only word by word, and a null item_id names nothing and is left out. Items that share an id are
-    one item. Null and repeated document ids: a row for each row of docs, as texts are judged by
-    their digest. Empty tables: no rows. Other columns are ignored.
+    Null or empty text matches nothing, in either table; items with fewer than ``literals`` words cannot
+    be matched, those of numbers only word by word. Items that share an id are one item; items of null
+    id are one for each text, with a null item_id. Null and repeated document ids: a row for each row of docs,
+    as texts are judged by their digest. Empty tables: no rows. Other columns are ignored.
     """
     scratch = Scratch(docs.sparkSession, "decontamination")
-    named = benchmark.select("item_id", "text").where("item_id IS NOT NULL").distinct()
-    items = scratch.store(templates(named, "item_id"), "items")
-    wanted = scratch.store(item_windows(items, window), "item-windows")
-    lengths = [tuple(r) for r in wanted.select("way", "length").distinct().collect()]
+    key = "coalesce(concat('i', CAST(item_id AS STRING)), concat('n', md5(CAST(text AS BINARY))))"
+    named = benchmark.where("text IS NOT NULL").selectExpr(f"{key} AS item", "item_id", "text").distinct()
+    items = scratch.store(templates(named, "item", "item_id"), "items")
+    wanted = scratch.store(item_windows(items, window, literals), "item-windows")
+    lengths = sorted(tuple(r) for r in wanted.select("way", "length").distinct().collect())
+    lengths = lengths or [("typed", window)]
     text = whole_text()
     texts = docs.select("doc_id", F.md5(text.cast("binary")).alias("digest"), text.alias("text"))
-    target = wanted.select("item_id", "way", "hash", "n_windows", F.col("place").alias("item_place"))
-    if wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        target = F.broadcast(target)
-    found = _windows(templates(texts, "digest"), ["digest"], lengths or [("typed", window)]).join(target, "hash")
-    near = found.withColumn("real", F.col("place") - F.col("item_place")).withColumn(
+    target = _small(wanted.selectExpr("item", "way", "hash", "n_windows", "place AS item_place"))
+    found = _windows(_hashes(texts, "digest"), ["digest"], lengths).join(target, "hash")
+    shifted = found.withColumn("real", F.col("place") - F.col("item_place")).withColumn(
         "shift",
         F.expr(
             "explode(CASE WHEN way IN ('joined', 'lower') "
-            f"THEN sequence(real - {NEAR}, real + {NEAR}) ELSE array(real) END)"
+            f"THEN sequence(real - {near}, real + {near}) ELSE array(real) END)"
         ),
     )
     covering = "CASE WHEN way IN ('joined', 'lower') THEN struct(abs(real - shift), real, item_place) END"
     aligned = scratch.store(
-        near.groupBy("digest", "item_id", "way", "n_windows", "shift")
+        shifted.groupBy("digest", "item", "way", "n_windows", "shift")
         .agg(
             F.countDistinct("hash").alias("n_found"),
             F.max(F.expr("real = shift")).alias("met"),
@@ -159,18 +226,27 @@ def find_contaminated(
         .drop("met"),
         "alignments",
     )
-    judged = scratch.store(_consistent(texts, items, aligned, agree, window), "judged")
+    judged = _consistent(texts, items, aligned, agree, window)
+    ids = items.select("item", "item_id").distinct()
+    judged = _small(scratch.store(judged.join(ids, "item").drop("item"), "judged"))
     return texts.select("doc_id", "digest").join(judged, "digest").select(
         "doc_id", "item_id", "n_windows", "n_found", "n_slots", "n_mapped", "n_agree", "digest"
     )
 
 
+def _small(rows: DataFrame) -> DataFrame:
+    """Stored rows, to be broadcast up to the limit; beyond, the side that a hash join builds."""
+    few = rows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return F.broadcast(rows) if few else rows.hint("shuffle_hash")
+
+
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """Rows of docs without a benchmark item, with all their columns."""
     found = find_contaminated(docs, benchmark, **options)
-    found = found.select(F.col("digest").alias("__found")).distinct()
+    scratch = Scratch(docs.sparkSession, "contaminated")
+    found = _small(scratch.store(found.select(F.col("digest").alias("__found")).distinct(), "digests"))
     marked = docs.withColumn("__digest", F.md5(whole_text().cast("binary")))
-    rows = marked.join(found.hint("shuffle_hash"), F.col("__digest") == F.col("__found"), "left_anti")
+    rows = marked.join(found, F.col("__digest") == F.col("__found"), "left_anti")
     return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
@@ -178,12 +254,13 @@ def _consistent(
     texts: DataFrame, items: DataFrame, aligned: DataFrame, agree: float, window: int
 ) -> DataFrame:
     """The best alignment of each text and item whose slots follow one mapping."""
-    named = aligned.select("digest").distinct().hint("shuffle_hash")
-    chosen = texts.join(named, "digest", "left_semi")
-    values = templates(chosen, "digest").select("digest", *_by_way("own"))
-    asked = items.select("item_id", *_by_way("asked"))
+    chosen = texts.join(_small(aligned.select("digest").distinct()), "digest", "left_semi")
+    # One of equal texts; copies collapse in their tasks, before the exchange.
+    once = chosen.groupBy("digest").agg(F.first("text").alias("text"))
+    values = templates(once, "digest").select("digest", *_by_way("own"))
+    asked = items.select("item", *_by_way("asked"))
     pairs = (
-        aligned.join(values, "digest").join(asked, "item_id")
+        aligned.join(values, "digest").join(asked, "item")
         .selectExpr(*aligned.columns, "own[way] AS own", "asked[way] AS asked")
     )
     # A slot's partner lies as far as the found window around it, or in the other ways the alignment.
@@ -205,8 +282,7 @@ def _consistent(
                           'given', substring(x.given, nullif(instr(x.given, ' '), 0)))),
              y -> y.asked IS NOT NULL AND y.given IS NOT NULL))) AS slots""",
     )
-    once = slots.dropDuplicates(["digest", "item_id", "way", "shift"])  # copies have one template
-    exploded = once.select(*keys, F.explode_outer("slots").alias("slot"))
+    exploded = slots.select(*keys, F.explode_outer("slots").alias("slot"))
     mapped = exploded.groupBy(*keys, "slot").agg(F.count("slot").alias("n"))
     # Of the words that one word maps to, the most frequent one is the mapping, either way; of
     # several, the one in the order of the words.
@@ -224,9 +300,9 @@ def _consistent(
     ).alias("best")
     return (
         judged.where(F.col("n_mapped") >= agree * F.col("n_slots"))
-        .groupBy("digest", "item_id")
+        .groupBy("digest", "item")
         .agg(best)
-        .select("digest", "item_id", "best.*")
+        .select("digest", "item", "best.*")
     )
 
 
