@@ -16,6 +16,8 @@ from math import exp, log
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
@@ -35,7 +37,7 @@ REMEMBERED = 200_000
 #: Characters of text that a worker splits into words at once; a longer text is split whole.
 CHUNK = 3_000_000
 EDGES = ".,;:!?\"'()[]{}*#$%&|<>"
-RESULT = "doc_id long, hits double, top double, spans array<struct<start:int,stop:int,marginal:double>>"
+RESULT = "hits double, top double, spans array<struct<start:int,stop:int,marginal:double>>"
 
 
 def features(word: str) -> list[str]:
@@ -207,19 +209,22 @@ def tag_documents(texts: DataFrame, field: Field) -> DataFrame:
     offsets of the words whose marginal is at least 0.5.
     """
 
-    def tag(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def tag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         odds_of = _Odds(field)
         for batch in batches:
-            size = batch["text"].str.len().cumsum() // CHUNK
-            for _, part in batch.groupby(size, sort=False):
-                yield _tagged(part, field, odds_of)
+            column = batch.column("text")
+            size = np.cumsum(pc.utf8_length(column).to_numpy(zero_copy_only=False)) // CHUNK
+            edges = [0, *(np.flatnonzero(np.diff(size)) + 1).tolist(), len(column)]
+            for start, stop in zip(edges, edges[1:]):
+                yield _tagged(batch.slice(start, stop - start), field, odds_of)
 
     rows = texts.select("doc_id", whole_text().alias("text"))
-    return rows.mapInPandas(tag, RESULT)
+    return rows.mapInArrow(tag, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {RESULT}")
 
 
-def _tagged(batch: pd.DataFrame, field: Field, odds_of: _Odds) -> pd.DataFrame:
-    split = [t.split() for t in batch["text"]]
+def _tagged(batch: pa.RecordBatch, field: Field, odds_of: _Odds) -> pa.RecordBatch:
+    texts = batch.column("text").to_pylist()
+    split = [t.split() for t in texts]
     offsets = np.concatenate([[0], np.cumsum([len(s) for s in split])]).astype(np.int64)
     odds = np.fromiter((odds_of[w] for s in split for w in s), np.float64, offsets[-1])
     p = field.marginals(odds, offsets)
@@ -231,9 +236,14 @@ def _tagged(batch: pd.DataFrame, field: Field, odds_of: _Odds) -> pd.DataFrame:
         top[filled] = np.maximum.reduceat(p, offsets[:-1][filled])
     spans = [
         _spans(text, p[a:b]) if y >= 0.5 else []
-        for text, a, b, y in zip(batch["text"], offsets[:-1], offsets[1:], top)
+        for text, a, b, y in zip(texts, offsets[:-1], offsets[1:], top)
     ]
-    return pd.DataFrame({"doc_id": batch["doc_id"], "hits": hits, "top": top, "spans": spans})
+    one = pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("marginal", pa.float64())])
+    # The ids as they came: a column of numbers with nulls would become inexact elsewhere.
+    return pa.RecordBatch.from_arrays(
+        [batch.column("doc_id"), pa.array(hits), pa.array(top), pa.array(spans, pa.list_(one))],
+        ["doc_id", "hits", "top", "spans"],
+    )
 
 
 def _spans(text: str, marginals: np.ndarray) -> list[dict]:
@@ -252,17 +262,18 @@ def _spans(text: str, marginals: np.ndarray) -> list[dict]:
 
 def score_toxicity(
     docs: DataFrame, labels: DataFrame, *, folds: int = 4, held: int = 2, limit: float = 0.3,
-    fit_docs: int = FIT_DOCS,
+    fit_docs: int = FIT_DOCS, fit_markers: int = FIT_MARKERS, fit_segments: int = FIT_SEGMENTS,
 ) -> DataFrame:
     """One row per row of docs: doc_id, held_out, score, predicted, n_spans, spans.
 
     Labels of ids whose crc32 fold is ``held`` are never learnt from. The field is fitted on at
-    most ``fit_docs`` labelled documents; every document's whole text is tagged.
+    most ``fit_docs`` labelled documents, with at most ``fit_markers`` marker words, the strongest, and
+    ``fit_segments`` different segments of either kind; every document's whole text is tagged.
 
     Null text: empty; an empty text has no words and gets the score of a text without toxic
     words. Null ids have no label and keep a null doc_id. Null labels are left out. Without labels
     of both kinds the score is the share of toxic labels, 0 if there are none. Empty table: no
-    rows. Repeated rows are scored each. Other columns are ignored.
+    rows. Repeated rows are scored each. Ids of any type come back as they are. Other columns are ignored.
     """
     scratch = Scratch(docs.sparkSession, "toxicity")
     known = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where(
@@ -278,7 +289,7 @@ def score_toxicity(
         ),
         "sample",
     )
-    found = marker_words(sample, scratch).orderBy(F.desc("strength"), "word").limit(FIT_MARKERS).collect()
+    found = marker_words(sample, scratch).orderBy(F.desc("strength"), "word").limit(fit_markers).collect()
     markers = frozenset(r["word"] for r in found)
     if not markers:
         warnings.warn("no word marks toxic documents; scores do not depend on the words", stacklevel=2)
@@ -288,24 +299,24 @@ def score_toxicity(
         f"explode(transform(sequence(0, greatest(size(words) - 1, 0), {SEGMENT}), "
         f"i -> slice(words, i + 1, {SEGMENT}))) AS words",
     ).where("size(words) > 0")
-    field = _train(_chosen_segments(segments, markers), markers)
+    field = _train(_chosen_segments(segments, markers, fit_segments), markers)
     tagged = scratch.store(tag_documents(texts, field), "tagged")
     return _calibrated(tagged, chosen, limit, folds, held)
 
 
-def _chosen_segments(segments: DataFrame, markers: frozenset[str]) -> DataFrame:
-    """At most FIT_SEGMENTS with a marker of a toxic document, and as many of clean documents."""
+def _chosen_segments(segments: DataFrame, markers: frozenset[str], most: int) -> DataFrame:
+    """Different segments: at most so many with a marker of a toxic document, and as many of clean ones."""
 
     def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             marked = [any(w.lower().strip(EDGES) in markers for w in s) for s in b["words"]]
             yield b.assign(marked=marked)
 
-    schema = "doc_id long, toxic int, words array<string>, marked boolean"
-    rows = segments.mapInPandas(mark, schema)
+    schema = "toxic int, words array<string>, marked boolean"
+    rows = segments.select("toxic", "words").distinct().mapInPandas(mark, schema)
     order = F.xxhash64("words")
-    with_markers = rows.where("marked AND toxic = 1").orderBy(order, "doc_id").limit(FIT_SEGMENTS)
-    without = rows.where("toxic = 0").orderBy(order, "doc_id").limit(FIT_SEGMENTS)
+    with_markers = rows.where("marked AND toxic = 1").orderBy(order, "words").limit(most)
+    without = rows.where("toxic = 0").orderBy(order, "words").limit(most)
     return with_markers.unionByName(without).select("words", "toxic")
 
 

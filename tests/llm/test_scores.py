@@ -181,3 +181,12 @@ def test_no_marker_is_said(spark):
     labels = spark.createDataFrame([(i, 1, i // 8 % 2) for i in range(40)], LABELS)
     with pytest.warns(UserWarning, match="no word marks"):
         score_toxicity(docs, labels).collect()
+
+
+def test_toxicity_keeps_ids_as_they_are(spark):
+    labels = spark.createDataFrame([("1", 1)], "doc_id string, toxic int")
+    large = spark.createDataFrame([(9007199254740993, "a b"), (None, "c"), (5, None)], "doc_id long, text string")
+    found = score_toxicity(large.coalesce(1), labels.selectExpr("CAST(doc_id AS LONG) AS doc_id", "toxic"))
+    assert {r.doc_id for r in found.collect()} == {9007199254740993, None, 5}
+    named = spark.createDataFrame([("a", "a b"), (None, "c")], "doc_id string, text string")
+    assert {r.doc_id for r in score_toxicity(named, labels).collect()} == {"a", None}
