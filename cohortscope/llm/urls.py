@@ -23,6 +23,9 @@ RULES = (
 )
 #: Bound on the labelled URLs that the trees are fitted on, taken by hash; and the trees.
 FIT_ROWS, TREES, DEPTH, SEED = 100_000, 12, 4, 29
+#: Folds of the labelled URLs: statistics of a URL's suffix leave out the URL's fold, and the last
+#: fold counts as URLs of unseen suffixes while learning. Weight of the overall block rate in a suffix's rate.
+FOLDS, PRIOR = 5, 2
 
 #: Lexical features of url, host, path and query.
 FEATURES = {
@@ -59,24 +62,34 @@ def url_parts(url: Column) -> tuple[Column, Column, Column]:
 
 def rule_match(rules: Sequence[tuple[str, str, str]]) -> tuple[Column, Column]:
     """The longest fitting rule as text and its verdict, over columns host and path; else null."""
-    name, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
+    names, verdicts = [F.lit(None).cast("string")], [F.lit(None).cast("string")]
     for kind, host, path in sorted(rules, key=lambda r: (len(r[1] + r[2]), len(r[1]), r)):
         fits = ((F.col("host") == host) | F.endswith("host", F.lit(f".{host}"))) & F.startswith(
             "path", F.lit(path)
         )
-        name = F.when(fits, host + path).otherwise(name)
-        verdict = F.when(fits, kind).otherwise(verdict)
-    return name, verdict
+        names.append(F.when(fits, host + path))
+        verdicts.append(F.when(fits, kind))
+    return F.coalesce(*reversed(names)), F.coalesce(*reversed(verdicts))
 
 
 def judge_urls(
-    pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, *, fit_rows: int = FIT_ROWS
+    pages: DataFrame,
+    rules: Sequence[tuple[str, str, str]] = RULES,
+    *,
+    fit_rows: int = FIT_ROWS,
+    learn_from: str = "TRUE",
 ) -> DataFrame:
     """One row per row of pages: page_id, host, path, rule, verdict, score.
 
     URLs that a rule fits have the verdict of the longest one and are the labelled URLs. Boosted
     trees learn from them, by lexical features and by the block rates of their host suffixes, and
-    judge the others: block where the probability ``score`` is at least a half.
+    judge the others: block where the probability ``score`` is at least a half. ``learn_from``, a
+    condition over host and path, restricts what is learnt from, to measure scores on the rest.
+
+    Suffix statistics of a labelled URL come from the labelled URLs of other folds (by hash of host
+    and path), so its own label is not among its features. While learning, one fold counts as URLs
+    of unseen suffixes, which have the overall block rate and a count of zero: the trees have learnt
+    to judge these by their other features.
 
     Null URLs and URLs without ``://`` have an empty host and path, fit no rule and are judged by
     their features. Labelled URLs of one kind only: that verdict for all; none: allow. Of rules of
@@ -99,23 +112,30 @@ def judge_urls(
         "page_id", "host", "path", rule.alias("rule"), verdict.alias("listed"), *suffixes,
         *[F.expr(f"CAST({sql} AS DOUBLE)").alias(name) for name, sql in FEATURES.items()],
     )
-    rows = scratch.store(rows, "features")
+    learnt = f"listed IS NOT NULL AND ({learn_from})"
+    fold = f"CASE WHEN {learnt} THEN CAST(pmod(xxhash64(host, path), {FOLDS}) AS INT) END"
+    rows = scratch.store(rows.withColumn("fold", F.expr(fold)), "features")
+    labels = rows.where("fold IS NOT NULL").withColumn("label", F.expr("CAST(listed = 'block' AS DOUBLE)"))
+    kinds = {r["label"]: r["count"] for r in labels.groupBy("label").count().collect()}
+    total = sum(kinds.values())
+    overall = kinds.get(1.0, 0) / max(total, 1)
     names = list(FEATURES)
     for name in SUFFIXES:
-        rows = rows.join(_suffix_statistics(rows, name), name, "left").fillna(
-            {f"{name}_rate": 0.5, f"{name}_seen": 0.0}
-        )
+        rows = _with_statistics(rows, labels, name, overall)
         names += [f"{name}_rate", f"{name}_seen"]
     rows = scratch.store(rows, "statistics")
-    labelled = rows.where("listed IS NOT NULL").selectExpr(
-        *names, "page_id", "CAST(listed = 'block' AS DOUBLE) AS label"
-    )
-    kinds = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
     if len(kinds) < 2:
         rows = rows.withColumn("score", F.lit(float(1.0 in kinds)))
     else:
-        total = sum(kinds.values())
-        kept = labelled.where(f"pmod(xxhash64(page_id), {1 << 20}) < {(1 << 20) * fit_rows // total}")
+        taken = f"pmod(xxhash64(page_id, host, path), {1 << 50}) < {(1 << 50) * min(fit_rows, total) // total}"
+        unseen = {
+            f"{name}_{kind}": F.expr(f"IF(fold = {FOLDS - 1}, {value!r}D, {name}_{kind})")
+            for name in SUFFIXES
+            for kind, value in (("rate", overall), ("seen", 0.0))
+        }
+        kept = rows.where(f"fold IS NOT NULL AND {taken}").withColumns(
+            {"label": F.expr("CAST(listed = 'block' AS DOUBLE)"), **unseen}
+        )
         vectors = VectorAssembler(inputCols=names, outputCol="features")
         trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, maxBins=32)
         model = trees.fit(vectors.transform(kept).select("label", "features"))
@@ -128,10 +148,20 @@ def judge_urls(
     )
 
 
-def _suffix_statistics(rows: DataFrame, suffix: str) -> DataFrame:
-    """Smoothed block rate and logarithm of the count of the labelled URLs of each suffix."""
-    listed = rows.where("listed IS NOT NULL").groupBy(suffix)
-    return listed.agg(
-        F.expr("(count_if(listed = 'block') + 1) / (count(*) + 2)").alias(f"{suffix}_rate"),
-        F.expr("ln(1 + count(*))").alias(f"{suffix}_seen"),
+def _with_statistics(rows: DataFrame, labels: DataFrame, suffix: str, overall: float) -> DataFrame:
+    """Rows with the suffix's block rate and logarithm of its count, the row's own fold left out."""
+    folds = range(FOLDS)
+    # The key passes through an expression, so that a join may split a hot suffix of the rows.
+    counts = labels.groupBy(suffix).agg(
+        F.expr(f"array({', '.join(f'count_if(fold = {k})' for k in folds)})").alias("seen"),
+        F.expr(f"array({', '.join(f'coalesce(sum(label) FILTER (WHERE fold = {k}), 0D)' for k in folds)})").alias("blocked"),
+    ).selectExpr(f"concat({suffix}, '') AS {suffix}", "seen", "blocked")
+
+    def others(counts: str) -> str:
+        every = f"aggregate({counts}, 0D, (s, x) -> s + x)"
+        return f"coalesce({every} - coalesce(get({counts}, fold), 0), 0D)"
+
+    rate = f"({others('blocked')} + {PRIOR * overall!r}D) / ({others('seen')} + {PRIOR})"
+    return rows.join(counts, suffix, "left").selectExpr(
+        *rows.columns, f"{rate} AS {suffix}_rate", f"ln(1 + {others('seen')}) AS {suffix}_seen"
     )

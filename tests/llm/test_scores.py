@@ -11,7 +11,7 @@ from cohortscope.llm.quality import keep_good, score_quality, tree_rules
 from cohortscope.llm.tokens import count_tokens
 from cohortscope.llm.scratch import Scratch
 from cohortscope.llm.toxicity import Field, marker_words, score_toxicity
-from cohortscope.llm.urls import judge_urls
+from cohortscope.llm.urls import PRIOR, _with_statistics, judge_urls
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -165,6 +165,78 @@ def test_trees_agree_with_the_rules(spark):
     assert np.mean(right) > 0.85
 
 
+def test_trees_on_urls_they_have_not_seen(spark):
+    """A fifth of the hosts is held out of the learning; their rules' verdicts are the truth."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    found = judge_urls(pages, learn_from="pmod(crc32(host), 5) <> 0").where("rule IS NOT NULL")
+    held = found.where("pmod(crc32(host), 5) = 0").collect()
+    block = np.array([r.verdict == "block" for r in held])
+    score = np.array([r.score for r in held])
+    assert len(held) > 300 and np.mean((score >= 0.5) == block) > 0.7
+    above = score[block][:, None] - score[~block][None, :]
+    assert np.mean((above > 0) + 0.5 * (above == 0)) > 0.6
+
+
+def test_unseen_suffixes_are_judged_by_their_features(spark):
+    """Blocked hosts are long and full of digits; the suffixes of the judged URLs have no label."""
+    pages = spark.range(1_200).selectExpr(
+        "id AS page_id",
+        "concat('http://', IF(id % 2 = 0, concat('a', id * 7919, '-', id * 104729, '.d'), 'home.d'), "
+        "id % 30, IF(id % 3 = 0, '.net/p', '.com/p'), id % 11) AS url",
+    )
+    rules = [("block" if k % 2 == 0 else "allow", f"d{k}.com", "/") for k in range(30)]
+    judged = judge_urls(pages, rules).where("rule IS NULL").collect()
+    assert len(judged) == 400 and all(r.host.endswith(".net") for r in judged)
+    assert np.mean([(r.verdict == "block") == (r.page_id % 2 == 0) for r in judged]) > 0.95
+
+
+def test_a_label_is_not_among_its_own_features(spark):
+    labelled = [("a", 0, 1.0), ("a", 0, 0.0), ("a", 1, 1.0), ("a", 4, 1.0), ("b", 2, 1.0)]
+    rows = spark.createDataFrame([*labelled, ("a", None, None), ("c", None, None)], "top string, fold int, label double")
+    found = _with_statistics(rows, rows.where("fold IS NOT NULL"), "top", 0.8).collect()
+    for r in found:
+        others = [y for t, f, y in labelled if t == r.top and f != r.fold]
+        assert r.top_rate == pytest.approx((sum(others) + PRIOR * 0.8) / (len(others) + PRIOR))
+        assert r.top_seen == pytest.approx(np.log(1 + len(others)))
+    assert len(found) == 7
+
+
+def test_hundreds_of_rules(spark):
+    rules = [("block" if k % 2 else "allow", f"x{k}.com", "/") for k in range(400)]
+    pages = spark.range(400).selectExpr("id AS page_id", "concat('http://x', id, '.com/') AS url")
+    found = judge_urls(pages, rules).collect()
+    assert all(r.rule == f"x{r.page_id}.com/" and (r.verdict == "block") == r.page_id % 2 for r in found)
+
+
+RULES_SQL = """
+    WITH parts AS (
+        SELECT page_id, coalesce(CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END, '') AS rest
+        FROM pages
+    ), named AS (
+        SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+            regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+        FROM parts
+    ), listed AS (
+        SELECT * FROM (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+            ('allow', 'com', '/fr/'), ('block', 'com', '/de/')) AS l(kind, h, p)
+    )
+    SELECT page_id, any_value(host), any_value(path), arg_max(h || p, length(h || p)), arg_max(kind, length(h || p))
+    FROM named LEFT JOIN listed ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+    GROUP BY page_id
+"""
+
+
+def test_hosts_paths_and_rules_against_sql(spark):
+    import duckdb
+
+    database = duckdb.connect()
+    database.execute(f"CREATE VIEW pages AS FROM '{SF_DIR}/pages.parquet'")
+    expected = sorted(database.execute(RULES_SQL).fetchall())
+    found = judge_urls(table(spark, "pages")).collect()
+    given = sorted((r.page_id, r.host, r.path, r.rule, r.verdict if r.rule else None) for r in found)
+    assert given == expected
+
+
 @pytest.mark.parametrize("tenths", [1, 4, 5, 8])
 def test_markers_for_any_share_of_toxic_documents(spark, tenths):
     rows = spark.range(2_000).selectExpr(
