@@ -27,6 +27,7 @@ from cohortscope.operators.variants import build_variants, require_calls
 from cohortscope.sinks.artifacts import export_artifact, write_documents, write_json
 from cohortscope.sinks.tables import upsert_table, write_bronze, write_table, write_variants
 from cohortscope.sources import annotation_files as files
+from cohortscope.sources.registered import Registered
 from cohortscope.sources.tables import read_date, read_latest, read_table
 from cohortscope.sources.variant_files import read_genotypes
 from cohortscope.study import Study
@@ -34,18 +35,23 @@ from cohortscope.study import Study
 
 @dataclass(frozen=True)
 class Layout:
-    """Where the tables of a run live."""
+    """Where the tables of a run live: folders, or tables of a database of the catalog."""
 
     root: str
+    database: str | None = None
 
-    def bronze(self, table: str) -> str:
-        return f"{self.root}/bronze/{table}"
+    def _table(self, tier: str, table: str) -> str | Registered:
+        path = f"{self.root}/{tier}/{table}"
+        return Registered(f"{self.database}.{tier}_{table}", path) if self.database else path
 
-    def silver(self, table: str) -> str:
-        return f"{self.root}/silver/{table}"
+    def bronze(self, table: str) -> str | Registered:
+        return self._table("bronze", table)
 
-    def gold(self, table: str) -> str:
-        return f"{self.root}/gold/{table}"
+    def silver(self, table: str) -> str | Registered:
+        return self._table("silver", table)
+
+    def gold(self, table: str) -> str | Registered:
+        return self._table("gold", table)
 
     def artifacts(self) -> str:
         return f"{self.root}/artifacts"

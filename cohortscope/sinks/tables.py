@@ -9,11 +9,12 @@ from functools import reduce
 from operator import and_
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cohortscope.operators.quality import guarded, validate
 from cohortscope.operators.upsert import upsert
+from cohortscope.sources.registered import Registered, is_registered, partition_keys, replace_partitions
 from cohortscope.sources.tables import partition_columns, stored_files
 
 CODEC = "snappy"
@@ -21,7 +22,7 @@ CODEC = "snappy"
 
 def write_bronze(
     df: DataFrame,
-    root: str,
+    root: str | Registered,
     ingest_date: date,
     extra_partition: dict[str, object] | None = None,
     order_by: tuple[str, ...] = (),
@@ -34,8 +35,8 @@ def write_bronze(
     ``order_by`` sorts within the files (by position, say), which makes their row group
     statistics useful to later region filters.
     """
-    table = root.rstrip("/").rsplit("/", 1)[-1]
-    partitions = {"ingest_date": ingest_date.isoformat(), **(extra_partition or {})}
+    table = folder_of(root).rsplit("/", 1)[-1]
+    partitions = {"ingest_date": F.lit(ingest_date), **(extra_partition or {})}
     rows = guarded(df, table)
     for name, value in partitions.items():
         rows = rows.withColumn(name, F.lit(value) if isinstance(value, str) else value)
@@ -51,7 +52,14 @@ def write_bronze(
         raise
 
 
-def _replace_partitions(df: DataFrame, root: str, partitions: Iterable[str]) -> None:
+def folder_of(table: str | Registered) -> str:
+    return (table.root if isinstance(table, Registered) else table).rstrip("/")
+
+
+def _replace_partitions(df: DataFrame, root: str | Registered, partitions: Iterable[str]) -> None:
+    if isinstance(root, Registered):
+        replace_partitions(df, root, list(partitions))
+        return
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -62,7 +70,7 @@ def _replace_partitions(df: DataFrame, root: str, partitions: Iterable[str]) ->
 
 
 def upsert_table(
-    updates: DataFrame, root: str, keys: Sequence[str], partition_by: Sequence[str]
+    updates: DataFrame, root: str | Registered, keys: Sequence[str], partition_by: Sequence[str]
 ) -> None:
     """Replace rows of a partitioned table by business key, or add them; makes a new table.
 
@@ -76,23 +84,32 @@ def upsert_table(
         raise ValueError(f"partition columns {partition_by} must be part of the key {keys}")
     spark = updates.sparkSession
     landed = _landed(updates, root)
-    try:
-        files = stored_files(spark, root)
-    except FileNotFoundError:
-        files = []
-    if files:
-        stored = partition_columns(files)
+    stored = _stored_layouts(spark, root)
+    if stored:
         if stored != {tuple(partition_by)}:
             raise ValueError(f"{root} is partitioned by {sorted(stored)}, not by {partition_by}")
         touched = landed.select(*partition_by).distinct().collect()
-        current = spark.read.schema(updates.schema).parquet(root)
+        if isinstance(root, Registered):
+            current = spark.table(root.name).select(*updates.columns)
+        else:
+            current = spark.read.schema(updates.schema).parquet(root)
         merged = upsert(in_partitions(current, touched, partition_by), landed, keys)
         landed = _landed(merged, root)
     _replace_partitions(landed.hint("rebalance", *partition_by), root, partition_by)
 
 
-def _landed(df: DataFrame, root: str) -> DataFrame:
-    path = f"{root.rstrip('/')}.landed/{uuid.uuid4().hex}"
+def _stored_layouts(spark: SparkSession, root: str | Registered) -> set[tuple[str, ...]]:
+    """Partition columns of the stored table; none where there is no table."""
+    if isinstance(root, Registered):
+        return {partition_keys(spark, root)} if is_registered(spark, root) else set()
+    try:
+        return partition_columns(stored_files(spark, root))
+    except FileNotFoundError:
+        return set()
+
+
+def _landed(df: DataFrame, root: str | Registered) -> DataFrame:
+    path = f"{folder_of(root)}.landed/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -109,11 +126,19 @@ def in_partitions(df: DataFrame, rows: Sequence, partition_by: Sequence[str]) ->
     return df.where(wanted)
 
 
-def write_table(df: DataFrame, root: str) -> None:
-    df.write.mode("overwrite").option("compression", CODEC).parquet(root)
+def write_table(df: DataFrame, root: str | Registered) -> None:
+    _replace_table(df.write, root)
+
 
+def _replace_table(writer: DataFrameWriter, root: str | Registered) -> None:
+    writer = writer.mode("overwrite").option("compression", CODEC)
+    if isinstance(root, Registered):
+        writer.option("path", root.root).format("parquet").saveAsTable(root.name)
+    else:
+        writer.parquet(root)
 
-def write_variants(df: DataFrame, root: str) -> int:
+
+def write_variants(df: DataFrame, root: str | Registered) -> int:
     """Facts by gene and cohort: readers of a few genes or one cohort skip the rest.
 
     The rebalance hint keeps files few without sending a partition to one task: adaptive
@@ -122,13 +147,7 @@ def write_variants(df: DataFrame, root: str) -> int:
     """
     keys = ("gene_symbol", "population_code")
     rows = Observation()
-    (
-        df.hint("rebalance", *keys)
-        .sortWithinPartitions(*keys, "variant_id")
-        .observe(rows, F.count(F.lit(1)).alias("rows"))
-        .write.mode("overwrite")
-        .option("compression", CODEC)
-        .partitionBy(*keys)
-        .parquet(root)
-    )
+    sorted_rows = df.hint("rebalance", *keys).sortWithinPartitions(*keys, "variant_id")
+    counted = sorted_rows.observe(rows, F.count(F.lit(1)).alias("rows"))
+    _replace_table(counted.write.partitionBy(*keys), root)
     return rows.get["rows"]

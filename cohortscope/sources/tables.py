@@ -1,4 +1,7 @@
-"""Stored tables: latest or given bronze partition, whole silver and gold tables."""
+"""Stored tables: latest or given bronze partition, whole silver and gold tables.
+
+A table is the path of its folder, or ``Registered`` in the catalog; only the former is listed.
+"""
 
 from __future__ import annotations
 
@@ -8,6 +11,9 @@ from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cohortscope.sources.registered import Registered, is_registered, latest_value, partitions, read_registered
 
 DATE_DIRECTORY = "ingest_date="
 
@@ -34,27 +40,41 @@ def partition_columns(files: Sequence[str]) -> set[tuple[str, ...]]:
     return found
 
 
-def latest_date(spark: SparkSession, root: str) -> str:
-    """Greatest ingest date among the stored files."""
+def latest_date(spark: SparkSession, table: str | Registered) -> str:
+    """Greatest ingest date among the catalog's partitions, or among the stored files."""
+    if isinstance(table, Registered):
+        if not is_registered(spark, table):
+            raise FileNotFoundError(f"table not found: {table}; run the earlier stage first")
+        latest = latest_value(spark, table, "ingest_date")
+        if latest is None:
+            raise FileNotFoundError(f"no ingest_date partitions of {table}")
+        return latest
     pattern = re.compile(rf"/{DATE_DIRECTORY}([^/]+)/")
-    dates = [found[1] for f in stored_files(spark, root) if (found := pattern.search(f))]
+    dates = [found[1] for f in stored_files(spark, table) if (found := pattern.search(f))]
     if not dates:
         raise FileNotFoundError(
-            f"no {DATE_DIRECTORY} partitions in {root}: no Parquet files found in any"
+            f"no {DATE_DIRECTORY} partitions in {table}: no Parquet files found in any"
         )
     return max(dates)
 
 
-def read_latest(spark: SparkSession, root: str) -> DataFrame:
-    return read_date(spark, root, latest_date(spark, root))
+def read_latest(spark: SparkSession, table: str | Registered) -> DataFrame:
+    return read_date(spark, table, latest_date(spark, table))
 
 
-def read_date(spark: SparkSession, root: str, day: date | str) -> DataFrame:
+def read_date(spark: SparkSession, table: str | Registered, day: date | str) -> DataFrame:
     """One ingest date, with the partition columns; other dates are not even listed."""
-    return spark.read.option("basePath", root).parquet(f"{root}/{DATE_DIRECTORY}{day}")
-
-
-def read_table(spark: SparkSession, root: str) -> DataFrame:
-    if not stored_files(spark, root):
-        raise FileNotFoundError(f"no Parquet files found in {root}")
-    return spark.read.parquet(root)
+    if isinstance(table, Registered):
+        found = read_registered(spark, table, F.col("ingest_date") == F.lit(str(day)).cast("date"))
+        if partitions(spark, table, ingest_date=day).isEmpty():
+            raise FileNotFoundError(f"no partition {DATE_DIRECTORY}{day} of {table}")
+        return found
+    return spark.read.option("basePath", table).parquet(f"{table}/{DATE_DIRECTORY}{day}")
+
+
+def read_table(spark: SparkSession, table: str | Registered) -> DataFrame:
+    if isinstance(table, Registered):
+        return read_registered(spark, table)
+    if not stored_files(spark, table):
+        raise FileNotFoundError(f"no Parquet files found in {table}")
+    return spark.read.parquet(table)

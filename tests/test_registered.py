@@ -1,0 +1,115 @@
+"""Tables in the catalog: partitions come from there, and only the wanted ones are listed."""
+
+from __future__ import annotations
+
+import os
+import uuid
+from datetime import date
+
+import pytest
+from checks import one, rows
+from test_sources import samples
+from test_stages import fill
+
+from cohortscope.plans import stages
+from cohortscope.sinks.tables import upsert_table, write_bronze, write_table, write_variants
+from cohortscope.sources.registered import Registered, adopt, partitions
+from cohortscope.sources.tables import latest_date, read_date, read_latest, read_table
+
+
+@pytest.fixture
+def database(spark, folder):
+    name = f"t{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{folder}/{name}'")
+    yield name
+    spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def found_files(spark, table, read):
+    """Files that the catalog's file index lists while the rows are read."""
+    metrics = spark._jvm.org.apache.spark.metrics.source.HiveCatalogMetrics
+    spark.catalog.refreshTable(table.name)
+    metrics.reset()
+    counted = read().count()
+    return counted, metrics.METRIC_FILES_DISCOVERED().getCount()
+
+
+def test_dates_come_from_the_catalog(spark, folder, database):
+    table = Registered(f"{database}.samples", f"{folder}/samples_metadata_raw")
+    with pytest.raises(FileNotFoundError, match="not found"):
+        read_latest(spark, table)
+    write_bronze(samples(spark, "S1"), table, date(2025, 1, 2))
+    write_bronze(samples(spark, "S2", "S3").coalesce(1), table, date(2025, 1, 10))
+    write_bronze(samples(spark, *(f"T{i}" for i in range(40))).repartition(20), table, date(2024, 12, 31))
+    assert latest_date(spark, table) == "2025-01-10"
+    assert rows(read_latest(spark, table), "sample_id") == [("S2",), ("S3",)]
+    assert one(read_date(spark, table, "2025-01-02"), "TRUE").ingest_date == date(2025, 1, 2)
+    with pytest.raises(FileNotFoundError, match="2025-01-03"):
+        read_date(spark, table, "2025-01-03")
+    assert found_files(spark, table, lambda: read_latest(spark, table)) == (2, 1)
+    assert found_files(spark, table, lambda: read_table(spark, table))[0] == 43
+
+
+def test_a_date_is_replaced_alone(spark, folder, database):
+    table = Registered(f"{database}.any", f"{folder}/any_table")
+    df = spark.createDataFrame([("chr1", 5), ("chr2", 6), ("chr1", 4)], "chromosome string, p int")
+    write_bronze(df, table, date(2025, 1, 1), {"chromosome_part": df.chromosome}, ("p",))
+    write_bronze(df.where("chromosome = 'chr2'").selectExpr("chromosome", "7 AS p"), table,
+                 date(2025, 1, 1), {"chromosome_part": "chr2"})
+    write_bronze(df.limit(0), table, date(2025, 1, 2), {"chromosome_part": df.chromosome})
+    assert rows(partitions(spark, table)) == [
+        ("ingest_date=2025-01-01/chromosome_part=chr1",), ("ingest_date=2025-01-01/chromosome_part=chr2",),
+    ]
+    assert rows(read_latest(spark, table), "chromosome_part", "p") == [("chr1", 4), ("chr1", 5), ("chr2", 7)]
+    with pytest.raises(ValueError, match="columns"):
+        write_bronze(df.drop("p"), table, date(2025, 1, 3), {"chromosome_part": df.chromosome})
+
+
+def test_folders_written_by_path_are_adopted(spark, folder, database):
+    root = f"{folder}/samples_metadata_raw"
+    write_bronze(samples(spark, "S1"), root, date(2025, 1, 1))
+    write_bronze(samples(spark, "S2"), root, date(2025, 1, 2))
+    table = Registered(f"{database}.adopted", root)
+    adopt(spark, table, read_table(spark, root).schema, ["ingest_date"])
+    assert rows(read_latest(spark, table), "sample_id") == [("S2",)]
+    assert rows(read_table(spark, table), "sample_id") == [("S1",), ("S2",)]
+
+
+def test_upsert_lists_only_touched_partitions(spark, folder, database):
+    table = Registered(f"{database}.gold", f"{folder}/gold")
+    ddl = "gene string, k string, x int"
+    upsert_table(spark.createDataFrame([("A", "1", 1), ("A", "2", 2), ("B", "1", 3)], ddl), table, ["gene", "k"], ["gene"])
+    untouched = os.listdir(f"{folder}/gold/gene=B")
+    new = spark.createDataFrame([("A", "2", 20), (None, "1", 30), ("C", "1", 40)], ddl)
+    for _ in range(2):
+        upsert_table(new, table, ["gene", "k"], ["gene"])
+    assert rows(read_table(spark, table), "gene", "k", "x") == sorted(
+        [("A", "1", 1), ("A", "2", 20), ("B", "1", 3), ("C", "1", 40), (None, "1", 30)],
+        key=lambda t: [(v is not None, str(v)) for v in t],
+    )
+    assert os.listdir(f"{folder}/gold/gene=B") == untouched
+    with pytest.raises(ValueError, match="partitioned by"):
+        upsert_table(new, table, ["gene", "k"], ["k"])
+
+
+def test_whole_tables(spark, folder, database):
+    table = Registered(f"{database}.whole", f"{folder}/whole")
+    for n in (3, 2):
+        write_table(spark.range(n), table)
+    assert read_table(spark, table).count() == 2
+    facts = Registered(f"{database}.facts", f"{folder}/facts")
+    df = spark.range(100).selectExpr("concat('G', id % 5) AS gene_symbol", "'A' AS population_code", "id AS variant_id")
+    assert write_variants(df, facts) == write_variants(df, facts) == 100
+    counted, files = found_files(spark, facts, lambda: read_table(spark, facts).where("gene_symbol = 'G1'"))
+    assert counted == 20 and files == len([f for f in os.listdir(f"{folder}/facts/gene_symbol=G1/population_code=A") if f.endswith(".parquet")])
+
+
+def test_stages_give_the_same_tables(spark, study, folder, database):
+    plain, registered = stages.Layout(f"{folder}/plain"), stages.Layout(f"{folder}/lake", database)
+    for layout in (plain, registered):
+        fill(spark, study, layout, folder)
+        stages.build_gold(spark, layout, study)  # a second run replaces its own rows
+    for tier, table in (("silver", "variants"), ("gold", "allele_frequencies_by_population"), ("gold", "actionability_ranking")):
+        expected, found = (read_table(spark, getattr(x, tier)(table)) for x in (plain, registered))
+        assert rows(found.select(sorted(found.columns))) == rows(expected.select(sorted(expected.columns)))
+    assert read_table(spark, registered.gold("drug_impact_summary")).count() > 0

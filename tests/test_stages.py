@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 from datetime import date
 
 import pytest
@@ -19,11 +20,16 @@ SAMPLES = {"C1": "CEU", "C2": "CEU", "P1": "PEL", "P2": "PEL", "P3": "PEL"}
 @pytest.fixture(scope="module")
 def layout(spark, study, tmp_path_factory):
     base = str(tmp_path_factory.mktemp("stages"))
+    layout = stages.Layout(f"{base}/lake")
+    fill(spark, study, layout, base)
+    return layout
+
+
+def fill(spark, study, layout, base):
+    """All stages up to gold, from files in a folder."""
     names = list(SAMPLES)
     calls = f"{base}/calls"
-    import os
-
-    os.makedirs(calls)
+    os.makedirs(calls, exist_ok=True)
     variant_file(
         calls, "10.vcf", names,
         record(96_521_657, "0|0", "0|1", "1|1", "0|1", "0|0"),
@@ -50,7 +56,6 @@ def layout(spark, study, tmp_path_factory):
     guidelines = write(base, "gl.json", json.dumps({"id": "A", "genes": ["CYP2C19"], "version": 2}))
     names_file = write(base, "dn.json", json.dumps({"drugid": "D", "name": "Clopidogrel"}))
 
-    layout = stages.Layout(f"{base}/lake")
     day = date(2025, 1, 1)
     stages.ingest_genotypes(spark, calls, panel, layout, day, study)
     stages.ingest_annotations(
@@ -67,7 +72,6 @@ def layout(spark, study, tmp_path_factory):
     stages.ingest_guidance(spark, recommendations, guidelines, names_file, layout, day)
     stages.build_silver(spark, layout, study)
     stages.build_gold(spark, layout, study)
-    return layout
 
 
 def test_bronze_and_silver(spark, layout):
