@@ -640,6 +640,18 @@ ORACLE_SQL: dict[str, str] = {
                (SELECT arg_max(gene, ord) FROM regions
                 WHERE chrom = chromosome AND position BETWEEN lo AND lo + length) AS gene_symbol
         FROM sites""",
+    "latest_stored_date": sql(
+        ["samples"],
+        """SELECT DATE '2025-01-03' AS ingest_date, population_code, count(*) AS sample_count
+           FROM samples WHERE CAST(substr(sample_id, 2) AS BIGINT) % 3 + 1 = 3
+           GROUP BY population_code""",
+    ),
+    "stored_upsert": sql(
+        ["samples"],
+        """SELECT superpopulation, population_code, count(*) AS sample_count FROM samples
+           WHERE superpopulation IN ('ASIA', 'EUROPE') OR CAST(substr(sample_id, 2) AS BIGINT) % 4 = 0
+           GROUP BY ALL""",
+    ),
     "export_populations": sql(COHORTS, "SELECT * FROM populations ORDER BY population_code"),
     "export_metadata": sql(
         [*FREQUENCIES, *COHORTS],

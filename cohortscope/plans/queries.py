@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,7 +52,10 @@ from cohortscope.operators.upsert import upsert
 from cohortscope.operators.variants import assign_genes
 from cohortscope.plans import driver_tables as dt
 from cohortscope.schemas import RAW_RECOMMENDATIONS
+from cohortscope.sinks.tables import upsert_table, write_bronze
 from cohortscope.sources.annotation_files import CLINICAL_ANNOTATIONS, build_panel, map_columns
+from cohortscope.sources.registered import Registered
+from cohortscope.sources.tables import read_latest, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -307,6 +312,37 @@ def gene_assignment_by_bins(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _new_table(spark: SparkSession, name: str) -> Registered:
+    """A table of its own for one call, in the folder that all executors share."""
+    name = f"{name}_{uuid.uuid4().hex}"
+    return Registered(f"default.{name}", f"{spark.conf.get('spark.checkpoint.dir').rstrip('/')}/{name}")
+
+
+def latest_stored_date(spark: SparkSession, sf: str) -> DataFrame:
+    """Samples come on three ingest dates; the catalog names the latest, which alone is read."""
+    table = _new_table(spark, "samples")
+    samples = dt.samples(spark, sf)
+    for day in (3, 1, 2):
+        part = samples.where(f"CAST(substr(sample_id, 2) AS BIGINT) % 3 + 1 = {day}")
+        write_bronze(part, table, date(2025, 1, day))
+    return read_latest(spark, table).groupBy("ingest_date", "population_code").agg(
+        F.count(F.lit(1)).alias("sample_count")
+    )
+
+
+def stored_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """Cohort sizes of some samples, replaced by the sizes of all in two superpopulations."""
+    table = _new_table(spark, "sizes")
+    keys = ["superpopulation", "population_code"]
+    samples = dt.samples(spark, sf)
+    size = F.count(F.lit(1)).alias("sample_count")
+    some = samples.where("CAST(substr(sample_id, 2) AS BIGINT) % 4 = 0 AND superpopulation <> 'ASIA'")
+    upsert_table(some.groupBy(*keys).agg(size), table, keys, keys[:1])
+    changed = samples.where("superpopulation IN ('ASIA', 'EUROPE')")
+    upsert_table(changed.groupBy(*keys).agg(size), table, keys, keys[:1])
+    return read_table(spark, table)
+
+
 def export_populations(spark: SparkSession, sf: str) -> DataFrame:
     return exports.population_export(populations(spark, sf))
 
@@ -407,6 +443,8 @@ QUERIES: dict[str, Query] = {
     "frequencies_from_repeated_calls": frequencies_from_repeated_calls,
     "frequencies_from_dates": frequencies_from_dates,
     "gene_assignment_by_bins": gene_assignment_by_bins,
+    "latest_stored_date": latest_stored_date,
+    "stored_upsert": stored_upsert,
     "export_metadata": export_metadata,
     "typed_result_rows": typed_result_rows,
     "maf_filter": maf_filter,
