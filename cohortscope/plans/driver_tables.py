@@ -266,6 +266,29 @@ def raw_recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def record_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(file, line) guidance as JSON lines, three in eleven of another shape than declared."""
+    scores = pick(('1.0', '"n/a"', "true", "[1, 2.50]", "null"), "event_id % 5")
+    kinds = "event_id % 11"
+    return (
+        table(spark, sf_dir, "events")
+        .selectExpr(
+            "concat('part', user_id % 3) AS file", "event_id", f"{scores} AS score",
+            f"""concat('{{"id": ', event_id, ', "guidelineid": "GL', user_id,
+                '", "phenotypes": {{"G1": "', event_type, '", "G2": ', {scores}, '}}') AS head""",
+        )
+        .selectExpr(
+            "file",
+            f"""CASE {kinds} WHEN 0 THEN concat(head, ', "activityscore": [', score, ']}}')
+                WHEN 1 THEN head
+                WHEN 2 THEN concat('[', head, '}}, {{"id": -', event_id + 1, '}}]')
+                WHEN 3 THEN CAST(event_id AS STRING)
+                WHEN 4 THEN concat(head, ', "activityscore": null}}')
+                ELSE concat(head, ', "activityscore": {{"G1": ', score, '}}}}') END AS line""",
+        )
+    )
+
+
 CALL_TEXTS = ("0|0:7", "0|1:7", "1|1:7", "./.:0", "0/1:3", "1:9")
 
 

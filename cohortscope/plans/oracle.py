@@ -621,6 +621,22 @@ ORACLE_SQL: dict[str, str] = {
                CAST(2 AS INTEGER) AS phenotype_count,
                CASE WHEN k % 3 = 0 THEN CAST(k AS VARCHAR) END AS first_score
         FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)""",
+    "guidance_shapes": """
+        WITH records AS (
+            SELECT 'part' || (user_id % 3) AS file, event_id, event_id % 11 AS shape,
+                   'GL' || user_id AS guideline, event_type,
+                   (['1.0', 'n/a', 'true', '[1,2.5]', NULL])[event_id % 5 + 1] AS score
+            FROM events)
+        SELECT file, CASE WHEN shape NOT IN (1, 3) THEN CAST(event_id AS VARCHAR) END AS id,
+               CASE WHEN shape NOT IN (1, 3) THEN guideline END AS guidelineid,
+               CASE WHEN shape NOT IN (1, 3) THEN event_type END AS first_phenotype,
+               CASE WHEN shape NOT IN (1, 3) THEN score END AS second_phenotype,
+               CASE WHEN shape > 4 THEN score END AS first_score,
+               CASE shape WHEN 0 THEN 'activityscore is no map<string,string>: ARRAY'
+                          WHEN 1 THEN 'no JSON' WHEN 3 THEN 'no object: BIGINT' END AS problem
+        FROM records
+        UNION ALL
+        SELECT file, '-' || (event_id + 1), NULL, NULL, NULL, NULL, NULL FROM records WHERE shape = 2""",
     "frequencies_from_repeated_calls": sql(
         FREQUENCIES, f"SELECT {FREQUENCY_COLUMNS} FROM frequencies"
     ),

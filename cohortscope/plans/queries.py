@@ -54,6 +54,7 @@ from cohortscope.plans import driver_tables as dt
 from cohortscope.schemas import RAW_RECOMMENDATIONS
 from cohortscope.sinks.tables import upsert_table, write_bronze
 from cohortscope.sources.annotation_files import CLINICAL_ANNOTATIONS, build_panel, map_columns
+from cohortscope.sources.record_files import split_records
 from cohortscope.sources.registered import Registered
 from cohortscope.sources.tables import read_latest, read_table
 
@@ -287,6 +288,15 @@ def guidance_records(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def guidance_shapes(spark: SparkSession, sf: str) -> DataFrame:
+    """Guidance records by the reader's rules: values of any type as text, other shapes named."""
+    found = split_records(dt.record_lines(spark, sf), RAW_RECOMMENDATIONS)
+    return found.selectExpr(
+        "file", "id", "guidelineid", "phenotypes['G1'] AS first_phenotype",
+        "phenotypes['G2'] AS second_phenotype", "activityscore['G1'] AS first_score", "problem",
+    )
+
+
 def frequencies_from_repeated_calls(spark: SparkSession, sf: str) -> DataFrame:
     """Calls without alternate alleles come twice; samples count once."""
     found = dt.variants(spark, sf)
@@ -440,6 +450,7 @@ QUERIES: dict[str, Query] = {
     "panel": panel,
     "header_mapping": header_mapping,
     "guidance_records": guidance_records,
+    "guidance_shapes": guidance_shapes,
     "frequencies_from_repeated_calls": frequencies_from_repeated_calls,
     "frequencies_from_dates": frequencies_from_dates,
     "gene_assignment_by_bins": gene_assignment_by_bins,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cohortscope.operators.clinical import with_cross_references
 from cohortscope.schemas import PANEL, RAW_DRUGS, RAW_GUIDELINES, RAW_RECOMMENDATIONS, conform
+from cohortscope.sources.record_files import read_records
 
 
 UNREADABLE = "_unreadable"
@@ -152,13 +153,13 @@ def read_panel(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_guidelines(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RAW_GUIDELINES).json(path)
+    return read_records(spark, path, RAW_GUIDELINES)
 
 
 def read_drug_names(spark: SparkSession, path: str) -> DataFrame:
-    named = spark.read.schema(RAW_DRUGS).json(path)
+    named = read_records(spark, path, RAW_DRUGS)
     return named.where("drugid <> '' AND name <> ''")
 
 
 def read_recommendations(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RAW_RECOMMENDATIONS).json(path)
+    return read_records(spark, path, RAW_RECOMMENDATIONS)

@@ -3,13 +3,14 @@ from __future__ import annotations
 import gzip
 import json
 import os
+import re
 from datetime import date
 
 import pytest
 from checks import one, rows
 
 from cohortscope.operators.quality import DataQualityError
-from cohortscope.schemas import PANEL
+from cohortscope.schemas import PANEL, RAW_RECOMMENDATIONS
 from cohortscope.sinks.tables import (
     in_partitions,
     upsert_table,
@@ -19,6 +20,7 @@ from cohortscope.sinks.tables import (
 )
 from cohortscope.sources import annotation_files as files
 from cohortscope.sources import variant_files
+from cohortscope.sources.record_files import refused_records
 from cohortscope.sources.tables import latest_date, read_date, read_latest, read_table
 from cohortscope.operators.melt import parse_records
 
@@ -246,6 +248,45 @@ def test_guidance_json(spark, folder):
     assert rows(files.read_drug_names(spark, drugs)) == [("D", "x")]
 
 
+ODD = (
+    '{"id": 1.50, "phenotypes": {"G": 2.0, "H": true, "I": null, "J": {"a": [1]}}, "more": 1}',
+    '[{"id": "x", "activityscore": {}}, {"id": 12345678901234567890123}]',
+    "[]", "   ", '{"id": null, "phenotypes": null}', "{}",
+)
+REFUSED = {
+    '{"id": 5': "no JSON",
+    '{"id": 5, "id": 6}': "no JSON",
+    "null": "no object: VOID",
+    '"text"': "no object: STRING",
+    '[{"id": 6}, 7]': "no object: BIGINT",
+    '{"id": 7, "phenotypes": []}': "phenotypes is no map<string,string>: ARRAY",
+    '{"id": 8, "activityscore": "n/a"}': "activityscore is no map<string,string>: STRING",
+}
+
+
+def test_records_keep_values_of_any_type(spark, folder):
+    found = files.read_recommendations(spark, write(folder, "r.json", *ODD)).collect()
+    assert sorted(r.id or "" for r in found) == ["", "", "1.5", "12345678901234567890123", "x"]
+    mixed = next(r for r in found if r.id == "1.5")
+    assert mixed.phenotypes == {"G": "2.0", "H": "true", "I": None, "J": '{"a":[1]}'}
+    genes = write(folder, "g.json", '{"id": 1, "genes": ["A", 2], "version": 3}')
+    assert files.read_guidelines(spark, genes).first()[:3] == ("1", None, ["A", "2"])
+    assert files.read_guidelines(spark, write(folder, "e.json", "")).isEmpty()
+
+
+def test_records_of_another_shape_are_named(spark, folder):
+    path = write(folder, "bad.json", *ODD, *REFUSED)
+    found = refused_records(spark, path, RAW_RECOMMENDATIONS).collect()
+    assert sorted(r.problem for r in found) == sorted([*REFUSED.values(), "unreadable"])
+    assert all(r.file.endswith("/bad.json") for r in found)
+    assert {r.record for r in found if r.problem == "no JSON"} == {'{"id": 5', '{"id": 5, "id": 6}'}
+    for number, (line, problem) in enumerate(REFUSED.items()):
+        one_bad = write(folder, f"bad{number}.json", ODD[0], line)
+        with pytest.raises(Exception, match=f"{re.escape(problem)}|unreadable") as failed:
+            files.read_recommendations(spark, one_bad).count()
+        assert f"bad{number}.json" in str(failed.value)
+
+
 # --- stored tables ---------------------------------------------------------------------
 
 
