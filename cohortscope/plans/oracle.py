@@ -656,6 +656,10 @@ ORACLE_SQL: dict[str, str] = {
                (SELECT arg_max(gene, ord) FROM regions
                 WHERE chrom = chromosome AND position BETWEEN lo AND lo + length) AS gene_symbol
         FROM sites""",
+    "dosage_from_buckets": sql(
+        PEOPLE, "SELECT sample_id, population_code, superpopulation, gene_symbol, total_dosage FROM people"
+    ),
+    "joint_impact_from_buckets": sql(JOINT, f"SELECT {IMPACT_COLUMNS} FROM joint"),
     "latest_stored_date": sql(
         ["samples"],
         """SELECT DATE '2025-01-03' AS ingest_date, population_code, count(*) AS sample_count

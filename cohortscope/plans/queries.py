@@ -52,7 +52,7 @@ from cohortscope.operators.upsert import upsert
 from cohortscope.operators.variants import assign_genes
 from cohortscope.plans import driver_tables as dt
 from cohortscope.schemas import RAW_RECOMMENDATIONS
-from cohortscope.sinks.tables import upsert_table, write_bronze
+from cohortscope.sinks.tables import upsert_table, write_bronze, write_variants
 from cohortscope.sources.annotation_files import CLINICAL_ANNOTATIONS, build_panel, map_columns
 from cohortscope.sources.record_files import split_records
 from cohortscope.sources.registered import Registered
@@ -353,6 +353,23 @@ def stored_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, table)
 
 
+def _bucketed_variants(spark: SparkSession, sf: str) -> DataFrame:
+    table = _new_table(spark, "variants")
+    write_variants(dt.variants(spark, sf), table, sample_buckets=64)
+    return read_table(spark, table)
+
+
+def dosage_from_buckets(spark: SparkSession, sf: str) -> DataFrame:
+    """Dosage per person from facts stored in buckets by sample."""
+    return individual_dosage(_bucketed_variants(spark, sf), STUDY)
+
+
+def joint_impact_from_buckets(spark: SparkSession, sf: str) -> DataFrame:
+    """Both genes of a person from facts stored in buckets by sample."""
+    people = individual_dosage(_bucketed_variants(spark, sf), STUDY, STUDY.joint.genes)
+    return build_joint_impact(people, recorded_sizes(spark, sf), STUDY)
+
+
 def export_populations(spark: SparkSession, sf: str) -> DataFrame:
     return exports.population_export(populations(spark, sf))
 
@@ -456,6 +473,8 @@ QUERIES: dict[str, Query] = {
     "gene_assignment_by_bins": gene_assignment_by_bins,
     "latest_stored_date": latest_stored_date,
     "stored_upsert": stored_upsert,
+    "dosage_from_buckets": dosage_from_buckets,
+    "joint_impact_from_buckets": joint_impact_from_buckets,
     "export_metadata": export_metadata,
     "typed_result_rows": typed_result_rows,
     "maf_filter": maf_filter,

@@ -35,10 +35,14 @@ from cohortscope.study import Study
 
 @dataclass(frozen=True)
 class Layout:
-    """Where the tables of a run live: folders, or tables of a database of the catalog."""
+    """Where the tables of a run live: folders, or tables of a database of the catalog.
+
+    With ``sample_buckets`` the genotype facts of silver are bucketed by sample as well.
+    """
 
     root: str
     database: str | None = None
+    sample_buckets: int | None = None
 
     def _table(self, tier: str, table: str) -> str | Registered:
         path = f"{self.root}/{tier}/{table}"
@@ -126,7 +130,9 @@ def build_silver(
     calls = bronze("genomes_variants_raw")
     require_calls(calls, samples, study)
     write_variants(
-        build_variants(calls, samples, study, single_calls=True), layout.silver("variants")
+        build_variants(calls, samples, study, single_calls=True),
+        layout.silver("variants"),
+        layout.sample_buckets,
     )
     write_table(
         build_clinical_variants(bronze("pharmgkb_clinical_annotations_raw"), study),

@@ -138,16 +138,30 @@ def _replace_table(writer: DataFrameWriter, root: str | Registered) -> None:
         writer.parquet(root)
 
 
-def write_variants(df: DataFrame, root: str | Registered) -> int:
+def write_variants(df: DataFrame, root: str | Registered, sample_buckets: int | None = None) -> int:
     """Facts by gene and cohort: readers of a few genes or one cohort skip the rest.
 
     The rebalance hint keeps files few without sending a partition to one task: adaptive
     execution splits a gene and cohort that holds much of the data. Returns the number
     of rows, counted in the same pass.
+
+    ``sample_buckets`` also buckets a registered table by sample, so that aggregates and joins by
+    sample need no exchange. A task of the write holds rows of one bucket, or of several small
+    ones, and adaptive execution splits a large bucket, which then has several files in a folder.
+    Within files rows are sorted by variant, so a filter on variants skips row groups, of a sample
+    with very many rows as well.
     """
     keys = ("gene_symbol", "population_code")
     rows = Observation()
-    sorted_rows = df.hint("rebalance", *keys).sortWithinPartitions(*keys, "variant_id")
-    counted = sorted_rows.observe(rows, F.count(F.lit(1)).alias("rows"))
-    _replace_table(counted.write.partitionBy(*keys), root)
+    if sample_buckets:
+        if not isinstance(root, Registered):
+            raise ValueError(f"buckets are kept by the catalog: register {root} to bucket it")
+        dealt = df.hint("rebalance", sample_buckets, "sample_id")
+    else:
+        dealt = df.hint("rebalance", *keys).sortWithinPartitions(*keys, "variant_id")
+    counted = dealt.observe(rows, F.count(F.lit(1)).alias("rows"))
+    writer = counted.write.partitionBy(*keys)
+    if sample_buckets:
+        writer = writer.bucketBy(sample_buckets, "sample_id").sortBy("variant_id")
+    _replace_table(writer, root)
     return rows.get["rows"]

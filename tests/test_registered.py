@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import os
 import uuid
 from datetime import date
@@ -11,6 +12,8 @@ from checks import one, rows
 from test_sources import samples
 from test_stages import fill
 
+from cohortscope.operators.impact import build_joint_impact
+from cohortscope.operators.phenotypes import individual_dosage
 from cohortscope.plans import stages
 from cohortscope.sinks.tables import upsert_table, write_bronze, write_table, write_variants
 from cohortscope.sources.registered import Registered, adopt, partitions
@@ -104,8 +107,68 @@ def test_whole_tables(spark, folder, database):
     assert counted == 20 and files == len([f for f in os.listdir(f"{folder}/facts/gene_symbol=G1/population_code=A") if f.endswith(".parquet")])
 
 
+def plan_of(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def facts(spark, hot=0):
+    """Calls of 300 people at 9 sites in 3 genes; the first person has many more, all at other sites."""
+    return spark.range(2700 + hot).selectExpr(
+        "CASE WHEN id < 2700 THEN concat('S', id % 300) ELSE 'S0' END AS sample_id",
+        "CASE WHEN id < 2700 THEN concat('v', id div 300) ELSE concat('w', id) END AS variant_id",
+        "concat('G', CASE WHEN id < 2700 THEN id div 900 ELSE 2 END) AS gene_symbol",
+        "CAST(id * 7 % 3 AS INT) AS allele_dosage",
+        "concat('C', CASE WHEN id < 2700 THEN id % 300 % 4 ELSE 0 END) AS population_code",
+        "'AMR' AS superpopulation",
+    )
+
+
+def test_buckets_spare_the_exchange_by_sample(spark, study, folder, database):
+    study = dataclasses.replace(
+        study, key_variants={f"G{g}": tuple(f"v{3 * g + i}" for i in range(3)) for g in range(3)},
+        joint=dataclasses.replace(study.joint, genes=("G0", "G1")),
+    )
+    sizes = spark.createDataFrame([(f"C{i}", "AMR", 75) for i in range(4)], "population_code string, superpopulation string, sample_size long")
+    table = Registered(f"{database}.bucketed", f"{folder}/bucketed")
+    for _ in range(2):
+        assert write_variants(facts(spark), table, sample_buckets=8) == 2700
+    found, plain = read_table(spark, table), facts(spark)
+    assert rows(found.select(plain.columns)) == rows(plain)
+    dosage = individual_dosage(found, study)
+    assert rows(dosage) == rows(individual_dosage(plain, study))
+    assert "Exchange" not in plan_of(dosage)
+    assert "Exchange" in plan_of(individual_dosage(plain, study))
+    joint = build_joint_impact(individual_dosage(found, study, study.joint.genes), sizes, study)
+    expected = build_joint_impact(individual_dosage(plain, study, study.joint.genes), sizes, study)
+    assert rows(joint) == rows(expected) and joint.count() == 4
+    assert "hashpartitioning(sample_id" not in plan_of(joint)
+    assert "hashpartitioning(sample_id" in plan_of(expected)
+
+
+def test_a_hot_sample_is_split_over_files(spark, folder, database):
+    table = Registered(f"{database}.hot", f"{folder}/hot")
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128k")
+    try:
+        assert write_variants(facts(spark, hot=60_000).repartition(6), table, sample_buckets=4) == 62_700
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    files = [f for f in os.listdir(f"{folder}/hot/gene_symbol=G2/population_code=C0") if f.endswith(".parquet")]
+    buckets = {f.rsplit("_", 1)[1] for f in files}
+    assert len(buckets) <= 4 < len(files)
+    people = read_table(spark, table).groupBy("sample_id").count()
+    assert one(people, "sample_id = 'S0'")["count"] == 60_009 and people.count() == 300
+    assert "Exchange" not in plan_of(people)
+
+
+def test_buckets_need_the_catalog(spark, folder):
+    with pytest.raises(ValueError, match="catalog"):
+        write_variants(facts(spark), f"{folder}/plain", sample_buckets=4)
+
+
 def test_stages_give_the_same_tables(spark, study, folder, database):
-    plain, registered = stages.Layout(f"{folder}/plain"), stages.Layout(f"{folder}/lake", database)
+    plain, registered = stages.Layout(f"{folder}/plain"), stages.Layout(f"{folder}/lake", database, 4)
     for layout in (plain, registered):
         fill(spark, study, layout, folder)
         stages.build_gold(spark, layout, study)  # a second run replaces its own rows
