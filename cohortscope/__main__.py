@@ -30,6 +30,7 @@ def arguments(words: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--root", required=True, help="folder of all tables")
     parser.add_argument("--database", help="existing database of the catalog that registers the tables")
     parser.add_argument("--sample-buckets", type=int, help="bucket the genotype facts by sample (needs --database)")
+    parser.add_argument("--calls-per-file", type=int, help="deal the genotype calls to files by ranges of positions")
     parser.add_argument("--date", type=date.fromisoformat, help="ingest or snapshot date")
     parser.add_argument("--calls", help="variant files")
     parser.add_argument("--panel", help="sample panel")
@@ -46,7 +47,7 @@ def arguments(words: list[str] | None = None) -> argparse.Namespace:
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
-    layout = stages.Layout(args.root.rstrip("/"), args.database, args.sample_buckets)
+    layout = stages.Layout(args.root.rstrip("/"), args.database, args.sample_buckets, args.calls_per_file)
     day = args.date or date.today()
     study = Study(snapshot_date=day)
     given = (m.partition("=") for m in args.minimum)

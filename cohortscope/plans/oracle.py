@@ -656,6 +656,13 @@ ORACLE_SQL: dict[str, str] = {
                (SELECT arg_max(gene, ord) FROM regions
                 WHERE chrom = chromosome AND position BETWEEN lo AND lo + length) AS gene_symbol
         FROM sites""",
+    "clustered_calls": sql(
+        FACTS,
+        """SELECT DATE '2025-01-01' AS ingest_date, chromosome AS chromosome_part, count(*) AS call_count,
+                  min(position) AS first_position, max(position) AS last_position,
+                  CAST(sum(allele_dosage) AS BIGINT) AS dosage_sum
+           FROM variants GROUP BY chromosome""",
+    ),
     "dosage_from_buckets": sql(
         PEOPLE, "SELECT sample_id, population_code, superpopulation, gene_symbol, total_dosage FROM people"
     ),

@@ -353,6 +353,20 @@ def stored_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, table)
 
 
+def clustered_calls(spark: SparkSession, sf: str) -> DataFrame:
+    """Calls stored by ranges of positions: what each chromosome's files hold within the regions."""
+    table = _new_table(spark, "calls")
+    calls = dt.variants(spark, sf)
+    write_bronze(
+        calls, table, date(2025, 1, 1), {"chromosome_part": F.col("chromosome")},
+        ("position", "variant_id"), rows_per_file=5000,
+    )
+    return read_latest(spark, table).groupBy("ingest_date", "chromosome_part").agg(
+        F.count(F.lit(1)).alias("call_count"), F.min("position").alias("first_position"),
+        F.max("position").alias("last_position"), F.sum("allele_dosage").alias("dosage_sum"),
+    )
+
+
 def _bucketed_variants(spark: SparkSession, sf: str) -> DataFrame:
     table = _new_table(spark, "variants")
     write_variants(dt.variants(spark, sf), table, sample_buckets=64)
@@ -473,6 +487,7 @@ QUERIES: dict[str, Query] = {
     "gene_assignment_by_bins": gene_assignment_by_bins,
     "latest_stored_date": latest_stored_date,
     "stored_upsert": stored_upsert,
+    "clustered_calls": clustered_calls,
     "dosage_from_buckets": dosage_from_buckets,
     "joint_impact_from_buckets": joint_impact_from_buckets,
     "export_metadata": export_metadata,

@@ -37,12 +37,14 @@ from cohortscope.study import Study
 class Layout:
     """Where the tables of a run live: folders, or tables of a database of the catalog.
 
-    With ``sample_buckets`` the genotype facts of silver are bucketed by sample as well.
+    With ``sample_buckets`` the genotype facts of silver are bucketed by sample as well, and with
+    ``calls_per_file`` the files of the genotype calls in bronze cover narrow ranges of positions.
     """
 
     root: str
     database: str | None = None
     sample_buckets: int | None = None
+    calls_per_file: int | None = None
 
     def _table(self, tier: str, table: str) -> str | Registered:
         path = f"{self.root}/{tier}/{table}"
@@ -74,6 +76,7 @@ def ingest_genotypes(
         day,
         extra_partition={"chromosome_part": F.col("chromosome")},
         order_by=("position", "variant_id"),
+        rows_per_file=layout.calls_per_file,
     )
 
 

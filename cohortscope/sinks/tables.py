@@ -26,6 +26,7 @@ def write_bronze(
     ingest_date: date,
     extra_partition: dict[str, object] | None = None,
     order_by: tuple[str, ...] = (),
+    rows_per_file: int | None = None,
 ) -> None:
     """Replace exactly the partitions that are written, if the rows are valid.
 
@@ -33,40 +34,63 @@ def write_bronze(
     null; only then does a second pass count the nulls of every column for the message.
     ``extra_partition`` maps further partition columns to a column or a fixed value.
     ``order_by`` sorts within the files (by position, say), which makes their row group
-    statistics useful to later region filters.
+    statistics useful to later region filters. With ``rows_per_file`` each file also covers a
+    narrow range of that order: see ``cluster``.
     """
     table = folder_of(root).rsplit("/", 1)[-1]
     partitions = {"ingest_date": F.lit(ingest_date), **(extra_partition or {})}
     rows = guarded(df, table)
     for name, value in partitions.items():
         rows = rows.withColumn(name, F.lit(value) if isinstance(value, str) else value)
-    if extra_partition:
-        # Small partitions are merged and large ones split by adaptive execution.
-        rows = rows.hint("rebalance", *extra_partition)
-    if order_by:
-        rows = rows.sortWithinPartitions(*partitions, *order_by)
     try:
-        _replace_partitions(rows, root, partitions)
+        if rows_per_file:
+            rows = cluster(rows, root, [*partitions, *order_by], rows_per_file)
+        elif extra_partition:
+            # Small partitions are merged and large ones split by adaptive execution.
+            rows = rows.hint("rebalance", *extra_partition)
+        if order_by:
+            rows = rows.sortWithinPartitions(*partitions, *order_by)
+        _replace_partitions(rows, root, partitions, rows_per_file)
     except PySparkException:
         validate(df, table)
         raise
 
 
+def cluster(
+    df: DataFrame, root: str | Registered, order_by: Sequence[str], rows_per_file: int
+) -> DataFrame:
+    """Rows dealt by ranges of the order, of some ``rows_per_file`` each, so that files follow it.
+
+    The ranges come from a sample of the rows, for which Spark computes them twice; they are
+    landed first, so sources are read and parsed once, and counted in that pass. Rows that tie in
+    the order are told apart by a hash of the whole row: a position with very many rows is split.
+    """
+    counted = Observation()
+    landed = _landed(df.observe(counted, F.count(F.lit(1)).alias("rows")), root)
+    ranges = max(1, -(-counted.get["rows"] // rows_per_file))
+    return landed.repartitionByRange(ranges, *order_by, F.xxhash64(*landed.columns))
+
+
 def folder_of(table: str | Registered) -> str:
     return (table.root if isinstance(table, Registered) else table).rstrip("/")
 
 
-def _replace_partitions(df: DataFrame, root: str | Registered, partitions: Iterable[str]) -> None:
+def _replace_partitions(
+    df: DataFrame, root: str | Registered, partitions: Iterable[str], rows_per_file: int | None = None
+) -> None:
+    """``rows_per_file``, where it is given, holds exactly: a range that is larger takes more files."""
     if isinstance(root, Registered):
-        replace_partitions(df, root, list(partitions))
+        replace_partitions(df, root, list(partitions), rows_per_file)
         return
-    (
+    writer = (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", CODEC)
         .partitionBy(*partitions)
-        .parquet(root)
     )
+    if rows_per_file:
+        writer = writer.option("maxRecordsPerFile", rows_per_file)
+    writer.parquet(root)
 
 
 def upsert_table(

@@ -5,7 +5,8 @@ With a shared metastore the registration lasts; a session of its own catalog ado
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -78,7 +79,9 @@ def read_registered(spark: SparkSession, table: Registered, where: Column | None
     return found if where is None else found.where(where)
 
 
-def replace_partitions(df: DataFrame, table: Registered, partition_by: Sequence[str]) -> None:
+def replace_partitions(
+    df: DataFrame, table: Registered, partition_by: Sequence[str], rows_per_file: int | None = None
+) -> None:
     """Replaces the partitions that occur in the rows; the catalog learns of new ones by the write."""
     spark = df.sparkSession
     partition_by = list(partition_by)
@@ -88,4 +91,19 @@ def replace_partitions(df: DataFrame, table: Registered, partition_by: Sequence[
     stored = spark.table(table.name).columns
     if sorted(stored) != sorted(ordered.columns):
         raise ValueError(f"{table} has the columns {stored}, the rows have {ordered.columns}")
-    ordered.select(*stored).write.insertInto(table.name, overwrite=True)
+    with _setting(spark, "spark.sql.files.maxRecordsPerFile", rows_per_file):
+        ordered.select(*stored).write.insertInto(table.name, overwrite=True)
+
+
+@contextmanager
+def _setting(spark: SparkSession, name: str, value: int | None) -> Iterator[None]:
+    """A setting for one write: inserts into a table take no options of the writer."""
+    if value is None:
+        yield
+        return
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(value))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

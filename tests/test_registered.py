@@ -9,12 +9,15 @@ from datetime import date
 
 import pytest
 from checks import one, rows
+from pyspark.sql import functions as F
 from test_sources import samples
 from test_stages import fill
 
 from cohortscope.operators.impact import build_joint_impact
 from cohortscope.operators.phenotypes import individual_dosage
+from cohortscope.operators.quality import DataQualityError
 from cohortscope.plans import stages
+from cohortscope.schemas import PANEL
 from cohortscope.sinks.tables import upsert_table, write_bronze, write_table, write_variants
 from cohortscope.sources.registered import Registered, adopt, partitions
 from cohortscope.sources.tables import latest_date, read_date, read_latest, read_table
@@ -107,6 +110,38 @@ def test_whole_tables(spark, folder, database):
     assert counted == 20 and files == len([f for f in os.listdir(f"{folder}/facts/gene_symbol=G1/population_code=A") if f.endswith(".parquet")])
 
 
+@pytest.mark.parametrize("registered", [True, False])
+def test_files_cover_narrow_ranges(spark, folder, database, registered):
+    """Two thirds of the rows lie at one position, a third of them are copies of one row."""
+    root = f"{folder}/any_table"
+    table = Registered(f"{database}.ranged", root) if registered else root
+    df = spark.range(30_000).selectExpr(
+        "concat('chr', id % 2) AS chromosome",
+        "CASE WHEN id % 3 = 0 THEN CAST(hash(id) AS LONG) % 100000 ELSE 77 END AS position",
+        "CASE WHEN id % 3 = 1 THEN 'copy' ELSE concat('S', id) END AS sample_id",
+    ).repartition(6)
+    parts = {"chromosome_part": df.chromosome}
+    for _ in range(2):
+        write_bronze(df, table, date(2025, 1, 1), parts, ("position",), rows_per_file=1000)
+    found = read_latest(spark, table)
+    assert rows(found.select(df.columns)) == rows(df)
+    files = found.groupBy("_metadata.file_path").agg(
+        F.count(F.lit(1)).alias("n"), F.min("position").alias("low"), F.max("position").alias("high"),
+        F.min("chromosome").alias("chromosome"),
+    ).collect()
+    assert max(f.n for f in files) <= 1000 and 30 <= len(files) <= 90
+    for chromosome in ("chr0", "chr1"):
+        own = sorted((f.low, f.high) for f in files if f.chromosome == chromosome)
+        assert all(a[1] <= b[0] for a, b in zip(own, own[1:]))
+        assert len([f for f in own if f[0] <= 52_000 and f[1] >= 50_000]) <= 2
+    write_bronze(df.limit(0), table, date(2025, 1, 2), parts, ("position",), rows_per_file=1000)
+    assert found.count() == 30_000
+    bad = spark.createDataFrame([(None,) * 5], PANEL)
+    guarded = Registered(f"{database}.bad", f"{folder}/samples_metadata_raw") if registered else f"{folder}/samples_metadata_raw"
+    with pytest.raises(DataQualityError):
+        write_bronze(bad, guarded, date(2025, 1, 1), {"part": "a"}, ("sample_id",), rows_per_file=10)
+
+
 def plan_of(df):
     df.collect()
     return df._jdf.queryExecution().executedPlan().toString()
@@ -168,7 +203,7 @@ def test_buckets_need_the_catalog(spark, folder):
 
 
 def test_stages_give_the_same_tables(spark, study, folder, database):
-    plain, registered = stages.Layout(f"{folder}/plain"), stages.Layout(f"{folder}/lake", database, 4)
+    plain, registered = stages.Layout(f"{folder}/plain"), stages.Layout(f"{folder}/lake", database, 4, 5)
     for layout in (plain, registered):
         fill(spark, study, layout, folder)
         stages.build_gold(spark, layout, study)  # a second run replaces its own rows
