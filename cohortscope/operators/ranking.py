@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortscope import domain
 from cohortscope.functions import literal, lookup
 from cohortscope.functions.numbers import decimal_units, tenths
+from cohortscope.operators.numbering import number_rows
 from cohortscope.schemas import RANKING, conform
 from cohortscope.study import Study
 
@@ -35,6 +38,26 @@ def implication(study: Study) -> str:
     )
 
 
+def scored_impact(impact: DataFrame, study: Study) -> DataFrame:
+    """Rows of the other cohorts than the baseline, with the score that ranks them."""
+    weight = lookup(
+        "classification_strength",
+        study.strength_weights,
+        literal(domain.DEFAULT_STRENGTH_WEIGHT),
+    )
+    return impact.where(f"NOT (population_code <=> {literal(study.baseline)})").selectExpr(
+        "*", f"abs(delta_vs_baseline) * {weight} * percentage_requiring_change AS _score"
+    )
+
+
+def rank_all(
+    impact: DataFrame, study: Study, store: Callable[[DataFrame], DataFrame], ranges: int | None = None
+) -> DataFrame:
+    """Every impact row with its place in the ranking's order, however many rows there are."""
+    ranked = number_rows(scored_impact(impact, study), sort_columns(), store, "rank_position", ranges)
+    return ranked.drop("_score")
+
+
 def build_ranking(
     impact: DataFrame, study: Study, top_n: int = domain.RANKING_SIZE
 ) -> DataFrame:
@@ -44,17 +67,8 @@ def build_ranking(
     ordered limit, of which every task keeps ``top_n`` rows, so the numbering, which has to
     see its rows in one order, gets one row per gene and ``top_n`` more.
     """
-    weight = lookup(
-        "classification_strength",
-        study.strength_weights,
-        literal(domain.DEFAULT_STRENGTH_WEIGHT),
-    )
-    scored = (
-        impact.where(f"NOT (population_code <=> {literal(study.baseline)})")
-        .selectExpr(
-            "*", f"abs(delta_vs_baseline) * {weight} * percentage_requiring_change AS _score"
-        )
-        .selectExpr("*", f"row_number() OVER (PARTITION BY gene_symbol ORDER BY {ORDER}) AS _place")
+    scored = scored_impact(impact, study).selectExpr(
+        "*", f"row_number() OVER (PARTITION BY gene_symbol ORDER BY {ORDER}) AS _place"
     )
     fillers = scored.where("_place > 1").orderBy(*sort_columns()).limit(int(top_n))
     # Best rows of the genes first, then the fillers: the first top_n slots are the

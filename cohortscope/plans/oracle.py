@@ -656,6 +656,14 @@ ORACLE_SQL: dict[str, str] = {
                (SELECT arg_max(gene, ord) FROM regions
                 WHERE chrom = chromosome AND position BETWEEN lo AND lo + length) AS gene_symbol
         FROM sites""",
+    "impact_ranks": sql(
+        RANKED,
+        """SELECT row_number() OVER (
+                      ORDER BY score DESC, drug_name, gene_symbol, population_code,
+                               classification_strength, delta_vs_baseline DESC) AS rank_position,
+                  drug_name, gene_symbol, population_code, classification_strength, delta_vs_baseline
+           FROM scored""",
+    ),
     "clustered_calls": sql(
         FACTS,
         """SELECT DATE '2025-01-01' AS ingest_date, chromosome AS chromosome_part, count(*) AS call_count,

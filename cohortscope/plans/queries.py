@@ -47,12 +47,12 @@ from cohortscope.operators.phenotypes import (
     nonfunctional_copies,
 )
 from cohortscope.operators.quality import null_counts, row_gate, scope_status
-from cohortscope.operators.ranking import build_ranking
+from cohortscope.operators.ranking import build_ranking, rank_all
 from cohortscope.operators.upsert import upsert
 from cohortscope.operators.variants import assign_genes
 from cohortscope.plans import driver_tables as dt
 from cohortscope.schemas import RAW_RECOMMENDATIONS
-from cohortscope.sinks.tables import upsert_table, write_bronze, write_variants
+from cohortscope.sinks.tables import upsert_table, write_bronze, write_table, write_variants
 from cohortscope.sources.annotation_files import CLINICAL_ANNOTATIONS, build_panel, map_columns
 from cohortscope.sources.record_files import split_records
 from cohortscope.sources.registered import Registered
@@ -322,6 +322,20 @@ def gene_assignment_by_bins(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def impact_ranks(spark: SparkSession, sf: str) -> DataFrame:
+    """A place for every impact row, by ranges of the order."""
+
+    def store(df: DataFrame) -> DataFrame:
+        table = _new_table(spark, "ranges")
+        write_table(df, table)
+        return read_table(spark, table)
+
+    return rank_all(all_impact(spark, sf), STUDY, store).select(
+        "rank_position", "drug_name", "gene_symbol", "population_code", "classification_strength",
+        "delta_vs_baseline",
+    )
+
+
 def _new_table(spark: SparkSession, name: str) -> Registered:
     """A table of its own for one call, in the folder that all executors share."""
     name = f"{name}_{uuid.uuid4().hex}"
@@ -487,6 +501,7 @@ QUERIES: dict[str, Query] = {
     "gene_assignment_by_bins": gene_assignment_by_bins,
     "latest_stored_date": latest_stored_date,
     "stored_upsert": stored_upsert,
+    "impact_ranks": impact_ranks,
     "clustered_calls": clustered_calls,
     "dosage_from_buckets": dosage_from_buckets,
     "joint_impact_from_buckets": joint_impact_from_buckets,
