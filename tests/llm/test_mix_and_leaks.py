@@ -23,6 +23,20 @@ def test_targets(awkward, nothing):
     assert mix_sources(nothing).count() == 0
 
 
+@pytest.mark.parametrize(
+    "sizes",
+    [{"a": 50, "b": 50}, {"a": 10, "b": 400, "c": 300, "d": 200, None: 5, "": 100}, {"a": 0, "b": 7}, {"a": 0}],
+)
+def test_targets_where_several_sources_stay_below_their_cap(spark, sizes):
+    rows = [(i, s, "w " * n) for i, (s, n) in enumerate(sizes.items())]
+    expected = brute.mix(rows)
+    found = mix_sources(spark.createDataFrame(rows, "doc_id long, source string, text string")).collect()
+    by_id = {i: expected[s] for i, s, _ in rows}
+    assert {r.doc_id: (r.source_size, r.target) for r in found} == {
+        i: (size, pytest.approx(target)) for i, (size, target) in by_id.items()
+    }
+
+
 def test_taken_words_come_near_the_targets(spark):
     rows = spark.range(20_000).selectExpr(
         "id AS doc_id", "repeat('w ', CAST(1 + id % 17 AS INT)) AS text",
