@@ -316,10 +316,11 @@ def frequencies_from_dates(spark: SparkSession, sf: str) -> DataFrame:
 
 def gene_assignment_by_bins(spark: SparkSession, sf: str) -> DataFrame:
     """Positions of order lines against one region for each part, many of which overlap."""
-    located = assign_genes_by_bins(dt.spread_sites(spark, sf), dt.part_regions(spark, sf))
-    return located.groupBy("chromosome", "position", "gene_symbol").agg(
+    sites = dt.spread_sites(spark, sf).groupBy("chromosome", "position").agg(
         F.count(F.lit(1)).alias("line_count")
     )
+    located = assign_genes_by_bins(sites, dt.part_regions(spark, sf))
+    return located.select("chromosome", "position", "gene_symbol", "line_count")
 
 
 def impact_ranks(spark: SparkSession, sf: str) -> DataFrame:

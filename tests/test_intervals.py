@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 from checks import rows
@@ -61,6 +62,18 @@ def test_pieces_are_disjoint_and_few_share_a_bin(spark):
     pieces.unpersist()
 
 
+def test_regions_are_not_compared_with_the_pieces_they_cover(spark):
+    nested = [(f"G{i}", "chr1", i, 900_000 - i, i * 7 % 4001) for i in range(2000)]
+    pieces = cut_regions(spark.createDataFrame(nested, REGION))
+    found = [(r.piece_start, r.piece_end, r.gene_symbol) for r in pieces.collect()]
+    assert len(found) == 2 * 2000 - 1
+    for start, end, gene in found[::97]:
+        assert [r[2] for r in brute([("chr1", start), ("chr1", end)], nested)] == [gene, gene]
+    plan = spark._jvm.PythonSQLUtils.explainString(pieces._jdf.queryExecution(), "formatted")
+    conditions = re.findall("Join condition: (.*)", plan)
+    assert conditions and set(conditions) == {"None"} and "BroadcastHashJoin" not in plan
+
+
 def test_equality_joins_only(spark):
     table = spark.createDataFrame(made(50), REGION)
     df = spark.createDataFrame([("chr1", 5, "x")], "chromosome string, position long, gene string")
