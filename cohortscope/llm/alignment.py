@@ -10,8 +10,10 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +28,44 @@ from cohortscope.llm.texts import whole_text
 BLOCK, CHUNK = 1 << 19, 1 << 23
 #: Tokens of the first tokenizer that one place of the state vector walks over.
 LANE = 256
+#: Characters of words whose ids a process keeps; with more it starts anew.
+KEPT = 1 << 22
+#: A blank between two characters that are white space in no version of Unicode, and a word between such blanks.
+BETWEEN = re.compile(r" (?=[\w!-~])(?<=[\w!-~] )")
+INNER = re.compile(r"[\w!-~](?:.*[\w!-~])?", re.DOTALL)
+
+
+class Words:
+    """Ids of a blank and each text, by a tokenizer whose tokens always begin anew at ``BETWEEN``.
+
+    The ids between two such blanks are then the same in any text: those of a word are kept, and
+    new words are encoded as one text, which costs far less than a text for each.
+    """
+
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], size: np.ndarray):
+        self.encode, self.bytes_of = encode, size
+        self.kept, self.chars = {}, 0
+
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        words = [BETWEEN.split(text) for text in texts]
+        new = set(chain.from_iterable(words)).difference(self.kept)
+        inner = [word for word in new if INNER.fullmatch(word)]
+        edges = [*new.difference(inner)]  # beginnings and ends of texts may be white space
+        for word, ids in zip(edges, self.encode(edges)):
+            self.kept[word] = np.array(ids, dtype=np.int32).tobytes()
+        if inner:
+            ids = np.array(self.encode([" ".join(inner)])[0], dtype=np.int32)
+            ends = np.cumsum([1 + len(word.encode()) for word in inner])
+            upto = 4 * np.searchsorted(np.cumsum(self.bytes_of[ids]), ends, side="right")
+            ids, start = ids.tobytes(), 0
+            for word, end in zip(inner, upto.tolist()):
+                self.kept[word] = ids[start:end]
+                start = end
+        out = [np.frombuffer(b"".join(map(self.kept.__getitem__, w)), dtype=np.int32) for w in words]
+        self.chars += sum(map(len, new))
+        if self.chars > KEPT:
+            self.kept, self.chars = {}, 0
+        return out
 
 
 class Vocabulary:
@@ -40,12 +80,13 @@ class Vocabulary:
                 bytes([int(p[3:-1], 16)]) if processor.is_byte(i) else p.replace("▁", " ").encode()
                 for i, p in ((i, processor.id_to_piece(i)) for i in range(processor.get_piece_size()))
             ]
-            self.encode = lambda texts: processor.encode(texts, num_threads=1)
-            self.prefix = ""  # it puts a blank before the text itself
+            self.encode = lambda texts: processor.encode(texts, num_threads=1)  # puts a blank before each
             self.spells = False  # it may normalise, and writes blanks as a letter that texts may hold
+            by_words = False
         else:
             os.environ["TOKENIZERS_PARALLELISM"] = "false"
             from tokenizers import Tokenizer
+            from tokenizers.models import BPE
 
             tokenizer = Tokenizer.from_str(model.decode("utf-8"))
             tokenizer.no_truncation()
@@ -57,22 +98,32 @@ class Vocabulary:
                 known = all(c in letters for c in piece)
                 self.bytes[i] = bytes(letters[c] for c in piece) if known else piece.encode()
             self.encode = lambda texts: [
-                e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+                e.ids for e in tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
             ]
-            self.prefix = " "
             # A byte-level vocabulary with every byte spells any text that nothing rewrites first.
             self.spells = (
                 tokenizer.normalizer is None
                 and type(tokenizer.pre_tokenizer).__name__ == "ByteLevel"
                 and {b for b in self.bytes if len(b) == 1} == {bytes([b]) for b in range(256)}
             )
+            # Its pattern takes a blank to the word behind it. Added tokens may hold blanks, dropout
+            # cuts a word differently each time, and marks on pieces are no bytes of the text.
+            by_words = (
+                self.spells
+                and tokenizer.pre_tokenizer.use_regex
+                and all(t.special for t in tokenizer.get_added_tokens_decoder().values())
+                and isinstance(bpe := tokenizer.model, BPE)
+                and not (bpe.dropout or bpe.continuing_subword_prefix or bpe.end_of_word_suffix)
+            )
         self.size = np.array([len(b) for b in self.bytes], dtype=np.int64)
+        if by_words:
+            self.encode = Words(self.encode, self.size)
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """The tokens of a blank and the text; none where their bytes are not those."""
         out = []
-        for text, ids in zip(texts, self.encode([self.prefix + t for t in texts])):
-            found = np.fromiter(ids, np.int64, len(ids))
+        for text, ids in zip(texts, self.encode(texts)):
+            found = np.asarray(ids, dtype=np.int64)
             whole = b" " + text.encode()
             same = len(whole) > 1 and self.size[found].sum() == len(whole)
             if same and not self.spells:

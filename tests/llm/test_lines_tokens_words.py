@@ -129,6 +129,72 @@ def _locally(rows):
         ]
 
 
+class Counted:
+    """The library's tokenizer, and the characters that it is given."""
+
+    def __init__(self, tokenizer):
+        self.__dict__.update(tokenizer=tokenizer, given=0)
+
+    def __getattr__(self, name):
+        return getattr(self.tokenizer, name)
+
+    def __setattr__(self, name, value):
+        setattr(self.tokenizer, name, value)
+
+    def encode_batch_fast(self, texts, **options):
+        self.__dict__["given"] += sum(map(len, texts))
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+def test_words_are_encoded_once(monkeypatch):
+    import tokenizers
+
+    made, from_str = [], tokenizers.Tokenizer.from_str
+
+    class Library:
+        @staticmethod
+        def from_str(text):
+            made.append(Counted(from_str(text)))
+            return made[-1]
+
+    monkeypatch.setattr(tokenizers, "Tokenizer", Library)
+    with open(MODELS[0], "rb") as file:
+        known = alignment.Vocabulary("tokenizers", file.read())
+    words = [f"word{i}" for i in range(40)]
+    texts = [" ".join(words[i:] + words[:i]) for i in range(40)]
+    found = [known.ids(texts[:20]), known.ids(texts[20:])]
+    assert made[0].given == sum(1 + len(w) for w in words)
+    expected = [e.ids for e in made[0].tokenizer.encode_batch([" " + t for t in texts])]
+    assert [ids.tolist() for part in found for ids in part] == expected
+
+
+def test_ids_by_words_are_those_of_whole_texts(monkeypatch):
+    import random
+
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(alignment, "KEPT", 500)  # kept words are given up between texts
+    draw = random.Random(7)
+    parts = [*"  abz'sS.!_~9\n\t\r\x00\x1c\x85\xa0é漢🙂٣½ª\u0301\u180e\u200b\u2028\u3000\ufeff"]
+    parts += [" ", " ", " the", "don't", "'ll 's", "<|endoftext|>", " x  y"]
+    texts = ["", " ", "a", " a ", "a b", "\n a"]
+    texts += ["".join(draw.choices(parts, k=draw.randrange(1, 40))) for _ in range(3000)]
+    plain = Tokenizer.from_file(MODELS[0])
+    added, unsplit, dropping = (Tokenizer.from_file(MODELS[0]) for _ in range(3))
+    added.add_tokens(["the x", "b <"])
+    unsplit.pre_tokenizer.use_regex = False
+    dropping.model.dropout = 0.5
+    for tokenizer, by_words in ((plain, True), (added, False), (unsplit, False), (dropping, False)):
+        known = alignment.Vocabulary("tokenizers", tokenizer.to_str().encode())
+        assert isinstance(known.encode, alignment.Words) == by_words
+        if tokenizer is dropping:  # no two calls agree
+            continue
+        tokenizer.encode_special_tokens = True
+        expected = [e.ids for e in tokenizer.encode_batch([" " + t for t in texts], add_special_tokens=False)]
+        found = [ids.tolist() for i in range(0, len(texts), 50) for ids in known.ids(texts[i : i + 50])]
+        assert found[1:] == expected[1:] and found[0] == []
+
+
 def test_awkward_alignment(awkward, nothing):
     assert align_tokens(awkward, *MODELS).count() == len(awkward_rows())
     assert align_tokens(nothing, *MODELS).count() == 0
