@@ -4,6 +4,9 @@ The tokens of both tokenizers are runs of the same bytes. A state vector holds a
 either list of tokens for every document of a block; one step moves the pointers of all of them,
 emits the pair of tokens that each points at as a link, and a cut where both tokens end. A long
 document takes several places in the vector, so a block's steps do not grow with its longest text.
+
+Where both tokenizers always begin anew at blanks between words, the alignment of a word is the same
+in any text: a process keeps those of the words that it has met, and merges new words only.
 """
 
 from __future__ import annotations
@@ -11,9 +14,11 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, count, islice
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +35,10 @@ BLOCK, CHUNK = 1 << 19, 1 << 23
 LANE = 256
 #: Characters of words whose ids a process keeps; with more it starts anew.
 KEPT = 1 << 22
+#: Characters and links of words whose alignments a process keeps; with more it gives up the less used half.
+HELD = 6 << 20
+#: Words encoded as one text.
+MANY = 1 << 10
 #: A blank between two characters that are white space in no version of Unicode, and a word between such blanks.
 BETWEEN = re.compile(r" (?=[\w!-~])(?<=[\w!-~] )")
 INNER = re.compile(r"[\w!-~](?:.*[\w!-~])?", re.DOTALL)
@@ -39,7 +48,7 @@ class Words:
     """Ids of a blank and each text, by a tokenizer whose tokens always begin anew at ``BETWEEN``.
 
     The ids between two such blanks are then the same in any text: those of a word are kept, and
-    new words are encoded as one text, which costs far less than a text for each.
+    new words are encoded as a few texts, which costs far less than a text for each.
     """
 
     def __init__(self, encode: Callable[[list[str]], list[list[int]]], size: np.ndarray):
@@ -48,25 +57,52 @@ class Words:
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         words = [BETWEEN.split(text) for text in texts]
-        new = set(chain.from_iterable(words)).difference(self.kept)
-        inner = [word for word in new if INNER.fullmatch(word)]
-        edges = [*new.difference(inner)]  # beginnings and ends of texts may be white space
-        for word, ids in zip(edges, self.encode(edges)):
-            self.kept[word] = np.array(ids, dtype=np.int32).tobytes()
-        if inner:
-            ids = np.array(self.encode([" ".join(inner)])[0], dtype=np.int32)
-            ends = np.cumsum([1 + len(word.encode()) for word in inner])
-            upto = 4 * np.searchsorted(np.cumsum(self.bytes_of[ids]), ends, side="right")
-            ids, start = ids.tobytes(), 0
-            for word, end in zip(inner, upto.tolist()):
-                self.kept[word] = ids[start:end]
-                start = end
+        new = [*set(chain.from_iterable(words)).difference(self.kept)]
+        ids, n = self.of(new, _spelt(new))
+        ids, start = ids.tobytes(), 0
+        for word, end in zip(new, (4 * np.cumsum(n)).tolist()):
+            self.kept[word] = ids[start:end]
+            start = end
         out = [np.frombuffer(b"".join(map(self.kept.__getitem__, w)), dtype=np.int32) for w in words]
         self.chars += sum(map(len, new))
         if self.chars > KEPT:
             self.kept, self.chars = {}, 0
         return out
 
+    def of(self, words: list[str], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of a blank and each of these words, word after word, and their numbers.
+
+        ``sizes`` are the bytes of a blank and each word. The words hold no ``BETWEEN``.
+        """
+        # Beginnings and ends of texts may be white space; a .model writes a blank as U+2581.
+        text = " ".join(words)
+        inner = np.ones(len(words), dtype=bool)
+        if "\u2581" in text or BETWEEN.split(text) != words:
+            inner = np.array(["\u2581" not in w and INNER.fullmatch(w) is not None for w in words], dtype=bool)
+        of_inner = words if inner.all() else [w for w, i in zip(words, inner.tolist()) if i]
+        parts = [" ".join(of_inner[i : i + MANY]) for i in range(0, len(of_inner), MANY)]
+        ids = np.fromiter(chain.from_iterable(self.encode(parts)), dtype=np.int32)
+        upto = np.searchsorted(np.cumsum(self.bytes_of[ids]), np.cumsum(sizes[inner]), side="right")
+        if inner.all():
+            return ids, np.diff(upto, prepend=0)
+        edges = self.encode([w for w, i in zip(words, inner.tolist()) if not i])
+        n = np.empty(len(words), dtype=np.int64)
+        n[inner], n[~inner] = np.diff(upto, prepend=0), [len(x) for x in edges]
+        start = np.empty(len(words), dtype=np.int64)
+        start[inner] = upto - n[inner]
+        start[~inner] = len(ids) + np.cumsum(n[~inner]) - n[~inner]
+        return np.append(ids, np.fromiter(chain.from_iterable(edges), dtype=np.int32))[_runs(start, n)], n
+
+
+def _spelt(texts: list[str]) -> np.ndarray:
+    """Bytes of a blank and each text."""
+    return np.array([1 + len(text.encode()) for text in texts], dtype=np.int64)
+
+
+def _runs(start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The places of all runs, run after run."""
+    return np.arange(length.sum()) + np.repeat(start - (np.cumsum(length) - length), length)
+
 
 class Vocabulary:
     """Ids and bytes of a tokenizer's tokens, without special tokens."""
@@ -82,7 +118,7 @@ class Vocabulary:
             ]
             self.encode = lambda texts: processor.encode(texts, num_threads=1)  # puts a blank before each
             self.spells = False  # it may normalise, and writes blanks as a letter that texts may hold
-            by_words = False
+            by_words = _begins_anew(model)
         else:
             os.environ["TOKENIZERS_PARALLELISM"] = "false"
             from tokenizers import Tokenizer
@@ -127,10 +163,50 @@ class Vocabulary:
             whole = b" " + text.encode()
             same = len(whole) > 1 and self.size[found].sum() == len(whole)
             if same and not self.spells:
-                same = b"".join(map(self.bytes.__getitem__, ids)) == whole
+                same = b"".join(map(self.bytes.__getitem__, found.tolist())) == whole
             out.append(found if same else found[:0])
         return out
 
+    def flat(self, texts: list[str], *, words: bool) -> tuple[np.ndarray, np.ndarray]:
+        """``ids`` of all texts, text after text, and their numbers. ``words``: of different words, not to be kept."""
+        if not words:
+            found = self.ids(texts)
+            return np.concatenate([np.empty(0, dtype=np.int64), *found]), np.array([len(x) for x in found])
+        sizes = _spelt(texts)
+        ids, n = self.encode.of(texts, sizes)
+        ends = np.cumsum(np.append(0, n))
+        same = (sizes > 1) & (np.diff(np.append(0, np.cumsum(self.size[ids]))[ends]) == sizes)
+        if not self.spells:
+            tokens = [*map(self.bytes.__getitem__, ids.tolist())]
+            if not same.all() or b"".join(tokens) != (" " + " ".join(texts)).encode():
+                for i in np.flatnonzero(same).tolist():
+                    same[i] = b"".join(tokens[ends[i] : ends[i + 1]]) == b" " + texts[i].encode()
+        return ids[np.repeat(same, n)].astype(np.int64), np.where(same, n, 0)
+
+
+def _begins_anew(model: bytes) -> bool:
+    """Whether a .model has a token begin at each blank behind another character, whatever the text.
+
+    Merges of pairs (BPE) do so if no piece holds a blank behind another character. All texts must
+    also spell themselves behind one more blank: no rule rewrites them, and a character that is no
+    piece becomes its bytes. The best sum of scores (unigram) may be rounded otherwise in a longer text.
+    """
+    try:
+        from sentencepiece import sentencepiece_model_pb2
+    except ImportError:  # it needs protobuf, the library itself does not
+        return False
+    spec = sentencepiece_model_pb2.ModelProto.FromString(model)
+    training, rules = spec.trainer_spec, spec.normalizer_spec
+    return (
+        training.model_type == training.BPE
+        and training.byte_fallback
+        and not training.treat_whitespace_as_suffix
+        and rules.add_dummy_prefix
+        and rules.escape_whitespaces
+        and not (rules.remove_extra_whitespaces or rules.precompiled_charsmap)
+        and not any(re.search("[^\u2581 ][\u2581 ]", p.piece) for p in spec.pieces)
+    )
+
 
 def _byte_letters() -> dict[str, int]:
     """The letter by which byte-level vocabularies write each byte: itself if it prints, else a spare one."""
@@ -144,6 +220,11 @@ def vocabulary(kind: str, model: bytes) -> Vocabulary:
     return Vocabulary(kind, model)
 
 
+@lru_cache(maxsize=1)
+def _alignments(first: tuple[str, bytes], second: tuple[str, bytes]) -> Alignments:
+    return Alignments(vocabulary(*first), vocabulary(*second))
+
+
 @lru_cache(maxsize=2)
 def _digits(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The numbers below n as rows of ASCII digits and a comma, their lengths, and which bytes they use."""
@@ -210,24 +291,20 @@ def group_texts(
 
 
 class Aligned:
-    """The alignment of a block of texts."""
+    """The alignments of a block of texts; ``words``: of different words, as in ``Vocabulary.flat``."""
 
-    def __init__(self, va: Vocabulary, vb: Vocabulary, texts: list[str]):
-        a, b = va.ids(texts), vb.ids(texts)
-        whole = [bool(len(x) and len(y)) for x, y in zip(a, b)]
-        a = [x if w else x[:0] for x, w in zip(a, whole)]
-        b = [x if w else x[:0] for x, w in zip(b, whole)]
+    def __init__(self, va: Vocabulary, vb: Vocabulary, texts: list[str], *, words: bool = False):
+        (ids_a, n_a), (ids_b, n_b) = (v.flat(texts, words=words) for v in (va, vb))
+        whole = (n_a > 0) & (n_b > 0)
+        ids_a, ids_b = ids_a[np.repeat(whole, n_a)], ids_b[np.repeat(whole, n_b)]
         n = len(texts)
-        self.n_a = np.array([len(x) for x in a], dtype=np.int64)
-        self.n_b = np.array([len(x) for x in b], dtype=np.int64)
-        none = np.empty(0, dtype=np.int64)
-        ids_a, ids_b = np.concatenate([none, *a]), np.concatenate([none, *b])
+        self.n_a, self.n_b = n_a * whole, n_b * whole
         ends_a, ends_b = np.cumsum(va.size[ids_a]), np.cumsum(vb.size[ids_b])
         first = (np.cumsum(self.n_a) - self.n_a)[self.n_a > 0]
         link_a, link_b, cut_a, cut_b = merge(ends_a, ends_b, first)
-        doc = np.repeat(np.arange(n), self.n_a)
-        self.n_links = np.bincount(doc[link_a], minlength=n)
-        self.n_groups = np.bincount(doc[cut_a], minlength=n)
+        text = np.repeat(np.arange(n), self.n_a)
+        self.n_links = np.bincount(text[link_a], minlength=n)
+        self.n_groups = np.bincount(text[cut_a], minlength=n)
         pieces, upto = group_texts(va, vb, ids_a, ids_b, cut_a, cut_b)
         ends = np.concatenate([[0], upto])[np.cumsum(self.n_groups)]
         self.groups = []
@@ -235,12 +312,96 @@ class Aligned:
         for end in ends.tolist():
             self.groups.append(pieces[start : max(start, end - 1)])
             start = end
-        #: Distinct linked ids of each document, as one number, and how many links of it hold them.
-        width = len(va.bytes) * len(vb.bytes)
+        #: Linked ids of each text's links, text after text, as one number.
         pair = ids_a[link_a] * len(vb.bytes) + ids_b[link_b]
-        keys, self.times = np.unique(doc[link_a] * width + pair, return_counts=True)
-        self.pairs = keys % width
-        self.n_pairs = np.bincount(keys // width, minlength=n)
+        self.pairs = pair[np.argsort(text[link_a], kind="stable")]
+
+
+class Growing:
+    """An array to whose end rows are put."""
+
+    def __init__(self, rows: np.ndarray):
+        self.rows, self.n = rows, len(rows)
+
+    def extend(self, rows: np.ndarray) -> None:
+        n = self.n + len(rows)
+        if n > len(self.rows):
+            longer = np.empty((n + n // 2, *rows.shape[1:]), dtype=rows.dtype)
+            longer[: self.n] = self.rows[: self.n]
+            self.rows = longer
+        self.rows[self.n : n] = rows
+        self.n = n
+
+
+class Alignments:
+    """The alignments of documents, put together from those of their words.
+
+    Both tokenizers that begin anew at ``BETWEEN`` end before it too, so no group or link goes
+    across. A document has no tokens if one of its words has none. With other tokenizers a
+    document is one word, and no word is kept.
+    """
+
+    def __init__(self, va: Vocabulary, vb: Vocabulary):
+        self.va, self.vb = va, vb
+        self.by_words = isinstance(va.encode, Words) and isinstance(vb.encode, Words)
+        self.width = len(va.bytes) * len(vb.bytes)
+        self.place, self.groups = {}, []
+        #: Of each word: n_a, n_b, n_groups, n_links, and the place of its first link in ``pairs``.
+        self.numbers = Growing(np.empty((0, 5), dtype=np.int64))
+        self.pairs = Growing(np.empty(0, dtype=np.int64))
+        self._keep([])
+
+    def _keep(self, places: list[int]) -> None:
+        """Gives up all words but those at these places."""
+        words = [*self.place]
+        kept = [words[p] for p in places]
+        self.place = defaultdict(count(len(kept)).__next__, zip(kept, count()))  # a new word takes the next place
+        self.groups = [self.groups[p] for p in places]
+        numbers = self.numbers.rows[np.array(places, dtype=np.int64)]
+        self.pairs = Growing(self.pairs.rows[_runs(numbers[:, 4], numbers[:, 3])])
+        numbers[:, 4] = np.cumsum(numbers[:, 3]) - numbers[:, 3]
+        self.numbers = Growing(numbers)
+        self.uses, self.chars = np.zeros(len(kept), dtype=np.int64), sum(map(len, kept))
+
+    def _add(self, words: list[str]) -> None:
+        found = Aligned(self.va, self.vb, words, words=self.by_words)
+        first = self.pairs.n + np.cumsum(found.n_links) - found.n_links
+        self.numbers.extend(np.stack([found.n_a, found.n_b, found.n_groups, found.n_links, first], axis=1))
+        self.pairs.extend(found.pairs)
+        self.groups += found.groups
+        self.chars += sum(map(len, words))
+
+    def __call__(self, texts: list[str]) -> SimpleNamespace:
+        words = [BETWEEN.split(text) if self.by_words else [text] for text in texts]
+        known = len(self.place)
+        flat = [*map(self.place.__getitem__, chain.from_iterable(words))]
+        if new := len(self.place) - known:
+            self._add([*islice(reversed(self.place), new)][::-1])
+        n_words = np.array([len(w) for w in words])
+        ends = np.cumsum(n_words)
+        place, doc = np.array(flat), np.repeat(np.arange(len(texts)), n_words)
+        uses = np.bincount(place, minlength=len(self.place))
+        uses[: len(self.uses)] += self.uses
+        self.uses = uses
+        numbers = self.numbers.rows[place]
+        whole = np.minimum.reduceat(numbers[:, 0], ends - n_words) > 0
+        groups = [
+            b";".join(map(self.groups.__getitem__, flat[end - n : end])) if w else b""
+            for end, n, w in zip(ends.tolist(), n_words.tolist(), whole.tolist())
+        ]
+        numbers[~whole[doc]] = 0
+        sums = np.add.reduceat(numbers, ends - n_words, axis=0)
+        # Distinct linked ids of each document, as one number, and how many links of it hold them.
+        pair = self.pairs.rows[_runs(numbers[:, 4], numbers[:, 3])]
+        keys, times = np.unique(np.repeat(doc, numbers[:, 3]) * self.width + pair, return_counts=True)
+        if not self.by_words:
+            self._keep([])
+        elif self.chars + self.pairs.n > HELD:
+            self._keep(np.sort(np.argsort(-self.uses, kind="stable")[: len(self.uses) // 2]).tolist())
+        return SimpleNamespace(
+            n_a=sums[:, 0], n_b=sums[:, 1], n_groups=sums[:, 2], n_links=sums[:, 3], groups=groups,
+            pairs=keys % self.width, times=times, n_pairs=np.bincount(keys // self.width, minlength=len(texts)),
+        )
 
 
 DOCUMENT = (
@@ -269,7 +430,7 @@ def _align(models, column: str, digest: Callable[[bytes], str]):
     """
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        va, vb = (vocabulary(kind, model) for kind, model in models)
+        aligned = _alignments(*models)
         chunk, done, size = TaskContext.get().partitionId() << 32, [], 0
 
         def flush(schema: pa.Schema) -> pa.RecordBatch:
@@ -302,7 +463,7 @@ def _align(models, column: str, digest: Callable[[bytes], str]):
 
         for batch in batches:
             for row, texts in _blocks(batch):
-                done.append((batch.column("doc_id").slice(row, len(texts)), Aligned(va, vb, texts)))
+                done.append((batch.column("doc_id").slice(row, len(texts)), aligned(texts)))
                 size += sum(map(len, texts))
                 if size >= CHUNK:
                     yield flush(batch.schema)

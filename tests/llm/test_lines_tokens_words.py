@@ -195,6 +195,99 @@ def test_ids_by_words_are_those_of_whole_texts(monkeypatch):
         assert found[1:] == expected[1:] and found[0] == []
 
 
+def changed(**fields):
+    """The .model with other fields, such as ``normalizer_spec__add_dummy_prefix``; ``piece`` is put at its end."""
+    from sentencepiece import sentencepiece_model_pb2
+
+    with open(MODELS[1], "rb") as file:
+        spec = sentencepiece_model_pb2.ModelProto.FromString(file.read())
+    if piece := fields.pop("piece", None):
+        spec.pieces.add(piece=piece, score=1.0)
+    for field, value in fields.items():
+        part, name = field.split("__")
+        setattr(getattr(spec, part), name, value)
+    if not spec.trainer_spec.byte_fallback:  # the library then takes no pieces of bytes
+        pieces = [p for p in spec.pieces if p.type != p.BYTE]
+        del spec.pieces[:]
+        spec.pieces.extend(pieces)
+    return spec.SerializeToString()
+
+
+def test_words_are_aligned_once(monkeypatch):
+    import pyarrow as pa
+    import sentencepiece
+    from pyspark import TaskContext
+
+    given = []
+
+    class Library(sentencepiece.SentencePieceProcessor):
+        def encode(self, texts, **options):
+            given.extend(texts)
+            return super().encode(texts, **options)
+
+    monkeypatch.setattr(sentencepiece, "SentencePieceProcessor", Library)
+    monkeypatch.setattr(TaskContext, "get", lambda: type("Task", (), {"partitionId": lambda self: 0})())
+    monkeypatch.setattr(alignment, "BLOCK", 2000)
+    words = [f"word{i}" for i in range(40)]
+    texts = [" ".join(words[i:] + words[:i]) for i in range(40)]
+    with open(MODELS[0], "rb") as file:  # no process knows a .model of another name
+        models = ("tokenizers", file.read()), ("sentencepiece", changed(trainer_spec__model_prefix="counted"))
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(40), pa.int64()), "text": texts})
+    found = [r for part in alignment._align(models, "groups", bytes.decode)([batch]) for r in part.to_pylist()]
+    assert sum(map(len, given)) <= sum(1 + len(w) for w in words)
+    expected = brute.alignment([*enumerate(texts)], *MODELS)
+    columns = ("doc_id", "n_a", "n_b", "n_groups", "n_links", "groups")
+    assert [tuple(r[c] for c in columns) for r in found[:40]] == sorted((*r[:5], r[7]) for r in expected)
+
+
+def test_alignments_by_words_are_those_of_whole_texts(monkeypatch):
+    import random
+
+    monkeypatch.setattr(alignment, "HELD", 600)  # kept words are given up between texts
+    monkeypatch.setattr(alignment, "MANY", 3)
+    draw = random.Random(8)
+    parts = [*"  abz'sS.!_~9\n\t\r\x00\x1c\x85\xa0é漢🙂٣½ª\u0301\u180e\u200b\u2028\u3000\ufeff"]
+    parts += [" ", " ", " the", "don't", "'ll 's", "<|endoftext|>", " <s>", "<0x0A>", "<unk>", " x  y", "1234"]
+    texts = ["", " ", "a", " a ", "a b", "\n a", "\u2581", "a \u2581", "b\u2581a c", "a b\u2581 c", "c\u2581"]
+    texts += ["".join(draw.choices(parts, k=draw.randrange(1, 40))) for _ in range(3000)]
+    draw.shuffle(texts)
+    models = [(k, open(p, "rb").read()) for k, p in zip(("tokenizers", "sentencepiece"), MODELS)]
+    words, whole = (alignment.Alignments(*(alignment.Vocabulary(*m) for m in models)) for _ in range(2))
+    assert words.by_words
+    whole.by_words = False
+    for vocabulary in (whole.va, whole.vb):
+        vocabulary.encode = vocabulary.encode.encode  # the libraries, without their words
+    for i in range(0, len(texts), 50):
+        known = set(words.place)
+        found, expected = (vars(x(texts[i : i + 50])) for x in (words, whole))
+        assert {k: [*v] for k, v in found.items()} == {k: [*v] for k, v in expected.items()}
+        assert 0 < found["n_a"].astype(bool).sum()
+    assert known and known - set(words.place)
+
+
+def test_models_that_do_not_begin_anew():
+    from sentencepiece import SentencePieceProcessor
+
+    with open(MODELS[0], "rb") as file:
+        byte_level = file.read()
+    text = "the top  of the top\n the top "
+    for fields in (
+        {"piece": "e\u2581t"},
+        {"trainer_spec__model_type": 1},
+        {"trainer_spec__byte_fallback": False},
+        {"normalizer_spec__add_dummy_prefix": False},
+        {"normalizer_spec__remove_extra_whitespaces": True},
+    ):
+        model = changed(**fields)
+        assert not alignment._begins_anew(model)
+        vocabularies = alignment.Vocabulary("tokenizers", byte_level), alignment.Vocabulary("sentencepiece", model)
+        aligned = alignment.Alignments(*vocabularies)
+        ids = SentencePieceProcessor(model_proto=model).encode(text)
+        spells = b"".join(map(vocabularies[1].bytes.__getitem__, ids)) == b" " + text.encode()
+        assert not aligned.by_words and aligned([text]).n_b.tolist() == [len(ids) if spells else 0]
+        assert not aligned.place
+
+
 def test_awkward_alignment(awkward, nothing):
     assert align_tokens(awkward, *MODELS).count() == len(awkward_rows())
     assert align_tokens(nothing, *MODELS).count() == 0
